@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, quality
+from . import bpe, ngram_join, packing, quality, window_dedup
 from .common import tune
 
 #: The vocabulary that the contracts name; operators take any path.
@@ -51,9 +51,21 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(pieces, docs.count())
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
+def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = window_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op4_quality": op4_quality,
     "op7_packing": op7_packing,
+    "op9_ngram_join": op9_ngram_join,
+    "op10_window_dedup": op10_window_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
