@@ -193,3 +193,44 @@ def components(edges: DataFrame) -> DataFrame:
     leaves = stars.groupBy("a").agg(F.min("b").alias("component"))
     roots = stars.select(F.col("b").alias("a"), F.col("b").alias("component")).distinct().join(leaves.select("a"), "a", "left_anti")
     return leaves.union(roots).select(F.col("a").alias("node"), "component")
+
+
+def valid_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", zero: bool = True) -> DataFrame:
+    """(vec_id, v array<double>) of the rows with an id and only finite components.
+
+    Null and empty vectors, and with ``zero=False`` those of zeros only, are left out. An
+    id that comes more than once keeps its smallest vector.
+    """
+    v = F.col(vector).cast("array<double>")
+    sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = df.select(F.col(key).cast("long").alias("vec_id"), v.alias("v")).filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).filter(sound)
+    if not zero:
+        rows = rows.filter(F.exists("v", lambda x: x != 0))
+    if not rows.groupBy("vec_id").count().filter("count > 1").isEmpty():
+        rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows
+
+
+def matrix(table: pa.Table, column: str, dtype=np.float64) -> np.ndarray:
+    """A list column whose lists are equally long, as a matrix."""
+    lists = table.column(column).combine_chunks()
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    return values.reshape(len(lists), -1).astype(dtype, copy=False)
+
+
+def blocked(candidates: DataFrame, queries: DataFrame, parts: int, candidate_rows: int = 4096, query_rows: int = 2048):
+    """Cogroups in which every query of a part meets every candidate of it, block by block.
+
+    Both sides have ``part`` (one of at most ``parts`` values, so their counts may be
+    broadcast) and ``vec_id``. A part of many rows is cut into blocks of about the given
+    sizes, and each side is repeated for the blocks of the other, so no task holds more
+    than one block of both, however large a part is.
+    """
+    many = candidates.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).cast("int").alias("nc"))
+    sizes = many.join(queries.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("nq")), "part").limit(parts)
+    sizes = F.broadcast(write_shared(sizes, "parts"))
+    queries = queries.select([F.col(c).alias(c) for c in queries.columns])  # both sides may come from one table
+    own = F.xxhash64("vec_id", F.lit(7))
+    c = candidates.join(sizes, "part").withColumn("c", F.pmod(own, F.col("nc")).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1))).drop("nc", "nq")
+    q = queries.join(sizes, "part").withColumn("q", F.pmod(own, F.col("nq")).cast("int")).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("nc") - 1))).drop("nc", "nq")
+    return c.groupBy("part", "c", "q").cogroup(q.groupBy("part", "c", "q"))

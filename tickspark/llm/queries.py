@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, ngram_join, packing, quality, window_dedup
+from . import ann, bpe, line_dedup, ngram_join, packing, quality, topk, window_dedup
 from .common import tune
 
 #: The vocabulary that the contracts name; operators take any path.
@@ -32,6 +32,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
@@ -44,6 +48,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -51,6 +59,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_pieces(pieces, docs.count())
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_removed", F.size("blocks").cast("long").alias("n_blocks"), "emptied", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
@@ -63,8 +76,11 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_topk": op2_topk,
     "op4_quality": op4_quality,
+    "op6_ann": op6_ann,
     "op7_packing": op7_packing,
+    "op8_line_dedup": op8_line_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_window_dedup": op10_window_dedup,
 }
