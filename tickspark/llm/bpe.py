@@ -16,8 +16,10 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries that a worker keeps of pieces and of words; beyond it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 #: Characters of text that are encoded together.
 CHUNK_CHARS = 2_000_000
 FAR = np.int64(1 << 40)
+#: Letters of the Latin blocks and then ASCII punctuation: two words in any version of Unicode.
+PLAIN = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+#: Words up to so many bytes are merged over plain lists.
+SHORT = 64
+NEVER = 1 << 60
 
 
 def byte_letters() -> dict[str, int]:
@@ -55,18 +62,20 @@ class BytePairs:
         self.size = max([*self.vocab.values(), *special.values()]) + 1
         self.born = np.full(self.size, -1, np.int64)  # rank of the merge that makes a token
         self.left, self.right = np.zeros(self.size, np.int64), np.zeros(self.size, np.int64)
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.ranks: dict[int, int] = {}  # pair -> its merge's rank, and in the lower 24 bits what it makes
         for rank, (a, b) in enumerate(merges):
             x, y, z = self.vocab[a], self.vocab[b], self.vocab[a + b]
-            self.ranks[x, y] = (rank, z)
+            self.ranks[x * self.size + y] = rank << 24 | z
             if self.born[z] < 0:
                 self.born[z], self.left[z], self.right[z] = rank, x, y
-        pairs = np.array([x * self.size + y for x, y in self.ranks], np.int64)
+        pairs = np.array(list(self.ranks), np.int64)
         order = np.argsort(pairs)
-        self.pair_keys, self.pair_ranks = pairs[order], np.array([r for r, _ in self.ranks.values()], np.int64)[order]
+        self.pair_keys, self.pair_ranks = pairs[order], (np.array(list(self.ranks.values()), np.int64) >> 24)[order]
         stable = self._reachable()
         self.words = {t: i for t, i in self.vocab.items() if stable[i]}
-        self.longest = max(map(len, self.words))
+        self.reach: dict[str, int] = {}  # by its first three letters, how long a token can be
+        for t in self.words:
+            self.reach[t[:3]] = max(self.reach.get(t[:3], 0), len(t))
         self.special = special
         self.split = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
         letters = byte_letters()
@@ -75,6 +84,7 @@ class BytePairs:
             self.bytes[i] = bytes(letters[c] for c in t)
         for t, i in special.items():
             self.bytes[i] = t.encode()
+        self.letters = {b: c for c, b in letters.items()}
         self.word_ids: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -115,9 +125,9 @@ class BytePairs:
         return ok
 
     def greedy(self, word: str) -> list[int]:
-        out, at, n, words = [], 0, len(word), self.words
+        out, at, n, words, reach = [], 0, len(word), self.words, self.reach
         while at < n:
-            end = min(n, at + self.longest)
+            end = min(n, at + (reach.get(word[at : at + 3]) or 2))
             while (t := words.get(word[at:end])) is None:
                 end -= 1
             out.append(t)
@@ -125,32 +135,48 @@ class BytePairs:
         return out
 
     def merged(self, word: str) -> list[int]:
-        """The merges in order of rank, the leftmost first, over a linked list and a heap."""
-        ids = [self.vocab[c] for c in word]
-        n, ranks = len(ids), self.ranks
+        """The merges in order of rank, the leftmost first."""
+        ids, size, get = [self.vocab[c] for c in word], self.size, self.ranks.get
+        if len(ids) > SHORT:
+            return self._merged_long(ids)
+        due = [get(a * size + b, NEVER) for a, b in zip(ids, ids[1:])]
+        while due and (m := min(due)) != NEVER:
+            k = due.index(m)
+            made = ids[k] = m & 0xFFFFFF
+            del ids[k + 1], due[k]
+            if k:
+                due[k - 1] = get(ids[k - 1] * size + made, NEVER)
+            if k < len(due):
+                due[k] = get(made * size + ids[k + 1], NEVER)
+        return ids
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same over a linked list and a heap."""
+        n, size, ranks = len(ids), self.size, self.ranks
         after, back = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r[0], k, ids[k], ids[k + 1], r[1]) for k in range(n - 1) if (r := ranks.get((ids[k], ids[k + 1])))]
+        heap = [(r, k, ids[k], ids[k + 1]) for k in range(n - 1) if (r := ranks.get(ids[k] * size + ids[k + 1]))]
         heapq.heapify(heap)
         while heap:
-            _, k, a, b, made = heapq.heappop(heap)
+            r, k, a, b = heapq.heappop(heap)
             j = after[k]
             if ids[k] != a or j >= n or ids[j] != b:
                 continue
+            made = r & 0xFFFFFF
             ids[k], ids[j] = made, -1
             after[k] = after[j]
             if after[k] < n:
                 back[after[k]] = k
-                if r := ranks.get((made, ids[after[k]])):
-                    heapq.heappush(heap, (r[0], k, made, ids[after[k]], r[1]))
-            if back[k] >= 0 and (r := ranks.get((ids[back[k]], made))):
-                heapq.heappush(heap, (r[0], back[k], ids[back[k]], made, r[1]))
+                if r := ranks.get(made * size + ids[after[k]]):
+                    heapq.heappush(heap, (r, k, made, ids[after[k]]))
+            if back[k] >= 0 and (r := ranks.get(ids[back[k]] * size + made)):
+                heapq.heappush(heap, (r, back[k], ids[back[k]], made))
         return [i for i in ids if i >= 0]
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Speculate with the longest match, verify all adjacent pairs, merge what fails."""
         found = [self.greedy(w) for w in words]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for x in found for i in x), np.int64, counts.sum())
+        flat = np.fromiter(chain.from_iterable(found), np.int64, counts.sum())
         owner = np.repeat(np.arange(len(found)), counts)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         keys, at = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
@@ -159,60 +185,75 @@ class BytePairs:
             found[k] = self.merged(words[k])
         return found
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, keys: list[str]) -> None:
         """Put the ids of new pieces, packed as uint32, where they are looked up."""
-        cut = [[w for w, _ in self.pre.pre_tokenize_str(p)] for p in pieces]
         if len(self.word_ids) > CACHE_ENTRIES:
             self.word_ids.clear()
-        new = list({w for x in cut for w in x if w not in self.word_ids})
-        for w, ids in zip(new, self.encode_words(new)):
-            self.word_ids[w] = np.array(ids, "<u4").tobytes()
-        known = self.word_ids
-        for p, x in zip(pieces, cut):
-            self.pieces[p] = b"".join([known[w] for w in x])
-
-    def _cut(self, text: str) -> list[str]:
-        """Pieces at whose borders a word always ends.
-
-        A space before anything but white space starts a word, so a text may be cut there.
-        So does a single line end between two other characters, which is a word of its own.
+        known, letters, cut, new = self.word_ids, self.letters, [], set()
+        for key in keys:
+            p = key if key[0] == "\n" else key[1:] if key[0] == " " else " " + key
+            if (m := PLAIN.fullmatch(p)) is None:
+                x = [w for w, _ in self.pre.pre_tokenize_str(p)]
+            else:
+                x = [w.translate(letters) if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in m.groups() if w]
+            cut.append(x)
+            for w in x:
+                if w not in known:
+                    new.add(w)
+        words = list(new)
+        for w, ids in zip(words, self.encode_words(words)):
+            known[w] = array("I", ids).tobytes()
+        for key, x in zip(keys, cut):
+            self.pieces[key] = known[x[0]] if len(x) == 1 else b"".join([known[w] for w in x])
+
+    def _cut(self, text: str) -> tuple[list[str], list[str]]:
+        """Keys of the pieces of a text, and those of them that are new.
+
+        A space before anything but white space starts a word, so a text may be cut there;
+        so it may at a line end before anything but white space. A key is the piece
+        without that space; one that starts with a space is the start of a text.
         """
-        if text.isspace() or not text:
-            return [text] if text else []
-        out = text.replace("\n", " \n").split(" ")
-        first = out[0]
-        if "" in out or "\n" in out or first[:1] == "\n":  # white space beside white space
-            return re.split(r"(?= \S)", text)
-        return [first, *[p if p[0] == "\n" else " " + p for p in out[1:]]]
+        keys = text.replace("\n", " \n").split(" ")
+        keys[0] = " " + keys[0]
+        known = self.pieces
+        new = [p for p in keys if p not in known]
+        for p in new:
+            if not p or p == " " or p[0].isspace() and p[:2].isspace():  # white space beside white space
+                first, *rest = re.split(r"(?= \S)", text)
+                keys = [" " + first, *[p[1:] for p in rest]] if first else [p[1:] for p in rest]
+                return keys, [p for p in keys if p not in known]
+        return keys, new
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The token ids of each text."""
         done: list[np.ndarray] = []
         at = 0
         while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (size < CHUNK_CHARS or end == at):
-                size += len(texts[end])
-                end += 1
-            cut = []
-            for text in texts[at:end]:
-                if self.split and any(s in text for s in self.special):
-                    parts = [[p] if p in self.special else self._cut(p) for p in self.split.split(text) if p]
-                    cut.append([p for x in parts for p in x])
-                else:
-                    cut.append(self._cut(text))
             if len(self.pieces) > CACHE_ENTRIES:
                 self.pieces.clear()
             for s, i in self.special.items():
-                self.pieces[s] = np.array([i], "<u4").tobytes()
-            new = set()
-            for x in cut:
-                new.update(x)
-            new.difference_update(self.pieces)
-            self._learn(list(new))
+                self.pieces[" \0" + s] = array("I", [i]).tobytes()
+            cut, missing, size = [], set(), 0
+            while at < len(texts) and size < CHUNK_CHARS:
+                text = texts[at]
+                at, size = at + 1, size + len(text)
+                if not text:
+                    cut.append([])
+                    continue
+                if self.split and any(s in text for s in self.special):
+                    keys, new = [], []
+                    for part in filter(None, self.split.split(text)):
+                        own, fresh = ([" \0" + part], []) if part in self.special else self._cut(part)
+                        keys += own
+                        new += fresh
+                else:
+                    keys, new = self._cut(text)
+                cut.append(keys)
+                missing.update(new)
+            if missing:
+                self._learn(list(missing))
             get = self.pieces.__getitem__
-            done += [np.frombuffer(b"".join(map(get, x)), "<u4") for x in cut]
-            at = end
+            done += [np.frombuffer(b"".join(map(get, keys)), "<u4") for keys in cut]
         return done
 
     def decode(self, ids: np.ndarray) -> str:
