@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality
+from . import line_dedup, ngram_join, packing, pii, quality
 from .common import tune, write_shared
-from .queries import held_out, table, vocabulary
+from .queries import PSEUDONYM_KEY, held_out, table, vocabulary
 
 #: Documents that score below this go.
 KEEP_SCORE = 0.3
@@ -24,18 +24,49 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.score(docs, model, into="_score").filter(F.col("_score") >= KEEP_SCORE).select(docs.columns)
 
 
+def with_text(docs: DataFrame, text: F.Column) -> DataFrame:
+    """The documents with another text, and ``n_chars`` after it where they have it."""
+    out = docs.withColumn("text", text)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
+def deduped_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the blocks of lines that an earlier one has; those left empty by that go."""
+    cut = line_dedup.dedup_lines(docs).filter("not emptied").select("doc_id", F.col("kept").alias("_kept"))
+    return with_text(docs.join(cut, "doc_id"), F.col("_kept")).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked by similarity, directly or through others, the one with the smallest id."""
+    first = ngram_join.ngram_components(docs).filter("doc_id = component_id").select("doc_id")
+    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+
+
+def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with pseudonyms for personal data."""
+    tune(spark)
+    out = pii.pseudonymise(docs, PSEUDONYM_KEY, into="_spans")
+    return with_text(out, F.col("text")).select(docs.columns)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 ids: where each piece lies, and its ids."""
     tune(spark)
     return packing.pack_documents(docs, vocabulary())
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", good_documents), ("packing", packed)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", good_documents),
+    ("line dedup", deduped_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("PII", pseudonymised),
+    ("packing", packed),
+]
 
 
 def run(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> DataFrame:
     """Apply the stages to the documents; each result is written and read as the next one's input."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in stages:
-        docs = write_shared(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = write_shared(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return docs

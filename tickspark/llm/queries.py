@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, line_dedup, ngram_join, packing, quality, topk, window_dedup
+from . import ann, bpe, chat, line_dedup, ngram_join, packing, pii, quality, topk, window_dedup
 from .common import tune
 
 #: The vocabulary that the contracts name; operators take any path.
@@ -36,6 +36,17 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+#: The key of the pseudonyms; a deployment passes its own to the operator.
+PSEUDONYM_KEY = b"a public key for tests"
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.pseudonymise(docs, PSEUDONYM_KEY)
+    return out.select("doc_id", "text", F.size("spans").cast("long").alias("n_found"), F.array_join(F.sort_array(F.array_distinct("spans.kind")), ",").alias("kinds"))
+
+
 def held_out(doc_id: str = "doc_id") -> F.Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
@@ -48,6 +59,28 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+#: Arguments of the one tool of the conversations: what was said, where, and after which answer.
+REPLY = {
+    "type": "object",
+    "required": ["prompt", "turn"],
+    "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 100_000}, "turn": {"type": "integer", "minimum": 0}, "after": {"type": "string"}},
+    "additionalProperties": False,
+}
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn calls the tool ``reply``, using the answer before it; the next assistant turn is the result."""
+    said = table(spark, sf_dir, "conversations")
+    before = said.filter("role = 'assistant'").select("conv_id", (F.col("turn") + 1).alias("turn")).distinct().withColumn("answered", F.lit(True))
+    name = lambda turn: F.concat_ws(":", "conv_id", turn)
+    after = F.when("answered", F.struct(name(F.col("turn") - 2).alias("$result")))
+    users = said.filter("role = 'user'").join(before, ["conv_id", "turn"], "left")
+    calls = users.select("conv_id", "turn", F.lit(0).alias("pos"), name(F.col("turn")).alias("call_id"), F.lit("reply").alias("name"), F.to_json(F.struct(F.col("text").alias("prompt"), "turn", after.alias("after"))).alias("arguments"))
+    results = said.filter("role = 'assistant'").select("conv_id", "turn", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    linked = chat.link_calls(calls, results, {"reply": REPLY})
+    return linked.select("conv_id", "level", "turn", "call_id", "valid", F.array_join("errors", "; ").alias("errors"), "n_results", "result_turn", "json")
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -77,7 +110,9 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
+    "op3_pii": op3_pii,
     "op4_quality": op4_quality,
+    "op5_chat": op5_chat,
     "op6_ann": op6_ann,
     "op7_packing": op7_packing,
     "op8_line_dedup": op8_line_dedup,
