@@ -189,6 +189,9 @@ def _secret(p: Pseudonyms, text: str) -> str | None:
     value = text[at:]
     if not any(c.isdigit() for c in value):
         return None  # a word after "token:" is no secret
+    if re.fullmatch(r"[0-9a-f]+", value):
+        n = len(value)
+        return text[:at] + f"{p.permute(int(value, 16), 16**n, f'hex|{n}'):0{n}x}"
     return text[:at] + p.string(value, "secret")
 
 

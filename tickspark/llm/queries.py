@@ -63,7 +63,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPLY = {
     "type": "object",
     "required": ["prompt", "turn"],
-    "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 100_000}, "turn": {"type": "integer", "minimum": 0}, "after": {"type": "string"}},
+    "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 100_000}, "turn": {"type": "integer", "minimum": 0}, "after": {"type": ["string", "null"]}},
     "additionalProperties": False,
 }
 
@@ -73,7 +73,7 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations")
     before = said.filter("role = 'assistant'").select("conv_id", (F.col("turn") + 1).alias("turn")).distinct().withColumn("answered", F.lit(True))
     name = lambda turn: F.concat_ws(":", "conv_id", turn)
-    after = F.when("answered", F.struct(name(F.col("turn") - 2).alias("$result")))
+    after = F.when(F.col("answered"), F.struct(name(F.col("turn") - 2).alias("$result")))
     users = said.filter("role = 'user'").join(before, ["conv_id", "turn"], "left")
     calls = users.select("conv_id", "turn", F.lit(0).alias("pos"), name(F.col("turn")).alias("call_id"), F.lit("reply").alias("name"), F.to_json(F.struct(F.col("text").alias("prompt"), "turn", after.alias("after"))).alias("arguments"))
     results = said.filter("role = 'assistant'").select("conv_id", "turn", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
