@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows an Arrow batch may hold. Texts can be long, so batches are kept short.
-BATCH_ROWS = 1000
+BATCH_ROWS = 500
 #: Bytes of packed entries that one bucket should hold; sets how many buckets there are.
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 4_000_000
+#: Parts of a search whose counts may be broadcast.
+MOST_PARTS = 10_000
 
 
 def tune(spark: SparkSession) -> None:
@@ -83,6 +85,16 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def slices(column: pa.Array, limit: int = 1_500_000) -> Iterator[tuple[int, int]]:
+    """Row ranges of a string column that hold at most ``limit`` bytes each, or one row."""
+    _, ends = utf8(column)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
+        yield at, to
+        at = to
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values that spreads every bit over all others."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -215,20 +227,21 @@ def matrix(table: pa.Table, column: str, dtype=np.float64) -> np.ndarray:
     """A list column whose lists are equally long, as a matrix."""
     lists = table.column(column).combine_chunks()
     values = lists.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(lists), -1).astype(dtype, copy=False)
+    return values.reshape(len(lists), len(values) // max(1, len(lists))).astype(dtype, copy=False)
 
 
 def blocked(candidates: DataFrame, queries: DataFrame, parts: int, candidate_rows: int = 4096, query_rows: int = 2048):
     """Cogroups in which every query of a part meets every candidate of it, block by block.
 
-    Both sides have ``part`` (one of at most ``parts`` values, so their counts may be
-    broadcast) and ``vec_id``. A part of many rows is cut into blocks of about the given
+    Both sides have ``part`` (one of ``parts`` values; their counts are broadcast where
+    those are at most ``MOST_PARTS``) and ``vec_id``. A part of many rows is cut into blocks of about the given
     sizes, and each side is repeated for the blocks of the other, so no task holds more
     than one block of both, however large a part is.
     """
     many = candidates.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).cast("int").alias("nc"))
-    sizes = many.join(queries.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("nq")), "part").limit(parts)
-    sizes = F.broadcast(write_shared(sizes, "parts"))
+    sizes = many.join(queries.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("nq")), "part")
+    sizes = write_shared(sizes, "parts")
+    sizes = F.broadcast(sizes) if parts <= MOST_PARTS else sizes
     queries = queries.select([F.col(c).alias(c) for c in queries.columns])  # both sides may come from one table
     own = F.xxhash64("vec_id", F.lit(7))
     c = candidates.join(sizes, "part").withColumn("c", F.pmod(own, F.col("nc")).cast("int")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1))).drop("nc", "nq")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BYTE_VALUES, buckets_for, by_bucket, components, forest, mix, one_row_per_id, pack, runs, text_bytes, tune, unpack, utf8, write_shared
+from .common import BASE, BYTE_VALUES, buckets_for, by_bucket, components, forest, mix, one_row_per_id, pack, runs, slices, text_bytes, tune, unpack, utf8, write_shared
 
 WIDTH, PERCENT = 5, 80
 #: Of every 1/SLACK of a document's n-grams, one more is looked at in step 2 and must be shared.
@@ -67,6 +67,12 @@ def word_hashes(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def shingle_sets(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
     """The sorted distinct n-gram hashes of each text; fewer words than ``width`` make one n-gram."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return [s for a, b in slices(column) for s in _sets(column.slice(a, b - a), width)]
+
+
+def _sets(column: pa.Array, width: int) -> list[np.ndarray]:
     raw, ends = utf8(column)
     words, before = word_hashes(raw, ends)
     n = len(words) - width + 1
@@ -124,8 +130,24 @@ def _first_columns(width: int, percent: int, n_buckets: int):
     return run
 
 
-def _shared_counts(group: pa.Table) -> pa.Table:
-    """Of each document, how many of a bucket's columns it shares."""
+def _shared_counts(n_buckets: int):
+    """Of each document, how many of a bucket's columns it shares: packed, dealt by document."""
+
+    def run(group: pa.Table) -> pa.Table:
+        docs, total = _shared_in(group)
+        rows = list(by_bucket(mix(docs.view(np.uint64)), n_buckets, [docs, total]))
+        return pa.table({"bucket": pa.array([b for b, _ in rows], pa.int32()), "payload": pa.array([p for _, p in rows], pa.binary())})
+
+    return run
+
+
+def _sum_counts(group: pa.Table) -> pa.Table:
+    ids, n = unpack(group.column("payload").to_pylist(), [np.int64, np.int64])
+    docs, at = np.unique(ids, return_inverse=True)
+    return pa.table({"doc_id": docs, "shared": np.bincount(at, n, len(docs)).astype(np.int64)})
+
+
+def _shared_in(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     kind, payload = group.column("kind").to_pylist(), group.column("payload").to_pylist()
     h, ids, told = unpack((p for k, p in zip(kind, payload) if k == 0), [np.uint64, np.int64, np.uint8])
     order = np.argsort(h, kind="stable")
@@ -138,7 +160,7 @@ def _shared_counts(group: pa.Table) -> pa.Table:
     done, n = unpack((p for k, p in zip(kind, payload) if k == 1), [np.int64, np.int64])
     docs, where = np.unique(np.concatenate([ids[shared], done]), return_inverse=True)
     total = np.bincount(where, np.concatenate([np.ones(shared.sum()), n]), len(docs)).astype(np.int64)
-    return pa.table({"doc_id": docs, "shared": total})
+    return docs, total
 
 
 def _set_rows(width: int):
@@ -216,8 +238,10 @@ def ngram_components(df: DataFrame, text: str = "text", key: str = "doc_id", wid
 
     size = F.expr(f"(n * {percent} + 99) div 100")
     enough = F.expr(f"shared >= 1 + ((n * {percent} + 99) div 100) div {SLACK}")
-    dealt = docs.mapInArrow(_first_columns(width, percent, buckets_for(1.3 * text_bytes(docs))), "bucket int, kind int, payload binary")
-    shared = dealt.groupBy("bucket").applyInArrow(_shared_counts, "doc_id long, shared long").groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+    n_buckets = buckets_for(1.3 * text_bytes(docs))
+    dealt = docs.mapInArrow(_first_columns(width, percent, n_buckets), "bucket int, kind int, payload binary")
+    counts = dealt.groupBy("bucket").applyInArrow(_shared_counts(n_buckets), "bucket int, payload binary")
+    shared = counts.groupBy("bucket").applyInArrow(_sum_counts, "doc_id long, shared long")
     left = write_shared(shared.join(of_doc.filter("doc_id = rep"), "doc_id").filter(enough).select("doc_id"), "candidates")
     sets = write_shared(docs.join(left, "doc_id", "left_semi").mapInArrow(_set_rows(width), "doc_id long, grams array<long>"), "sets")
 

@@ -72,7 +72,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ke
     for r in few:
         by_size.setdefault(r["part"], []).append(r["v"])
     chosen = {n: choose_pivots(np.array(v, float), pivots) for n, v in by_size.items()}
-    lengths = [r["part"] for r in rows.select("part").distinct().limit(1000).collect()]
+    lengths = rows.agg(F.countDistinct("part").alias("n")).first()["n"]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,6 +93,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ke
         return pa.table([np.concatenate(o) for o in out], names=["query_id", "vec_id", "score"])
 
     table = rows.mapInArrow(measured, "vec_id long, v array<long>, part int, d array<double>")
-    found = blocked(table, table.filter(is_query), max(1, len(lengths))).applyInArrow(search, "query_id long, vec_id long, score long")
+    found = blocked(table, table.filter(is_query), lengths).applyInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
