@@ -124,14 +124,17 @@ def unpack(payloads: Iterable[bytes], dtypes: list) -> list[np.ndarray]:
     return [np.concatenate(x) if x else np.zeros(0, d) for x, d in zip(parts, dtypes)]
 
 
+def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of each 64-bit key. Keys are mixed first: the least of several hashes are small numbers."""
+    return (((mix(keys ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)).astype(np.int64)
+
+
 def by_bucket(keys: np.ndarray, n_buckets: int, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
-    """Entries dealt to buckets by the leading bits of their 64-bit keys: (bucket, packed columns)."""
-    if not len(keys):
-        return
-    bucket = ((keys >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
-    order = np.argsort(keys, kind="stable")
+    """Entries dealt to buckets by their 64-bit keys: (bucket, packed columns)."""
+    bucket = bucket_of(keys, n_buckets)
+    order = np.argsort(bucket, kind="stable")
     bucket, columns = bucket[order], [c[order] for c in columns]
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+    cuts = np.r_[runs(bucket), len(bucket)]
     for a, b in zip(cuts[:-1], cuts[1:]):
         yield int(bucket[a]), pack(c[a:b] for c in columns)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, buckets_for, by_bucket, mix, one_row_per_id, pack, runs, text_bytes, tune, unpack, utf8, write_shared
+from .common import BYTE_VALUES, bucket_of, buckets_for, by_bucket, mix, one_row_per_id, pack, runs, slices, text_bytes, tune, unpack, utf8, write_shared
 from .ngram_join import powers
 
 SIZE = 50
@@ -27,15 +27,17 @@ SIZE = 50
 DIGIT = 16
 
 
-def rolling(raw: np.ndarray, width: int) -> np.ndarray:
-    """64-bit hashes of all substrings of ``width`` bytes."""
-    n = len(raw) - width + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    up, down = powers(len(raw) + 1)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(BYTE_VALUES[raw] * up[:-1], out=total[1:])
-    return mix((total[width:] - total[:n]) * down[:n])
+def rolling(raw: np.ndarray, width: int, step: int = 1 << 20) -> np.ndarray:
+    """64-bit hashes of all substrings of ``width`` bytes, made piece by piece to need little memory."""
+    out = np.zeros(max(0, len(raw) - width + 1), np.uint64)
+    up, down = powers(min(len(raw), step + width) + 1)
+    for a in range(0, len(out), step):
+        part = raw[a : a + step + width - 1]
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(BYTE_VALUES[part] * up[: len(part)], out=total[1:])
+        n = len(part) - width + 1
+        out[a : a + n] = mix((total[width:] - total[:n]) * down[:n])
+    return out
 
 
 def least_digits(raw: np.ndarray, size: int, digit: int) -> np.ndarray:
@@ -61,7 +63,7 @@ def _runs_by_digit(size: int, digit: int, n_buckets: int):
     """Runs of windows with one digit, dealt by it. What a batch knows to be shared it says itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(x, y - x) for b in batches for x, y in slices(b.column(1))):
             raw, ends = utf8(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             m = least_digits(raw, size, digit)
@@ -135,7 +137,7 @@ def _bytes_by_digit(size: int, n_buckets: int):
             if kept:
                 kept, doc_of = np.array(kept), np.array(doc_of, np.int64)
                 kh = digits[kept]
-                bucket = (((kh >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)).astype(np.int64)
+                bucket = bucket_of(kh, n_buckets)
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.r_[runs(bucket[order]), len(order)]
                 for a, b in zip(cuts[:-1], cuts[1:]):
