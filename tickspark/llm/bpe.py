@@ -26,13 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries that a worker keeps of pieces and of words; beyond it starts anew.
+#: Entries that a worker keeps of pieces and of words (some 200 bytes each); beyond it starts anew.
 CACHE_ENTRIES = 600_000
 #: Characters of text that are encoded together.
 CHUNK_CHARS = 2_000_000
 FAR = np.int64(1 << 40)
 #: Letters of the Latin blocks and then ASCII punctuation: two words in any version of Unicode.
 PLAIN = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
+#: What mostly ends a piece after its letters.
+TAIL = ",.!?;:"
 #: Words up to so many bytes are merged over plain lists.
 SHORT = 64
 NEVER = 1 << 60
@@ -48,9 +50,10 @@ def byte_letters() -> dict[str, int]:
 class BytePairs:
     """Encoder and decoder over one vocabulary file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
 
+        self.cache_entries = cache_entries
         spec = json.loads(open(path, encoding="utf-8").read())
         model, before = spec["model"], spec["pre_tokenizer"]
         if model["type"] != "BPE" or before["type"] != "ByteLevel" or before["add_prefix_space"] or spec["normalizer"]:
@@ -73,9 +76,9 @@ class BytePairs:
         self.pair_keys, self.pair_ranks = pairs[order], (np.array(list(self.ranks.values()), np.int64) >> 24)[order]
         stable = self._reachable()
         self.words = {t: i for t, i in self.vocab.items() if stable[i]}
-        self.reach: dict[str, int] = {}  # by its first three letters, how long a token can be
+        self.reach: dict[str, int] = {}  # by its first four letters, how long a token can be
         for t in self.words:
-            self.reach[t[:3]] = max(self.reach.get(t[:3], 0), len(t))
+            self.reach[t[:4]] = max(self.reach.get(t[:4], 0), len(t))
         self.special = special
         self.split = re.compile("(" + "|".join(re.escape(s) for s in sorted(special, key=len, reverse=True)) + ")") if special else None
         letters = byte_letters()
@@ -125,13 +128,16 @@ class BytePairs:
         return ok
 
     def greedy(self, word: str) -> list[int]:
-        out, at, n, words, reach = [], 0, len(word), self.words, self.reach
+        words = self.words
+        if (t := words.get(word)) is not None:
+            return [t]
+        out, at, n, reach = [], 0, len(word), self.reach
         while at < n:
-            end = min(n, at + (reach.get(word[at : at + 3]) or 2))
+            end = at + (reach.get(word[at : at + 4]) or 3)
             while (t := words.get(word[at:end])) is None:
                 end -= 1
             out.append(t)
-            at = end
+            at = min(end, n)
         return out
 
     def merged(self, word: str) -> list[int]:
@@ -139,14 +145,18 @@ class BytePairs:
         ids, size, get = [self.vocab[c] for c in word], self.size, self.ranks.get
         if len(ids) > SHORT:
             return self._merged_long(ids)
-        due = [get(a * size + b, NEVER) for a, b in zip(ids, ids[1:])]
-        while due and (m := min(due)) != NEVER:
+        due, a = [], ids[0]
+        for b in ids[1:]:
+            due.append(get(a * size + b, NEVER))
+            a = b
+        due.append(NEVER)
+        while (m := min(due)) != NEVER:
             k = due.index(m)
             made = ids[k] = m & 0xFFFFFF
             del ids[k + 1], due[k]
             if k:
                 due[k - 1] = get(ids[k - 1] * size + made, NEVER)
-            if k < len(due):
+            if k + 1 < len(ids):
                 due[k] = get(made * size + ids[k + 1], NEVER)
         return ids
 
@@ -187,10 +197,19 @@ class BytePairs:
 
     def _learn(self, keys: list[str]) -> None:
         """Put the ids of new pieces, packed as uint32, where they are looked up."""
-        if len(self.word_ids) > CACHE_ENTRIES:
+        if len(self.word_ids) > self.cache_entries:
             self.word_ids.clear()
         known, letters, cut, new = self.word_ids, self.letters, [], set()
+        space = letters[32]
         for key in keys:
+            core = key.rstrip(TAIL)
+            if core.isalpha() and core.isascii():  # by far the most: one word, and what ends it
+                x = [space + core, key[len(core) :]] if len(core) < len(key) else [space + core]
+                cut.append(x)
+                for w in x:
+                    if w not in known:
+                        new.add(w)
+                continue
             p = key if key[0] == "\n" else key[1:] if key[0] == " " else " " + key
             if (m := PLAIN.fullmatch(p)) is None:
                 x = [w for w, _ in self.pre.pre_tokenize_str(p)]
@@ -206,8 +225,8 @@ class BytePairs:
         for key, x in zip(keys, cut):
             self.pieces[key] = known[x[0]] if len(x) == 1 else b"".join([known[w] for w in x])
 
-    def _cut(self, text: str) -> tuple[list[str], list[str]]:
-        """Keys of the pieces of a text, and those of them that are new.
+    def _cut(self, text: str) -> tuple[list[str], list[bytes | None], list[int]]:
+        """Keys of the pieces of a text, their ids as far as known, and the places of those that aren't.
 
         A space before anything but white space starts a word, so a text may be cut there;
         so it may at a line end before anything but white space. A key is the piece
@@ -215,45 +234,46 @@ class BytePairs:
         """
         keys = text.replace("\n", " \n").split(" ")
         keys[0] = " " + keys[0]
-        known = self.pieces
-        new = [p for p in keys if p not in known]
-        for p in new:
-            if not p or p == " " or p[0].isspace() and p[:2].isspace():  # white space beside white space
+        found = list(map(self.pieces.get, keys))
+        new = [k for k, v in enumerate(found) if v is None] if None in found else []
+        for k in new:
+            p = keys[k]
+            # a piece that would part white space, other than before a line end that is followed by none
+            if p == " " if k == 0 else not p or p[0].isspace() and (p[0] != "\n" or p[:2].isspace()):
                 first, *rest = re.split(r"(?= \S)", text)
                 keys = [" " + first, *[p[1:] for p in rest]] if first else [p[1:] for p in rest]
-                return keys, [p for p in keys if p not in known]
-        return keys, new
+                found = list(map(self.pieces.get, keys))
+                return keys, found, [k for k, v in enumerate(found) if v is None]
+        return keys, found, new
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The token ids of each text."""
         done: list[np.ndarray] = []
         at = 0
         while at < len(texts):
-            if len(self.pieces) > CACHE_ENTRIES:
+            if len(self.pieces) > self.cache_entries:
                 self.pieces.clear()
-            for s, i in self.special.items():
-                self.pieces[" \0" + s] = array("I", [i]).tobytes()
             cut, missing, size = [], set(), 0
             while at < len(texts) and size < CHUNK_CHARS:
                 text = texts[at]
                 at, size = at + 1, size + len(text)
-                if not text:
-                    cut.append([])
-                    continue
                 if self.split and any(s in text for s in self.special):
-                    keys, new = [], []
+                    keys, found, new = [], [], []
                     for part in filter(None, self.split.split(text)):
-                        own, fresh = ([" \0" + part], []) if part in self.special else self._cut(part)
-                        keys += own
-                        new += fresh
+                        own = ([part], [array("I", [self.special[part]]).tobytes()], []) if part in self.special else self._cut(part)
+                        new += [k + len(keys) for k in own[2]]
+                        keys += own[0]
+                        found += own[1]
                 else:
-                    keys, new = self._cut(text)
-                cut.append(keys)
-                missing.update(new)
+                    keys, found, new = self._cut(text) if text else ([], [], [])
+                cut.append((keys, found, new))
+                missing.update([keys[k] for k in new])
             if missing:
                 self._learn(list(missing))
-            get = self.pieces.__getitem__
-            done += [np.frombuffer(b"".join(map(get, keys)), "<u4") for keys in cut]
+            for keys, found, new in cut:
+                for k in new:
+                    found[k] = self.pieces[keys[k]]
+                done.append(np.frombuffer(b"".join(found), "<u4"))
         return done
 
     def decode(self, ids: np.ndarray) -> str:
@@ -262,9 +282,9 @@ class BytePairs:
 
 
 @lru_cache(maxsize=2)
-def model(path: str) -> BytePairs:
+def model(path: str, cache_entries: int = CACHE_ENTRIES) -> BytePairs:
     """The vocabulary of a file, read once in each worker."""
-    return BytePairs(path)
+    return BytePairs(path, cache_entries)
 
 
 def encode_documents(df: DataFrame, vocabulary: str, text: str = "text", key: str = "doc_id") -> DataFrame:

@@ -25,6 +25,10 @@ RUN_TAILS = 65_536
 TASK_TAILS = 20_000
 
 
+#: Pieces and words that a worker keeps; this stage has one Python worker a task and so room for more.
+CACHE_ENTRIES = 1_500_000
+
+
 class OpenWindows:
     """Windows by what they can still take: a segment tree over the capacities 1..size."""
 
@@ -85,7 +89,7 @@ def cut_documents(df: DataFrame, vocabulary: str, size: int = 2048, end_id: int
     names = ["key", "start", "length", "doc_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = model(vocabulary), np.array([end_id], "<u4").tobytes()
+        bpe, end = model(vocabulary, CACHE_ENTRIES), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             row, start, length, total, pieces, held = [], [], [], [], [], 0
             for k, ids in enumerate(bpe.encode(batch.column(1).to_pylist())):
