@@ -34,7 +34,8 @@ ODD = ["", " ", "\n", "\n\n", "a\n", "a \n b", "  a", " a", "a\n\n b", "x" * 300
 def test_encoder_equals_the_library(library):
     rng = random.Random(1)
     letters = "ab  \n\t\r'sdtle 1239 é漢字   \x1c\x85🙂.,!"
-    texts = ODD + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(1500)]
+    white = lambda: "".join(rng.choice(" \n\t\r\x0b\xa0\u2003\x1f\x85ab.") for _ in range(rng.randint(0, 12)))
+    texts = ODD + [white() for _ in range(3000)] + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 50))) for _ in range(1500)]
     model = bpe.model(queries.vocabulary())
     for text, ids in zip(texts, model.encode(texts)):
         want = library.encode(text, add_special_tokens=False).ids
@@ -217,6 +218,17 @@ def test_links(spark):
     assert chat.link_calls(c.limit(0), r.limit(0), SCHEMAS).count() == 0
 
 
+def test_levels_of_long_conversations(spark):
+    rng = random.Random(4)
+    edges = {(1, f"c{k}", f"c{k - 1}") for k in range(1, 12)} | {(2, f"c{k}", f"c{rng.randrange(k)}") for k in range(1, 30) for _ in range(2)} | {(3, "a", "b"), (3, "b", "a"), (3, "c", "a"), (3, "d", "e")}
+    want = chat.levels_of(sorted(edges))
+    assert want[1, "c11"] == 11 and (3, "c") not in want and want[3, "d"] == 1
+    df = spark.createDataFrame(sorted(edges), "conv_id long, call_id string, needs string")
+    for local in (0, 20, 1000):  # all by rounds, some, none
+        got = {(r["conv_id"], r["call_id"]): r["level"] for r in chat.use_levels(df, local=local).collect()}
+        assert got == want
+
+
 def test_chat_query(spark, sf_dir):
     said = queries.table(spark, sf_dir, "conversations")
     rows = queries.op5_chat(spark, sf_dir).collect()

@@ -3,8 +3,9 @@
 Calls and results are hash-joined by (conversation, call id), both reduced to one row a
 key beforehand, so a key of very many rows costs no task more than its share. A string
 ``{"$result": id}`` in a call's arguments uses the result of another call of the same
-conversation; a call comes after all that it uses. Levels are found by rounds of joins
-over the uses, each written to the shared folder, never by gathering a conversation.
+conversation; a call comes after all that it uses. Levels are found over the ids alone:
+conversations of at most ``LOCAL_USES`` uses in buckets of many, each bucket in one task;
+longer ones by rounds of joins over the whole cluster, each written to the shared folder.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from .common import tune, write_shared
 TYPES = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
 
+#: Uses that a conversation may have to be ordered within a task, and uses in a bucket of such ones.
+LOCAL_USES, BUCKET_USES = 100_000, 200_000
+
+
 def plain(value):
     """A JSON value in its one form: integral numbers as integers, keys in order of UTF-16."""
     if isinstance(value, dict):
@@ -110,6 +115,60 @@ def read_arguments(text: str | None, name: str | None, schemas: dict[str, dict])
 _READ = "conv_id long, call_id string, turn long, pos long, name string, arguments string, errors array<string>, uses array<string>"
 
 
+def levels_of(edges: list[tuple]) -> dict[tuple, int]:
+    """The level of each (conversation, call) in edges (conversation, call, used call); none for cycles."""
+    waits: dict[tuple, int] = {}
+    users: dict[tuple, list[tuple]] = {}
+    for conv, call, needs in edges:
+        waits[conv, call] = waits.get((conv, call), 0) + 1
+        users.setdefault((conv, needs), []).append((conv, call))
+    level = {k: 0 for k in users if k not in waits}
+    ready = list(level)
+    while ready:
+        k = ready.pop()
+        for u in users.get(k, ()):
+            level[u] = max(level.get(u, 0), level[k] + 1)
+            waits[u] -= 1
+            if not waits[u]:
+                ready.append(u)
+    return {u: level[u] for u, n in waits.items() if not n}
+
+
+def _bucket_levels(group: pa.Table) -> pa.Table:
+    found = levels_of(list(zip(*(group.column(c).to_pylist() for c in ("conv_id", "call_id", "needs")))))
+    return pa.table({"conv_id": pa.array([k[0] for k in found], pa.int64()), "call_id": pa.array([k[1] for k in found], pa.string()), "level": pa.array(list(found.values()), pa.int32())})
+
+
+def _round_levels(edges: DataFrame) -> DataFrame:
+    """The levels of calls with uses, one round of joins a level; none for cycles."""
+    key = ["conv_id", "call_id"]
+    used = edges.select("conv_id", F.col("needs").alias("call_id")).distinct()
+    settled = write_shared(used.join(edges.select(*key), key, "left_anti").withColumn("level", F.lit(0)), "settled")
+    waiting, level = write_shared(edges, "open"), 0
+    while not waiting.isEmpty():
+        level += 1
+        last = settled.filter(F.col("level") == level - 1).select("conv_id", F.col("call_id").alias("needs"))
+        left = write_shared(waiting.join(last, ["conv_id", "needs"], "left_anti"), "open")
+        fresh = write_shared(waiting.select(*key).distinct().join(left.select(*key), key, "left_anti").withColumn("level", F.lit(level)), "fresh")
+        if fresh.isEmpty():
+            break  # what is left waits for itself
+        settled, waiting = write_shared(settled.union(fresh), "settled"), left
+    return settled.filter("level > 0")
+
+
+def use_levels(edges: DataFrame, local: int = LOCAL_USES, bucket: int = BUCKET_USES) -> DataFrame:
+    """(conv_id, call_id, level) of the calls in edges (conv_id, call_id, needs)."""
+    sizes = write_shared(edges.groupBy("conv_id").count(), "sizes")
+    small, large = sizes.filter(F.col("count") <= local), sizes.filter(F.col("count") > local)
+    total = small.agg(F.sum("count").alias("n")).first()["n"] or 0
+    mine = edges.join(small.select("conv_id"), "conv_id", "left_semi")
+    dealt = mine.withColumn("bucket", F.pmod(F.xxhash64("conv_id"), F.lit(int(total // bucket + 8))).cast("int"))
+    found = dealt.groupBy("bucket").applyInArrow(_bucket_levels, "conv_id long, call_id string, level int")
+    if large.isEmpty():
+        return found
+    return found.union(_round_levels(edges.join(large.select("conv_id"), "conv_id", "left_semi")))
+
+
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row a call: (conv_id, level, turn, pos, call_id, name, valid, errors, n_results, result_turn, json).
 
@@ -141,22 +200,12 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     answers = results.filter("conv_id is not null and call_id is not null").groupBy(*key).agg(F.min(F.struct("turn", "content")).alias("r"), F.count(F.lit(1)).alias("n_results"))
     answers = answers.select(F.col("conv_id").cast("long").alias("conv_id"), "call_id", F.col("r.turn").cast("long").alias("result_turn"), F.col("r.content").alias("content"), "n_results")
 
-    # levels: a round settles the calls all of whose used calls are settled
     edges = known.select(*key, F.explode("uses").alias("needs"))
     there = known.select("conv_id", F.col("call_id").alias("needs"))
     lost = edges.join(there, ["conv_id", "needs"], "left_anti").groupBy(*key).agg(F.sort_array(F.collect_set("needs")).alias("lost"))
     edges = write_shared(edges.join(there, ["conv_id", "needs"], "left_semi"), "uses")
-    settled = known.join(edges.select(*key), key, "left_anti").select(*key, F.lit(0).alias("level"))
-    open_, level = write_shared(edges, "open"), 0
-    settled = write_shared(settled, "settled")
-    while not open_.isEmpty():
-        level += 1
-        last = settled.filter(F.col("level") == level - 1).select("conv_id", F.col("call_id").alias("needs"))
-        waiting = write_shared(open_.join(last, ["conv_id", "needs"], "left_anti"), "open")
-        fresh = write_shared(open_.select(*key).distinct().join(waiting.select(*key), key, "left_anti").select(*key, F.lit(level).alias("level")), "settled")
-        if fresh.isEmpty():
-            break  # what is left waits for itself
-        settled, open_ = settled.union(fresh), waiting
+    free = known.join(edges.select(*key), key, "left_anti").select(*key, F.lit(0).alias("level"))
+    settled = free.union(use_levels(edges))
 
     whole = known.join(answers, key, "full").join(settled, key, "left").join(lost, key, "left")
     extra = F.filter(
