@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 #: Entries that a worker keeps of pieces and of words (some 200 bytes each); beyond it starts anew.
 CACHE_ENTRIES = 600_000
 #: Characters of text that are encoded together.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 1_000_000
 FAR = np.int64(1 << 40)
 #: Letters of the Latin blocks and then ASCII punctuation: two words in any version of Unicode.
 PLAIN = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")

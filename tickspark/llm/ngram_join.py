@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BYTE_VALUES, buckets_for, by_bucket, components, forest, mix, one_row_per_id, pack, runs, slices, text_bytes, tune, unpack, utf8, write_shared
+from .common import BASE, BYTE_VALUES, buckets_for, by_bucket, components, forest, lean, mix, one_row_per_id, pack, runs, slices, text_bytes, tune, unpack, utf8, write_shared
 
 WIDTH, PERCENT = 5, 80
 #: Of every 1/SLACK of a document's n-grams, one more is looked at in step 2 and must be shared.
@@ -232,18 +232,18 @@ def ngram_components(df: DataFrame, text: str = "text", key: str = "doc_id", wid
     spark = df.sparkSession
     tune(spark)
     docs = one_row_per_id(df, key, text)
-    prints = write_shared(docs.mapInArrow(_fingerprints(width), "doc_id long, n long, f1 long, f2 long"), "fingerprints")
+    prints = write_shared(docs.mapInArrow(lean(_fingerprints(width)), "doc_id long, n long, f1 long, f2 long"), "fingerprints")
     classes = prints.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
     of_doc = prints.filter("n > 0").join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "rep")
 
     size = F.expr(f"(n * {percent} + 99) div 100")
     enough = F.expr(f"shared >= 1 + ((n * {percent} + 99) div 100) div {SLACK}")
     n_buckets = buckets_for(1.3 * text_bytes(docs))
-    dealt = docs.mapInArrow(_first_columns(width, percent, n_buckets), "bucket int, kind int, payload binary")
+    dealt = docs.mapInArrow(lean(_first_columns(width, percent, n_buckets)), "bucket int, kind int, payload binary")
     counts = dealt.groupBy("bucket").applyInArrow(_shared_counts(n_buckets), "bucket int, payload binary")
     shared = counts.groupBy("bucket").applyInArrow(_sum_counts, "doc_id long, shared long")
     left = write_shared(shared.join(of_doc.filter("doc_id = rep"), "doc_id").filter(enough).select("doc_id"), "candidates")
-    sets = write_shared(docs.join(left, "doc_id", "left_semi").mapInArrow(_set_rows(width), "doc_id long, grams array<long>"), "sets")
+    sets = write_shared(docs.join(left, "doc_id", "left_semi").mapInArrow(lean(_set_rows(width)), "doc_id long, grams array<long>"), "sets")
 
     cells = sets.select("doc_id", F.explode("grams").alias("h"))
     common = cells.groupBy("h").count().filter("count > 1")

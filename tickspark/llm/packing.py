@@ -25,8 +25,8 @@ RUN_TAILS = 65_536
 TASK_TAILS = 20_000
 
 
-#: Pieces and words that a worker keeps; this stage has one Python worker a task and so room for more.
-CACHE_ENTRIES = 1_500_000
+#: Pieces and words that a worker keeps while it cuts; fewer than elsewhere, since pieces of ids take room too.
+CACHE_ENTRIES = 250_000
 
 
 class OpenWindows:
@@ -102,7 +102,7 @@ def cut_documents(df: DataFrame, vocabulary: str, size: int = 2048, end_id: int
                     total.append(n)
                     pieces.append(packed[4 * at : 4 * (at + size)])
                 held += len(packed)
-                if held > 16_000_000 or k == batch.num_rows - 1:
+                if held > 4_000_000 or k == batch.num_rows - 1:
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *[pa.array(x, pa.int64()) for x in (start, length, total)], pa.array(pieces, pa.binary())], names=names)
                     row, start, length, total, pieces, held = [], [], [], [], [], 0
 
