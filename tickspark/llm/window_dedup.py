@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, bucket_of, buckets_for, by_bucket, mix, one_row_per_id, pack, runs, slices, text_bytes, tune, unpack, utf8, write_shared
+from .common import BYTE_VALUES, bucket_of, buckets_for, by_bucket, lean, mix, one_row_per_id, pack, runs, slices, text_bytes, tune, unpack, utf8, write_shared
 from .ngram_join import powers
 
 SIZE = 50
@@ -92,8 +92,17 @@ def _runs_by_digit(size: int, digit: int, n_buckets: int):
     return run
 
 
-def _shared_runs(group: pa.Table) -> pa.Table:
-    """The runs of a bucket whose digit several documents have."""
+def _shared_runs(n_buckets: int):
+    """The runs of a bucket whose digit several documents have, with the digit's bucket in the second pass."""
+
+    def run(group: pa.Table) -> pa.Table:
+        kh, ids, span = _shared_in(group)
+        return pa.table({"doc_id": ids, "span": span, "deal": bucket_of(kh, n_buckets).astype(np.int32)})
+
+    return run
+
+
+def _shared_in(group: pa.Table) -> list[np.ndarray]:
     kind, payload = group.column("kind").to_pylist(), group.column("payload").to_pylist()
     kh, ids, span, told = unpack((p for k, p in zip(kind, payload) if k == 0), [np.uint64, np.int64, np.int64, np.uint8])
     order = np.lexsort((ids, kh))
@@ -105,8 +114,7 @@ def _shared_runs(group: pa.Table) -> pa.Table:
         shared |= np.repeat(np.add.reduceat(told, first, dtype=np.int64) > 0, n)
     shared &= told == 0
     more = unpack((p for k, p in zip(kind, payload) if k == 1), [np.uint64, np.int64, np.int64])
-    kh, ids, span = (np.concatenate([a[shared], b]) for a, b in zip((kh, ids, span), more))
-    return pa.table({"doc_id": ids, "span": span, "digit": kh.view(np.int64)})
+    return [np.concatenate([a[shared], b]) for a, b in zip((kh, ids, span), more)]
 
 
 def _bytes_by_digit(size: int, n_buckets: int):
@@ -114,10 +122,10 @@ def _bytes_by_digit(size: int, n_buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists, digits = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
+            ids, lists, deals = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
             raw, ends = utf8(batch.column(1))
             raw, at = raw.tobytes(), lists.offsets.to_numpy()
-            spans, digits = lists.values.to_numpy(zero_copy_only=False), digits.values.to_numpy(zero_copy_only=False).view(np.uint64)
+            spans, deals = lists.values.to_numpy(zero_copy_only=False), deals.values.to_numpy(zero_copy_only=False)
             seen: dict[bytes, int] = {}
             kept, doc_of, parts, done_ids, done_spans = [], [], [], [], []
             for k in sorted(range(len(ids)), key=ids.__getitem__):
@@ -136,8 +144,7 @@ def _bytes_by_digit(size: int, n_buckets: int):
             rows = []
             if kept:
                 kept, doc_of = np.array(kept), np.array(doc_of, np.int64)
-                kh = digits[kept]
-                bucket = bucket_of(kh, n_buckets)
+                bucket = deals[kept]
                 order = np.argsort(bucket, kind="stable")
                 cuts = np.r_[runs(bucket[order]), len(order)]
                 for a, b in zip(cuts[:-1], cuts[1:]):
@@ -227,10 +234,11 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", size:
     docs = one_row_per_id(df, key, text)
     n_bytes = text_bytes(docs)
     # a run of windows comes to about 25 packed bytes and every 18 bytes of text
-    first = docs.mapInArrow(_runs_by_digit(size, digit, buckets_for(1.4 * n_bytes)), "bucket int, kind int, payload binary")
-    shared = write_shared(first.groupBy("bucket").applyInArrow(_shared_runs, "doc_id long, span long, digit long"), "runs")
-    rows = shared.groupBy("doc_id").agg(F.collect_list(F.struct("span", "digit")).alias("r")).select("doc_id", F.col("r.span").alias("span"), F.col("r.digit").alias("digit"))
-    second = docs.join(rows, "doc_id").select("doc_id", "text", "span", "digit").mapInArrow(_bytes_by_digit(size, buckets_for(1.5 * n_bytes)), "bucket int, kind int, payload binary")
+    first = docs.mapInArrow(lean(_runs_by_digit(size, digit, buckets_for(1.4 * n_bytes))), "bucket int, kind int, payload binary")
+    n_second = buckets_for(1.5 * n_bytes)
+    shared = write_shared(first.groupBy("bucket").applyInArrow(_shared_runs(n_second), "doc_id long, span long, deal int"), "runs")
+    rows = shared.groupBy("doc_id").agg(F.collect_list(F.struct("span", "deal")).alias("r")).select("doc_id", F.col("r.span").alias("span"), F.col("r.deal").alias("deal"))
+    second = docs.join(rows, "doc_id").select("doc_id", "text", "span", "deal").mapInArrow(lean(_bytes_by_digit(size, n_second)), "bucket int, kind int, payload binary")
     found = write_shared(second.groupBy("bucket").applyInArrow(_repeated(size), "doc_id long, span long"), "repeats")
     spans = found.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
     return docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_without, _KEPT)
