@@ -180,3 +180,60 @@ def test_line_blocks(spark):
     assert out[2]["kept"] == "mine alone here, quite long\nok\nok"  # short lines alone are no block
     assert out[3]["n_removed"] == 1  # lines in another order aren't aligned
     assert out[5]["emptied"] and out[5]["kept"] == ""
+
+
+def brute_pairs(texts: dict, least: int = 20) -> dict:
+    """What is left after every document was aligned with each earlier one by itself.
+
+    That is done twice: with all common runs, and with those that no document before the earlier one has.
+    """
+    ids, lines, keys = sorted(texts), {}, {}
+    for d in ids:
+        seen = collections.Counter()
+        lines[d] = (texts[d] or "").split("\n")
+        keys[d] = []
+        for p, x in enumerate(lines[d]):
+            if x.strip():
+                keys[d].append((p, (x, seen[x])))
+                seen[x] += 1
+    out = {}
+    for n, d in enumerate(ids):
+        gone = set()
+        size = [len("".join(lines[d][p].split())) for p, _ in keys[d]]
+        seen_runs: set[tuple[int, int]] = set()
+        for e in ids[:n]:
+            place = {key: q for q, (_, key) in enumerate(keys[e])}
+            there = [place.get(key) for _, key in keys[d]]
+            spans = set()  # shortest runs of enough letters, by either end
+            for a in range(len(size)):
+                for b in range(a, len(size)):
+                    enough = sum(size[a : b + 1]) >= least
+                    shortest = sum(size[a:b]) < least or sum(size[a + 1 : b + 1]) < least
+                    if enough and (shortest or a == b) and all(there[q] is not None and there[q] - there[a] == q - a for q in range(a, b + 1)):
+                        spans.add((a, b))
+            for chosen in (spans, spans - seen_runs):
+                own = sorted({q for a, b in chosen for q in range(a, b + 1)})
+                chain = [own[k] for k in line_dedup.increasing([there[q] for q in own])]
+                for k, q in enumerate(chain):
+                    joined = k and chain[k - 1] == q - 1 and there[q - 1] == there[q] - 1
+                    gone.update(range(keys[d][q - 1][0] if joined else keys[d][q][0], keys[d][q][0] + 1))
+            seen_runs |= spans
+        out[d] = "\n".join(x for k, x in enumerate(lines[d]) if k not in gone)
+    return out
+
+
+def test_lines_with_every_earlier_document(spark):
+    rng = random.Random(8)
+    long = [f"long line number {k} of the pool" for k in range(12)]
+    short = [f"verse {k}" for k in range(15)]
+    reverse = "\n".join(long[::-1])
+    texts = {1: "\n".join(long), 2: reverse, 3: reverse + "\n", 4: "own words only, but enough\n" + reverse}
+    texts |= {10 + k: x + f"\nalone {k}" for k, x in enumerate(short)} | {30: "\n".join(short), 31: "first\n" + "\n".join(short) + "\nlast"}
+    for k in range(40, 110):
+        at, n = rng.randrange(12), rng.randrange(12)
+        parts = [long[at : at + 3], short[n : n + rng.randint(1, 4)], ["", f"own {k}"], rng.sample(long, 2), rng.sample(short, 2)]
+        rng.shuffle(parts)
+        texts[k] = "\n".join(x for p in parts for x in p)
+    got = {r["doc_id"]: r["kept"] for r in line_dedup.dedup_lines(table_of(spark, texts)).collect()}
+    assert got == brute_pairs(texts)
+    assert got[3].strip() == "" and got[4] == "own words only, but enough" and got[31] == "first\nlast"

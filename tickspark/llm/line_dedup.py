@@ -1,25 +1,34 @@
 """Line dedup by pairwise alignment.
 
-Documents that overlap are found through the lines they share. A line is known by its
-128-bit hash and by how often the document had it before, so each is unique in its
-document, as patience diff wants it. Of all documents that share a line, the one with
-the smallest id is its home; every other one is paired with the homes of its lines, never
-with all others that have them, so a line in very many documents costs one row for each.
-How rare a line is doesn't decide whether it counts, but which of two homes a document
-is aligned with first.
-
-A pair is aligned by patience diff: the longest run of shared lines that stand in the
-same order in both. Lines next to each other in both texts form a common block. Blocks
-of enough letters are deleted from the later document.
+A line is known by its 128-bit hash and by how often the document had it before, so each is
+unique in its document, as patience diff wants it. What can be deleted are blocks of
+enough letters, and each such block is made of windows: the shortest runs of lines, from a
+line on or up to a line, that have enough letters. A window that two documents share is
+the same window in both, so documents that overlap are found through the windows they
+share, long lines and passages of short ones alike.
+
+A pair is aligned by patience diff: of the lines of its shared windows, the longest run that
+stands in the same order in both. Lines next to each other in both texts form a common
+block; blocks go from the later document. A run of lines that both have is in the longest
+run whole or not at all.
+
+Documents with the same shared windows in the same order align alike with any other, so
+the first of them stands for all; the others are aligned with it alone. A first one is
+aligned with the first holder of each of its windows. Windows that were not in line with
+it go on to the other holders, nearest first, twice as many in every round, until they
+are deleted or no holder is left: what goes is what some earlier document aligns with.
+Windows that no document before the first holder has are also aligned with it by
+themselves, so those that are known from elsewhere don't stand in their way.
 """
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import one_row_per_id, tune, write_shared
@@ -80,35 +89,153 @@ def aligned(pos: list[int], home: list[int], there: list[int], df: list[int], le
 _BLOCKS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("home", pa.int64())]))
 
 
-def _cut(min_letters: int):
-    """Align each document with its homes and delete the blocks."""
+def windows_of(text: str, min_letters: int = MIN_LETTERS) -> list[tuple[int, int, bytes]]:
+    """(first, last, hash) of the shortest runs of ``min_letters`` letters from each line on and up to each line.
 
+    Lines are counted from 0 without the blank ones. Equal runs are listed once.
+    """
+    names, letters, seen = [], [], {}
+    for line in text.split("\n"):
+        n = len("".join(line.split()))
+        if n:
+            h = hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            k = seen[h] = seen.get(h, -1) + 1
+            names.append(h if not k else h + b"%d" % k)
+            letters.append(n)
+    spans, total, last = set(), 0, 0
+    for first in range(len(names)):  # from a line on
+        while last < len(names) and (total < min_letters or last <= first):
+            total, last = total + letters[last], last + 1
+        if total < min_letters:
+            break
+        spans.add((first, last - 1))
+        total -= letters[first]
+    total, first = 0, 0
+    for last in range(len(names)):  # up to a line
+        total += letters[last]
+        while first < last and total - letters[first] >= min_letters:
+            total, first = total - letters[first], first + 1
+        if total >= min_letters:
+            spans.add((first, last))
+    return [(a, b, hashlib.blake2b(b"|".join(names[a : b + 1]), digest_size=16).digest()) for a, b in sorted(spans)]
+
+
+def common_blocks(mine: dict[int, tuple[int, int]], theirs: dict[int, tuple[int, int]]) -> list[tuple[int, int]]:
+    """Blocks (first, last) of the aligned lines, from each document's windows: hash to (first, last)."""
+    there: dict[int, int] = {}
+    for h in mine.keys() & theirs.keys():
+        for k in range(mine[h][1] - mine[h][0] + 1):
+            there[mine[h][0] + k] = theirs[h][0] + k
+    lines = sorted(there)
+    out: list[tuple[int, int]] = []
+    for p in (lines[k] for k in increasing([there[p] for p in lines])):
+        if out and out[-1][1] == p - 1 and there[p - 1] == there[p] - 1:
+            out[-1] = (out[-1][0], p)
+        else:
+            out.append((p, p))
+    return out
+
+
+def _windows(min_letters: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, shared = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            kept, n, blocks, emptied = [], [], [], []
-            for text, rows in zip(texts, shared):
-                if not rows:
-                    kept.append(text)
-                    n.append(0)
-                    blocks.append([])
-                    emptied.append(False)
-                    continue
-                lines = text.split("\n")
-                blanks = {k for k, x in enumerate(lines) if not x or x.isspace()}
-                letters = [len("".join(lines[r["pos"]].split())) for r in rows]
-                found = aligned([r["pos"] for r in rows], [r["home"] for r in rows], [r["there"] for r in rows], [r["df"] for r in rows], letters, blanks, min_letters)
-                gone = {p for a, b, _ in found for p in range(a, b + 1)}
-                kept.append("\n".join(x for k, x in enumerate(lines) if k not in gone))
-                n.append(len(gone))
-                blocks.append([{"first": a, "last": b, "home": h} for a, b, h in sorted(found)])
-                emptied.append(bool(gone) and not kept[-1].strip())
-            columns = [batch.column(0), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(blocks, _BLOCKS), pa.array(emptied)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "n_removed", "blocks", "emptied"])
+            ids, first, last, hashes = [], [], [], []
+            for d, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for a, b, h in windows_of(text, min_letters):
+                    ids.append(d)
+                    first.append(a)
+                    last.append(b)
+                    hashes.append(h)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32()), pa.array(hashes, pa.binary())], names=["doc_id", "first", "last", "h"])
 
     return run
 
 
+def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids, others, first, last = [], [], [], []
+        for d, e, *both in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            mine, theirs = ({w["k"]: (w["first"], w["last"]) for w in x} for x in both)
+            first_here = {w["k"]: (w["first"], w["last"]) for w in both[0] if w["home"] == e}
+            for a, b in {*common_blocks(mine, theirs), *common_blocks(first_here, theirs)}:
+                ids.append(d)
+                others.append(e)
+                first.append(a)
+                last.append(b)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(others, pa.int64()), pa.array(first, pa.int32()), pa.array(last, pa.int32())], names=["doc_id", "home", "first", "last"])
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Delete the blocks. Where several documents have a line, it counts for the block of the first of them."""
+    for batch in batches:
+        kept, n, blocks, emptied = [], [], [], []
+        for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            lines = text.split("\n") if found else []
+            at = [k for k, x in enumerate(lines) if x.strip()]
+            gone: set[int] = set()
+            own = []
+            for b in sorted(found or [], key=lambda b: (b["home"], b["first"])):
+                fresh = [p for p in range(at[b["first"]], at[b["last"]] + 1) if p not in gone]
+                gone.update(fresh)
+                for k, p in enumerate(fresh):
+                    if k and fresh[k - 1] == p - 1:
+                        own[-1]["last"] = p
+                    else:
+                        own.append({"first": p, "last": p, "home": b["home"]})
+            kept.append("\n".join(x for k, x in enumerate(lines) if k not in gone) if gone else text)
+            n.append(len(gone))
+            blocks.append(sorted(own, key=lambda b: b["first"]))
+            emptied.append(bool(gone) and not kept[-1].strip())
+        columns = [batch.column(0), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(blocks, _BLOCKS), pa.array(emptied)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "n_removed", "blocks", "emptied"])
+
+
+def _blocks_of(docs: DataFrame, min_letters: int) -> DataFrame:
+    """(doc_id, home, first, last) of the common blocks of every document with earlier ones."""
+    rows = write_shared(docs.mapInArrow(_windows(min_letters), "doc_id long, first int, last int, h binary"), "windows")
+    homes = rows.groupBy("h").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("df")).filter("df > 1").drop("df")
+    key = F.conv(F.substring(F.hex("h"), 1, 15), 16, 10).cast("long").alias("k")
+    lists = rows.join(homes, "h").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "last", key, "home", "h"))).alias("w"))
+    lists = write_shared(lists.withColumn("form", F.unhex(F.md5(F.array_join(F.transform("w.h", F.hex), "").cast("binary")))), "lists")
+    forms = lists.groupBy("form").agg(F.min("doc_id").alias("rep"))
+    lists = write_shared(lists.join(forms, "form").select("doc_id", "rep", "w"), "lists")
+    reps = lists.filter("doc_id = rep")
+
+    def align(pairs: DataFrame) -> DataFrame:
+        slim = F.transform("w", lambda w: F.struct(w["k"].alias("k"), w["first"].alias("first"), w["last"].alias("last"), w["home"].alias("home")))
+        mine, theirs = lists.select("doc_id", slim.alias("mine")), reps.select(F.col("doc_id").alias("home"), slim.alias("theirs"))
+        both = pairs.join(theirs, "home").join(mine, "doc_id").select("doc_id", "home", "mine", "theirs")
+        return write_shared(both.mapInArrow(_align, "doc_id long, home long, first int, last int"), "blocks")
+
+    copies = lists.filter("doc_id <> rep").select("doc_id", F.col("rep").alias("home"))
+    firsts = reps.select("doc_id", F.explode(F.array_distinct("w.home")).alias("home")).filter("doc_id <> home")
+    blocks = align(copies.union(firsts))
+
+    def left(windows: DataFrame, found: DataFrame) -> DataFrame:
+        """The windows that no block covers whole."""
+        spans = found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+        own = windows.join(spans, "doc_id", "left")
+        return own.filter(F.expr("not coalesce(exists(spans, s -> s.first <= first and last <= s.last), false)")).drop("spans")
+
+    held = reps.select("doc_id", F.inline("w"))
+    open_ = write_shared(left(held.filter("doc_id <> home").select("doc_id", "first", "last", "h"), blocks), "open")
+    if open_.isEmpty():
+        return blocks
+    ranks = held.join(open_.select("h").distinct(), "h", "left_semi").select("h", "doc_id")
+    ranks = write_shared(ranks.withColumn("rank", F.row_number().over(Window.partitionBy("h").orderBy("doc_id"))), "ranks")
+    # the first holder, rank 1, has been tried
+    open_, many = open_.join(ranks, ["h", "doc_id"]).filter("rank > 2"), 1
+    open_ = write_shared(open_, "open")
+    while not open_.isEmpty():
+        tries = open_.select("doc_id", "h", F.explode(F.sequence(F.greatest(F.lit(2), F.col("rank") - many), F.col("rank") - 1)).alias("rank"))
+        pairs = tries.join(ranks.withColumnRenamed("doc_id", "home"), ["h", "rank"]).select("doc_id", "home").distinct()
+        fresh = align(pairs)
+        blocks = blocks.union(fresh)
+        open_ = write_shared(left(open_, fresh).withColumn("rank", F.col("rank") - many).filter("rank > 2"), "open")
+        many *= 2
+    return blocks
+
+
 def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", min_letters: int = MIN_LETTERS) -> DataFrame:
     """(doc_id, kept, n_removed, blocks, emptied) for every document.
 
@@ -122,12 +249,5 @@ def dedup_lines(df: DataFrame, text: str = "text", key: str = "doc_id", min_lett
     """
     tune(df.sparkSession)
     docs = one_row_per_id(df, key, text)
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")).filter(F.col("line").rlike("\\S"))
-    hashed = lines.select("doc_id", "pos", F.unhex(F.md5(F.col("line").cast("binary"))).alias("h"))
-    # the k-th time that a document has a line; nearly all are the first
-    again = hashed.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list("pos")).alias("at"))
-    rows = write_shared(again.select("doc_id", F.posexplode("at").alias("k", "pos"), "h"), "lines")
-    homes = rows.groupBy("h", "k").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("df")).filter("df > 1")
-    pairs = rows.join(homes, ["h", "k"]).filter("doc_id <> first.doc_id")
-    mine = pairs.groupBy("doc_id").agg(F.collect_list(F.struct("pos", F.col("first.doc_id").alias("home"), F.col("first.pos").alias("there"), "df")).alias("shared"))
-    return docs.join(mine, "doc_id", "left").select("doc_id", "text", "shared").mapInArrow(_cut(min_letters), "doc_id long, kept string, n_removed long, blocks array<struct<first:long,last:long,home:long>>, emptied boolean")
+    found = _blocks_of(docs, min_letters).groupBy("doc_id").agg(F.collect_list(F.struct("first", "last", "home")).alias("found"))
+    return docs.join(found, "doc_id", "left").select("doc_id", "text", "found").mapInArrow(_cut, "doc_id long, kept string, n_removed long, blocks array<struct<first:long,last:long,home:long>>, emptied boolean")
