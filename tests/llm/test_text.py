@@ -16,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tickspark.llm import bpe, chat, packing, pii, pipeline, quality, queries
+from tickspark.llm import bpe, chat, common, packing, pii, pipeline, quality, queries
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -238,6 +238,38 @@ def test_chat_query(spark, sf_dir):
         assert r["level"] == 0 or r["turn"] >= 2
 
 
+def carried(rows) -> set:
+    """(conv_id, turn, text) of all turns in the output."""
+    out = set()
+    for r in rows:
+        line = json.loads(r["json"])
+        arguments = line["arguments"] or {}
+        if "turn" in arguments:
+            out.add((r["conv_id"], arguments["turn"], arguments.get("prompt", arguments.get("text"))))
+        out |= {(r["conv_id"], n["turn"], n["text"]) for n in arguments.get("notes", [])}
+        if r["result_turn"] is not None:
+            out.add((r["conv_id"], r["result_turn"], line["result"]))
+    return out
+
+
+def test_chat_query_carries_every_turn(spark, sf_dir, tmp_path):
+    want = {(r["conv_id"], r["turn"], r["text"]) for r in queries.table(spark, sf_dir, "conversations").collect()}
+    rows = queries.op5_chat(spark, sf_dir).collect()
+    assert carried(rows) == want and sum(r["valid"] for r in rows) > len(rows) / 2
+    odd = [(1, 0, "system", "a"), (1, 1, "system", "b"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (2, 0, "system", "alone"), (3, 0, "assistant", "first"), (4, 0, None, "e"), (4, 1, "user", "f"), (5, 0, "user", "g"), (5, 1, "tool", "last")]
+    spark.createDataFrame(odd, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    assert carried(queries.op5_chat(spark, str(tmp_path)).collect()) == {(c, t, x) for c, t, _, x in odd}
+
+
+def test_long_chain_in_few_rounds(spark, monkeypatch):
+    edges = [(1, f"c{k}", f"c{k - 1}") for k in range(1, 200)] + [(2, f"c{k}", f"c{(k + 1) % 7}") for k in range(7)] + [(2, "end", "c3")]
+    written = []
+    monkeypatch.setattr(chat, "write_shared", lambda df, name: written.append(name) or common.write_shared(df, name))
+    df = spark.createDataFrame(edges, "conv_id long, call_id string, needs string")
+    got = {(r["conv_id"], r["call_id"]): r["level"] for r in chat.use_levels(df, local=0).collect()}
+    assert got == {(1, f"c{k}"): k for k in range(1, 200)} and len(written) <= 24
+
+
 def test_pipeline(spark, sf_dir, library):
     import corpus_pipeline
 

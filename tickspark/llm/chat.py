@@ -5,7 +5,8 @@ key beforehand, so a key of very many rows costs no task more than its share. A
 ``{"$result": id}`` in a call's arguments uses the result of another call of the same
 conversation; a call comes after all that it uses. Levels are found over the ids alone:
 conversations of at most ``LOCAL_USES`` uses in buckets of many, each bucket in one task;
-longer ones by rounds of joins over the whole cluster, each written to the shared folder.
+longer ones by pointer doubling over the whole cluster, each round written to the shared
+folder. Chains take as many rounds as their length has binary digits.
 """
 
 from __future__ import annotations
@@ -140,20 +141,31 @@ def _bucket_levels(group: pa.Table) -> pa.Table:
 
 
 def _round_levels(edges: DataFrame) -> DataFrame:
-    """The levels of calls with uses, one round of joins a level; none for cycles."""
+    """The levels of calls with uses, by pointer doubling; none for cycles.
+
+    A call's level is at least ``base`` and, for each of its ``outs``, ``w`` above that of
+    ``needs``. In a round, a use of a settled call (no outs) goes into the base, and one of
+    a call with a single out is led on to where that points, so chains halve. A path of
+    more steps than there are uses ends in a cycle.
+    """
     key = ["conv_id", "call_id"]
-    used = edges.select("conv_id", F.col("needs").alias("call_id")).distinct()
-    settled = write_shared(used.join(edges.select(*key), key, "left_anti").withColumn("level", F.lit(0)), "settled")
-    waiting, level = write_shared(edges, "open"), 0
-    while not waiting.isEmpty():
-        level += 1
-        last = settled.filter(F.col("level") == level - 1).select("conv_id", F.col("call_id").alias("needs"))
-        left = write_shared(waiting.join(last, ["conv_id", "needs"], "left_anti"), "open")
-        fresh = write_shared(waiting.select(*key).distinct().join(left.select(*key), key, "left_anti").withColumn("level", F.lit(level)), "fresh")
-        if fresh.isEmpty():
-            break  # what is left waits for itself
-        settled, waiting = write_shared(settled.union(fresh), "settled"), left
-    return settled.filter("level > 0")
+    outs = edges.distinct().groupBy(*key).agg(F.collect_list(F.struct("needs", F.lit(1).cast("long").alias("w"))).alias("outs"))
+    used = edges.select("conv_id", F.col("needs").alias("call_id")).distinct().join(edges.select(*key), key, "left_anti")
+    base, none = F.lit(0).cast("long").alias("base"), F.array().cast("array<struct<needs:string,w:bigint>>").alias("outs")
+    state = write_shared(outs.select(*key, base, "outs").union(used.select(*key, base, none)), "levels")
+    most = edges.count()
+    while True:
+        lost = F.exists("outs", lambda o: o["w"] > most)
+        known = state.filter((F.size("outs") < 2) & ~lost).select("conv_id", F.col("call_id").alias("needs"), F.col("base").alias("b"), F.try_element_at("outs", F.lit(1)).alias("o"))
+        step = state.filter((F.size("outs") > 0) & ~lost).select(*key, "base", F.inline("outs")).join(known, ["conv_id", "needs"], "left")
+        led = F.when(F.col("b").isNull(), F.col("needs")).otherwise(F.col("o.needs")).alias("to")
+        step = step.groupBy(*key, led).agg(F.max(F.greatest("base", F.col("b") + F.col("w"))).alias("base"), F.max(F.col("w") + F.coalesce("o.w", F.lit(0))).alias("w"), F.max(F.col("b").isNotNull()).alias("moved"))
+        step = step.groupBy(*key).agg(F.max("base").alias("base"), F.collect_list(F.when(F.col("to").isNotNull(), F.struct(F.col("to").alias("needs"), "w"))).alias("outs"), F.max("moved").alias("moved"))
+        step = write_shared(step, "levels")
+        if step.filter("moved").isEmpty():
+            return state.filter("size(outs) = 0 and base > 0").select(*key, F.col("base").cast("int").alias("level"))
+        state = state.filter((F.size("outs") == 0) | lost).union(step.drop("moved"))
+        state = write_shared(state, "levels")
 
 
 def use_levels(edges: DataFrame, local: int = LOCAL_USES, bucket: int = BUCKET_USES) -> DataFrame:

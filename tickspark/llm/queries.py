@@ -63,21 +63,33 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPLY = {
     "type": "object",
     "required": ["prompt", "turn"],
-    "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 100_000}, "turn": {"type": "integer", "minimum": 0}, "after": {"type": ["string", "null"]}},
+    "properties": {"prompt": {"type": "string", "minLength": 1, "maxLength": 100_000}, "turn": {"type": "integer", "minimum": 0}, "after": {"type": ["string", "null"]}, "notes": {"type": "array", "items": {"type": "object"}}},
     "additionalProperties": False,
 }
+#: Arguments of a turn that is neither a user's nor an assistant's and has no user turn next to it.
+NOTE = {"type": "object", "required": ["text", "turn"], "properties": {"role": {"type": "string"}, "text": {"type": "string"}, "turn": {"type": "integer"}}, "additionalProperties": False}
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user turn calls the tool ``reply``, using the answer before it; the next assistant turn is the result."""
+    """Each user turn calls the tool ``reply``, using the answer before it; the next assistant turn is the result.
+
+    Turns of other roles (system) are ``notes`` among the arguments of the user turn after
+    them; without one, each is a call of its own, ``note``.
+    """
     said = table(spark, sf_dir, "conversations")
-    before = said.filter("role = 'assistant'").select("conv_id", (F.col("turn") + 1).alias("turn")).distinct().withColumn("answered", F.lit(True))
     name = lambda turn: F.concat_ws(":", "conv_id", turn)
+    other = F.when(F.expr("role is null or role not in ('user', 'assistant')"), F.struct("role", "text", "turn"))
+    before = said.filter("role is null or role <> 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), (F.col("role") == "assistant").alias("answer"), other.alias("note"))
+    before = before.groupBy("conv_id", "turn").agg(F.max("answer").alias("answered"), F.sort_array(F.collect_list("note")).alias("notes"))
+    # one join for all: user turns with what stands before them, and notes without a user turn
+    both = said.filter("role = 'user'").select("conv_id", "turn", F.struct("text").alias("user")).join(before, ["conv_id", "turn"], "full")
     after = F.when(F.col("answered"), F.struct(name(F.col("turn") - 2).alias("$result")))
-    users = said.filter("role = 'user'").join(before, ["conv_id", "turn"], "left")
-    calls = users.select("conv_id", "turn", F.lit(0).alias("pos"), name(F.col("turn")).alias("call_id"), F.lit("reply").alias("name"), F.to_json(F.struct(F.col("text").alias("prompt"), "turn", after.alias("after"))).alias("arguments"))
+    reply = F.struct(F.col("user.text").alias("prompt"), "turn", after.alias("after"), F.when(F.size("notes") > 0, F.col("notes")).alias("notes"))
+    call = lambda turn, tool, arguments: F.struct(turn.alias("turn"), F.lit(tool).alias("name"), F.to_json(arguments).alias("arguments"))
+    made = F.when(F.col("user").isNotNull(), F.array(call(F.col("turn"), "reply", reply))).otherwise(F.transform("notes", lambda n: call(n["turn"], "note", n)))
+    calls = both.select("conv_id", F.inline(made)).select("conv_id", "turn", F.lit(0).alias("pos"), name(F.col("turn")).alias("call_id"), "name", "arguments")
     results = said.filter("role = 'assistant'").select("conv_id", "turn", name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
-    linked = chat.link_calls(calls, results, {"reply": REPLY})
+    linked = chat.link_calls(calls, results, {"reply": REPLY, "note": NOTE})
     return linked.select("conv_id", "level", "turn", "call_id", "valid", F.array_join("errors", "; ").alias("errors"), "n_results", "result_turn", "json")
 
 
