@@ -8,6 +8,7 @@ import json
 import os
 import random
 import sys
+import time
 import zlib
 
 import numpy as np
@@ -174,6 +175,26 @@ def test_pseudonyms():
     assert pii.replace_in("8.8.4.4", pii.Pseudonyms(b"other"))[0] != value["ip"]
 
 
+def test_long_values_and_other_digits():
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choice("abcXYZ0123456789") for _ in range(n))
+    body = "\n".join(some(64) for _ in range(160))
+    values = [f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----", "sk-" + some(300), "ghp_" + some(400), f"eyJ{some(3000)}.{some(30000)}.{some(2500)}", "password=" + some(300), "secret: " + "0a" * 20_000]
+    for value in values:
+        out, found = pii.replace_in(f"see {value} end", P)
+        assert [(f[1], f[2]) for f in found] == [(4, 4 + len(value))] and len(out) == len(value) + 8
+        tail = value.replace("-----END RSA PRIVATE KEY-----", "").strip()[-60:]
+        assert tail not in out and out.endswith(" end")
+    arabic = str.maketrans("0123456789", "\u0660\u0661\u0662\u0663\u0664\u0665\u0666\u0667\u0668\u0669")
+    for value in ("4111 1111 1111 1111", "8.8.4.4", "123-45-6789", "2024-02-29", "+1 (988) 555-2485"):
+        plain, other = pii.replace_in(value, P), pii.replace_in(value.translate(arabic), P)
+        assert len(other[1]) == 1 and other[0] == plain[0].translate(arabic) != value.translate(arabic)
+    assert pii.replace_in("\u017fecret=abc123", P)[0] != "\u017fecret=abc123"
+    start = time.monotonic()
+    pii.replace_in("-eyJ" * 200_000 + " 1", P)
+    assert time.monotonic() - start < 10
+
+
 def test_pii_rows(spark):
     df = spark.createDataFrame([(1, None, "s"), (None, "call +1 (988) 555-2485", "s"), (1, "", "s"), (1, "", "s")], "doc_id long, text string, spans string")
     out = pii.pseudonymise(df, b"k").collect()

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -27,10 +28,10 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099,
 #: The forms that are looked for, in the order in which they are tried.
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
-    "private_key": r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,8000}-----END [A-Z ]{0,40}PRIVATE KEY-----",
+    "private_key": r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}+-----END [A-Z ]{0,40}PRIVATE KEY-----",
     "cloud_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "access_token": r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,255}|sk-[A-Za-z0-9_-]{20,200}|eyJ[A-Za-z0-9_-]{8,2000}\.[A-Za-z0-9_-]{8,4000}\.[A-Za-z0-9_-]{8,2000})(?![A-Za-z0-9])",
-    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3})[\"']?[A-Za-z0-9+/_.!@#$%^&*-]{6,200}",
+    "access_token": r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_-]{20,}+)",
+    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3})[\"']?[A-Za-z0-9+/_.!@#$%^&*-]{6,}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)",
@@ -39,13 +40,28 @@ FORMS = {
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])",
 }
 ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMS.items()))
-#: A value of any form has one of these; most texts have none.
+#: Signed web tokens, access tokens as well; sought apart, so that a run of their characters is read once.
+WEB_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
+TOKEN_RUN, TOKEN_BEFORE = re.compile(r"[A-Za-z0-9_-]+"), re.compile(r"(?<![A-Za-z0-9])eyJ")
+#: A value of any form has one of these or a digit of another script; most texts have none.
 MARKS = (*"0123456789@", "AKIA", "ASIA", "PRIVATE KEY", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "eyJ")
 
+DIGIT = re.compile(r"\d")
+#: Characters of a long value that are permuted as one number.
+BLOCK = 8192
+
 _CLASSES = [(ord("0"), 10), (ord("a"), 26), (ord("A"), 26)]
 _CLASS = {chr(low + k): (low, size) for low, size in _CLASSES for k in range(size)}
 
 
+def blocks(text: str) -> Iterator[tuple[int, str, str]]:
+    """(place, block, mark) of a long value; the mark depends on all blocks before, so the whole stays a permutation."""
+    before = hashlib.blake2b(digest_size=16)
+    for a in range(0, len(text), BLOCK):
+        yield a, text[a : a + BLOCK], f"|{a}|{before.hexdigest()}" if a else ""
+        before.update(text[a : a + BLOCK].encode("utf-8", "surrogatepass"))
+
+
 class Pseudonyms:
     """Keyed permutations of integers, strings, and checked values."""
 
@@ -73,6 +89,8 @@ class Pseudonyms:
 
     def string(self, text: str, tweak: str, fixed: Callable[[int], bool] = lambda k: False) -> str:
         """Letters and digits permuted within their classes; all else, and what is ``fixed``, stays."""
+        if len(text) > BLOCK:
+            return "".join(self.string(x, f"{tweak}{mark}", lambda k, a=a: fixed(a + k)) for a, x, mark in blocks(text))
         own = [k for k, c in enumerate(text) if c in _CLASS and not fixed(k)]
         form, value, size = list(text), 0, 1
         for k in own:
@@ -187,13 +205,13 @@ def _email(p: Pseudonyms, text: str) -> str:
 
 
 def _secret(p: Pseudonyms, text: str) -> str | None:
-    at = re.match(r"[A-Za-z_-]+\s*[=:]\s*[\"']?", text).end()
+    at = re.match(r"[^=:]+[=:]\s*[\"']?", text).end()
     value = text[at:]
     if not any(c.isdigit() for c in value):
         return None  # a word after "token:" is no secret
     if re.fullmatch(r"[0-9a-f]+", value):
         n = len(value)
-        return text[:at] + f"{p.permute(int(value, 16), 16**n, f'hex|{n}'):0{n}x}"
+        return text[:at] + "".join(f"{p.permute(int(x, 16), 16 ** len(x), f'hex|{n}{mark}'):0{len(x)}x}" for _, x, mark in blocks(value))
     return text[:at] + p.string(value, "secret")
 
 
@@ -218,13 +236,45 @@ def pseudonyms(key: bytes) -> Pseudonyms:
     return Pseudonyms(key)
 
 
+def _web_token(text: str, at: int) -> re.Match | None:
+    """The next signed web token. Where the first start in a run of its characters fails, later ones fail alike."""
+    while m := TOKEN_BEFORE.search(text, at):
+        if token := WEB_TOKEN.match(text, m.start()):
+            return token
+        at = TOKEN_RUN.match(text, m.start()).end()
+    return None
+
+
+def _in_script(rule: Callable[[Pseudonyms, str], str | None], p: Pseudonyms, text: str) -> str | None:
+    """A rule applied to ASCII digits, its result in the digits of the text's own script."""
+    if text.isascii() or not (other := [c for c in text if c.isdecimal() and not c.isascii()]):
+        return rule(p, text)
+    new = rule(p, "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text))
+    zero = ord(other[0]) - unicodedata.decimal(other[0])
+    return new and "".join(chr(zero + int(c)) if c in "0123456789" else c for c in new)
+
+
 def replace_in(text: str, p: Pseudonyms) -> tuple[str, list[tuple[str, int, int, str]]]:
     """The text with pseudonyms, and (kind, start, stop, pseudonym) by place in the old text."""
-    if not any(m in text for m in MARKS):
+    if not any(m in text for m in MARKS) and (text.isascii() or not DIGIT.search(text)):
         return text, []
     out, found, at, scan = [], [], 0, 0
-    while m := ANY.search(text, scan):
-        new = _RULES[m.lastgroup](p, m.group())
+    token = _web_token(text, 0)
+    m = ANY.search(text)
+    while m or token:
+        if token and token.start() < scan:
+            token = _web_token(text, scan)
+            continue
+        if m and m.start() < scan:
+            m = ANY.search(text, scan)
+            continue
+        if token and (not m or token.start() < m.start() or token.start() == m.start() and m.lastgroup not in ("email", "private_key", "cloud_key")):
+            new = _access_token(p, token.group())
+            out += [text[at : token.start()], new]
+            found.append(("access_token", token.start(), token.end(), new))
+            at = scan = token.end()
+            continue
+        new = _in_script(_RULES[m.lastgroup], p, m.group())
         if new is None:  # another form may start within it
             scan = m.start() + 1
             while scan < m.end() and text[scan].isalnum() and text[scan - 1].isalnum():
