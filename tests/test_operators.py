@@ -85,6 +85,34 @@ def test_ema(spark):
     assert out[-1]["macd_signal"] == pytest.approx(ema(line, 9))
 
 
+def test_ema_beyond_its_frames(spark):
+    prices = [100 + 10 * math.sin(k / 9) + k % 7 for k in range(400)]
+    out = indicators.macd(tick_frame(spark, prices), method="ema").orderBy("event_id").collect()
+    fast = slow = prices[0]
+    for p, r in zip(prices, out):
+        fast, slow = (e + 2 / (n + 1) * (p - e) for e, n in ((fast, 12), (slow, 26)))
+        assert r["macd"] == pytest.approx(fast - slow, abs=1e-6)
+
+
+def test_ema_query_against_the_whole_recursion(spark, sf_dir):
+    got = {r["event_id"]: r for r in queries.QUERIES["macd_ema"](spark, sf_dir).collect()}
+    rows = queries.ticks(spark, sf_dir).select("symbol", F.unix_micros("processing_timestamp").alias("us"), "event_id", "current_price").collect()
+    by = {}
+    for r in sorted(rows, key=lambda r: (r["symbol"], r["us"], r["event_id"])):
+        by.setdefault(r["symbol"], []).append(r)
+    longest = max(by.values(), key=len)
+    assert len(longest) > 150 and len(got) == len(rows)
+    for own in by.values():
+        fast = slow = own[0]["current_price"]
+        signal = 0.0
+        for k, r in enumerate(own):
+            if k:
+                fast, slow = (e + 2 / (n + 1) * (r["current_price"] - e) for e, n in ((fast, 12), (slow, 26)))
+            signal = signal + 0.2 * (fast - slow - signal) if k else fast - slow
+            assert got[r["event_id"]]["macd"] == pytest.approx(fast - slow, abs=1e-5)
+            assert got[r["event_id"]]["macd_signal"] == pytest.approx(signal, abs=1e-5)
+
+
 def test_invariants(spark, sf_dir):
     e = queries.enriched(spark, sf_dir)
     assert e.filter("rsi_14 < 0 or rsi_14 > 100 or bollinger_lower > bollinger_middle or bollinger_middle > bollinger_upper").isEmpty()

@@ -129,7 +129,7 @@ def macd(spark, sf_dir):
 
 @query
 def macd_ema(spark, sf_dir):
-    return shown(indicators.macd(ticks(spark, sf_dir), method="ema", depth=4), "event_id", rounded=("macd", "macd_signal", "macd_histogram"))
+    return shown(indicators.macd(ticks(spark, sf_dir), method="ema"), "event_id", rounded=("macd", "macd_signal", "macd_histogram"))
 
 
 @query
