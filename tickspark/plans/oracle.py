@@ -158,7 +158,7 @@ SQL: dict[str, str] = {
       WHERE event_id % 101 <> 0 AND event_id % 103 <> 0 AND current_price > 0 AND current_price < 1000000""",
     "undecodable": f"WITH {TICKS} SELECT event_id AS \"offset\", CASE WHEN event_id % 103 = 0 THEN 'no payload' ELSE 'undecodable payload' END AS error_reason FROM ticks WHERE event_id % 2 = 0 AND (event_id % 101 = 0 OR event_id % 103 = 0)",
     "parse_quotes": f"""WITH {TICKS} SELECT event_id, symbol, {', '.join(f"{TWO.format(c)} AS {c}" for c in ('open_price', 'high_price', 'low_price', 'current_price', 'previous_close', 'change'))}, volume,
-      strftime(processing_timestamp, '%Y-%m-%d') AS latest_trading_day FROM ticks""",
+      floor(change / nullif(previous_close, 0) * 1000000 + 0.5) / 10000 AS change_percent, strftime(processing_timestamp, '%Y-%m-%d') AS latest_trading_day FROM ticks""",
     "parse_intraday": f"""WITH {TICKS}, {BARS.format('5 minutes')} SELECT symbol, epoch_us(w) // 1000 AS "timestamp", '5min' AS "interval", {TWO.format('o')} AS open_price, {TWO.format('h')} AS high_price, {TWO.format('l')} AS low_price, {TWO.format('c')} AS close_price, CAST(v AS BIGINT) AS volume FROM bars""",
     "parse_intraday_latest": f"""WITH {TICKS}, {BARS.format('5 minutes')}, k AS (SELECT *, row_number() OVER (PARTITION BY symbol, date_trunc('hour', w) ORDER BY w DESC) AS k FROM bars)
       SELECT symbol, epoch_us(w) // 1000 AS "timestamp", {TWO.format('c')} AS close_price, CAST(v AS BIGINT) AS volume FROM k WHERE k = 1""",

@@ -246,7 +246,7 @@ def undecodable(spark, sf_dir):
 def parse_quotes(spark, sf_dir):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     q = decode.parse_quotes(fixtures.quote_documents(spark, sf_dir))
-    return q.select("event_id", "symbol", "open_price", "high_price", "low_price", "current_price", "previous_close", "change", "volume", "latest_trading_day")
+    return q.select("event_id", "symbol", "open_price", "high_price", "low_price", "current_price", "previous_close", "change", "change_percent", "volume", "latest_trading_day")
 
 
 @query

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import expressions as E
 from ..operators.frames import with_previous
 from ..operators.metrics import ensure_tick_columns  # noqa: F401  (re-exported for callers of fixtures)
 
@@ -65,9 +66,12 @@ def _two(c: str) -> F.Column:
 
 
 def quote_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(event_id, document): each tick as a quote document with numbered keys and text values."""
+    """(event_id, document): each tick as a quote document with numbered keys and text values.
+
+    After a price of 0 there is no change in percent.
+    """
     t = ticks(spark, sf_dir)
-    percent = F.concat(F.format_string("%.4f", F.floor(F.col("change") / F.col("previous_close") * 1_000_000 + 0.5) / 10_000), F.lit("%"))
+    percent = F.concat(F.format_string("%.4f", F.floor(E.ratio("change", "previous_close") * 1_000_000 + 0.5) / 10_000), F.lit("%"))
     fields = {
         "01. symbol": F.col("symbol"), "02. open": _two("open_price"), "03. high": _two("high_price"), "04. low": _two("low_price"),
         "05. price": _two("current_price"), "06. volume": F.col("volume").cast("string"), "07. latest trading day": F.date_format("processing_timestamp", "yyyy-MM-dd"),
