@@ -135,6 +135,58 @@ def test_quality_held_out(spark, sf_dir):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
 
 
+LARGER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.1")
+
+
+def test_quality_held_out_on_more_rows(spark):
+    if not os.path.isdir(LARGER):
+        pytest.skip("larger tables are absent")
+    labels = queries.table(spark, LARGER, "labels").select("doc_id", "quality")
+    rows = queries.op4_quality(spark, LARGER).join(labels, "doc_id").filter("held_out").collect()
+    right = {q: np.mean([r["predicted"] == q for r in rows if r["quality"] == q]) for q in (0, 1)}
+    assert right[1] >= 0.98 and right[0] >= (0.85 if len(rows) > 500 else 0.3)
+
+
+def test_calibration_converges_on_any_sample():
+    """Strongly linked and separable features, from few rows to thousands."""
+    for seed in range(60):
+        rng = np.random.default_rng(seed)
+        n = int(rng.integers(2, 3000))
+        y = (rng.random(n) < rng.random()).astype(float)
+        f = rng.normal(size=(n, 4)) * rng.choice([1e-3, 1, 50]) + y[:, None] * rng.choice([0, 1, 1000])
+        f[:, 1] = f[:, 0] * (1 + 1e-9 * rng.normal(size=n))
+        f[rng.integers(n)] *= 1e6
+        x = quality._terms((f - f.mean(0)) / (f.std(0) + 1e-9))
+        w = quality.logistic(x, y)
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+        assert np.abs(x.T @ (p - y) + 0.1 * w).max() < 1e-3 * n and quality._loss(x, y, w, 0.1) <= quality._loss(x, y, 0 * w, 0.1) + 1e-9
+
+
+def test_calibration_on_samples_of_documents():
+    import duckdb
+
+    if not os.path.isdir(LARGER):
+        pytest.skip("larger tables are absent")
+    rows = duckdb.sql(f"select text, quality from '{LARGER}/documents.parquet' join '{LARGER}/labels.parquet' using (doc_id) where text is not null order by doc_id").fetchall()
+    texts, y = [t.encode() for t, _ in rows], np.array([q for _, q in rows], float)
+    dictionaries = [quality._dictionary([t[:4000] for t, q in zip(texts[::3], y[::3]) if q == k]) for k in (1, 0)]
+    f = quality._features(texts, *(quality._compressor(d, 3) for d in dictionaries))
+    for seed in range(50):
+        order = np.random.default_rng(seed).permutation(len(y))
+        some = np.concatenate([order[y[order] == q][:1500] for q in (0, 1)])
+        centre, scale = f[some].mean(0), f[some].std(0) + 1e-9
+        w = quality.logistic(quality._terms((f[some] - centre) / scale), y[some])
+        kept = quality._terms((f - centre) / scale) @ w > np.log(0.3 / 0.7)
+        assert kept[y == 1].mean() > 0.95 and kept[y == 0].mean() < 0.2
+
+
+def test_pieces_cover_the_whole_text():
+    text = bytes(range(256)) * 100
+    pieces = quality.spread_pieces(text)
+    assert len(pieces) == quality.PIECES and pieces[0] == text[:256] and pieces[-1] == text[-256:]
+    assert quality.spread_pieces(b"short") == [b"short"] and quality.spread_pieces(b"") == []
+
+
 def test_quality_rows(spark, sf_dir):
     docs, labels = queries.table(spark, sf_dir, "documents"), queries.table(spark, sf_dir, "labels")
     model = quality.fit(docs, labels)
