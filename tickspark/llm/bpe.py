@@ -3,12 +3,14 @@
 A greedy longest match proposes tokens for each distinct word. The proposal is what
 the merges would give exactly when every adjacent pair of it is stable: no merge could
 ever have crossed the border between the two. Pairs are checked for a whole batch of
-words at once with numpy; only words with an unstable pair are merged exactly.
-
-Words come from the vocabulary's own pre-tokenizer. A text is first cut before each
-space that starts a word and at single line ends, where a word always ends, so most
-pieces are met again and are looked up. The vocabulary file is a parameter and must
-be a byte-level BPE file of the tokenizers library.
+words at once with numpy; only words with an unstable pair are merged exactly, again
+all at once: in every round each of them takes its next merge.
+
+Words come from the vocabulary's own pre-tokenizer. Texts of ASCII and Latin letters are
+cut by one regular expression that says the same; others are cut before each space that
+starts a word, where a word always ends, and the library cuts those parts that hold
+anything else. Words are looked up, so only new ones are encoded. The vocabulary file is
+a parameter and must be a byte-level BPE file of the tokenizers library.
 """
 
 from __future__ import annotations
@@ -26,20 +28,71 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries that a worker keeps of pieces and of words (some 200 bytes each); beyond it starts anew.
+#: Words that a worker keeps (some 200 bytes each) before the older half goes.
 CACHE_ENTRIES = 600_000
 #: Characters of text that are encoded together.
 CHUNK_CHARS = 1_000_000
 FAR = np.int64(1 << 40)
-#: Letters of the Latin blocks and then ASCII punctuation: two words in any version of Unicode.
-PLAIN = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]*)")
-#: What mostly ends a piece after its letters.
-TAIL = ",.!?;:"
-#: Words up to so many bytes are merged over plain lists.
+#: Letters of the Latin blocks in any version of Unicode, ASCII white space, and the cut of a
+#: byte-level pre-tokenizer for texts that hold only those and other ASCII characters.
+LATIN, SPACE = "A-Za-zÀ-ÖØ-öø-ɏ", r"\t\n\x0b\x0c\r "
+WORD = re.compile(rf" ?[{LATIN}]+|'(?:[sdmt]|ll|ve|re)| ?[0-9]+| ?[^{SPACE}0-9{LATIN}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+#: A character that ``WORD`` is not meant for.
+ODD = re.compile(rf"[^\x00-\x7F{LATIN}]")
+#: Words up to so many bytes are encoded together with others; longer ones by themselves.
 SHORT = 64
 NEVER = 1 << 60
 
 
+class Lookup:
+    """A hash table from non-negative integers to non-negative integers that takes whole arrays; -1 where a key is missing."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, (2 * len(keys)).bit_length())
+        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = np.flatnonzero(self.keys[slot] < 0)
+            at, first = np.unique(slot[free], return_index=True)
+            put = left[free[first]]
+            self.keys[at], self.values[at] = keys[put], values[put]
+            rest = self.keys[slot] != keys[left]
+            left, slot = left[rest], (slot[rest] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.values[slot], -1)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            there = self.keys[slot[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.values[slot[left[hit]]]
+            left = left[~hit & (there >= 0)]
+        return out
+
+
+class Recent:
+    """What was looked up lately. When the newer of two dictionaries is full, the older one goes."""
+
+    def __init__(self, entries: int):
+        self.limit, self.new, self.old = max(1, entries // 2), {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        if (v := self.new.get(key)) is None and (v := self.old.get(key)) is not None:
+            self.new[key] = v
+        return v
+
+    def turn(self) -> None:
+        if len(self.new) > self.limit:
+            self.old, self.new = self.new, {}
+
+
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in a byte-level vocabulary."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -53,10 +106,9 @@ class BytePairs:
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
 
-        self.cache_entries = cache_entries
         spec = json.loads(open(path, encoding="utf-8").read())
         model, before = spec["model"], spec["pre_tokenizer"]
-        if model["type"] != "BPE" or before["type"] != "ByteLevel" or before["add_prefix_space"] or spec["normalizer"]:
+        if model["type"] != "BPE" or before["type"] != "ByteLevel" or before["add_prefix_space"] or not before.get("use_regex", True) or spec["normalizer"]:
             raise ValueError(f"{path} is no byte-level BPE file without a prefix space")
         self.pre = Tokenizer.from_file(path).pre_tokenizer
         self.vocab: dict[str, int] = model["vocab"]
@@ -71,9 +123,7 @@ class BytePairs:
             self.ranks[x * self.size + y] = rank << 24 | z
             if self.born[z] < 0:
                 self.born[z], self.left[z], self.right[z] = rank, x, y
-        pairs = np.array(list(self.ranks), np.int64)
-        order = np.argsort(pairs)
-        self.pair_keys, self.pair_ranks = pairs[order], (np.array(list(self.ranks.values()), np.int64) >> 24)[order]
+        self.pairs = Lookup(np.array(list(self.ranks), np.int64), np.array(list(self.ranks.values()), np.int64))
         stable = self._reachable()
         self.words = {t: i for t, i in self.vocab.items() if stable[i]}
         self.reach: dict[str, int] = {}  # by its first four letters, how long a token can be
@@ -88,8 +138,23 @@ class BytePairs:
         for t, i in special.items():
             self.bytes[i] = t.encode()
         self.letters = {b: c for c, b in letters.items()}
-        self.word_ids: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.of_letter = letters
+        self.letter_ids = np.array([self.vocab[self.letters[b]] for b in range(256)], np.int64)
+        self.trie, self.token_at = self._prefixes()
+        self.known = Recent(cache_entries)
+
+    def _prefixes(self) -> tuple[Lookup, np.ndarray]:
+        """A tree of the tokens' bytes: (node * 256 + byte) to the next node, and the token that each node ends, or -1."""
+        nodes: dict[int, int] = {}
+        ends = {}
+        for t in self.words.values():
+            at = 0
+            for b in self.bytes[t]:
+                at = nodes.setdefault(at * 256 + b, len(nodes) + 1)
+            ends[at] = t
+        token_at = np.full(len(nodes) + 1, -1, np.int64)
+        token_at[list(ends)] = list(ends.values())
+        return Lookup(np.array(list(nodes), np.int64), np.array(list(nodes.values()), np.int64)), token_at
 
     def compatible(self, a: np.ndarray, b: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
         """Whether no merge crosses the border of tokens a and b (before a rank, where given).
@@ -103,9 +168,8 @@ class BytePairs:
         end_y = np.full(len(a), FAR)
         live = np.arange(len(a))
         while len(live):
-            key = x[live] * self.size + y[live]
-            at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            rank = np.where(self.pair_keys[at] == key, self.pair_ranks[at], FAR)
+            found = self.pairs.get(x[live] * self.size + y[live])
+            rank = np.where(found >= 0, found >> 24, FAR)
             crossed = (rank < end_x[live]) & (rank <= end_y[live]) & (rank < FAR)
             ok[live[crossed]] = False
             live = live[~crossed]
@@ -182,97 +246,177 @@ class BytePairs:
                 heapq.heappush(heap, (r, back[k], ids[back[k]], made))
         return [i for i in ids if i >= 0]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """Speculate with the longest match, verify all adjacent pairs, merge what fails."""
-        found = [self.greedy(w) for w in words]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.int64, counts.sum())
-        owner = np.repeat(np.arange(len(found)), counts)
+    def greedy_all(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The longest matches of many words at once: where each starts in ``raw``, and its token.
+
+        ``ends`` are the borders of the words, one more than words.
+        """
+        at, stop = ends[:-1].copy(), ends[1:]
+        pos, node, best, best_end = at.copy(), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), at.copy()
+        live, starts, tokens = np.flatnonzero(at < stop), [], []
+        while len(live):
+            p = pos[live]
+            child = self.trie.get(node[live] * 256 + raw[np.minimum(p, len(raw) - 1)])
+            on = (child >= 0) & (p < stop[live])
+            go, child = live[on], child[on]
+            node[go] = child
+            pos[go] += 1
+            token = self.token_at[child]
+            ended = go[token >= 0]
+            best[ended], best_end[ended] = token[token >= 0], pos[ended]
+            done = live[~on]
+            starts.append(at[done])
+            tokens.append(best[done])
+            at[done] = pos[done] = best_end[done]
+            node[done] = 0
+            live = live[at[live] < stop[live]]
+        starts, tokens = np.concatenate(starts or [at[:0]]), np.concatenate(tokens or [at[:0]])
+        order = np.argsort(starts)
+        return starts[order], tokens[order]
+
+    def merged_all(self, raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The exact merges of many words at once, in the form of ``greedy_all``.
+
+        In each round every word takes the merge of its lowest rank, the leftmost of them.
+        """
+        ids, start = self.letter_ids[raw], np.arange(len(raw))
+        word = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        due = np.full(len(ids), NEVER)
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        due[inner] = self._due(ids[inner], ids[inner + 1])
+        starts, tokens = [], []
+        while len(ids):
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            least = np.minimum.reduceat(due, first)
+            each = np.repeat(least, np.diff(np.r_[first, len(ids)]))
+            over = each == NEVER
+            starts.append(start[over])
+            tokens.append(ids[over])
+            k = np.flatnonzero((due == each) & ~over)
+            k = k[np.r_[True, word[k[1:]] != word[k[:-1]]]] if len(k) else k
+            ids[k] = due[k] & 0xFFFFFF
+            keep = ~over
+            keep[k + 1] = False
+            place = np.cumsum(keep) - 1
+            ids, start, word, due, k = ids[keep], start[keep], word[keep], due[keep], place[k]
+            due[k] = NEVER
+            left = k[(k > 0) & (word[k - 1] == word[k])] - 1
+            k = k[k + 1 < len(ids)]
+            again = np.concatenate([left, k[word[k + 1] == word[k]]])
+            due[again] = self._due(ids[again], ids[again + 1])
+        starts, tokens = np.concatenate(starts or [start]), np.concatenate(tokens or [ids])
+        order = np.argsort(starts)
+        return starts[order], tokens[order]
+
+    def _due(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        found = self.pairs.get(a * self.size + b)
+        return np.where(found >= 0, found, NEVER)
+
+    def _fails(self, tokens: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """The owners of which some adjacent pair of tokens isn't stable."""
         inner = np.flatnonzero(owner[1:] == owner[:-1])
-        keys, at = np.unique(flat[inner] * self.size + flat[inner + 1], return_inverse=True)
-        bad = ~self.compatible(keys // self.size, keys % self.size)[at] if len(keys) else np.zeros(0, bool)
-        for k in np.unique(owner[inner[bad]]).tolist():
-            found[k] = self.merged(words[k])
-        return found
-
-    def _learn(self, keys: list[str]) -> None:
-        """Put the ids of new pieces, packed as uint32, where they are looked up."""
-        if len(self.word_ids) > self.cache_entries:
-            self.word_ids.clear()
-        known, letters, cut, new = self.word_ids, self.letters, [], set()
-        space = letters[32]
-        for key in keys:
-            core = key.rstrip(TAIL)
-            if core.isalpha() and core.isascii():  # by far the most: one word, and what ends it
-                x = [space + core, key[len(core) :]] if len(core) < len(key) else [space + core]
-                cut.append(x)
-                for w in x:
-                    if w not in known:
-                        new.add(w)
-                continue
-            p = key if key[0] == "\n" else key[1:] if key[0] == " " else " " + key
-            if (m := PLAIN.fullmatch(p)) is None:
-                x = [w for w, _ in self.pre.pre_tokenize_str(p)]
+        if not len(inner):
+            return owner[:0]
+        keys, at = np.unique(tokens[inner] * self.size + tokens[inner + 1], return_inverse=True)
+        return np.unique(owner[inner[~self.compatible(keys // self.size, keys % self.size)[at]]])
+
+    def packed_words(self, words: list[bytes]) -> list[bytes]:
+        """Speculate with the longest match, verify all adjacent pairs, merge what fails; ids as uint32."""
+        out: list[bytes] = [b""] * len(words)
+        long = [k for k, w in enumerate(words) if len(w) > SHORT]
+        if long:
+            own = ["".join(map(self.letters.__getitem__, words[k])) for k in long]
+            found = [self.greedy(w) for w in own]
+            owner = np.repeat(np.arange(len(long)), [len(f) for f in found])
+            failed = set(self._fails(np.fromiter(chain.from_iterable(found), np.int64, len(owner)), owner).tolist())
+            for n, k in enumerate(long):
+                out[k] = array("I", self.merged(own[n]) if n in failed else found[n]).tobytes()
+        short = [k for k, w in enumerate(words) if len(w) <= SHORT] if long else range(len(words))
+        if not len(short):
+            return out
+        words = [words[k] for k in short] if long else words
+        raw, size = np.frombuffer(b"".join(words), np.uint8), np.array([*map(len, words)])
+        ends = np.r_[0, np.cumsum(size)]
+        starts, tokens = self.greedy_all(raw, ends)
+        owner = np.searchsorted(ends, starts, "right") - 1
+        failed = self._fails(tokens, owner)
+        if len(failed):
+            bad = np.zeros(len(size), bool)
+            bad[failed] = True
+            inside = np.flatnonzero(np.repeat(bad, size))
+            some, merged = self.merged_all(raw[inside], np.r_[0, np.cumsum(size[bad])])
+            fine = ~bad[owner]
+            starts, tokens = np.concatenate([starts[fine], inside[some]]), np.concatenate([tokens[fine], merged])
+            order = np.argsort(starts, kind="stable")
+            starts, tokens = starts[order], tokens[order]
+        packed, cuts = tokens.astype("<u4").tobytes(), (4 * np.searchsorted(starts, ends)).tolist()
+        for k, a, b in zip(short, cuts, cuts[1:]):
+            out[k] = packed[a:b]
+        return out
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """The token ids of words that are given in the letters of the vocabulary."""
+        raw = [bytes(map(self.of_letter.__getitem__, w)) for w in words]
+        return [np.frombuffer(x, "<u4").tolist() for x in self.packed_words(raw)]
+
+    def words_of(self, text: str) -> list[str]:
+        """The text cut into words."""
+        if text.isascii() or not ODD.search(text):
+            return WORD.findall(text)
+        out = []
+        for part in re.split(r"(?= \S)", text):  # a space before anything but white space starts a word
+            if not ODD.search(part):
+                out += WORD.findall(part)
             else:
-                x = [w.translate(letters) if w.isascii() else w.encode().decode("latin-1").translate(letters) for w in m.groups() if w]
-            cut.append(x)
-            for w in x:
-                if w not in known:
-                    new.add(w)
-        words = list(new)
-        for w, ids in zip(words, self.encode_words(words)):
-            known[w] = array("I", ids).tobytes()
-        for key, x in zip(keys, cut):
-            self.pieces[key] = known[x[0]] if len(x) == 1 else b"".join([known[w] for w in x])
-
-    def _cut(self, text: str) -> tuple[list[str], list[bytes | None], list[int]]:
-        """Keys of the pieces of a text, their ids as far as known, and the places of those that aren't.
-
-        A space before anything but white space starts a word, so a text may be cut there;
-        so it may at a line end before anything but white space. A key is the piece
-        without that space; one that starts with a space is the start of a text.
-        """
-        keys = text.replace("\n", " \n").split(" ")
-        keys[0] = " " + keys[0]
-        found = list(map(self.pieces.get, keys))
-        new = [k for k, v in enumerate(found) if v is None] if None in found else []
-        for k in new:
-            p = keys[k]
-            # a piece that would part white space, other than before a line end that is followed by none
-            if p == " " if k == 0 else not p or p[0].isspace() and (p[0] != "\n" or p[:2].isspace()):
-                first, *rest = re.split(r"(?= \S)", text)
-                keys = [" " + first, *[p[1:] for p in rest]] if first else [p[1:] for p in rest]
-                found = list(map(self.pieces.get, keys))
-                return keys, found, [k for k, v in enumerate(found) if v is None]
-        return keys, found, new
+                out += [part[a:b] for _, (a, b) in self.pre.pre_tokenize_str(part)]
+        return out
+
+    def _look_up(self, words: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """What is known of the words, and the places of those that aren't."""
+        found = list(map(self.known.new.get, words))
+        new = []
+        if None in found:
+            for k in [k for k, v in enumerate(found) if v is None]:
+                found[k] = v = self.known.get(words[k])
+                if v is None:
+                    new.append(k)
+        return found, new
+
+    def _looked_up(self, text: str) -> tuple[list[bytes | None], list[tuple[int, str]]]:
+        """The ids of each word of a text as far as they are known, and the place and the word of those that aren't."""
+        if not (self.split and any(s in text for s in self.special)):
+            words = self.words_of(text)
+            found, new = self._look_up(words)
+            return found, [(k, words[k]) for k in new]
+        found, missing = [], []
+        for part in filter(None, self.split.split(text)):
+            if part in self.special:
+                found.append(array("I", [self.special[part]]).tobytes())
+                continue
+            words = self.words_of(part)
+            own, new = self._look_up(words)
+            missing += [(len(found) + k, words[k]) for k in new]
+            found += own
+        return found, missing
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The token ids of each text."""
         done: list[np.ndarray] = []
         at = 0
         while at < len(texts):
-            if len(self.pieces) > self.cache_entries:
-                self.pieces.clear()
-            cut, missing, size = [], set(), 0
+            self.known.turn()
+            cut, size = [], 0
+            missing: dict[str, None] = {}
             while at < len(texts) and size < CHUNK_CHARS:
-                text = texts[at]
-                at, size = at + 1, size + len(text)
-                if self.split and any(s in text for s in self.special):
-                    keys, found, new = [], [], []
-                    for part in filter(None, self.split.split(text)):
-                        own = ([part], [array("I", [self.special[part]]).tobytes()], []) if part in self.special else self._cut(part)
-                        new += [k + len(keys) for k in own[2]]
-                        keys += own[0]
-                        found += own[1]
-                else:
-                    keys, found, new = self._cut(text) if text else ([], [], [])
-                cut.append((keys, found, new))
-                missing.update([keys[k] for k in new])
+                cut.append(self._looked_up(texts[at]))
+                missing.update((w, None) for _, w in cut[-1][1])
+                at, size = at + 1, size + len(texts[at])
+            known = self.known.new
             if missing:
-                self._learn(list(missing))
-            for keys, found, new in cut:
-                for k in new:
-                    found[k] = self.pieces[keys[k]]
+                known.update(zip(missing, self.packed_words([w.encode() for w in missing])))
+            for found, new in cut:
+                for k, w in new:
+                    found[k] = known[w]
                 done.append(np.frombuffer(b"".join(found), "<u4"))
         return done
 

@@ -1,10 +1,12 @@
 """Packing: best-fit decreasing over a segment tree of open windows.
 
-Documents are tokenized where they are read and cut at once: every full window stands
-alone, only the tails are left to be packed. Tails are dealt to as many tasks as their
-number asks for. A task sorts a run of them by length and puts each into the tightest
-open window that holds it; a segment tree indexed by remaining capacity finds that
-window in log2(window) steps. No task and no driver ever holds all tails.
+Documents are tokenized where they are read and cut at once: every full window is a
+sequence of its own and is numbered there, only the tails are left to be packed. Tails
+go without their ids, as a number and a length, to as many tasks as their number asks
+for. A task sorts a run of them by length and puts each into the tightest open window
+that holds it; a segment tree indexed by remaining capacity finds that window in
+log2(window) steps. The ids are joined back by the number. No task and no driver ever
+holds all tails.
 """
 
 from __future__ import annotations
@@ -19,14 +21,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import model
+from .common import lean, write_shared
 
 #: Tails that are packed together, and tails that a task is meant to get.
 RUN_TAILS = 65_536
 TASK_TAILS = 20_000
-
-
-#: Pieces and words that a worker keeps while it cuts; fewer than elsewhere, since pieces of ids take room too.
-CACHE_ENTRIES = 250_000
+#: Bit of a sequence id that says that the sequence is one full window.
+FULL = 1 << 62
 
 
 class OpenWindows:
@@ -79,17 +80,19 @@ def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.
 
 
 def cut_documents(df: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, start, length, doc_tokens, ids): each document's ids and then ``end_id``, cut into full windows and a tail.
+    """(key, piece, start, length, doc_tokens, ids): each document's ids and then ``end_id``, cut into full windows and a tail.
 
-    ``ids`` holds a piece's ids as little-endian unsigned 32-bit values. A null text
-    counts as empty and gives the one id ``end_id``. Rows are taken one by one: repeated
-    and null keys stay. Other columns are left out. An empty table gives an empty one.
+    ``ids`` holds a piece's ids as little-endian unsigned 32-bit values, ``piece`` numbers
+    the pieces: task and count within it, so a task that is run again numbers alike. A
+    null text counts as empty and gives the one id ``end_id``. Rows are taken one by one:
+    repeated and null keys stay. Other columns are left out. An empty table gives an
+    empty one.
     """
     kind = df.schema[key].dataType.simpleString()
-    names = ["key", "start", "length", "doc_tokens", "ids"]
+    names = ["key", "piece", "start", "length", "doc_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = model(vocabulary, CACHE_ENTRIES), np.array([end_id], "<u4").tobytes()
+        bpe, end, first = model(vocabulary), np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId() << 40
         for batch in batches:
             row, start, length, total, pieces, held = [], [], [], [], [], 0
             for k, ids in enumerate(bpe.encode(batch.column(1).to_pylist())):
@@ -103,14 +106,16 @@ def cut_documents(df: DataFrame, vocabulary: str, size: int = 2048, end_id: int
                     pieces.append(packed[4 * at : 4 * (at + size)])
                 held += len(packed)
                 if held > 4_000_000 or k == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), *[pa.array(x, pa.int64()) for x in (start, length, total)], pa.array(pieces, pa.binary())], names=names)
+                    numbers = pa.array(np.arange(first, first + len(row)))
+                    first += len(row)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), numbers, *[pa.array(x, pa.int64()) for x in (start, length, total)], pa.array(pieces, pa.binary())], names=names)
                     row, start, length, total, pieces, held = [], [], [], [], [], 0
 
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, start long, length long, doc_tokens long, ids binary").withColumnRenamed("key", key)
+    return rows.mapInArrow(lean(run), f"key {kind}, piece long, start long, length long, doc_tokens long, ids binary").withColumnRenamed("key", key)
 
 
-def pack_pieces(pieces: DataFrame, n_tails: int, size: int = 2048, length: str = "length", order: tuple[str, ...] = ("doc_id", "start")) -> DataFrame:
+def pack_pieces(pieces: DataFrame, n_tails: int, size: int = 2048, length: str = "length", order: tuple[str, ...] = ("piece",)) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``; any other columns are carried along.
 
     ``n_tails`` is about how many pieces are shorter than ``size`` and sets the number of
@@ -142,12 +147,28 @@ def pack_pieces(pieces: DataFrame, n_tails: int, size: int = 2048, length: str =
 
     tasks = max(1, -(-n_tails // TASK_TAILS))
     dealt = pieces.repartition(tasks, F.xxhash64(*order)).sortWithinPartitions(*order)
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(lean(run), schema)
+
+
+def place_pieces(cut: DataFrame, size: int = 2048, heavy: tuple[str, ...] = ("ids",)) -> DataFrame:
+    """Stored pieces of ``cut_documents`` with ``sequence_id`` and ``offset``.
+
+    Full windows stay where they are. Of the tails all but the ``heavy`` columns are packed;
+    those are joined back by ``piece``.
+    """
+    full = cut.filter(F.col("length") == size).withColumns({"sequence_id": F.col("piece").bitwiseOR(F.lit(FULL)), "offset": F.lit(0).cast("long")})
+    tails = cut.filter(F.col("length") < size)
+    n, heavy = tails.count(), [c for c in heavy if c in cut.columns]
+    if not heavy:
+        return full.unionByName(pack_pieces(tails, n, size))
+    places = pack_pieces(tails.select("piece", "length"), n, size).drop("length")
+    return full.unionByName(tails.join(places, "piece"))
 
 
 def pack_documents(df: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
     """All documents in sequences of at most ``size`` ids: the pieces of ``cut_documents`` with their places.
 
-    Full windows are sequences of their own; they are dealt and numbered with the tails.
+    The pieces are written to the shared folder once, so each text is encoded once.
     """
-    return pack_pieces(cut_documents(df, vocabulary, size, end_id, text, key), df.count(), size, order=(key, "start"))
+    cut = write_shared(cut_documents(df, vocabulary, size, end_id, text, key), "pieces")
+    return place_pieces(cut, size).select(key, "start", "length", "doc_tokens", "ids", "sequence_id", "offset")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, line_dedup, ngram_join, packing, pii, quality, topk, window_dedup
-from .common import tune
+from .common import tune, write_shared
 
 #: The vocabulary that the contracts name; operators take any path.
 VOCABULARY = "byte_bpe_50k.json"
@@ -100,8 +100,8 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = packing.cut_documents(docs, vocabulary()).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
-    return packing.pack_pieces(pieces, docs.count())
+    pieces = packing.cut_documents(docs, vocabulary()).select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.place_pieces(write_shared(pieces, "pieces")).drop("piece")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
