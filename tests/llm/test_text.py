@@ -7,6 +7,7 @@ import hashlib
 import json
 import os
 import random
+import re
 import sys
 import time
 import zlib
@@ -216,7 +217,7 @@ def test_pseudonyms():
     assert kinds == ["email", "card", "date", "date", "ip", "phone", "iban", "ssn", "cloud_key", "secret"]
     value = {k: v for k, _, _, v in found}
     for kind, start, stop, new in found:
-        assert text[start:stop] not in out and len(new) == len(text[start:stop]) or kind in ("ip", "date")
+        assert text[start:stop] not in out and len(new) == len(text[start:stop]) or kind == "ip"
     assert pii.luhn(value["card"].replace(" ", "")) == 0 and value["card"][4] == " "
     assert pii.iban_rest(value["iban"].replace(" ", "")) == 1 and value["iban"].startswith("DE")
     assert value["phone"].startswith("+1 (") and value["cloud_key"].startswith("AKIA") and value["secret"].startswith("password=")
@@ -227,6 +228,49 @@ def test_pseudonyms():
     assert pii.replace_in("8.8.4.4", pii.Pseudonyms(b"other"))[0] != value["ip"]
 
 
+def test_secrets_without_digits():
+    for text in ("password: correcthorsebatterystaple", "password=hunter", "pwd=abcdef", "api_key: AbCdEfGhIj", "PASSWORD = 'no-digits_here!'", "secret: a/b+c/d+ef"):
+        out, found = pii.replace_in(text, P)
+        assert [f[0] for f in found] == ["secret"] and out != text and len(out) == len(text)
+    for text in ("token: here", "Password: required.", "the secret: ingredients", "secret: Mushrooms", "password"):
+        assert pii.replace_in(text, P) == (text, [])
+
+
+def test_dates_keep_their_form():
+    seen = {}
+    for day in (datetime.date(2023, 12, 1) + datetime.timedelta(n) for n in range(500)):
+        for text in (f"{day.month}/{day.day}/{day.year}", f"{day.day:02d}.{day.month:02d}.{day.year}", day.isoformat(), f"{day.month:02d}/{day.day}/{day.year}"):
+            new = pii.replace_in(text, P)[0]
+            assert new != text and [len(x) for x in re.split(r"\D", new)] == [len(x) for x in re.split(r"\D", text)]
+            assert seen.setdefault(text, new) == new
+    assert len(set(seen.values())) == len(seen)
+    iso = pii.replace_in("2024-11-12", P)[0].split("-")
+    assert pii.replace_in("12.11.2024", P)[0].split(".") == iso[::-1]  # linked in any full form
+
+
+def plain_pii(text: str) -> str:
+    """Another way to the same values: each form sought by itself, an e-mail address, card, cloud key or number at a time."""
+    for form, rule in (
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,24}\b", "email"),
+        (r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b", "cloud_key"),
+        (r"\b\d{3}-\d{2}-\d{4}\b", "ssn"),
+    ):
+        text = re.sub(form, lambda m, rule=rule: pii._RULES[rule](P, m.group()) or m.group(), text)
+    return text
+
+
+def test_pii_by_single_forms():
+    rng = random.Random(3)
+    words = ["plain", "word", "123", "x@y", "AKIA1234", "12-34"]
+    for _ in range(300):
+        parts = [rng.choice(words) for _ in range(6)]
+        parts.insert(rng.randrange(6), f"{rng.choice('abc')}.{rng.randrange(99)}@mail{rng.randrange(9)}.example.org")
+        parts.insert(rng.randrange(6), "AKIA" + "".join(rng.choice("ABCXYZ0123456789") for _ in range(16)))
+        parts.insert(rng.randrange(6), f"{rng.randrange(1, 665):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10000):04d}")
+        text = " ; ".join(parts)
+        assert pii.replace_in(text, P)[0] == plain_pii(text)
+
+
 def test_long_values_and_other_digits():
     rng = random.Random(9)
     some = lambda n: "".join(rng.choice("abcXYZ0123456789") for _ in range(n))
@@ -276,6 +320,16 @@ def test_canonical():
     assert read("[" * 100_000) in (["$: too deep"], ["$: not JSON"])
 
 
+def test_halves_of_surrogate_pairs(spark):
+    made, errors, used = chat.read_arguments('{"x": 1, "y": "\\ud800", "\\udfff": {"$result": "\\ud801"}}', "f", SCHEMAS)
+    assert made == '{"x":1,"y":"\\ud800","\\udfff":{"$result":"\\ud801"}}' and used == ["\\ud801"]
+    assert errors == ["$.\\udfff: unknown", "$.y: not in enum"] and json.loads(made)["y"] == "\ud800"
+    assert chat.canonical(json.loads('"\\ud83d\\ude42"')) == '"🙂"'
+    c = spark.createDataFrame([(1, 1, 0, "a", "f", '{"x": 1, "y": "\\ud800"}')], "conv_id long, turn long, pos long, call_id string, name string, arguments string")
+    r = spark.createDataFrame([(1, 2, "a", "one")], "conv_id long, turn long, call_id string, content string")
+    assert [x["errors"] for x in chat.link_calls(c, r, SCHEMAS).collect()] == [["$.y: not in enum"]]
+
+
 def test_links(spark):
     calls = [(1, 1, 0, "a", "f", '{"x": 1}'), (1, 3, 0, "b", "f", '{"x": {"$result": "a"}}'), (1, 5, 0, "c", "f", '{"x": {"$result": "b"}}'), (1, 5, 1, "l1", "f", '{"x": {"$result": "l2"}}'), (1, 5, 2, "l2", "f", '{"x": {"$result": "l1"}}'), (2, 1, 0, "a", "f", '{"x": {"$result": "zz"}}'), (2, 1, 0, "a", "f", None), (None, 1, 0, "a", "f", "{}"), (3, 1, 0, "n", None, None)]
     results = [(1, 2, "a", "one"), (1, 4, "a", "two"), (1, 4, "b", None), (1, 6, "c", "r"), (9, 1, "x", "stray"), (1, 1, None, "q"), (1, 9, "l1", "r"), (1, 9, "l2", "r")]

@@ -83,11 +83,6 @@ class Recent:
     def __init__(self, entries: int):
         self.limit, self.new, self.old = max(1, entries // 2), {}, {}
 
-    def get(self, key: str) -> bytes | None:
-        if (v := self.new.get(key)) is None and (v := self.old.get(key)) is not None:
-            self.new[key] = v
-        return v
-
     def turn(self) -> None:
         if len(self.new) > self.limit:
             self.old, self.new = self.new, {}
@@ -373,13 +368,16 @@ class BytePairs:
 
     def _look_up(self, words: list[str]) -> tuple[list[bytes | None], list[int]]:
         """What is known of the words, and the places of those that aren't."""
-        found = list(map(self.known.new.get, words))
+        known, old = self.known.new, self.known.old.get
+        found = list(map(known.get, words))
         new = []
         if None in found:
             for k in [k for k, v in enumerate(found) if v is None]:
-                found[k] = v = self.known.get(words[k])
-                if v is None:
+                w = words[k]
+                if (v := old(w)) is None:
                     new.append(k)
+                else:
+                    found[k] = known[w] = v
         return found, new
 
     def _looked_up(self, text: str) -> tuple[list[bytes | None], list[tuple[int, str]]]:
@@ -409,7 +407,7 @@ class BytePairs:
             missing: dict[str, None] = {}
             while at < len(texts) and size < CHUNK_CHARS:
                 cut.append(self._looked_up(texts[at]))
-                missing.update((w, None) for _, w in cut[-1][1])
+                missing.update(dict.fromkeys([w for _, w in cut[-1][1]]))
                 at, size = at + 1, size + len(texts[at])
             known = self.known.new
             if missing:

@@ -12,6 +12,7 @@ folder. Chains take as many rounds as their length has binary digits.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,8 +40,13 @@ def plain(value):
     return value
 
 
+def escaped(text: str) -> str:
+    """The text with halves of surrogate pairs that stand alone, which UTF-8 can't hold, as JSON escapes."""
+    return text if text.isascii() else re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
 def canonical(value) -> str:
-    return json.dumps(plain(value), ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+    return escaped(json.dumps(plain(value), ensure_ascii=False, separators=(",", ":"), allow_nan=False))
 
 
 def uses(value) -> set[str]:
@@ -100,13 +106,16 @@ def _no_constant(name: str):
 
 
 def read_arguments(text: str | None, name: str | None, schemas: dict[str, dict]) -> tuple[str | None, list[str], list[str]]:
-    """Canonical arguments (None where they are no JSON object), errors, and ids of the results used."""
+    """Canonical arguments (None where they are no JSON object), errors, and ids of the results used.
+
+    A lone half of a surrogate pair is written as its escape.
+    """
     try:
         value = json.loads(text or "", object_pairs_hook=_unique, parse_constant=_no_constant)
         if not isinstance(value, dict):
             return None, ["$: not an object"], []
         errors = violations(value, schemas[name]) if name in schemas else ["unknown tool"]
-        return canonical(value), errors, sorted(uses(value))
+        return canonical(value), [escaped(e) for e in errors], sorted(map(escaped, uses(value)))
     except RecursionError:
         return None, ["$: too deep"], []
     except (ValueError, TypeError):

@@ -43,10 +43,11 @@ ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMS.items()))
 #: Signed web tokens, access tokens as well; sought apart, so that a run of their characters is read once.
 WEB_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
 TOKEN_RUN, TOKEN_BEFORE = re.compile(r"[A-Za-z0-9_-]+"), re.compile(r"(?<![A-Za-z0-9])eyJ")
-#: A value of any form has one of these or a digit of another script; most texts have none.
+#: A value of any form has one of these, a digit of another script, or the name of a secret; most texts have none.
 MARKS = (*"0123456789@", "AKIA", "ASIA", "PRIVATE KEY", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "eyJ")
 
 DIGIT = re.compile(r"\d")
+NAMED = re.compile(r"(?i:passw|pwd|secret|token|api[_-]?key)")
 #: Characters of a long value that are permuted as one number.
 BLOCK = 8192
 
@@ -162,12 +163,16 @@ def _date(p: Pseudonyms, text: str) -> str | None:
             return None
     if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
         return None
-    new = datetime.date.fromordinal(FIRST_DAY + p.permute(day.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date"))
-    two = lambda n, old: f"{n:02d}" if len(old) == 2 else str(n)
-    if sign == "-":
-        return f"{new.year:04d}-{new.month:02d}-{new.day:02d}"
-    first, second = (new.day, new.month) if sign == "." or swapped else (new.month, new.day)
-    return f"{two(first, a)}{sign}{two(second, b)}{sign}{new.year:04d}"
+    n = day.toordinal() - FIRST_DAY
+    while True:  # on to a day that is written in as many digits
+        n = p.permute(n, LAST_DAY - FIRST_DAY + 1, "date")
+        new = datetime.date.fromordinal(FIRST_DAY + n)
+        if sign == "-":
+            return f"{new.year:04d}-{new.month:02d}-{new.day:02d}"
+        first, second = (new.day, new.month) if sign == "." or swapped else (new.month, new.day)
+        out = f"{first:0{len(a)}d}{sign}{second:0{len(b)}d}{sign}{new.year:04d}"
+        if len(out) == len(text):
+            return out
 
 
 def _ip(p: Pseudonyms, text: str) -> str | None:
@@ -204,10 +209,17 @@ def _email(p: Pseudonyms, text: str) -> str:
     return p.string(text, "email", lambda k: k > top)
 
 
+def _digitless(name: str, value: str) -> bool:
+    """Whether a value without digits is a secret: set by a bare "=", long, or of more than letters of one case."""
+    letters = value.rstrip(".!")
+    odd = any(not c.isalpha() and c not in ".-" for c in letters) or any(a.islower() and b.isupper() for a, b in zip(letters, letters[1:]))
+    return name.rstrip("\"'").endswith("=") and " " not in name or len(letters) >= 16 or odd and len(letters) >= 8
+
+
 def _secret(p: Pseudonyms, text: str) -> str | None:
     at = re.match(r"[^=:]+[=:]\s*[\"']?", text).end()
     value = text[at:]
-    if not any(c.isdigit() for c in value):
+    if not any(c.isdigit() for c in value) and not _digitless(text[:at], value):
         return None  # a word after "token:" is no secret
     if re.fullmatch(r"[0-9a-f]+", value):
         n = len(value)
@@ -256,7 +268,7 @@ def _in_script(rule: Callable[[Pseudonyms, str], str | None], p: Pseudonyms, tex
 
 def replace_in(text: str, p: Pseudonyms) -> tuple[str, list[tuple[str, int, int, str]]]:
     """The text with pseudonyms, and (kind, start, stop, pseudonym) by place in the old text."""
-    if not any(m in text for m in MARKS) and (text.isascii() or not DIGIT.search(text)):
+    if not any(m in text for m in MARKS) and (text.isascii() or not DIGIT.search(text)) and not (("=" in text or ":" in text) and NAMED.search(text)):
         return text, []
     out, found, at, scan = [], [], 0, 0
     token = _web_token(text, 0)
