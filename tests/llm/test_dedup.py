@@ -90,8 +90,12 @@ def test_components_on_documents(spark, sf_dir):
     assert got == brute_components(documents(spark, sf_dir))
 
 
-def test_windows(spark):
+@pytest.mark.parametrize("heavy", [2, 30, 10_000])
+def test_windows(spark, monkeypatch, heavy):
+    monkeypatch.setattr(window_dedup, "HEAVY_RUNS", heavy)
     texts = small_corpus(2)
+    phrase = "a phrase of many documents"
+    texts |= {1000 + k: f"{k * 7919 % 1000:x} {k} {phrase} {k} own words {k * 31}" for k in range(150)}
     out = window_dedup.remove_repeats(table_of(spark, texts)).collect()
     got = {r["doc_id"]: (r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in out}
     assert got == brute_windows(texts)
@@ -102,6 +106,30 @@ def test_windows_on_documents(spark, sf_dir):
     assert got == brute_windows(documents(spark, sf_dir))
 
 
+def test_equal_hashes_are_compared(spark, monkeypatch):
+    """With hashes that often collide, bytes decide."""
+    real = window_dedup.rolling
+    monkeypatch.setattr(window_dedup, "rolling", lambda raw, width, *a, **k: real(raw, width, *a, **k) & np.uint64(15) if width == 50 else real(raw, width, *a, **k))
+    texts = [(texts or "").encode() for _, texts in sorted(small_corpus(3).items())]
+    raw = b"".join(texts)
+    ids = np.arange(len(texts))
+    n = np.array([len(t) for t in texts])
+    keep = n >= 50
+    payload = int(keep.sum()).to_bytes(8, "little") + common.pack([ids[keep], (n - 49)[keep]]) + b"".join(t for t in texts if len(t) >= 50)
+    out = window_dedup._repeated(50)(pa.table({"kind": [0], "payload": pa.array([payload], pa.binary())}))
+    cover = {d: bytearray(len(t)) for d, t in enumerate(texts)}
+    for d, span in zip(out.column("doc_id").to_pylist(), out.column("span").to_pylist()):
+        cover[d][span >> 32 : (span >> 32) + (span & 0xFFFFFFFF)] = b"\1" * (span & 0xFFFFFFFF)
+    assert {d: sum(c) for d, c in cover.items()} == {d: v[1] for d, v in brute_windows(dict(enumerate(t.decode() for t in texts))).items()} and len(raw)
+
+
+def test_same_bytes():
+    raw = np.frombuffer(b"abcdefghijkabcdefghijx" * 3, np.uint8)
+    for size in (3, 8, 10, 11):
+        a, b = np.array([0, 0, 22]), np.array([11, 22, 33])
+        assert window_dedup.same_bytes(raw, a, b, size).tolist() == [bytes(raw[x : x + size]) == bytes(raw[y : y + size]) for x, y in zip(a, b)]
+
+
 def test_rolling_in_pieces():
     raw = np.frombuffer(random.Random(3).randbytes(5000), np.uint8)
     assert (window_dedup.rolling(raw, 16, 700) == window_dedup.rolling(raw, 16)).all()

@@ -8,6 +8,11 @@ windows is one entry of the first pass. That pass deals entries by their digit a
 groups that several documents share. Only their bytes go on to the second pass, which
 orders the windows of a group through the threshold; equal ones are repeats. A window
 is a repeat where a document with a smaller id has it too.
+
+A digit of very many runs that still differ (a phrase with other words around it in each
+document) would make one huge group. Its windows go on by the last digit instead, the
+hash of the whole window, as plain rows: the smallest document of each is an aggregate
+that every task first makes of its own rows.
 """
 
 from __future__ import annotations
@@ -23,18 +28,18 @@ from .common import BYTE_VALUES, bucket_of, buckets_for, by_bucket, lean, mix, o
 from .ngram_join import powers
 
 SIZE = 50
-#: Bytes in a digit of the first pass.
-DIGIT = 16
+#: Bytes in a digit of the first pass, and runs of one digit that a bucket may order.
+DIGIT, HEAVY_RUNS = 16, 10_000
 
 
-def rolling(raw: np.ndarray, width: int, step: int = 1 << 20) -> np.ndarray:
+def rolling(raw: np.ndarray, width: int, step: int = 1 << 20, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
     """64-bit hashes of all substrings of ``width`` bytes, made piece by piece to need little memory."""
     out = np.zeros(max(0, len(raw) - width + 1), np.uint64)
     up, down = powers(min(len(raw), step + width) + 1)
     for a in range(0, len(out), step):
         part = raw[a : a + step + width - 1]
         total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[part] * up[: len(part)], out=total[1:])
+        np.cumsum(values[part] * up[: len(part)], out=total[1:])
         n = len(part) - width + 1
         out[a : a + n] = mix((total[width:] - total[:n]) * down[:n])
     return out
@@ -51,6 +56,8 @@ def least_digits(raw: np.ndarray, size: int, digit: int) -> np.ndarray:
     return np.minimum(m[: len(m) - (w - s)], m[w - s :]) if s < w else m
 
 
+#: Other values of the bytes, for a second hash.
+OTHER_VALUES = mix(BYTE_VALUES) | np.uint64(1)
 _PACKED = [pa.int32(), pa.int32(), pa.binary()]
 
 
@@ -60,7 +67,11 @@ def _packed_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _runs_by_digit(size: int, digit: int, n_buckets: int):
-    """Runs of windows with one digit, dealt by it. What a batch knows to be shared it says itself."""
+    """Runs of windows with one digit, dealt by it. What a slice knows to be shared it says itself.
+
+    Of such a digit one entry goes to the digit's bucket, marked with the binary digits of
+    how many the slice has; all of them go to a bucket by the slice's first document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(x, y - x) for b in batches for x, y in slices(b.column(1))):
@@ -84,37 +95,41 @@ def _runs_by_digit(size: int, digit: int, n_buckets: int):
             keep = ~several
             keep[first] = True
             span = (start.astype(np.int64) << 32) | length
-            rows = [(b, 0, p) for b, p in by_bucket(kh[keep], n_buckets, [kh[keep], ids[doc[keep]], span[keep], several[keep].astype(np.uint8)])]
+            told = np.where(several, np.ceil(np.log2(np.repeat(n, n))) + 1, 0).astype(np.uint8)
+            rows = [(b, 0, p) for b, p in by_bucket(kh[keep], n_buckets, [kh[keep], ids[doc[keep]], span[keep], told[keep]])]
             if several.any():
-                rows.append((int(kh[several][0] % np.uint64(n_buckets)), 1, pack([kh[several], ids[doc[several]], span[several]])))
+                rows.append((int(bucket_of(ids[:1].view(np.uint64), n_buckets)[0]), 1, pack([kh[several], ids[doc[several]], span[several]])))
             yield _packed_rows(rows)
 
     return run
 
 
-def _shared_runs(n_buckets: int):
-    """The runs of a bucket whose digit several documents have, with the digit's bucket in the second pass."""
+def _shared_runs(heavy: int):
+    """The runs of a bucket whose digit several documents have, and a row with span -1 for each digit of more than ``heavy`` runs."""
 
     def run(group: pa.Table) -> pa.Table:
-        kh, ids, span = _shared_in(group)
-        return pa.table({"doc_id": ids, "span": span, "deal": bucket_of(kh, n_buckets).astype(np.int32)})
+        kh, ids, span, large = _shared_in(group, heavy)
+        none = np.full(len(large), -1)
+        return pa.table({"doc_id": np.r_[ids, none], "span": np.r_[span, none], "kh": np.r_[kh, large].view(np.int64)})
 
     return run
 
 
-def _shared_in(group: pa.Table) -> list[np.ndarray]:
+def _shared_in(group: pa.Table, heavy: int) -> list[np.ndarray]:
     kind, payload = group.column("kind").to_pylist(), group.column("payload").to_pylist()
     kh, ids, span, told = unpack((p for k, p in zip(kind, payload) if k == 0), [np.uint64, np.int64, np.int64, np.uint8])
     order = np.lexsort((ids, kh))
     kh, ids, span, told = kh[order], ids[order], span[order], told[order]
     first = runs(kh)
     n = np.diff(np.r_[first, len(kh)])
-    shared = np.repeat(ids[first] != ids[first + n - 1], n) if len(kh) else np.zeros(0, bool)
+    shared, large = np.zeros(0, bool), kh[:0]
     if len(kh):
-        shared |= np.repeat(np.add.reduceat(told, first, dtype=np.int64) > 0, n)
+        shared = np.repeat((ids[first] != ids[first + n - 1]) | (np.add.reduceat(told, first, dtype=np.int64) > 0), n)
+        most = np.where(told > 0, np.exp2(told.astype(float) - 1), 1)
+        large = kh[first[np.add.reduceat(most, first) > heavy]]
     shared &= told == 0
     more = unpack((p for k, p in zip(kind, payload) if k == 1), [np.uint64, np.int64, np.int64])
-    return [np.concatenate([a[shared], b]) for a, b in zip((kh, ids, span), more)]
+    return [*(np.concatenate([a[shared], b]) for a, b in zip((kh, ids, span), more)), large]
 
 
 def _bytes_by_digit(size: int, n_buckets: int):
@@ -122,10 +137,11 @@ def _bytes_by_digit(size: int, n_buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, lists, deals = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
+            ids, lists, digits = batch.column(0).to_pylist(), batch.column(2), batch.column(3)
             raw, ends = utf8(batch.column(1))
             raw, at = raw.tobytes(), lists.offsets.to_numpy()
-            spans, deals = lists.values.to_numpy(zero_copy_only=False), deals.values.to_numpy(zero_copy_only=False)
+            spans = lists.values.to_numpy(zero_copy_only=False)
+            deals = bucket_of(digits.values.to_numpy(zero_copy_only=False).view(np.uint64), n_buckets)
             seen: dict[bytes, int] = {}
             kept, doc_of, parts, done_ids, done_spans = [], [], [], [], []
             for k in sorted(range(len(ids)), key=ids.__getitem__):
@@ -157,8 +173,24 @@ def _bytes_by_digit(size: int, n_buckets: int):
     return run
 
 
+def same_bytes(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Whether the ``size`` bytes at a and at b are equal, some hundred thousand pairs at a time."""
+    out = np.ones(len(a), bool)
+    wide = size >= 8
+    words = np.ndarray(max(0, len(raw) - 7), "<u8", raw.tobytes(), strides=(1,)) if wide else raw
+    places = sorted({*range(0, size - 7, 8), size - 8}) if wide else range(size)
+    for k in range(0, len(a), 200_000):
+        x, y = a[k : k + 200_000], b[k : k + 200_000]
+        for p in places:
+            out[k : k + 200_000] &= words[x + p] == words[y + p]
+    return out
+
+
 def _repeated(size: int):
-    """Orders all windows of a bucket; those that a smaller document has as well become spans."""
+    """Orders all windows of a bucket; those that a smaller document has as well become spans.
+
+    Windows are ordered by their hashes; equal ones are compared by their bytes.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         ids, spans, parts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
@@ -177,13 +209,21 @@ def _repeated(size: int):
         count = (n - size + 1)[order]
         entry = np.repeat(order, count)  # windows in the order of their documents
         within = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
-        h = rolling(raw, size)[begin[entry] + within] if len(raw) else np.zeros(0, np.uint64)
+        at = begin[entry] + within
+        h = rolling(raw, size)[at] if len(raw) else np.zeros(0, np.uint64)
         by = np.argsort(h, kind="stable")
         first = runs(h[by])
         smallest = np.empty(len(h), np.int64)
         owner = ids[entry]
-        smallest[by] = np.repeat(owner[by[first]], np.diff(np.r_[first, len(by)]))
-        hit = owner > smallest
+        smallest[by] = np.repeat(by[first], np.diff(np.r_[first, len(by)]))
+        hit = owner > owner[smallest]
+        found = np.flatnonzero(hit)
+        same = same_bytes(raw, at[found], at[smallest[found]], size)
+        if not same.all():  # different windows of one hash: by their bytes
+            several = np.isin(h, h[found[~same]])
+            seen: dict[bytes, int] = {}
+            for k in np.flatnonzero(several).tolist():  # in the order of their documents
+                hit[k] = seen.setdefault(raw[at[k] : at[k] + size].tobytes(), owner[k]) != owner[k]
         begins = hit & np.r_[True, (~hit[:-1]) | (entry[1:] != entry[:-1])][: len(hit)]
         stops = hit & np.r_[(~hit[1:]) | (entry[1:] != entry[:-1]), True][-len(hit) :] if len(hit) else hit
         a, b = np.flatnonzero(begins), np.flatnonzero(stops)
@@ -194,6 +234,34 @@ def _repeated(size: int):
     return run
 
 
+def _hashed(size: int):
+    """All windows of the given runs as rows: document, place, and 128 bits of hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, ends = utf8(batch.column(1))
+            lists = batch.column(2)
+            spans = lists.values.to_numpy(zero_copy_only=False)[lists.offsets.to_numpy()[0] : lists.offsets.to_numpy()[-1]]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            n = spans & 0xFFFFFFFF
+            start = np.repeat(spans >> 32, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            row = np.repeat(row, n)
+            both = [rolling(raw, size, values=v)[ends[row] + start].view(np.int64) for v in (BYTE_VALUES, OTHER_VALUES)]
+            for a in range(0, len(row), 100_000):
+                some = slice(a, a + 100_000)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[some])), pa.array(start[some]), *[pa.array(x[some]) for x in both]], names=["doc_id", "start", "h", "g"])
+
+    return run
+
+
+def _by_whole_window(docs: DataFrame, runs_: DataFrame, size: int) -> DataFrame:
+    """(doc_id, span) of the repeats among the windows of some runs, found as rows."""
+    rows = runs_.groupBy("doc_id").agg(F.collect_list("span").alias("span"))
+    windows = write_shared(docs.join(rows, "doc_id").select("doc_id", "text", "span").mapInArrow(lean(_hashed(size)), "doc_id long, start long, h long, g long"), "windows")
+    least = windows.groupBy("h", "g").agg(F.min("doc_id").alias("first"))
+    return windows.join(least, ["h", "g"]).filter("doc_id > first").select("doc_id", F.expr(f"shiftleft(start, 32) | {size}L").alias("span"))
+
+
 _KEPT = "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,stop:long>>"
 _SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
 
@@ -235,10 +303,16 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", size:
     n_bytes = text_bytes(docs)
     # a run of windows comes to about 25 packed bytes and every 18 bytes of text
     first = docs.mapInArrow(lean(_runs_by_digit(size, digit, buckets_for(1.4 * n_bytes))), "bucket int, kind int, payload binary")
+    shared = write_shared(first.groupBy("bucket").applyInArrow(_shared_runs(HEAVY_RUNS), "doc_id long, span long, kh long"), "runs")
+    heavy, light, hot = shared.filter("span = -1").select("kh"), shared.filter("span <> -1"), None
+    if not heavy.isEmpty():
+        light, hot = light.join(heavy, "kh", "left_anti"), light.join(heavy, "kh", "left_semi")
     n_second = buckets_for(1.5 * n_bytes)
-    shared = write_shared(first.groupBy("bucket").applyInArrow(_shared_runs(n_second), "doc_id long, span long, deal int"), "runs")
-    rows = shared.groupBy("doc_id").agg(F.collect_list(F.struct("span", "deal")).alias("r")).select("doc_id", F.col("r.span").alias("span"), F.col("r.deal").alias("deal"))
-    second = docs.join(rows, "doc_id").select("doc_id", "text", "span", "deal").mapInArrow(lean(_bytes_by_digit(size, n_second)), "bucket int, kind int, payload binary")
-    found = write_shared(second.groupBy("bucket").applyInArrow(_repeated(size), "doc_id long, span long"), "repeats")
+    rows = light.groupBy("doc_id").agg(F.collect_list(F.struct("span", "kh")).alias("r")).select("doc_id", F.col("r.span").alias("span"), F.col("r.kh").alias("kh"))
+    second = docs.join(rows, "doc_id").select("doc_id", "text", "span", "kh").mapInArrow(lean(_bytes_by_digit(size, n_second)), "bucket int, kind int, payload binary")
+    found = second.groupBy("bucket").applyInArrow(_repeated(size), "doc_id long, span long")
+    if hot is not None:
+        found = found.union(_by_whole_window(docs, hot, size))
+    found = write_shared(found, "repeats")
     spans = found.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
     return docs.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_without, _KEPT)
