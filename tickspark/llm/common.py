@@ -210,11 +210,12 @@ def components(edges: DataFrame) -> DataFrame:
     stars = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
     stars = stars.mapInArrow(_local_forest, "a long, b long").filter("a <> b").distinct()
     stars, seen = write_shared(stars, "links"), None
+    if stars.isEmpty():
+        return stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
     while True:
         both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        down = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))  # a > b
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()

@@ -194,6 +194,7 @@ def _blocks_of(docs: DataFrame, min_letters: int) -> DataFrame:
     """(doc_id, home, first, last) of the common blocks of every document with earlier ones."""
     rows = write_shared(docs.mapInArrow(_windows(min_letters), "doc_id long, first int, last int, h binary"), "windows")
     homes = rows.groupBy("h").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("df")).filter("df > 1").drop("df")
+    homes = write_shared(homes, "homes")  # so that the join below can split a hot window
     key = F.conv(F.substring(F.hex("h"), 1, 15), 16, 10).cast("long").alias("k")
     lists = rows.join(homes, "h").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "last", key, "home", "h"))).alias("w"))
     lists = write_shared(lists.withColumn("form", F.unhex(F.md5(F.array_join(F.transform("w.h", F.hex), "").cast("binary")))), "lists")

@@ -10,10 +10,13 @@ cannot hold a link are left out by bounds that follow from the sizes alone:
    n-grams, for every k. Classes that share fewer of them with all others together
    have no link. This column count moves hashes packed in buckets.
 3. For the classes left, n-grams are ordered by how many of them hold it, rarest first.
-   Linked classes share one of the first size - ceil(t * size) + 1. Classes that share
-   such columns form the blocks of the product; no block is linked with another.
-4. Within a block, and between parts of a large one, overlap counts accumulate over
-   slices of columns. Pairs leave as soon as the columns to come can't lift them to the
+   Linked classes share one of the first size - ceil(t * size) + 1, their columns. Each
+   class is first compared with the smallest one that it shares a column with, so a
+   group of near copies becomes one component by as many comparisons as it has members.
+   Columns of a single component are done.
+4. Classes that share other columns form the blocks of the product; no block is linked
+   with another. Within a block, and between parts of a large one, overlap counts accumulate over
+   slices of n-grams. Pairs leave as soon as the columns to come can't lift them to the
    bound. Only a spanning forest of the links leaves a task.
 """
 
@@ -233,8 +236,9 @@ def ngram_components(df: DataFrame, text: str = "text", key: str = "doc_id", wid
     tune(spark)
     docs = one_row_per_id(df, key, text)
     prints = write_shared(docs.mapInArrow(lean(_fingerprints(width)), "doc_id long, n long, f1 long, f2 long"), "fingerprints")
-    classes = prints.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep"))
-    of_doc = prints.filter("n > 0").join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "rep")
+    # what a join looks up is stored first, so that the other side can be split where a key is hot
+    classes = write_shared(prints.filter("n > 0").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("rep")), "classes")
+    of_doc = write_shared(prints.filter("n > 0").join(classes, ["n", "f1", "f2"]).select("doc_id", "n", "rep"), "classes")
 
     size = F.expr(f"(n * {percent} + 99) div 100")
     enough = F.expr(f"shared >= 1 + ((n * {percent} + 99) div 100) div {SLACK}")
@@ -246,20 +250,33 @@ def ngram_components(df: DataFrame, text: str = "text", key: str = "doc_id", wid
     sets = write_shared(docs.join(left, "doc_id", "left_semi").mapInArrow(lean(_set_rows(width)), "doc_id long, grams array<long>"), "sets")
 
     cells = sets.select("doc_id", F.explode("grams").alias("h"))
-    common = cells.groupBy("h").count().filter("count > 1")
+    common = write_shared(cells.groupBy("h").count().filter("count > 1"), "common")
     rows = cells.join(common, "h").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("count", "h"))).alias("c"))
     rows = rows.join(sets.select("doc_id", F.size("grams").cast("long").alias("n")), "doc_id")
     first = F.col("n") - size + 1 - (F.col("n") - F.size("c"))  # columns of one class only come first
     ahead = write_shared(rows.filter(first > 0).select("doc_id", F.explode(F.slice("c", F.lit(1), first.cast("int"))).alias("c")).select("doc_id", "c.h"), "columns")
-    hubs = ahead.groupBy("h").agg(F.min("doc_id").alias("hub"))
-    block = components(ahead.join(hubs, "h").filter("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct())
+
+    def hubs(entries: DataFrame) -> DataFrame:
+        """(doc_id, hub): the smallest class of each column of a class."""
+        least = write_shared(entries.groupBy("h").agg(F.min("doc_id").alias("hub")), "hubs")
+        return entries.join(least, "h").filter("doc_id <> hub").select("doc_id", "hub")
+
+    stars = write_shared(hubs(ahead).groupBy("doc_id").agg(F.min("hub").alias("hub")), "stars")
+    near = stars.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("hub"), F.col("grams").alias("theirs")), "hub")
+    both, total = F.size(F.array_intersect("grams", "theirs")).cast("long"), (F.size("grams") + F.size("theirs")).cast("long")
+    near = write_shared(near.filter(both * (100 + percent) >= total * percent).select(F.col("doc_id").alias("a"), F.col("hub").alias("b")), "near")
+    grown = write_shared(components(near), "grown")
+    of_class = ahead.join(grown.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "h", F.coalesce("component", "doc_id").alias("component"))
+    open_ = of_class.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("h")
+    ahead = write_shared(ahead.join(write_shared(open_, "open"), "h", "left_semi"), "columns")
+    block = components(hubs(ahead).select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct())
 
     parts = block.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
     member = block.join(parts, "component").select(F.col("node").alias("doc_id"), "component", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
     member = member.join(sets, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     member = member.select("doc_id", "grams", "part", "component", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"))
     links = member.groupBy("component", "p", "q").applyInArrow(_block_links(percent), "a long, b long")
-    reached = components(links)
+    reached = write_shared(components(near.union(links)), "reached")
 
     found = of_doc.join(reached, of_doc["rep"] == reached["node"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     alone = prints.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
