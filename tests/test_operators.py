@@ -254,3 +254,23 @@ def test_alert_severities(spark):
     df = tick_frame(spark, [-1] * 10 + [5] * 90, step=1)
     a = checks.quality_alerts(df).collect()
     assert [(r["rule"], r["severity"], r["failed_count"]) for r in a] == [("price_validation", "ERROR", 10)]
+
+
+def test_rows_frames_in_blocks(spark, sf_dir, monkeypatch):
+    """A symbol's rows in many blocks give what one partition gives, nulls among keys and times included."""
+    from tickspark.operators import frames
+
+    monkeypatch.setattr(frames.rolling_rows, "__kwdefaults__", frames.rolling_rows.__kwdefaults__ | {"block": 37})
+    t = queries.ticks(spark, sf_dir).filter("event_id < 600")
+    odd = t.filter("event_id < 5").withColumns({"processing_timestamp": F.lit(None).cast("timestamp"), "event_id": F.col("event_id") + 1000})
+    odd = odd.unionByName(t.filter("event_id < 5").withColumns({"symbol": F.lit(None).cast("string"), "event_id": F.col("event_id") + 2000}))
+    t = t.unionByName(odd).select("event_id", "symbol", "processing_timestamp", "current_price", "volume")
+    for build in (
+        lambda **k: indicators.moving_averages(t, windows={"9": 9, "50": 50}, frame="rows", **k),
+        lambda **k: indicators.macd(t, method="ema", periods=(3, 6, 2), depth=4, **k),
+        lambda **k: indicators.bollinger_bands(t, window=20, frame="rows", **k),
+    ):
+        plain, cut = build(), build(bucket=3600)
+        cols = ["event_id", *[queries.r6(c) for c in plain.columns if c not in t.columns]]
+        assert cut.columns == plain.columns and cut.count() == t.count()
+        assert cut.select(cols).exceptAll(plain.select(cols)).isEmpty()

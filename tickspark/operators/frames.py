@@ -46,6 +46,36 @@ def rows_frame(n: int, symbol: str, ts: str, tie: list[str]) -> WindowSpec:
     return Window.partitionBy(symbol).orderBy(micros(ts), *tie).rowsBetween(-(n - 1), 0)
 
 
+#: Rows of one symbol whose rows frames are made together.
+BLOCK_ROWS = 20_000
+
+
+def rolling_rows(df: DataFrame, build: Callable[[DataFrame, Over], DataFrame], *, reach: int, symbol: str = "symbol", ts: str = "processing_timestamp", tie: tuple[str, ...] = (), bucket: float | None = None, block: int = BLOCK_ROWS) -> DataFrame:
+    """``build(df, over)`` adds columns; ``over(n)`` is a frame of the last n rows of the symbol.
+
+    ``reach`` is how many rows the columns look back at, nested ones added. With
+    ``bucket``, rows are numbered within (symbol, bucket of seconds) and from a table of
+    one row a bucket within the symbol; then ``block`` rows of a symbol and copies of the
+    ``reach`` before them make a partition, so a hot symbol goes to many tasks.
+    """
+    order = [c for c in tie if c in df.columns]
+    if bucket is None:
+        return build(df, lambda n: rows_frame(int(n), symbol, ts, order))
+    size = int(bucket * 1_000_000)
+    d = df.withColumn("_bucket", F.floor(micros(ts) / F.lit(size)).cast("long"))
+    sizes = d.groupBy(symbol, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(symbol).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(F.col(symbol).alias("_symbol"), F.col("_bucket").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    d = d.withColumn("_k", F.row_number().over(Window.partitionBy(symbol, "_bucket").orderBy(micros(ts), *order)))
+    d = d.join(sizes, F.col(symbol).eqNullSafe(F.col("_symbol")) & F.col("_bucket").eqNullSafe(F.col("_of")))
+    d = d.withColumn("_k", F.col("_before") + F.col("_k") - 1).drop("_symbol", "_of", "_before", "_bucket")
+    at = lambda k: F.floor(k / F.lit(block)).cast("long")
+    d = d.withColumn("_block", F.explode(F.sequence(at(F.col("_k")), at(F.col("_k") + reach))))
+    frame = Window.partitionBy(symbol, "_block").orderBy("_k")
+    out = build(d, lambda n: frame.rowsBetween(-(int(n) - 1), 0))
+    return out.filter(F.col("_block") == at(F.col("_k"))).drop("_block", "_k")
+
+
 def with_previous(df: DataFrame, value: str | Column, into: str, *, symbol: str = "symbol", ts: str = "processing_timestamp", tie: tuple[str, ...] = (), bucket: float | None = None) -> DataFrame:
     """The value of the row before, by time and then by the tie-breakers; null on a symbol's first row.
 

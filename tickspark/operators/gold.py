@@ -82,10 +82,13 @@ def upsert(target: DataFrame, source: DataFrame, key: str | list[str], order_by:
 
 
 def publish(df: DataFrame, root: str, version: str, *, partition_by: list[str] | None = None, cluster_by: list[str] | None = None) -> str:
-    """Write a new version directory, then point to it; what is read is never overwritten."""
+    """Write a new version directory, then point to it; what is read is never overwritten.
+
+    ``cluster_by`` deals rows by ranges of all its columns, so a hot first one is split.
+    """
     path = f"{root}/versions/{version}"
     if cluster_by:
-        df = df.repartition(*cluster_by[:1]).sortWithinPartitions(*cluster_by)
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     spark = df.sparkSession

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as E
-from .frames import Over, rolling, rows_frame, with_previous
+from .frames import Over, rolling, rolling_rows, with_previous
 
 TIE = ("offset", "event_id")
 
@@ -26,8 +26,7 @@ def moving_averages(df: DataFrame, *, symbol: str = "symbol", ts: str = "process
     """
     windows = windows or {"5min": E.SHORT, "20min": E.LONG}
     if frame == "rows":
-        order = [c for c in tie if c in df.columns]
-        return add_averages(df, lambda n: rows_frame(int(n), symbol, ts, order), price, volume, windows)
+        return rolling_rows(df, lambda d, over: add_averages(d, over, price, volume, windows), reach=int(max(windows.values())), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
     return rolling(df, lambda d, over: add_averages(d, over, price, volume, windows), lookback=max(windows.values()), symbol=symbol, ts=ts, bucket=bucket)
 
 
@@ -54,7 +53,7 @@ def rsi(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestam
     """Relative strength of mean gains to mean losses; 100 where nothing was lost."""
     d = with_moves(df, symbol=symbol, ts=ts, price=price, tie=tie, bucket=bucket)
     if frame == "rows":
-        d = add_rsi(d, lambda n: rows_frame(int(n), symbol, ts, [c for c in tie if c in df.columns]), window)
+        d = rolling_rows(d, lambda x, over: add_rsi(x, over, window), reach=int(window), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
     else:
         d = rolling(d, lambda x, over: add_rsi(x, over, window), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
     return d.drop("_gain", "_loss")
@@ -69,7 +68,7 @@ def add_bollinger(d: DataFrame, over: Over, price: str, window: float = E.BOLLIN
 def bollinger_bands(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", window: float = E.BOLLINGER, width: float = 2.0, frame: str = "range", tie: tuple[str, ...] = TIE, bucket: float | None = None) -> DataFrame:
     """Mean and ``width`` sample deviations around it; a single tick has no bands."""
     if frame == "rows":
-        return add_bollinger(df, lambda n: rows_frame(int(n), symbol, ts, [c for c in tie if c in df.columns]), price, window, width)
+        return rolling_rows(df, lambda d, over: add_bollinger(d, over, price, window, width), reach=int(window), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
     return rolling(df, lambda d, over: add_bollinger(d, over, price, window, width), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
 
 
@@ -109,13 +108,16 @@ def macd(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timesta
     """
     if method == "range_mean":
         return rolling(df, lambda d, over: add_macd(d, over, price, fast, slow, signal), lookback=slow + signal, symbol=symbol, ts=ts, bucket=bucket)
-    order = [c for c in tie if c in df.columns]
-    last = lambda c, n: F.collect_list(c).over(rows_frame(depth * n, symbol, ts, order))
     f, s, g = periods
-    d = df.withColumns({"_fast": last(price, f), "_slow": last(price, s)})
-    d = d.withColumn("macd", _ema(F.col("_fast"), f) - _ema(F.col("_slow"), s)).drop("_fast", "_slow")
-    d = d.withColumn("_signal", last("macd", g))
-    return d.withColumn("macd_signal", _ema(F.col("_signal"), g)).drop("_signal").withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+
+    def add(d: DataFrame, over: Over) -> DataFrame:
+        last = lambda c, n: F.collect_list(c).over(over(depth * n))
+        d = d.withColumns({"_fast": last(price, f), "_slow": last(price, s)})
+        d = d.withColumn("macd", _ema(F.col("_fast"), f) - _ema(F.col("_slow"), s)).drop("_fast", "_slow")
+        d = d.withColumn("_signal", last("macd", g))
+        return d.withColumn("macd_signal", _ema(F.col("_signal"), g)).drop("_signal").withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+
+    return rolling_rows(df, add, reach=depth * (max(f, s) + g), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
 
 
 def add_anomalies(d: DataFrame, over: Over, price: str, volume: str, window: float = E.ANOMALY, z: float = E.Z_THRESHOLD, exclude_current: bool = False) -> DataFrame:

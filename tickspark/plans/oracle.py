@@ -109,10 +109,44 @@ def decimal(x: str, kind: str) -> str:
 
 STAGED_PRICES = ", ".join([*[decimal(c, "DECIMAL(10,2)") for c in ("current_price", "open_price", "high_price", "low_price")], *[decimal(c, "DECIMAL(10,4)") for c in PRICES]])
 
+REASON = """CASE WHEN current_price IS NULL OR NOT (current_price > 0 AND current_price < 1000000) THEN 'price out of range'
+  WHEN volume IS NULL OR NOT (volume >= 0 AND volume < 1000000000) THEN 'volume out of range' END"""
+
+
+def rows(n: int) -> str:
+    return f"OVER (PARTITION BY symbol ORDER BY us, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+
+def ema(value: str, n: int) -> str:
+    """Of the last 10 n rows, seeded with the oldest."""
+    a = 2.0 / (n + 1)
+    return f"list_reduce(list({value}) {rows(10 * n)}, lambda acc, x: acc * (1 - CAST({a!r} AS DOUBLE)) + x * CAST({a!r} AS DOUBLE))"
+
+
+HOUR_OF = "CAST(year({0}) AS INTEGER) AS year, CAST(month({0}) AS INTEGER) AS month, CAST(day({0}) AS INTEGER) AS day, CAST(hour({0}) AS INTEGER) AS hour"
+
 SQL: dict[str, str] = {
     "moving_averages": enriched("event_id", "symbol", "us", rounded=("sma_5min", "sma_20min", "volume_ma_5min", "volume_ma_20min")),
     "moving_averages_1hour": f"WITH {TICKS} SELECT event_id, {r6(f'avg(current_price) {over(3600)}', 'sma_1hour')}, {r6(f'avg(current_price) {over(3000)}', 'sma_50min')}, {r6(f'avg(volume) {over(3600)}', 'volume_ma_1hour')} FROM ticks",
     "moving_averages_rows": f"WITH {TICKS} SELECT event_id, {r6('avg(current_price) OVER (PARTITION BY symbol ORDER BY us, event_id ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)', 'sma_14')}, {r6('avg(current_price) OVER (PARTITION BY symbol ORDER BY us, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)', 'sma_20')} FROM ticks",
+    "rsi_rows": f"""WITH {TICKS}, m AS (SELECT *, current_price - lag(current_price) OVER (PARTITION BY symbol ORDER BY us, event_id) AS move FROM ticks),
+      g AS (SELECT *, avg(CASE WHEN move > 0 THEN move ELSE 0 END) {rows(14)} AS up, avg(CASE WHEN move < 0 THEN -move ELSE 0 END) {rows(14)} AS down FROM m)
+      SELECT event_id, {r6('CASE WHEN down = 0 THEN 100 ELSE 100 - 100 / (1 + up / down) END', 'rsi_14')} FROM g""",
+    "bollinger_rows": f"""WITH {TICKS}, m AS (SELECT event_id, avg(current_price) {rows(20)} AS mid, stddev_samp(current_price) {rows(20)} AS dev FROM ticks)
+      SELECT event_id, {r6('mid', 'bollinger_middle')}, {r6('mid + 2 * dev', 'bollinger_upper')}, {r6('mid - 2 * dev', 'bollinger_lower')} FROM m""",
+    "macd_ema": f"""WITH {TICKS}, m AS (SELECT event_id, symbol, us, {ema('current_price', 12)} - {ema('current_price', 26)} AS macd FROM ticks), g AS (SELECT *, {ema('macd', 9)} AS macd_signal FROM m)
+      SELECT event_id, {r6('macd', 'macd')}, {r6('macd_signal', 'macd_signal')}, {r6('macd - macd_signal', 'macd_histogram')} FROM g""",
+    "output_contract": f"""WITH {ENRICHED} SELECT symbol, us // 1000 AS "timestamp", us // 1000 AS processing_timestamp, {r6('current_price', 'current_price')} FROM enriched WHERE current_price > 0""",
+    "serialized_prices": f"WITH {ENRICHED} SELECT symbol AS key, symbol, 'stock_prices' AS record_type, trading_session, volume, {r6('current_price', 'current_price')}, {r6('sma_5min', 'sma_5min')} FROM enriched WHERE current_price > 0",
+    "archived_messages": f"""WITH {TICKS}, m AS (SELECT event_id, make_timestamp(us + 1000000) AS arrived FROM ticks)
+      SELECT event_id AS "offset", CASE WHEN event_id % 2 = 0 THEN 'stock-quotes' ELSE 'intraday-data' END AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", {HOUR_OF.format('arrived')} FROM m""",
+    "archived_products": f"WITH {ENRICHED} SELECT symbol, us, volume FROM enriched WHERE processing_timestamp BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-01 12:00:00'",
+    "landed_rows": f"WITH {TICKS} SELECT symbol AS kafka_key, CAST(event_id % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset, us + 1000000 AS us FROM ticks",
+    "gold_build": f"""WITH {ENRICHED}, co AS (SELECT count(DISTINCT upper(event_type)) AS n FROM events JOIN orders ON o_orderkey = event_id),
+      p AS (SELECT count(*) AS n, count(DISTINCT (symbol, us)) AS k FROM enriched WHERE current_price > 0), v AS (SELECT count(*) AS n, count(DISTINCT (symbol, us)) AS k FROM enriched)
+      SELECT 'stg_stock_prices' AS name, n FROM p UNION ALL SELECT 'fact_stock_prices', k FROM p UNION ALL SELECT 'stg_trading_volume', n FROM v UNION ALL SELECT 'stg_technical_indicators', n FROM v
+      UNION ALL SELECT 'fact_trading_volume', k FROM v UNION ALL SELECT unnest(['company_history', 'dim_company']), n FROM co UNION ALL SELECT 'dim_date', DATE '2031-01-01' - DATE '2020-01-01' UNION ALL SELECT 'dim_time', 1440
+      UNION ALL SELECT unnest(['stock_price_key_unique', 'stock_price_key_not_null', 'trading_volume_key_unique', 'company_of_price', 'company_of_volume', 'date_of_price', 'time_of_price', 'one_current_company']), 0""",
     "price_trend": enriched("event_id", "price_trend_5min", "volume_trend"),
     "price_metrics": f"""WITH {DIRTY} SELECT event_id, {r6('abs(change)', 'price_change_abs')},
       {r6('CASE WHEN current_price > 0 THEN (high_price - low_price) / current_price * 100 ELSE 0 END', 'price_volatility')},
@@ -139,8 +173,7 @@ SQL: dict[str, str] = {
     "support_resistance": f"WITH {TICKS} SELECT event_id, min(low_price) {over(1200)} AS support, max(high_price) {over(1200)} AS resistance FROM ticks",
     "volatility_level": enriched("event_id", "CASE WHEN price_volatility < 10 THEN 'low' WHEN price_volatility < 50 THEN 'medium' WHEN price_volatility IS NOT NULL THEN 'high' END AS volatility_level"),
     "enrich_full": enriched("event_id", "symbol", "price_trend_5min", "volume_trend", "volume_category", "trading_session", "is_price_anomaly", "strftime(processing_timestamp, '%Y-%m-%d') AS trading_day", rounded=("sma_5min", "sma_20min", "vwap", "rsi_14", "bollinger_upper", "macd", "macd_signal", "anomaly_score", "volume_ratio")),
-    "validate_ticks": f"""WITH {DIRTY} SELECT coalesce(CASE WHEN current_price IS NULL OR NOT (current_price > 0 AND current_price < 1000000) THEN 'price out of range'
-      WHEN volume IS NULL OR NOT (volume >= 0 AND volume < 1000000000) THEN 'volume out of range' END, 'accepted') AS outcome, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum FROM dirty GROUP BY 1""",
+    "validate_ticks": f"WITH {DIRTY} SELECT event_id, coalesce({REASON}, 'accepted') AS outcome FROM dirty",
     "ohlcv_bars": OHLCV,
     "stream_ohlcv": OHLCV,
     "sliding_bars": f"""WITH {TICKS}, s AS (SELECT symbol, unnest([us // 60000000 * 60000000 - k * 60000000 FOR k IN range(5)]) AS window_start_us, current_price, volume FROM ticks)
@@ -162,9 +195,8 @@ SQL: dict[str, str] = {
     "parse_intraday": f"""WITH {TICKS}, {BARS.format('5 minutes')} SELECT symbol, epoch_us(w) // 1000 AS "timestamp", '5min' AS "interval", {TWO.format('o')} AS open_price, {TWO.format('h')} AS high_price, {TWO.format('l')} AS low_price, {TWO.format('c')} AS close_price, CAST(v AS BIGINT) AS volume FROM bars""",
     "parse_intraday_latest": f"""WITH {TICKS}, {BARS.format('5 minutes')}, k AS (SELECT *, row_number() OVER (PARTITION BY symbol, date_trunc('hour', w) ORDER BY w DESC) AS k FROM bars)
       SELECT symbol, epoch_us(w) // 1000 AS "timestamp", {TWO.format('c')} AS close_price, CAST(v AS BIGINT) AS volume FROM k WHERE k = 1""",
-    "contract_rejects": f"WITH {DIRTY} SELECT coalesce(CASE WHEN current_price IS NULL THEN 'missing: current_price' END, 'accepted') AS outcome, count(*) AS n FROM dirty GROUP BY 1",
-    "dead_letters": f"""WITH {DIRTY} SELECT error_reason, 'ticks' AS source, count(*) AS n FROM (SELECT CASE WHEN current_price IS NULL OR NOT (current_price > 0 AND current_price < 1000000) THEN 'price out of range'
-      WHEN volume IS NULL OR NOT (volume >= 0 AND volume < 1000000000) THEN 'volume out of range' END AS error_reason FROM dirty) WHERE error_reason IS NOT NULL GROUP BY 1""",
+    "contract_rejects": f"WITH {DIRTY} SELECT event_id, coalesce(CASE WHEN current_price IS NULL THEN 'missing: current_price' END, 'accepted') AS outcome FROM dirty",
+    "dead_letters": f"""WITH {DIRTY} SELECT event_id, symbol, error_reason, 'ticks' AS source, CAST(NULL AS VARCHAR) AS topic FROM (SELECT *, {REASON} AS error_reason FROM dirty) WHERE error_reason IS NOT NULL""",
     "stage_prices": f"WITH {ENRICHED} SELECT {KEYED} AS record_id, symbol, us, volume, price_trend_5min, trading_session, {STAGED_PRICES} FROM enriched WHERE current_price > 0",
     "stage_indicators": f"WITH {ENRICHED} SELECT {KEYED} AS record_id, symbol, us, {decimal('rsi_14', 'DECIMAL(5,2)')}, {decimal('macd_signal', 'DECIMAL(10,4)')}, {decimal('bollinger_middle', 'DECIMAL(10,4)')} FROM enriched",
     "stage_volume": f"WITH {ENRICHED} SELECT {KEYED} AS record_id, symbol, us, volume, volume_trend, is_volume_anomaly AS volume_anomaly, volume_category, {decimal('volume_ma_5min', 'DECIMAL(15,2)')}, {decimal('volume_ratio', 'DECIMAL(10,4)')} FROM enriched",

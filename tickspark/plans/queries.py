@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import expressions as E
 from ..operators import bars, checks, gold, indicators, metrics, products
-from ..sources import decode, fixtures, sinks
+from ..sources import decode, fixtures, readers, sinks
 from ..streaming import silver
 from . import pipelines
 
@@ -66,7 +66,7 @@ def moving_averages_1hour(spark, sf_dir):
 
 @query
 def moving_averages_rows(spark, sf_dir):
-    return shown(indicators.moving_averages(ticks(spark, sf_dir), windows={"14": 14, "20": 20}, frame="rows"), "event_id", rounded=("sma_14", "sma_20"))
+    return shown(indicators.moving_averages(ticks(spark, sf_dir), windows={"14": 14, "20": 20}, frame="rows", bucket=BUCKET), "event_id", rounded=("sma_14", "sma_20"))
 
 
 @query
@@ -107,6 +107,16 @@ def rsi(spark, sf_dir):
     return shown(indicators.rsi(ticks(spark, sf_dir), bucket=BUCKET), "event_id", rounded=("rsi_14",))
 
 
+@query
+def rsi_rows(spark, sf_dir):
+    return shown(indicators.rsi(ticks(spark, sf_dir), window=14, frame="rows", bucket=BUCKET), "event_id", rounded=("rsi_14",))
+
+
+@query
+def bollinger_rows(spark, sf_dir):
+    return shown(indicators.bollinger_bands(ticks(spark, sf_dir), window=20, frame="rows", bucket=BUCKET), "event_id", rounded=("bollinger_middle", "bollinger_upper", "bollinger_lower"))
+
+
 @query
 def rsi_signal(spark, sf_dir):
     return shown(indicators.rsi_signal(indicators.rsi(ticks(spark, sf_dir), bucket=BUCKET)), "event_id", "rsi_signal")
@@ -129,7 +139,7 @@ def macd(spark, sf_dir):
 
 @query
 def macd_ema(spark, sf_dir):
-    return shown(indicators.macd(ticks(spark, sf_dir), method="ema"), "event_id", rounded=("macd", "macd_signal", "macd_histogram"))
+    return shown(indicators.macd(ticks(spark, sf_dir), method="ema", bucket=BUCKET), "event_id", rounded=("macd", "macd_signal", "macd_histogram"))
 
 
 @query
@@ -167,7 +177,7 @@ def enrich_full(spark, sf_dir):
 @query
 def validate_ticks(spark, sf_dir):
     good, bad = metrics.validate_ticks(dirty(spark, sf_dir))
-    return good.withColumn("error_reason", F.lit("accepted")).unionByName(bad).groupBy(F.col("error_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
+    return good.withColumn("error_reason", F.lit("accepted")).unionByName(bad).select("event_id", F.col("error_reason").alias("outcome"))
 
 
 def shown_bars(b: DataFrame) -> DataFrame:
@@ -224,6 +234,48 @@ def product_indicators(spark, sf_dir):
     return shown(p, "symbol", "us", "record_type", rounded=("rsi_14", "macd", *BANDS, "macd_signal", "macd_histogram"))
 
 
+@query
+def output_contract(spark, sf_dir):
+    p = products.to_output_contract(products.stock_prices_product(enriched(spark, sf_dir)))
+    return shown(p, "symbol", "timestamp", "processing_timestamp", rounded=("current_price",))
+
+
+@query
+def serialized_prices(spark, sf_dir):
+    rows = products.serialize_product(products.stock_prices_product(enriched(spark, sf_dir)))
+    field = lambda n, kind: F.get_json_object("value", f"$.{n}").cast(kind)
+    rows = rows.select("key", *[field(n, "string").alias(n) for n in ("symbol", "record_type", "trading_session")], field("volume", "long").alias("volume"), *[field(n, "double").alias(n) for n in ("current_price", "sma_5min")])
+    return shown(rows, "key", "symbol", "record_type", "trading_session", "volume", rounded=("current_price", "sma_5min"))
+
+
+@query
+def archived_messages(spark, sf_dir):
+    """Messages through the hourly archive and back, by the hours of their folders."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    path = silver.shared_dir(spark)
+    sinks.archive_bronze(fixtures.messages(spark, sf_dir), path)
+    return spark.read.parquet(path).select("offset", "topic", "partition", *[F.col(c).cast("int").alias(c) for c in readers.HOUR_PARTS])
+
+
+@query
+def archived_products(spark, sf_dir):
+    """A product through the hourly archive, and of it what one half of the day reads."""
+    path = silver.shared_dir(spark)
+    product = products.trading_volume_product(enriched(spark, sf_dir))
+    sinks.archive_silver(product, path)
+    day = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+    return readers.read_silver(spark, path, product.schema, since=day, until=day + datetime.timedelta(hours=12)).select("symbol", us("processing_timestamp", "us"), "volume")
+
+
+@query
+def landed_rows(spark, sf_dir):
+    """Messages landed in a raw gold table, read back."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    path = silver.shared_dir(spark)
+    sinks.land_gold_raw(fixtures.messages(spark, sf_dir), path=path)
+    return spark.read.parquet(path).select("kafka_key", "kafka_partition", "kafka_offset", us("kafka_timestamp", "us"))
+
+
 def _topics() -> dict[str, T.StructType]:
     return {fixtures.QUOTES: schemas.STOCK_QUOTE, fixtures.INTRADAY: schemas.INTRADAY_BAR}
 
@@ -264,13 +316,14 @@ def parse_intraday_latest(spark, sf_dir):
 @query
 def contract_rejects(spark, sf_dir):
     good, bad = decode.validate_contract(dirty(spark, sf_dir), schemas.struct("symbol current_price", symbol=T.StringType(), current_price=T.DoubleType()))
-    return good.withColumn("error_reason", F.lit("accepted")).unionByName(bad).groupBy(F.col("error_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    return good.withColumn("error_reason", F.lit("accepted")).unionByName(bad).select("event_id", F.col("error_reason").alias("outcome"))
 
 
 @query
 def dead_letters(spark, sf_dir):
     _, bad = metrics.validate_ticks(dirty(spark, sf_dir))
-    return sinks.dead_letters(bad, source="ticks").groupBy("error_reason", "source").agg(F.count(F.lit(1)).alias("n"))
+    letters = sinks.dead_letters(bad, source="ticks")
+    return letters.select(F.get_json_object("record", "$.event_id").cast("long").alias("event_id"), F.get_json_object("record", "$.symbol").alias("symbol"), "error_reason", "source", "topic")
 
 
 def as_double(df: DataFrame, *columns: str) -> DataFrame:
@@ -286,33 +339,40 @@ def landed(product: DataFrame) -> DataFrame:
     return fixtures.gold_raw(product.withColumns({c: r6(c) for c in doubles}))
 
 
-def staged_prices(spark, sf_dir):
-    return gold.stage_stock_prices(landed(products.stock_prices_product(enriched(spark, sf_dir))))
+def staged_prices(rows: DataFrame) -> DataFrame:
+    return gold.stage_stock_prices(landed(products.stock_prices_product(rows)))
+
+
+def staged_indicators(rows: DataFrame) -> DataFrame:
+    return gold.stage_technical_indicators(landed(products.technical_indicators_product(rows)))
 
 
-def staged_indicators(spark, sf_dir):
-    return gold.stage_technical_indicators(landed(products.technical_indicators_product(enriched(spark, sf_dir))))
+def staged_volume(rows: DataFrame) -> DataFrame:
+    return gold.stage_trading_volume(landed(products.trading_volume_product(rows)))
 
 
-def staged_volume(spark, sf_dir):
-    return gold.stage_trading_volume(landed(products.trading_volume_product(enriched(spark, sf_dir))))
+def stored(df: DataFrame) -> DataFrame:
+    """Written once, for queries that use it twice."""
+    path = silver.shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @query
 def stage_prices(spark, sf_dir):
-    s = as_double(staged_prices(spark, sf_dir), *PRICE_COLUMNS, *PRICES)
+    s = as_double(staged_prices(enriched(spark, sf_dir)), *PRICE_COLUMNS, *PRICES)
     return s.select("record_id", "symbol", us("timestamp", "us"), "volume", "price_trend_5min", "trading_session", *PRICE_COLUMNS, *PRICES)
 
 
 @query
 def stage_indicators(spark, sf_dir):
-    s = as_double(staged_indicators(spark, sf_dir), "rsi_14", "macd_signal", "bollinger_middle")
+    s = as_double(staged_indicators(enriched(spark, sf_dir)), "rsi_14", "macd_signal", "bollinger_middle")
     return s.select("record_id", "symbol", us("timestamp", "us"), "rsi_14", "macd_signal", "bollinger_middle")
 
 
 @query
 def stage_volume(spark, sf_dir):
-    s = as_double(staged_volume(spark, sf_dir), "volume_ma_5min", "volume_ratio")
+    s = as_double(staged_volume(enriched(spark, sf_dir)), "volume_ma_5min", "volume_ratio")
     return s.select("record_id", "symbol", us("timestamp", "us"), "volume", "volume_trend", "volume_anomaly", "volume_category", "volume_ma_5min", "volume_ratio")
 
 
@@ -360,35 +420,55 @@ def latest_per_key(spark, sf_dir):
     return indicators.latest_per_key(fixtures.company_snapshot(spark, sf_dir, later=False), "symbol", ["source_timestamp", "o_orderkey"]).select("symbol", "o_orderkey", "market_cap")
 
 
-def tick_companies(spark, sf_dir):
+def tick_sources(spark, sf_dir):
     """A company for each symbol, out of the orders whose number an event of it has."""
     e = fixtures.table(spark, sf_dir, "events").select(F.upper("event_type").alias("symbol"), F.col("event_id").alias("o_orderkey"))
     o = e.join(fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), "o_orderkey").groupBy("symbol").agg(F.min("o_orderpriority").alias("exchange"))
     at = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
-    source = o.select("symbol", F.col("symbol").alias("company_name"), "exchange", F.lit(1.0).alias("market_cap"), F.lit(at).alias("source_timestamp"))
-    return gold.dim_company(gold.scd2_snapshot(None, source, as_of=at))
+    return o.select("symbol", F.col("symbol").alias("company_name"), "exchange", F.lit(1.0).alias("market_cap"), F.lit(at).alias("source_timestamp"))
+
+
+def tick_companies(spark, sf_dir):
+    at = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+    return gold.dim_company(gold.scd2_snapshot(None, tick_sources(spark, sf_dir), as_of=at))
 
 
 @query
 def fact_prices(spark, sf_dir):
-    f = gold.fact_stock_prices(staged_prices(spark, sf_dir), staged_indicators(spark, sf_dir), tick_companies(spark, sf_dir))
+    rows = stored(enriched(spark, sf_dir))
+    f = gold.fact_stock_prices(staged_prices(rows), staged_indicators(rows), tick_companies(spark, sf_dir))
     f = as_double(f, *PRICE_COLUMNS, *PRICES, "rsi_14", "macd_signal")
     return f.select("stock_price_key", "date_key", "time_key", "symbol", us("timestamp", "us"), "volume", "trading_session", *PRICE_COLUMNS, *PRICES, "rsi_14", "macd_signal")
 
 
 @query
 def fact_volume(spark, sf_dir):
-    f = as_double(gold.fact_trading_volume(staged_volume(spark, sf_dir), tick_companies(spark, sf_dir)), "volume_ratio")
+    f = as_double(gold.fact_trading_volume(staged_volume(enriched(spark, sf_dir)), tick_companies(spark, sf_dir)), "volume_ratio")
     return f.select("trading_volume_key", "date_key", "time_key", "symbol", us("timestamp", "us"), "volume", "volume_trend", "volume_category", "volume_ratio")
 
 
 @query
 def fact_by_company(spark, sf_dir):
     companies = tick_companies(spark, sf_dir)
-    f = gold.fact_stock_prices(staged_prices(spark, sf_dir), staged_indicators(spark, sf_dir), companies)
+    rows = stored(enriched(spark, sf_dir))
+    f = gold.fact_stock_prices(staged_prices(rows), staged_indicators(rows), companies)
     return f.join(companies.select("company_key", "exchange"), "company_key", "left").groupBy("symbol", "exchange").agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
 
 
+@query
+def gold_build(spark, sf_dir):
+    """The whole warehouse build: rows of each published table, and rows that fail each check."""
+    raw = {n: landed(p) for n, p in pipelines.all_products(stored(enriched(spark, sf_dir))).items()}
+    at, out = datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc), silver.shared_dir(spark)
+    failing = pipelines.build_gold(spark, raw, tick_sources(spark, sf_dir), out, as_of=at, version="v1", failures=f"{out}/failures")
+    tables = ("stg_stock_prices", "stg_technical_indicators", "stg_trading_volume", "company_history", "dim_company", "dim_date", "dim_time", "fact_stock_prices", "fact_trading_volume")
+    counts = [gold.current(spark, f"{out}/{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in tables]
+    found = spark.createDataFrame(sorted(failing.items()), "name string, n long")
+    for c in counts:
+        found = found.union(c)
+    return found
+
+
 @query
 def upsert_merge(spark, sf_dir):
     t = ticks(spark, sf_dir)
