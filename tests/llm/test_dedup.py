@@ -171,33 +171,9 @@ def test_patience():
         assert got == sorted(set(got)) and len(got) == longest_increasing(v)
 
 
-def brute_lines(texts: dict) -> dict:
-    """What a plain run over all documents in order of their ids deletes."""
-    home, df = {}, collections.Counter()
-    keyed = {}
-    for d in sorted(texts):
-        seen, keyed[d] = collections.Counter(), []
-        for p, x in enumerate((texts[d] or "").split("\n")):
-            if x.strip():
-                key = (x, seen[x])
-                seen[x] += 1
-                keyed[d].append((p, key))
-                home.setdefault(key, (d, p))
-                df[key] += 1
-    out = {}
-    for d in sorted(texts):
-        lines = (texts[d] or "").split("\n")
-        rows = [(p, *home[k], df[k]) for p, k in keyed[d] if home[k][0] != d]
-        blanks = {k for k, x in enumerate(lines) if not x.strip()}
-        found = line_dedup.aligned([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows], [len("".join(lines[r[0]].split())) for r in rows], blanks, 20)
-        gone = {p for a, b, _ in found for p in range(a, b + 1)}
-        out[d] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
-    return out
-
-
 def test_lines_on_documents(spark, sf_dir):
     out = line_dedup.dedup_lines(queries.table(spark, sf_dir, "documents")).collect()
-    assert {r["doc_id"]: r["kept"] for r in out} == brute_lines(documents(spark, sf_dir))
+    assert {r["doc_id"]: r["kept"] for r in out} == brute_pairs(documents(spark, sf_dir))
 
 
 def test_line_blocks(spark):
@@ -235,10 +211,13 @@ def brute_pairs(texts: dict, least: int = 20) -> dict:
             spans = set()  # shortest runs of enough letters, by either end
             for a in range(len(size)):
                 for b in range(a, len(size)):
-                    enough = sum(size[a : b + 1]) >= least
+                    if there[b] is None or there[b] - there[a] != b - a:
+                        break
                     shortest = sum(size[a:b]) < least or sum(size[a + 1 : b + 1]) < least
-                    if enough and (shortest or a == b) and all(there[q] is not None and there[q] - there[a] == q - a for q in range(a, b + 1)):
+                    if sum(size[a : b + 1]) >= least and (shortest or a == b):
                         spans.add((a, b))
+                    if not shortest and a != b:
+                        break
             for chosen in (spans, spans - seen_runs):
                 own = sorted({q for a, b in chosen for q in range(a, b + 1)})
                 chain = [own[k] for k in line_dedup.increasing([there[q] for q in own])]
@@ -250,6 +229,12 @@ def brute_pairs(texts: dict, least: int = 20) -> dict:
     return out
 
 
+def test_copy_of_a_document_of_known_lines(spark):
+    texts = {1: "alpha beta gamma", 2: "delta epsilon zeta", 3: "alpha beta gamma\ndelta epsilon zeta", 4: "alpha beta gamma\ndelta epsilon zeta"}
+    out = {r["doc_id"]: r for r in line_dedup.dedup_lines(table_of(spark, texts)).collect()}
+    assert out[4]["n_removed"] == 2 and out[4]["emptied"] and not any(out[k]["n_removed"] for k in (1, 2, 3))
+
+
 def test_lines_with_every_earlier_document(spark):
     rng = random.Random(8)
     long = [f"long line number {k} of the pool" for k in range(12)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -47,6 +48,20 @@ def test_elimination_skips_and_is_exact():
     assert min(looked) < len(x) / 2
 
 
+def test_known_scores_leave_out_only_worse_ones():
+    rng = np.random.default_rng(4)
+    x = rng.integers(-50, 50, (3000, 6))
+    p = topk.choose_pivots(x.astype(float), 12)
+    d, norms, ids = topk.distances(x.astype(float), p), (x.astype(float) ** 2).sum(1), np.arange(len(x))
+    for k in range(0, len(x), 200):
+        s = np.delete(x @ x[k], k)
+        least = int(np.sort(s)[-9])
+        a, b, n = topk.best(x[k], d[k], k, x, d, norms, ids, 5)
+        c, e, m = topk.best(x[k], d[k], k, x, d, norms, ids, 5, least)
+        assert a.tolist() == c.tolist() and b.tolist() == e.tolist() and m <= n
+        assert topk.best(x[k], d[k], k, x, d, norms, ids, 5, int(s.max()) + 1)[0].size == 0
+
+
 def odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [math.nan, 1.0]), (5, [math.inf, 0.0]), (6, [None, 1.0]), (7, []), (8, [0.0, 0.0]), (9, [-1.0, 2.0]), (9, [5.0, 5.0]), (None, [1.0, 1.0]), (10, [1.0, 2.0, 3.0])]
     return spark.createDataFrame([(i, v, None, "r", "p") for i, v in rows], SCHEMA)
@@ -99,6 +114,37 @@ def test_recall_on_embeddings(spark, sf_dir):
     assert hit / (10 * len(got)) >= 0.9
 
 
+def test_parts_grow_with_the_rows():
+    assert [ann.parts_for(n) for n in (0, 50, 100, 500, 2000, 50_000, 250_000, 10**7, 10**12)] == [1, 1, 2, 4, 8, 64, 128, 1024, 1024]
+
+
+LARGER = "/root/testdata/sf0.1"
+
+
+def test_recall_through_the_router(spark):
+    if not os.path.isdir(LARGER):
+        pytest.skip("larger tables are absent")
+    ids, x = vectors(spark, LARGER)
+    assert ann.parts_for(len(ids)) >= 8
+    got = {}
+    for r in queries.op6_ann(spark, LARGER).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hit = 0
+    for k in np.flatnonzero(ids % 100 == 0):
+        d = ((x - x[k]) ** 2).sum(1)
+        d[k] = np.inf
+        hit += len(set(ids[np.lexsort((ids, d))[:10]]) & got[ids[k]])
+    assert len(got) == sum(ids % 100 == 0) and hit / (10 * len(got)) >= 0.9
+
+
+def test_queries_find_k_rows_in_uneven_parts(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.tile(rng.normal(size=4), (3000, 1)), rng.normal(size=(20, 4)) * 100]).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")
+    n = {r["query_id"]: r["count"] for r in ann.nearest(df, F.col("vec_id") >= 2995, k=15).groupBy("query_id").count().collect()}
+    assert n == {k: 15 for k in range(2995, 3020)}
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(2)
     x = rng.normal(size=(1000, 8))

@@ -5,7 +5,12 @@ equal parts by recursive bisection along its slow eigenvectors, so that few neig
 are separated. A small network learns, from a vector alone, in which parts the
 neighbours of such a vector lie. It puts every row into its most probable part, and
 routes a query to the most probable parts, where all rows are ranked by exact distance.
-How many parts a query visits is set on the sample for a wanted recall.
+How many parts a query visits is set on the sample for a wanted recall; a query goes on
+to further parts until those it visits hold enough rows.
+
+Parts grow with the square root of the rows, so their number and their size do, too. They
+are bounded by the sample, which holds ``PART_SAMPLE`` rows a part up to ``SAMPLE_ROWS``:
+beyond some ten million rows the parts grow with the table.
 """
 
 from __future__ import annotations
@@ -18,16 +23,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocked, matrix, tune, valid_vectors
+from .common import blocked, matrix, tune, valid_vectors, write_shared
 
-#: Bound on the rows of the sample (the least by a hash of the id), neighbours in its graph, most parts.
-SAMPLE_ROWS, GRAPH_K, MAX_PARTS = 8192, 10, 64
-#: Rows for each part at least; fewer rows than twice that make one part, which is exact.
-PART_ROWS = 500
+#: Bound on the rows of the sample (the least by a hash of the id), its rows for each part, neighbours in its graph, most parts.
+SAMPLE_ROWS, PART_SAMPLE, GRAPH_K, MAX_PARTS = 32_768, 128, 10, 1024
+#: Rows below which there is one part, which is exact.
+LEAST_ROWS = 64
 #: Recall on the sample that sets the number of parts a query visits.
 WANTED = 0.98
 
 
+def parts_for(rows: int, most: int = MAX_PARTS) -> int:
+    """A power of two, about a third of the square root of the rows."""
+    parts = 1
+    while 2 * parts <= most and rows >= max(LEAST_ROWS, 36 * parts * parts):
+        parts *= 2
+    return parts
+
+
 def near_graph(x: np.ndarray, k: int) -> np.ndarray:
     """The k nearest other rows of each row."""
     out, norms = np.zeros((len(x), k), np.int64), (x**2).sum(1)
@@ -146,19 +159,26 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     n = usual["n"] if usual else 0
     rows = rows.filter(F.size("v") == n)
-    sample = np.array([r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").collect()], float)
-    parts = 1
-    while usual and 2 * parts <= max_parts and usual["count"] >= 2 * parts * PART_ROWS and len(sample) >= 2 * parts * 32:
-        parts *= 2
+    parts = parts_for(usual["count"], max_parts) if usual else 1
+    most = min(sample_rows, max(1024, PART_SAMPLE * parts))
+    sample = np.array([r["v"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(most).select("v").collect()], float)
+    while parts > 1 and len(sample) < 16 * parts:
+        parts //= 2
     router = fit(sample, parts, wanted)
 
-    def place(visits: int):
+    def place(visits: int, held: np.ndarray | None = None):
+        """Each row in its most probable parts: as many as ``visits``, and on until those hold k other rows (``held``: rows of each part)."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 x = matrix(pa.Table.from_batches([batch]), "v") if batch.num_rows else np.zeros((0, len(router.shift)))
-                top = np.argsort(-router.scores(x), axis=1, kind="stable")[:, :visits]
-                row = pa.array(np.repeat(np.arange(len(x)), top.shape[1]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(top.ravel().astype(np.int32))], names=["vec_id", "v", "part"])
+                top = np.argsort(-router.scores(x), axis=1, kind="stable")
+                before = np.zeros(top.shape, np.int64)
+                if held is not None:  # rows in the parts before
+                    before[:, 1:] = np.cumsum(held[top], axis=1)[:, :-1]
+                go = (np.arange(top.shape[1]) < visits) | (before < k + 1) & (held is not None)
+                row = pa.array(np.repeat(np.arange(len(x)), go.sum(1)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(top[go].astype(np.int32))], names=["vec_id", "v", "part"])
 
         return run
 
@@ -181,7 +201,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_i
         return pa.table([np.concatenate(o) for o in out], names=["query_id", "vec_id", "score"])
 
     schema = "vec_id long, v array<double>, part int"
-    index, asked = rows.mapInArrow(place(1), schema), rows.filter(is_query).mapInArrow(place(router.visits), schema)
+    index = write_shared(rows.mapInArrow(place(1), schema), "index")
+    held = np.zeros(router.parts, np.int64)
+    for r in index.groupBy("part").count().collect():  # at most MAX_PARTS rows
+        held[r["part"]] = r["count"]
+    asked = rows.filter(is_query).mapInArrow(place(router.visits, held), schema)
     found = blocked(index, asked, parts).applyInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -99,13 +99,13 @@ class BytePairs:
     """Encoder and decoder over one vocabulary file."""
 
     def __init__(self, path: str, cache_entries: int = CACHE_ENTRIES):
-        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         spec = json.loads(open(path, encoding="utf-8").read())
         model, before = spec["model"], spec["pre_tokenizer"]
         if model["type"] != "BPE" or before["type"] != "ByteLevel" or before["add_prefix_space"] or not before.get("use_regex", True) or spec["normalizer"]:
             raise ValueError(f"{path} is no byte-level BPE file without a prefix space")
-        self.pre = Tokenizer.from_file(path).pre_tokenizer
+        self.pre = ByteLevel(add_prefix_space=False)
         self.vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}

@@ -57,35 +57,6 @@ def increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
-def aligned(pos: list[int], home: list[int], there: list[int], df: list[int], letters: list[int], blanks: set[int], min_letters: int) -> list[tuple[int, int, int]]:
-    """Common blocks of one document: (first line, last line, home).
-
-    Line ``pos[k]`` has its home in document ``home[k]`` at line ``there[k]``; ``df`` counts
-    its documents. Homes are taken rarest line first, and lines that are already deleted
-    take no further part. Blank lines between two lines of a block belong to it.
-    """
-    of: dict[int, list[int]] = {}
-    for k in sorted(range(len(pos)), key=pos.__getitem__):
-        of.setdefault(home[k], []).append(k)
-    gone: set[int] = set()
-    out = []
-    for h in sorted(of, key=lambda h: (min(df[k] for k in of[h]), h)):
-        rows = [k for k in of[h] if pos[k] not in gone]
-        chain = [rows[k] for k in increasing([there[k] for k in rows])]
-        block: list[int] = []
-        for k in [*chain, None]:
-            joined = k is not None and block and all(p in blanks for p in range(pos[block[-1]] + 1, pos[k]))
-            joined = joined and there[k] - there[block[-1]] <= pos[k] - pos[block[-1]]
-            if block and not joined:
-                if sum(letters[i] for i in block) >= min_letters:
-                    out.append((pos[block[0]], pos[block[-1]], h))
-                    gone.update(pos[i] for i in block)
-                block = []
-            if k is not None:
-                block.append(k)
-    return out
-
-
 _BLOCKS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("home", pa.int64())]))
 
 
@@ -198,7 +169,7 @@ def _blocks_of(docs: DataFrame, min_letters: int) -> DataFrame:
     key = F.conv(F.substring(F.hex("h"), 1, 15), 16, 10).cast("long").alias("k")
     lists = rows.join(homes, "h").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "last", key, "home", "h"))).alias("w"))
     lists = write_shared(lists.withColumn("form", F.unhex(F.md5(F.array_join(F.transform("w.h", F.hex), "").cast("binary")))), "lists")
-    forms = lists.groupBy("form").agg(F.min("doc_id").alias("rep"))
+    forms = write_shared(lists.groupBy("form").agg(F.min("doc_id").alias("rep")), "forms")
     lists = write_shared(lists.join(forms, "form").select("doc_id", "rep", "w"), "lists")
     reps = lists.filter("doc_id = rep")
 
