@@ -28,8 +28,8 @@ from .common import BYTE_VALUES, bucket_of, buckets_for, by_bucket, lean, mix, o
 from .ngram_join import powers
 
 SIZE = 50
-#: Bytes in a digit of the first pass, and runs of one digit that a bucket may order.
-DIGIT, HEAVY_RUNS = 16, 10_000
+#: Bytes in a digit of the first pass, and different runs of one digit that a bucket may order (some 2 KB of memory each).
+DIGIT, HEAVY_RUNS = 16, 50_000
 
 
 def rolling(raw: np.ndarray, width: int, step: int = 1 << 20, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
@@ -45,9 +45,8 @@ def rolling(raw: np.ndarray, width: int, step: int = 1 << 20, values: np.ndarray
     return out
 
 
-def least_digits(raw: np.ndarray, size: int, digit: int) -> np.ndarray:
-    """For each window of ``size`` bytes, the least hash of its k-grams."""
-    h, w = rolling(raw, digit), size - digit + 1
+def least_digits(h: np.ndarray, w: int) -> np.ndarray:
+    """The least of each ``w`` neighbouring hashes."""
     if len(h) < w:
         return np.zeros(0, np.uint64)
     m, s = h, 1
@@ -70,14 +69,15 @@ def _runs_by_digit(size: int, digit: int, n_buckets: int):
     """Runs of windows with one digit, dealt by it. What a slice knows to be shared it says itself.
 
     Of such a digit one entry goes to the digit's bucket, marked with the binary digits of
-    how many the slice has; all of them go to a bucket by the slice's first document.
+    how many different runs the slice has; all go to a bucket by the slice's first document.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(x, y - x) for b in batches for x, y in slices(b.column(1))):
             raw, ends = utf8(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            m = least_digits(raw, size, digit)
+            h = rolling(raw, digit)
+            m = least_digits(h, size - digit + 1)
             if not len(m):
                 continue
             row = np.repeat(np.arange(len(ids)), np.diff(ends))[: len(m)]
@@ -88,14 +88,20 @@ def _runs_by_digit(size: int, digit: int, n_buckets: int):
             stop = np.flatnonzero(whole & np.r_[new[1:] | ~whole[1:], True]) + 1
             kh, doc, start, length = m[at], row[at], at - ends[row[at]], stop - at
             order = np.lexsort((doc, kh))
-            kh, doc, start, length = kh[order], doc[order], start[order], length[order]
+            kh, doc, start, length, at, stop = kh[order], doc[order], start[order], length[order], at[order], stop[order]
             first = runs(kh)
             n = np.diff(np.r_[first, len(kh)])
             several = np.repeat(doc[first] != doc[first + n - 1], n)
             keep = ~several
             keep[first] = True
             span = (start.astype(np.int64) << 32) | length
-            told = np.where(several, np.ceil(np.log2(np.repeat(n, n))) + 1, 0).astype(np.uint8)
+            told = np.zeros(len(kh), np.uint8)
+            if several.any():  # runs of one length with the same ends count as one
+                own, group = np.flatnonzero(several), np.repeat(np.arange(len(first)), n)[several]
+                look = mix(h[at[own]] ^ mix(h[stop[own] - 1 + size - digit] + length[own].astype(np.uint64)))
+                by = np.lexsort((look, group))
+                different = np.bincount(group[by][runs(group[by], look[by])], minlength=len(first))
+                told[own] = (np.ceil(np.log2(different[group])) + 1).astype(np.uint8)
             rows = [(b, 0, p) for b, p in by_bucket(kh[keep], n_buckets, [kh[keep], ids[doc[keep]], span[keep], told[keep]])]
             if several.any():
                 rows.append((int(bucket_of(ids[:1].view(np.uint64), n_buckets)[0]), 1, pack([kh[several], ids[doc[several]], span[several]])))
@@ -235,21 +241,37 @@ def _repeated(size: int):
 
 
 def _hashed(size: int):
-    """All windows of the given runs as rows: document, place, and 128 bits of hash."""
+    """All windows of the given runs as rows: document, place, bytes, and 128 bits of hash.
+
+    A run that an earlier row of the batch holds whole is settled here: one row without hashes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, ends = utf8(batch.column(1))
-            lists = batch.column(2)
-            spans = lists.values.to_numpy(zero_copy_only=False)[lists.offsets.to_numpy()[0] : lists.offsets.to_numpy()[-1]]
-            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            n = spans & 0xFFFFFFFF
-            start = np.repeat(spans >> 32, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            lists, whole, ids = batch.column(2), raw.tobytes(), batch.column(0).to_numpy(zero_copy_only=False)
+            spans, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            seen: dict[bytes, int] = {}
+            row, kept, done = [], [], []
+            for k in np.argsort(ids, kind="stable").tolist():
+                for s in spans[at[k] : at[k + 1]].tolist():
+                    a, n = int(ends[k]) + (s >> 32), (s & 0xFFFFFFFF) + size - 1
+                    if seen.setdefault(whole[a : a + n], k) != k:
+                        done.append((ids[k], s >> 32, n))
+                    else:
+                        row.append(k)
+                        kept.append(s)
+            kept, row = np.array(kept, np.int64), np.array(row, np.int64)
+            n = kept & 0xFFFFFFFF
+            start = np.repeat(kept >> 32, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             row = np.repeat(row, n)
             both = [rolling(raw, size, values=v)[ends[row] + start].view(np.int64) for v in (BYTE_VALUES, OTHER_VALUES)]
+            names = ["doc_id", "start", "n", "h", "g"]
             for a in range(0, len(row), 100_000):
                 some = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[some])), pa.array(start[some]), *[pa.array(x[some]) for x in both]], names=["doc_id", "start", "h", "g"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row[some]]), pa.array(start[some]), pa.array(np.full(len(start[some]), size)), *[pa.array(x[some]) for x in both]], names=names)
+            if done:
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in zip(*done)), *[pa.nulls(len(done), pa.int64())] * 2], names=names)
 
     return run
 
@@ -257,9 +279,10 @@ def _hashed(size: int):
 def _by_whole_window(docs: DataFrame, runs_: DataFrame, size: int) -> DataFrame:
     """(doc_id, span) of the repeats among the windows of some runs, found as rows."""
     rows = runs_.groupBy("doc_id").agg(F.collect_list("span").alias("span"))
-    windows = write_shared(docs.join(rows, "doc_id").select("doc_id", "text", "span").mapInArrow(lean(_hashed(size)), "doc_id long, start long, h long, g long"), "windows")
-    least = windows.groupBy("h", "g").agg(F.min("doc_id").alias("first"))
-    return windows.join(least, ["h", "g"]).filter("doc_id > first").select("doc_id", F.expr(f"shiftleft(start, 32) | {size}L").alias("span"))
+    windows = write_shared(docs.join(rows, "doc_id").select("doc_id", "text", "span").mapInArrow(lean(_hashed(size)), "doc_id long, start long, n long, h long, g long"), "windows")
+    least = write_shared(windows.filter("h is not null").groupBy("h", "g").agg(F.min("doc_id").alias("first")), "least")
+    repeats = windows.join(least, ["h", "g"]).filter("doc_id > first").select("doc_id", "start", "n")
+    return repeats.union(windows.filter("h is null").select("doc_id", "start", "n")).select("doc_id", F.expr("shiftleft(start, 32) | n").alias("span"))
 
 
 _KEPT = "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,stop:long>>"
