@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, line_dedup, ngram_join, packing, pii, quality, topk, window_dedup
+from . import ann, bpe, chat, line_dedup, ngram_join, oracle, packing, pii, quality, topk, window_dedup
 from .common import tune, write_shared
 
 #: The vocabulary that the contracts name; operators take any path.
@@ -131,4 +131,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_ngram_join": op9_ngram_join,
     "op10_window_dedup": op10_window_dedup,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = oracle.SQL
