@@ -161,6 +161,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "kept", "n_removed", "blocks", "emptied"])
 
 
+def _ranks(holders: DataFrame) -> DataFrame:
+    """(h, doc_id, rank): which holder of its window a document is, from 1 on.
+
+    Holders are dealt by ranges of (h, doc_id), so those of a hot window lie in many parts;
+    a holder's rank is its place in its part and the number of holders in the parts before.
+    """
+    dealt = write_shared(holders.repartitionByRange("h", "doc_id").withColumn("part", F.spark_partition_id()), "holders")
+    sizes = dealt.groupBy("h", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("h", "part", (F.sum("n").over(Window.partitionBy("h").orderBy("part")) - F.col("n")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("h", "part").orderBy("doc_id"))
+    return write_shared(dealt.withColumn("place", place).join(before, ["h", "part"]).select("h", "doc_id", (F.col("before") + F.col("place")).alias("rank")), "ranks")
+
+
 def _blocks_of(docs: DataFrame, min_letters: int) -> DataFrame:
     """(doc_id, home, first, last) of the common blocks of every document with earlier ones."""
     rows = write_shared(docs.mapInArrow(_windows(min_letters), "doc_id long, first int, last int, h binary"), "windows")
@@ -193,8 +206,7 @@ def _blocks_of(docs: DataFrame, min_letters: int) -> DataFrame:
     open_ = write_shared(left(held.filter("doc_id <> home").select("doc_id", "first", "last", "h"), blocks), "open")
     if open_.isEmpty():
         return blocks
-    ranks = held.join(open_.select("h").distinct(), "h", "left_semi").select("h", "doc_id")
-    ranks = write_shared(ranks.withColumn("rank", F.row_number().over(Window.partitionBy("h").orderBy("doc_id"))), "ranks")
+    ranks = _ranks(held.join(open_.select("h").distinct(), "h", "left_semi").select("h", "doc_id"))
     # the first holder, rank 1, has been tried
     open_, many = open_.join(ranks, ["h", "doc_id"]).filter("rank > 2"), 1
     open_ = write_shared(open_, "open")

@@ -1,7 +1,13 @@
-"""The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""The stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame.
+
+Null texts count as empty. Line dedup and the n-gram join know a document by its id, so
+they leave rows without an id as they are, and of several texts of one id they judge the
+smallest and leave the others as they are; rows with one id and one text count once.
+"""
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,16 +36,33 @@ def with_text(docs: DataFrame, text: F.Column) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
+def judged(docs: DataFrame) -> DataFrame:
+    """The documents with ``_judged``: whether operators that know documents by their id see the row.
+
+    Looking for ids that come twice costs one aggregation over the ids; texts are shuffled for such ids only.
+    """
+    has_id, words = F.col("doc_id").isNotNull(), F.coalesce(F.col("text"), F.lit(""))
+    twice = write_shared(docs.filter(has_id).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "twice")
+    if twice.isEmpty():
+        return docs.withColumn("_judged", has_id)
+    rest = docs.join(twice, "doc_id", "left_anti").withColumn("_judged", has_id)
+    mine = docs.join(twice, "doc_id", "left_semi").withColumn("_words", words)
+    least = mine.groupBy("doc_id").agg(F.min("_words").alias("_least"))
+    mine = mine.dropDuplicates(["doc_id", "_words"]).join(least, "doc_id").withColumn("_judged", F.expr("_words = _least"))
+    return rest.unionByName(mine.select(rest.columns))
+
+
 def deduped_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks of lines that an earlier one has; those left empty by that go."""
-    cut = line_dedup.dedup_lines(docs).filter("not emptied").select("doc_id", F.col("kept").alias("_kept"))
-    return with_text(docs.join(cut, "doc_id"), F.col("_kept")).select(docs.columns)
+    cut = line_dedup.dedup_lines(docs).select("doc_id", F.col("kept").alias("_kept"), F.col("emptied").alias("_emptied"))
+    both = judged(docs).join(cut, "doc_id", "left").filter("not (_judged and _emptied)")
+    return with_text(both, F.when(F.col("_judged"), F.col("_kept")).otherwise(F.col("text"))).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are linked by similarity, directly or through others, the one with the smallest id."""
-    first = ngram_join.ngram_components(docs).filter("doc_id = component_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").select(docs.columns)
+    first = ngram_join.ngram_components(docs).filter("doc_id = component_id").select("doc_id", F.lit(True).alias("_first"))
+    return judged(docs).join(first, "doc_id", "left").filter("_first or not _judged").select(docs.columns)
 
 
 def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +88,15 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> DataFrame:
-    """Apply the stages to the documents; each result is written and read as the next one's input."""
+    """Apply the stages to the documents; each result is written and read as the next one's input.
+
+    A stage that leaves nothing of something gives a warning: a fault is likelier than such input.
+    """
     docs = table(spark, sf_dir, "documents")
+    empty = docs.isEmpty()
     for name, stage in stages:
         docs = write_shared(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        before, empty = empty, docs.isEmpty()
+        if empty and not before:
+            warnings.warn(f"the stage {name} left no document", stacklevel=2)
     return docs
