@@ -150,10 +150,18 @@ def test_large_group_of_copies(spark):
     assert line_dedup.dedup_lines(df).filter("not emptied").count() == 1
 
 
-def test_connected_components(spark):
-    chain = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (103, 102), (102, 100), (200, 200)]
-    got = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(chain, "a long, b long")).collect()}
-    assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 104)}
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_connected_components(spark, monkeypatch, most):
+    monkeypatch.setattr(common, "MOST_JUMPS", most)
+    edges = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (103, 102), (102, 100), (200, 200)]
+    edges += [(1000, k) for k in range(1001, 1300)] + [(999, 1299)]  # a centre of many, and one below it
+    rng = random.Random(5)
+    rng.shuffle(edges)
+    table = spark.createDataFrame(edges, "a long, b long").repartition(16)
+    got = [(r["node"], r["component"]) for r in common.components(table).collect()]
+    want = {k: 0 for k in range(41)} | {k: 100 for k in range(100, 104)} | {k: 999 for k in range(999, 1300)}
+    assert sorted(got) == sorted(want.items())
+    assert common.components(table.filter("a < 0")).isEmpty()
 
 
 def longest_increasing(v):

@@ -17,6 +17,8 @@ BATCH_ROWS = 500
 BUCKET_BYTES = 4_000_000
 #: Parts of a search whose counts may be broadcast.
 MOST_PARTS = 10_000
+#: Rows of two ids that may be broadcast: 16 MB.
+MOST_JUMPS = 1_000_000
 
 
 def tune(spark: SparkSession) -> None:
@@ -203,30 +205,29 @@ def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected edges (a, b): the smallest node it reaches.
 
-    Each task first joins its own edges into stars. Large-star and small-star rounds over
-    the whole cluster follow until nothing changes; every round is written to the shared
-    folder, so a lost executor costs at most one round.
+    Each task first joins its own edges into stars, so every edge leads from a node down to a
+    smaller one. Rounds of large-star and small-star over the whole cluster follow: first
+    each edge goes on to the smallest node below its lower end, then each node's lower ends
+    are tied to their smallest. Edges into a node that has none below it stay as they
+    are, so the many edges of a large component's centre are never gathered: only lower
+    ends that still have to move are looked up, by a broadcast where they are at most
+    ``MOST_JUMPS`` and by a join that can be split beyond. Every round is written to the
+    shared folder, so a lost executor costs at most one round.
     """
     stars = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
-    stars = stars.mapInArrow(_local_forest, "a long, b long").filter("a <> b").distinct()
-    stars, seen = write_shared(stars, "links"), None
-    if stars.isEmpty():
-        return stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    stars = write_shared(stars.mapInArrow(_local_forest, "a long, b long").filter("a <> b").distinct(), "links")
     while True:
-        both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        down = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))  # a > b
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.union(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
-        stars = write_shared(small, "links")
-        now = stars.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if seen == (now["n"], now["s"]):
-            break
-        seen = (now["n"], now["s"])
-    leaves = stars.groupBy("a").agg(F.min("b").alias("component"))
-    roots = stars.select(F.col("b").alias("a"), F.col("b").alias("component")).distinct().join(leaves.select("a"), "a", "left_anti")
-    return leaves.union(roots).select(F.col("a").alias("node"), "component")
+        below = write_shared(stars.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")), "below")
+        ends = stars.select(F.col("b").alias("a")).distinct()
+        jumps = write_shared(below.join(ends, "a", "left_semi").select(F.col("a").alias("b"), "m"), "jumps")
+        n_jumps = jumps.count()
+        if not n_jumps and below.filter("n > 1").isEmpty():
+            return below.select(F.col("a").alias("node"), F.col("m").alias("component")).union(ends.select("a", "a"))
+        if n_jumps:
+            stars = stars.join(F.broadcast(jumps) if n_jumps <= MOST_JUMPS else jumps, "b", "left").select("a", F.coalesce("m", "b").alias("b"))
+        least = stars.groupBy("a").agg(F.min("b").alias("m"))
+        tied = stars.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        stars = write_shared(tied.union(least).toDF("a", "b").filter("a <> b").distinct(), "links")
 
 
 def valid_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", zero: bool = True) -> DataFrame:
