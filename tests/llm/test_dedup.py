@@ -85,6 +85,27 @@ def test_components(spark, monkeypatch, part):
     assert got == brute_components(texts)
 
 
+def test_chained_blocks(spark, monkeypatch):
+    """A chain of columns is taken apart into its columns; whoever shares one and may link still meets."""
+    monkeypatch.setattr(ngram_join, "PART", 3)
+    held = [(d, h) for h in range(40) for d in (h, h + 1)] + [(d, 500) for d in range(7)] + [(d, 501) for d in range(7)]
+    held += [(d, h) for h in (900, 901) for d in (200, 201)]
+    size = {d: 20 + 3 * (d % 9) for d in range(41)} | {200: 5, 201: 5}
+    ahead = spark.createDataFrame(held, "doc_id long, h long")
+    sets = spark.createDataFrame([(d, list(range(n))) for d, n in size.items()], "doc_id long, grams array<long>")
+    block = spark.createDataFrame([(d, 0 if d < 100 else 200) for d in size], "node long, component long")
+    member, met = ngram_join.blocks_to_multiply(block, ahead, sets, 80)
+    member, met = member.collect(), {(m["block"], m["k"], m["k2"]) for m in met.collect()}
+    blocks = collections.defaultdict(dict)
+    for m in member:
+        blocks[m["block"]][m["doc_id"]] = m["k"]
+    assert blocks[200] == {200: 0, 201: 0} and len(blocks) == 42  # the columns 500 and 501 are one
+    met_docs = {(a, b) for g, of in blocks.items() for a, x in of.items() for b, y in of.items() if (g, x, y) in met}
+    for h in {h for _, h in held}:
+        own = [d for d, g in held if g == h]
+        assert all((a, b) in met_docs for a in own for b in own if 5 * min(size[a], size[b]) >= 4 * max(size[a], size[b]))
+
+
 def test_components_on_documents(spark, sf_dir):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in queries.op9_ngram_join(spark, sf_dir).collect()}
     assert got == brute_components(documents(spark, sf_dir))

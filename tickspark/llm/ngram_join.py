@@ -14,14 +14,19 @@ cannot hold a link are left out by bounds that follow from the sizes alone:
    class is first compared with the smallest one that it shares a column with, so a
    group of near copies becomes one component by as many comparisons as it has members.
    Columns of a single component are done.
-4. Classes that share other columns form the blocks of the product; no block is linked
-   with another. Within a block, and between parts of a large one, overlap counts accumulate over
-   slices of n-grams. Pairs leave as soon as the columns to come can't lift them to the
-   bound. Only a spanning forest of the links leaves a task.
+4. Classes that share other columns, directly or through others, form the blocks of the
+   product; no block is linked with another. A block of more than one part may have grown
+   along chains of columns whose ends have nothing in common. Where that is less work, it is
+   taken apart again: each set of classes that hold the same columns together is a block.
+   Parts of a large block hold classes of about one size, and only parts whose sizes allow a
+   link meet. Overlap counts accumulate over slices of n-grams, and pairs leave as
+   soon as the columns to come can't lift them to the bound. Only a spanning forest of the
+   links leaves a task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -223,6 +228,51 @@ def _block_links(percent: int):
     return run
 
 
+def meetings(rows: DataFrame) -> DataFrame:
+    """Which size classes of a block meet, stored: (component, block, k, c, r, k2, r2).
+
+    ``rows`` are the members of blocks: (doc_id, component, block, k). A size class k of c
+    members has r parts and meets its own parts and the r2 parts of its neighbours.
+    """
+    key = ["component", "block", "k"]
+    sizes = write_shared(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).withColumn("r", F.ceil(F.col("c") / PART).cast("int")), "sizes")
+    other = sizes.select("component", "block", F.col("k").alias("k2"), F.col("r").alias("r2"))
+    near = sizes.withColumn("k2", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)))
+    return write_shared(near.join(other, ["component", "block", "k2"]), "meetings")
+
+
+def blocks_to_multiply(block: DataFrame, ahead: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Members of the blocks of the product, (doc_id, component, block, k), and their meetings.
+
+    ``block`` is (node, component), ``ahead`` the columns (doc_id, h) that tie them. A block
+    is a whole component or, where fewer copies of rows are needed so, the classes that share a
+    set of its columns.
+    """
+    # sizes of a link differ by 100 / percent at most, so by one class at most; a little more covers rounding
+    width = max(math.log(100 / percent), 0.01) * (1 + 1e-9)
+    size_class = F.floor(F.log(F.size("grams")) / width).cast("int")
+    node = block.join(sets.select(F.col("doc_id").alias("node"), size_class.alias("k")), "node")
+    node = node.join(write_shared(block.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "members"), "component")
+    node = write_shared(node.select(F.col("node").alias("doc_id"), "component", "members", "k"), "nodes")
+    large = F.col("members") > PART
+    whole = node.select("doc_id", "component", F.col("component").alias("block"), F.when(large, F.col("k")).otherwise(0).alias("k"))
+    met = meetings(whole)
+    chained = node.filter(large)
+    if chained.isEmpty():
+        return whole, met
+    ties = write_shared(ahead.join(chained.drop("members"), "doc_id"), "ties")
+    # columns of the same classes are one block: told by their number and 128 bits of hash
+    same = ties.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(2))).alias("y"))
+    same = write_shared(same.filter("n > 1").groupBy("n", "x", "y").agg(F.min("h").alias("h")).select("h", "n"), "tied")
+    tied = ties.join(same, "h").select("doc_id", "component", F.col("h").alias("block"), F.when(F.col("n") > PART, F.col("k")).otherwise(0).alias("k"))
+    met_tied = meetings(tied)
+    copies = lambda m: m.groupBy("component").agg(F.sum(F.col("c") * F.col("r2")).alias("copies"))
+    apart = copies(met_tied).withColumnRenamed("copies", "fewer").join(copies(met), "component").filter("fewer < copies").select("component")
+    apart = write_shared(apart, "apart")
+    pick = lambda a, b: a.join(apart, "component", "left_anti").unionByName(b.join(apart, "component", "left_semi"))
+    return pick(whole, tied), pick(met, met_tied)
+
+
 def ngram_components(df: DataFrame, text: str = "text", key: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document: its set's size and its component's smallest id.
 
@@ -271,11 +321,12 @@ def ngram_components(df: DataFrame, text: str = "text", key: str = "doc_id", wid
     ahead = write_shared(ahead.join(write_shared(open_, "open"), "h", "left_semi"), "columns")
     block = components(hubs(ahead).select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct())
 
-    parts = block.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
-    member = block.join(parts, "component").select(F.col("node").alias("doc_id"), "component", "parts", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"))
-    member = member.join(sets, "doc_id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    member = member.select("doc_id", "grams", "part", "component", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"))
-    links = member.groupBy("component", "p", "q").applyInArrow(_block_links(percent), "a long, b long")
+    member, met = blocks_to_multiply(block, ahead, sets, percent)
+    part = lambda k, number: F.shiftleft(F.col(k).cast("long"), 32) + number
+    member = member.join(met, ["component", "block", "k"]).withColumn("part", part("k", F.pmod(F.xxhash64("doc_id"), F.col("r"))))
+    member = member.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("r2") - 1))).withColumn("other", part("k2", F.col("j"))).join(sets, "doc_id")
+    member = member.select("doc_id", "grams", "part", "component", "block", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"))
+    links = member.groupBy("component", "block", "p", "q").applyInArrow(_block_links(percent), "a long, b long")
     reached = write_shared(components(near.union(links)), "reached")
 
     found = of_doc.join(reached, of_doc["rep"] == reached["node"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
