@@ -25,7 +25,7 @@ from ..operators.indicators import latest_per_key
 from ..operators.metrics import validate_ticks
 from ..operators.products import serialize_product
 from ..plans.pipelines import LOOKBACK, all_products, enrich_ticks, parse_messages
-from ..sources.readers import HOUR_PARTS, hour_bounds, with_hour_parts
+from ..sources.readers import HOUR_PARTS, with_hour_parts
 from ..sources.sinks import dead_letters
 
 METRICS = T.StructType().add("batch_id", "long").add("part", "string").add("records", "long").add("errors", "long").add("message", "string").add("at", "timestamp")
@@ -54,40 +54,65 @@ class Silver:
     def put(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(self.path(name, batch_id))
 
-    def read(self, spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
-        return spark.read.schema(schema).option("basePath", self.path(name)).parquet(self.path(name))
-
-    def stored(self, spark: SparkSession) -> DataFrame:
-        parts = [T.StructField("batch_id", T.LongType()), *[T.StructField(c, T.IntegerType()) for c in HOUR_PARTS]]
-        return self.read(spark, "ticks", T.StructType([*self.schema.fields, *parts]))
+    def store(self, ticks: DataFrame, batch_id: int) -> None:
+        """Write the ticks to folders of their hours, in each a folder of the batch, which they replace."""
+        rows = with_hour_parts(ticks, self.ts).withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR_PARTS, "batch_id").parquet(self.path("ticks"))
+
+    def stored(self, spark: SparkSession, since: datetime.datetime, until: datetime.datetime) -> DataFrame:
+        """The stored ticks of the hours between two times; what lies in other hours is not listed."""
+        parts = [*[T.StructField(c, T.IntegerType()) for c in HOUR_PARTS], T.StructField("batch_id", T.LongType())]
+        schema = T.StructType([*self.schema.fields, *parts])
+        a, b = ((t.year, t.month, t.day, t.hour) for t in (since, until))
+        found: list[tuple[str, tuple[int, ...]]] = [(self.path("ticks"), ())]
+        for n, part in enumerate(HOUR_PARTS, 1):
+            below = [(f"{path}/{part}={v}", (*at, v)) for path, at in found for v in self._values(spark, path, part)]
+            found = [(path, at) for path, at in below if a[:n] <= at <= b[:n]]
+        reader = spark.read.schema(schema).option("basePath", self.path("ticks"))
+        return reader.parquet(*[path for path, _ in found]) if found else spark.createDataFrame([], schema)
+
+    def _values(self, spark: SparkSession, path: str, part: str) -> list[int]:
+        """Values of a partition column that have a folder below ``path``."""
+        if not self._there(spark, path):
+            return []
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+        return [int(v) for c, _, v in (n.partition("=") for n in names) if c == part and v.isdigit()]
 
     def batch(self, accepted: DataFrame, rejected: DataFrame, batch_id: int) -> None:
         """Store the ticks, enrich them with what they look back at, and publish the products."""
         spark = accepted.sparkSession
-        with_hour_parts(accepted, self.ts).write.mode("overwrite").partitionBy(*HOUR_PARTS).parquet(self.path("ticks", batch_id))
         self.put(dead_letters(rejected, source="ticks"), "dead_letters", batch_id)
-        ticks = self.stored(spark)
-        span = ticks.filter(F.col("batch_id") == batch_id).agg(F.min(self.ts).alias("a"), F.max(self.ts).alias("b"), F.count(F.lit(1)).alias("n")).first()
-        notes = [(batch_id, "ticks", span["n"], 0, None)]
-        if span["n"]:
-            rows = self.enriched(spark, ticks, span["a"], span["b"], batch_id).persist()
-            try:
-                self.put(rows, "enriched", batch_id)
-                for name, product in all_products(rows).items():
-                    try:  # one product that fails doesn't stop the others; the ticks are stored
-                        self.publish(name, product, batch_id)
-                        notes.append((batch_id, name, span["n"], 0, None))
-                    except Exception as e:  # noqa: BLE001  recorded for the health report
-                        notes.append((batch_id, name, span["n"], span["n"], str(e)[:500]))
-            finally:
-                rows.unpersist()
-            now = ticks.filter(F.col("batch_id") == batch_id).drop(*HOUR_PARTS, "batch_id")
-            self.put(quality_alerts(now.unionByName(rejected.drop("error_reason")), ts=self.ts), "alerts", batch_id)
-            before = now if batch_id == 0 or not (last := self.last(spark, batch_id)) else last.unionByName(now)
-            self.put(latest_per_key(before, self.symbol, [self.ts, *self.tie()]), "last", batch_id)
+        now, last = accepted.select(self.schema.names).persist(), self.last(spark, batch_id)
+        try:
+            self.store(now, batch_id)
+            span = now.agg(F.min(self.ts).alias("a"), F.max(self.ts).alias("b"), F.count(F.lit(1)).alias("n")).first()
+            notes = [(batch_id, "ticks", span["n"], 0, None)]
+            if span["n"]:
+                notes += self.publish_all(self.enriched(spark, span["a"], span["b"], batch_id, last), span["n"], batch_id)
+                self.put(quality_alerts(now.unionByName(rejected.drop("error_reason")), ts=self.ts), "alerts", batch_id)
+            known = now if last is None else last.unionByName(now)
+            self.put(latest_per_key(known, self.symbol, [self.ts, *self.tie()]), "last", batch_id)
+        finally:
+            now.unpersist()
         lines = [(*n, datetime.datetime.now(datetime.timezone.utc)) for n in notes]
         self.put(spark.createDataFrame(lines, METRICS).drop("batch_id").coalesce(1), "metrics", batch_id)
 
+    def publish_all(self, enriched: DataFrame, n: int, batch_id: int) -> list[tuple]:
+        """Store the enriched rows and publish their products; one line of metrics for each."""
+        rows, notes = enriched.persist(), []
+        try:
+            self.put(rows, "enriched", batch_id)
+            for name, product in all_products(rows).items():
+                try:  # one product that fails doesn't stop the others; the ticks are stored
+                    self.publish(name, product, batch_id)
+                    notes.append((batch_id, name, n, 0, None))
+                except Exception as e:  # noqa: BLE001  recorded for the health report
+                    notes.append((batch_id, name, n, n, str(e)[:500]))
+        finally:
+            rows.unpersist()
+        return notes
+
     def publish(self, name: str, product: DataFrame, batch_id: int) -> None:
         rows = serialize_product(product)
         if self.sink:
@@ -99,26 +124,26 @@ class Silver:
         return [c for c in ("offset", "event_id") if c in self.schema.names]
 
     def last(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The last tick of each symbol up to the batch before."""
-        kept = self.read(spark, "last", T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])) if self._there(spark, "last") else None
-        if kept is None:
-            return None
-        newest = kept.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id").alias("m")).first()["m"]
-        return None if newest is None else kept.filter(F.col("batch_id") == newest).drop("batch_id")
-
-    def _there(self, spark: SparkSession, name: str) -> bool:
-        p = spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        """The last tick of each symbol up to the batch before; every batch stores them, so one folder is read."""
+        for k in range(batch_id - 1, -1, -1):
+            if self._there(spark, self.path("last", k)):
+                return spark.read.schema(self.schema).parquet(self.path("last", k))
+        return None
+
+    def _there(self, spark: SparkSession, path: str) -> bool:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-    def enriched(self, spark: SparkSession, ticks: DataFrame, first: datetime.datetime, last: datetime.datetime, batch_id: int) -> DataFrame:
+    def enriched(self, spark: SparkSession, first: datetime.datetime, last: datetime.datetime, batch_id: int, older: DataFrame | None) -> DataFrame:
+        """The batch's ticks from ``first`` to ``last``, enriched with what is stored around them and the last ticks before."""
         reach = datetime.timedelta(seconds=LOOKBACK)
         until = last + reach if self.recompute_late else last
-        hours = hour_bounds(first - reach, until)
-        near = ticks.filter(hours & (F.col(self.ts) >= F.lit(first - reach)) & (F.col(self.ts) <= F.lit(until)) & (F.col("batch_id") <= batch_id))
+        ticks = self.stored(spark, first - reach, until)
+        near = ticks.filter((F.col(self.ts) >= F.lit(first - reach)) & (F.col(self.ts) <= F.lit(until)) & (F.col("batch_id") <= batch_id))
         mine = F.col("batch_id") == batch_id
         own = mine | (F.col(self.ts) >= F.lit(first)) if self.recompute_late else mine
         near = near.withColumn("_own", own).drop("batch_id", *HOUR_PARTS)
-        if (older := self.last(spark, batch_id)) is not None:
+        if older is not None:
             near = near.unionByName(older.filter(F.col(self.ts) < F.lit(first - reach)).withColumn("_own", F.lit(False)))
         return enrich_ticks(near, symbol=self.symbol, ts=self.ts, bucket=self.bucket).filter("_own").drop("_own")
 
