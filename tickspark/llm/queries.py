@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, line_dedup, ngram_join, oracle, packing, pii, quality, topk, window_dedup
+from . import ann, bpe, chat, line_dedup, ngram_join, oracle, packing, pii, quality, token_counts, topk, window_dedup
 from .common import tune, write_shared
 
 #: The vocabulary that the contracts name; operators take any path.
@@ -119,6 +119,17 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: Tokens above which a document is over the limit.
+TOKEN_LIMIT = 2048
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fit_chars``: how many characters of the document the longest prefix within the limit has."""
+    tune(spark)
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), (TOKEN_LIMIT,))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), F.col("fits")[0].alias("fit_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_topk": op2_topk,
@@ -130,5 +141,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_window_dedup": op10_window_dedup,
+    "op13_token_counts": op13_token_counts,
 }
 ORACLE_SQL: dict[str, str] = oracle.SQL
