@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, line_dedup, ngram_join, oracle, packing, pii, quality, token_counts, topk, window_dedup
+from . import ann, bpe, chat, line_dedup, ngram_join, oracle, packing, pii, quality, token_counts, topk, whitening, window_dedup
 from .common import tune, write_shared
 
 #: The vocabulary that the contracts name; operators take any path.
@@ -119,6 +119,28 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def in_steps(vector: str = "embedding") -> F.Column:
+    """A vector as long integers, 64 steps to one; null where it, or an entry of it, is null or not finite.
+
+    Entries that a double can't tell apart by whole steps any more are an error.
+    """
+    v = F.col(vector).cast("array<double>")
+    sound = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    step = lambda c: F.when(F.abs(64 * c) < 2.0**53, F.floor(64 * c) + 1_000_000).otherwise(F.raise_error(F.lit("an entry is too large")).cast("long"))
+    return F.when(sound, F.transform(v, step))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it doesn't fit a long."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", in_steps().alias("x"))
+    model = whitening.fit(vectors)
+    if model is None:
+        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    rows = whitening.whiten(vectors, model).select("vec_id", F.col("deviation").try_cast("long").alias("deviation"), F.posexplode("whitened").alias("k", "whitened"))
+    part = F.element_at(F.array(*map(F.lit, model.explained)).cast("array<double>"), F.col("k") + 1)
+    return rows.select("vec_id", (F.col("k") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened", part.alias("explained"), F.lit(model.identity_error).alias("identity_error"))
+
+
 #: Tokens above which a document is over the limit.
 TOKEN_LIMIT = 2048
 
@@ -141,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_window_dedup": op10_window_dedup,
+    "op12_whitening": op12_whitening,
     "op13_token_counts": op13_token_counts,
 }
 ORACLE_SQL: dict[str, str] = oracle.SQL
