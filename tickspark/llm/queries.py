@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, line_dedup, ngram_join, oracle, packing, pii, quality, token_counts, topk, whitening, window_dedup
+from . import ann, bpe, chat, lexical, line_dedup, ngram_join, oracle, packing, pii, quality, token_counts, topk, whitening, window_dedup
 from .common import tune, write_shared
 
 #: The vocabulary that the contracts name; operators take any path.
@@ -119,6 +119,10 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def in_steps(vector: str = "embedding") -> F.Column:
     """A vector as long integers, 64 steps to one; null where it, or an entry of it, is null or not finite.
 
@@ -163,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_ngram_join": op9_ngram_join,
     "op10_window_dedup": op10_window_dedup,
+    "op11_lexical": op11_lexical,
     "op12_whitening": op12_whitening,
     "op13_token_counts": op13_token_counts,
 }
