@@ -1,79 +1,236 @@
-"""Range frames and previous values per symbol, also where one symbol has most of the rows.
+"""Frames over the ticks before, and previous values, per symbol, also where one symbol has most of the rows.
 
 Partitioning by symbol alone gives a hot symbol to one task. With ``bucket`` seconds, time
 is cut into buckets and a row also goes to the buckets whose rows look back at it, so
 (symbol, bucket) is the partition and every frame is whole. A row is copied at most
 ceil(lookback / bucket) times; only a bucket's own rows leave it.
+
+A sliding window would aggregate each frame anew, which grows with the square of the ticks
+in a frame. Here time is cut into blocks as long as the frame, so a frame is the end of
+one block and the beginning of the next. Beginnings are growing windows in order of time,
+ends are growing windows in the reverse order; both cost the same for every row. A row
+finds the end that its frame begins with by a marker at its own time less the
+frame's length, sorted among the rows. Parts are joined, never subtracted, so nothing
+cancels: equal values have no deviation.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import micros
 
-Over = Callable[..., WindowSpec]
+
+class Over(NamedTuple):
+    """An aggregate of a column over the ticks from ``length`` before up to ``until`` (0 or -1) microseconds or rows after."""
+
+    kind: str
+    value: str
+    length: float
+    until: int = 0
+
+
+def mean(value: str, length: float, until: int = 0) -> Over:
+    return Over("mean", value, length, until)
+
+
+def total(value: str, length: float, until: int = 0) -> Over:
+    return Over("total", value, length, until)
+
+
+def deviation(value: str, length: float, until: int = 0) -> Over:
+    """The sample deviation; null for fewer than two values."""
+    return Over("deviation", value, length, until)
 
 
-def rolling(df: DataFrame, build: Callable[[DataFrame, Over], DataFrame], *, lookback: float, symbol: str = "symbol", ts: str = "processing_timestamp", bucket: float | None = None) -> DataFrame:
-    """``build(df, over)`` adds columns; ``over(seconds, until=0)`` is a range frame of microseconds.
+def least(value: str, length: float, until: int = 0) -> Over:
+    return Over("least", value, length, until)
 
-    All frames share one partitioning and one order, so one exchange and one sort serve
-    them all. ``lookback`` is the longest reach of the columns in seconds, nested ones added.
+
+def most(value: str, length: float, until: int = 0) -> Over:
+    return Over("most", value, length, until)
+
+
+#: ``add(d, {column: Over})`` adds columns to d.
+Add = Callable[[DataFrame, dict[str, Over]], DataFrame]
+#: Aggregates that each kind is joined from.
+NEEDS = {"mean": ("n", "sum", "low", "high"), "total": ("n", "sum"), "deviation": ("n", "sum", "var", "low", "high"), "least": ("low",), "most": ("high",)}
+MAKES = {"n": F.count, "sum": F.sum, "var": F.var_pop, "low": F.min, "high": F.max}
+
+
+def add_frames(d: DataFrame, overs: dict[str, Over], *, keys: list[str], at: str, unit: int) -> DataFrame:
+    """Columns of aggregates over frames in the order of the long column ``at``; ``unit`` of it is a length of 1.
+
+    Every row becomes its events: for each frame its own place and the marker of the
+    frame's beginning. Three sorts within the partitions of ``keys`` follow: to and fro
+    within the blocks, then by row, where the last event gathers what the others found.
+    """
+    frames = list(dict.fromkeys((o.length, o.until) for o in overs.values()))
+    values = [list(dict.fromkeys(o.value for o in overs.values() if (o.length, o.until) == f)) for f in frames]
+    needs: dict[int, set[str]] = {}
+    for o in overs.values():
+        f = frames.index((o.length, o.until))
+        needs.setdefault(values[f].index(o.value), set()).update(NEEDS[o.kind])
+    events, place = [], {}
+
+    def event(f: int, kind: str, shift: int, size: int) -> None:
+        place[f, kind] = len(events)
+        to = F.col(at) + F.lit(shift).cast("long")
+        block = F.expr(f"({{0}} - pmod({{0}}, {size}L)) div {size}L".format(f"(`{at}` + {shift}L)"))
+        events.append(F.struct(F.lit(len(events)).alias("e"), F.lit(f).alias("f"), to.alias("at"), block.alias("block")))
+
+    for f, (length, until) in enumerate(frames):
+        reach = int(length * unit)
+        size = max(1, reach)
+        event(f, "begin", -reach, size)
+        if until:
+            event(f, "own", 0, size)
+        event(f, "end", until, size)
+    last = len(events) - 1
+    counted = [e for (f, kind), e in place.items() if kind == ("own" if frames[f][1] else "end")]
+    markers = [e for (_, kind), e in place.items() if kind == "begin"]
+    d = d.withColumn("_row", F.monotonically_increasing_id()).withColumn("_e", F.explode(F.array(*events)))
+    slots = {}
+    for j in needs:
+        of = F.lit(None)
+        for f, own in enumerate(values):
+            if j < len(own):
+                of = F.when(F.col("_e.f") == f, F.col(own[j]).cast("double")).otherwise(of)
+        slots[f"_x{j}"] = F.when(F.col("_e.e").isin(counted), of)
+    kept = [c for c in d.columns if c not in (*keys, "_row", "_e")]
+    d = d.select(*keys, "_row", F.col("_e.e").alias("_e"), F.col("_e.f").alias("_f"), F.col("_e.at").alias("_at"), F.col("_e.block").alias("_block"), *[x.alias(n) for n, x in slots.items()], *[F.when(F.col("_e.e") == last, F.col(c)).alias(c) for c in kept])
+    within = Window.partitionBy(*keys, "_f", "_block")
+    parts = [(j, n) for j in sorted(needs) for n in sorted(needs[j])]
+    for name, order in (("_fro", F.col("_at").desc()), ("_to", F.col("_at"))):
+        w = within.orderBy(order)
+        d = d.withColumn(name, F.struct(*[MAKES[n](f"_x{j}").over(w).alias(f"{n}{j}") for j, n in parts]))
+    found = F.when(F.col("_e").isin(markers), F.col("_fro")).otherwise(F.col("_to"))
+    d = d.withColumn("_found", F.struct("_block", found.alias("v"))).select(*keys, "_row", "_e", "_found", *kept)
+    by_row = Window.partitionBy(*keys).orderBy("_row", "_e")
+    used = sorted(e for (_, kind), e in place.items() if kind != "own" and e != last)
+    d = d.withColumns({f"_found{e}": F.lag("_found", last - e).over(by_row) for e in used}).filter(F.col("_e") == last).withColumnRenamed("_found", f"_found{last}")
+    columns = {}
+    for name, o in overs.items():
+        f = frames.index((o.length, o.until))
+        columns[name] = _joined(o.kind, values[f].index(o.value), F.col(f"_found{place[f, 'begin']}"), F.col(f"_found{place[f, 'end']}"))
+    return d.withColumns(columns).drop("_row", "_e", *[f"_found{e}" for e in (*used, last)])
+
+
+def _joined(kind: str, j: int, begin: Column, end: Column) -> Column:
+    """An aggregate of a frame from the end of the block it begins in and the beginning of the block it ends in."""
+    apart = ~begin["_block"].eqNullSafe(end["_block"])  # else the frame is the beginning of one block
+    a = lambda n: F.when(apart, begin["v"][f"{n}{j}"])
+    b = lambda n: end["v"][f"{n}{j}"]
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    if kind == "least":
+        return F.least(a("low"), b("low"))
+    if kind == "most":
+        return F.greatest(a("high"), b("high"))
+    na, nb = F.coalesce(a("n"), F.lit(0)), b("n")
+    n, sums = na + nb, zero(a("sum")) + zero(b("sum"))
+    if kind == "total":
+        return F.when(n > 0, sums)
+    low = F.least(a("low"), b("low"))
+    same = low == F.greatest(a("high"), b("high"))
+    if kind == "mean":
+        return F.when(same, low).when(n > 0, sums / n)
+    between = F.when((na > 0) & (nb > 0), F.pow(a("sum") / na - b("sum") / nb, F.lit(2)) * na * nb / n)
+    squares = zero(a("var")) * na + zero(b("var")) * nb + zero(between)
+    return F.when(n > 1, F.when(same, 0.0).otherwise(F.sqrt(squares / (n - 1))))
+
+
+def rolling(df: DataFrame, build: Callable[[DataFrame, Add], DataFrame], *, lookback: float, symbol: str = "symbol", ts: str = "processing_timestamp", bucket: float | None = None) -> DataFrame:
+    """``build(d, add)`` adds columns; ``add(d, {column: Over})`` those over frames of seconds.
+
+    All frames share one partitioning, so one exchange serves them all. ``lookback`` is the
+    longest reach of the columns in seconds, nested ones added.
     """
     d = df.withColumn("_us", micros(ts))
     keys = [symbol]
     if bucket is not None:
         size, reach = int(bucket * 1_000_000), int(lookback * 1_000_000)
-        at = lambda us: F.floor(us / F.lit(size)).cast("long")
-        d = d.withColumn("_bucket", F.explode_outer(F.sequence(at(F.col("_us")), at(F.col("_us") + reach))))
+        of = lambda us: F.floor(us / F.lit(size)).cast("long")
+        d = d.withColumn("_bucket", F.explode_outer(F.sequence(of(F.col("_us")), of(F.col("_us") + reach))))
         keys.append("_bucket")
-
-    def over(seconds: float, until: int = 0) -> WindowSpec:
-        return Window.partitionBy(*keys).orderBy("_us").rangeBetween(-int(seconds * 1_000_000), until)
-
-    out = build(d, over)
+    out = build(d.repartition(*keys), lambda x, overs: add_frames(x, overs, keys=keys, at="_us", unit=1_000_000))
     if bucket is not None:
-        out = out.filter(F.col("_bucket").eqNullSafe(at(F.col("_us")))).drop("_bucket")
-    return out.drop("_us")
-
+        out = out.filter(F.col("_bucket").eqNullSafe(of(F.col("_us")))).drop("_bucket")
+    return out.select(*df.columns, *[c for c in out.columns if c not in (*df.columns, "_us")])
 
-def rows_frame(n: int, symbol: str, ts: str, tie: list[str]) -> WindowSpec:
-    """The last n rows, by time and then by the tie-breakers."""
-    return Window.partitionBy(symbol).orderBy(micros(ts), *tie).rowsBetween(-(n - 1), 0)
 
-
-#: Rows of one symbol whose rows frames are made together.
+#: Rows of one symbol that are dealt to one task.
 BLOCK_ROWS = 20_000
 
 
-def rolling_rows(df: DataFrame, build: Callable[[DataFrame, Over], DataFrame], *, reach: int, symbol: str = "symbol", ts: str = "processing_timestamp", tie: tuple[str, ...] = (), bucket: float | None = None, block: int = BLOCK_ROWS) -> DataFrame:
-    """``build(df, over)`` adds columns; ``over(n)`` is a frame of the last n rows of the symbol.
+def numbered(df: DataFrame, into: str, *, symbol: str = "symbol", ts: str = "processing_timestamp", tie: tuple[str, ...] = (), bucket: float | None = None) -> DataFrame:
+    """The place of each row among its symbol's, from 0, by time and then by the tie-breakers.
 
-    ``reach`` is how many rows the columns look back at, nested ones added. With
-    ``bucket``, rows are numbered within (symbol, bucket of seconds) and from a table of
-    one row a bucket within the symbol; then ``block`` rows of a symbol and copies of the
-    ``reach`` before them make a partition, so a hot symbol goes to many tasks.
+    With ``bucket``, rows are numbered within (symbol, bucket of seconds), and from a table of
+    one row a bucket within the symbol.
     """
-    order = [c for c in tie if c in df.columns]
+    order = [micros(ts), *[c for c in tie if c in df.columns]]
     if bucket is None:
-        return build(df, lambda n: rows_frame(int(n), symbol, ts, order))
+        return df.withColumn(into, F.row_number().over(Window.partitionBy(symbol).orderBy(*order)).cast("long") - 1)
     size = int(bucket * 1_000_000)
     d = df.withColumn("_bucket", F.floor(micros(ts) / F.lit(size)).cast("long"))
     sizes = d.groupBy(symbol, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(symbol).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select(F.col(symbol).alias("_symbol"), F.col("_bucket").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    d = d.withColumn("_k", F.row_number().over(Window.partitionBy(symbol, "_bucket").orderBy(micros(ts), *order)))
+    d = d.withColumn("_place", F.row_number().over(Window.partitionBy(symbol, "_bucket").orderBy(*order)))
     d = d.join(sizes, F.col(symbol).eqNullSafe(F.col("_symbol")) & F.col("_bucket").eqNullSafe(F.col("_of")))
-    d = d.withColumn("_k", F.col("_before") + F.col("_k") - 1).drop("_symbol", "_of", "_before", "_bucket")
-    at = lambda k: F.floor(k / F.lit(block)).cast("long")
-    d = d.withColumn("_block", F.explode(F.sequence(at(F.col("_k")), at(F.col("_k") + reach))))
-    frame = Window.partitionBy(symbol, "_block").orderBy("_k")
-    out = build(d, lambda n: frame.rowsBetween(-(int(n) - 1), 0))
-    return out.filter(F.col("_block") == at(F.col("_k"))).drop("_block", "_k")
+    return d.withColumn(into, F.col("_before") + F.col("_place") - 1).drop("_symbol", "_of", "_before", "_bucket", "_place")
+
+
+def rolling_rows(df: DataFrame, build: Callable[[DataFrame, Add], DataFrame], *, reach: int, symbol: str = "symbol", ts: str = "processing_timestamp", tie: tuple[str, ...] = (), bucket: float | None = None, block: int = BLOCK_ROWS) -> DataFrame:
+    """``build(d, add)`` adds columns; ``add(d, {column: Over})`` those over the last ``length`` rows of the symbol.
+
+    ``reach`` is how many rows the columns look back at, nested ones added. With
+    ``bucket``, ``block`` rows of a symbol and copies of the ``reach`` before them make a
+    partition, so a hot symbol goes to many tasks.
+    """
+    d = numbered(df, "_k", symbol=symbol, ts=ts, tie=tie, bucket=bucket)
+    keys = [symbol]
+    if bucket is not None:
+        of = lambda k: F.expr(f"{k} div {block}")
+        d = d.withColumn("_part", F.explode(F.sequence(of("_k"), of(f"(_k + {reach})"))))
+        keys.append("_part")
+    rows = lambda overs: {c: o._replace(length=int(o.length) - 1) for c, o in overs.items()}
+    out = build(d.repartition(*keys), lambda x, overs: add_frames(x, rows(overs), keys=keys, at="_k", unit=1))
+    if bucket is not None:
+        out = out.filter(F.col("_part") == of("_k")).drop("_part")
+    return out.select(*df.columns, *[c for c in out.columns if c not in (*df.columns, "_k")])
+
+
+def decayed_sums(df: DataFrame, sums: dict[str, tuple[str, float]], *, symbol: str = "symbol", at: str, block: int = BLOCK_ROWS) -> DataFrame:
+    """For each row and each ``into: (value, decay)``, the sum over the symbol's rows up to it of value * decay ** (rows between).
+
+    ``at`` numbers the rows of a symbol from 0. Within a block of them, values are divided by
+    the decay since the block's start, summed as they come and multiplied again; only
+    as many rows make a block as doubles have room for. A block's own sum and its decay
+    are one element of the same sum over blocks, which the next block's rows start from.
+    """
+    if not all(0 < q < 1 for _, q in sums.values()):
+        raise ValueError("a decay lies between 0 and 1")
+    size = max(1, min(block, *(int(-500 / math.log(q)) for _, q in sums.values())))
+    own = f"{at}_block"
+    since, power = F.expr(f"{at} % {size}"), lambda q, n: F.exp(F.lit(math.log(q)) * n)
+    grow = Window.partitionBy(symbol, own).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    d = df.withColumn(own, F.expr(f"{at} div {size}"))
+    d = d.withColumns({into: F.sum(F.col(v) / power(q, since)).over(grow) * power(q, since) for into, (v, q) in sums.items()})
+    # a block's sums as they are at its last place; all blocks but a symbol's last are full
+    ends = d.groupBy(symbol, own).agg(*[F.max_by(into, at).alias(into) for into in sums])
+    longer = {into: (into, q**size) for into, (_, q) in sums.items() if q**size > 1e-40}  # what else is older is beyond the precision of a double
+    if longer:
+        ends = decayed_sums(ends, longer, symbol=symbol, at=own, block=block)
+    ends = ends.select(F.col(symbol).alias("_symbol"), (F.col(own) + 1).alias("_next"), *[F.col(into).alias(f"_before_{into}") for into in sums])
+    d = d.join(ends, F.col(symbol).eqNullSafe(F.col("_symbol")) & (F.col(own) == F.col("_next")), "left")
+    whole = {into: F.col(into) + F.coalesce(F.col(f"_before_{into}") * power(q, since + 1), F.lit(0.0)) for into, (_, q) in sums.items()}
+    return d.withColumns(whole).drop(own, "_symbol", "_next", *[f"_before_{into}" for into in sums])
 
 
 def with_previous(df: DataFrame, value: str | Column, into: str, *, symbol: str = "symbol", ts: str = "processing_timestamp", tie: tuple[str, ...] = (), bucket: float | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as E
-from .frames import Over, rolling, rolling_rows, with_previous
+from .frames import BLOCK_ROWS, Add, Over, decayed_sums, deviation, least, mean, most, numbered, rolling, rolling_rows, total, with_previous
 
 TIE = ("offset", "event_id")
 
@@ -15,8 +15,8 @@ def _trend(value: str, mean: str) -> F.Column:
     return F.when(F.col(value) > F.col(mean), "up").when(F.col(value) < F.col(mean), "down").otherwise("neutral")
 
 
-def add_averages(d: DataFrame, over: Over, price: str, volume: str, windows: dict[str, float]) -> DataFrame:
-    return d.withColumns({f"sma_{n}": F.avg(price).over(over(s)) for n, s in windows.items()} | {f"volume_ma_{n}": F.avg(volume).over(over(s)) for n, s in windows.items()})
+def averages(price: str, volume: str, windows: dict[str, float]) -> dict[str, Over]:
+    return {f"sma_{n}": mean(price, s) for n, s in windows.items()} | {f"volume_ma_{n}": mean(volume, s) for n, s in windows.items()}
 
 
 def moving_averages(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", volume: str = "volume", windows: dict[str, float] | None = None, frame: str = "range", tie: tuple[str, ...] = TIE, bucket: float | None = None) -> DataFrame:
@@ -26,8 +26,8 @@ def moving_averages(df: DataFrame, *, symbol: str = "symbol", ts: str = "process
     """
     windows = windows or {"5min": E.SHORT, "20min": E.LONG}
     if frame == "rows":
-        return rolling_rows(df, lambda d, over: add_averages(d, over, price, volume, windows), reach=int(max(windows.values())), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
-    return rolling(df, lambda d, over: add_averages(d, over, price, volume, windows), lookback=max(windows.values()), symbol=symbol, ts=ts, bucket=bucket)
+        return rolling_rows(df, lambda d, add: add(d, averages(price, volume, windows)), reach=int(max(windows.values())), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
+    return rolling(df, lambda d, add: add(d, averages(price, volume, windows)), lookback=max(windows.values()), symbol=symbol, ts=ts, bucket=bucket)
 
 
 def price_trend(df: DataFrame, *, price: str = "current_price", volume: str = "volume", window: str = "5min") -> DataFrame:
@@ -42,9 +42,11 @@ def with_moves(df: DataFrame, *, symbol: str, ts: str, price: str, tie: tuple[st
     return d.withColumns({"_gain": F.when(change > 0, change).otherwise(0.0), "_loss": F.when(change < 0, -change).otherwise(0.0)}).drop("_last")
 
 
-def add_rsi(d: DataFrame, over: Over, window: float = E.RSI) -> DataFrame:
-    gain, loss = F.avg("_gain").over(over(window)), F.avg("_loss").over(over(window))
-    d = d.withColumns({"_up": gain, "_down": loss})
+def moves(window: float = E.RSI) -> dict[str, Over]:
+    return {"_up": mean("_gain", window), "_down": mean("_loss", window)}
+
+
+def finish_rsi(d: DataFrame) -> DataFrame:
     strength = 100 - 100 / (1 + F.try_divide(F.col("_up"), F.col("_down")))
     return d.withColumn("rsi_14", F.when(F.col("_down") == 0, 100.0).otherwise(strength)).drop("_up", "_down")
 
@@ -53,23 +55,25 @@ def rsi(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestam
     """Relative strength of mean gains to mean losses; 100 where nothing was lost."""
     d = with_moves(df, symbol=symbol, ts=ts, price=price, tie=tie, bucket=bucket)
     if frame == "rows":
-        d = rolling_rows(d, lambda x, over: add_rsi(x, over, window), reach=int(window), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
+        d = rolling_rows(d, lambda x, add: finish_rsi(add(x, moves(window))), reach=int(window), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
     else:
-        d = rolling(d, lambda x, over: add_rsi(x, over, window), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
+        d = rolling(d, lambda x, add: finish_rsi(add(x, moves(window))), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
     return d.drop("_gain", "_loss")
 
 
-def add_bollinger(d: DataFrame, over: Over, price: str, window: float = E.BOLLINGER, width: float = 2.0) -> DataFrame:
-    mid, dev = F.avg(price).over(over(window)), F.stddev_samp(price).over(over(window))
-    d = d.withColumns({"bollinger_middle": mid, "_dev": dev})
+def bands(price: str, window: float = E.BOLLINGER) -> dict[str, Over]:
+    return {"bollinger_middle": mean(price, window), "_dev": deviation(price, window)}
+
+
+def finish_bands(d: DataFrame, width: float = 2.0) -> DataFrame:
     return d.withColumns({"bollinger_upper": F.col("bollinger_middle") + width * F.col("_dev"), "bollinger_lower": F.col("bollinger_middle") - width * F.col("_dev")}).drop("_dev")
 
 
 def bollinger_bands(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", window: float = E.BOLLINGER, width: float = 2.0, frame: str = "range", tie: tuple[str, ...] = TIE, bucket: float | None = None) -> DataFrame:
     """Mean and ``width`` sample deviations around it; a single tick has no bands."""
     if frame == "rows":
-        return rolling_rows(df, lambda d, over: add_bollinger(d, over, price, window, width), reach=int(window), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
-    return rolling(df, lambda d, over: add_bollinger(d, over, price, window, width), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
+        return rolling_rows(df, lambda d, add: finish_bands(add(d, bands(price, window)), width), reach=int(window), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
+    return rolling(df, lambda d, add: finish_bands(add(d, bands(price, window)), width), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
 
 
 def bollinger_position(df: DataFrame, *, price: str = "current_price") -> DataFrame:
@@ -78,51 +82,64 @@ def bollinger_position(df: DataFrame, *, price: str = "current_price") -> DataFr
     return df.withColumn("bollinger_position", F.try_divide(F.col(price) - F.col("bollinger_lower"), span))
 
 
-def add_vwap(d: DataFrame, over: Over, price: str, volume: str, window: float = E.VWAP) -> DataFrame:
-    traded, total = F.sum(F.col(price) * F.col(volume)).over(over(window)), F.sum(volume).over(over(window))
-    return d.withColumn("vwap", F.when(F.col(volume) > 0, F.try_divide(traded, total)).otherwise(F.col(price)))
+def with_traded(d: DataFrame, price: str, volume: str) -> DataFrame:
+    return d.withColumn("_traded", F.col(price) * F.col(volume))
+
+
+def turnover(volume: str, window: float = E.VWAP) -> dict[str, Over]:
+    return {"_turnover": total("_traded", window), "_total": total(volume, window)}
+
+
+def finish_vwap(d: DataFrame, price: str, volume: str) -> DataFrame:
+    return d.withColumn("vwap", F.when(F.col(volume) > 0, F.try_divide("_turnover", "_total")).otherwise(F.col(price))).drop("_turnover", "_total")
 
 
 def rolling_vwap(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", volume: str = "volume", window: float = E.VWAP, bucket: float | None = None) -> DataFrame:
     """Price weighted by volume; the price itself where the tick has no volume."""
-    return rolling(df, lambda d, over: add_vwap(d, over, price, volume, window), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
+    traded = with_traded(df, price, volume)
+    return rolling(traded, lambda d, add: finish_vwap(add(d, turnover(volume, window)), price, volume), lookback=window, symbol=symbol, ts=ts, bucket=bucket).drop("_traded")
+
+
+def lines(price: str, fast: float = E.MACD_FAST, slow: float = E.MACD_SLOW) -> dict[str, Over]:
+    return {"_fast": mean(price, fast), "_slow": mean(price, slow)}
 
 
-def add_macd(d: DataFrame, over: Over, price: str, fast: float = E.MACD_FAST, slow: float = E.MACD_SLOW, signal: float = E.MACD_SIGNAL) -> DataFrame:
-    d = d.withColumn("macd", F.avg(price).over(over(fast)) - F.avg(price).over(over(slow)))
-    d = d.withColumn("macd_signal", F.avg("macd").over(over(signal)))
+def finish_macd(d: DataFrame, add: Add, signal: float = E.MACD_SIGNAL) -> DataFrame:
+    """The signal is a mean of the line, so it is a second round of frames in the same partitions."""
+    d = add(d.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow"), {"macd_signal": mean("macd", signal)})
     return d.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
 
 
-def _ema(prices: F.Column, n: int) -> F.Column:
-    """Exponential mean of an array, the oldest first, which also seeds it."""
-    a = 2.0 / (n + 1)
-    return F.aggregate(F.slice(prices, 2, 1_000_000), prices[0], lambda acc, x: acc * (1 - a) + x * a)
+def ema(df: DataFrame, means: dict[str, tuple[str, int]], *, symbol: str, at: str, block: int = BLOCK_ROWS) -> DataFrame:
+    """Exponential means, ``into: (column, n)``, of columns that are never null over a symbol's rows, numbered from 0; the first value seeds each."""
+    share = lambda value, n: F.when(F.col(at) == 0, F.col(value)).otherwise(F.lit(2.0 / (n + 1)) * F.col(value)).cast("double")
+    d = df.withColumns({f"_share_{into}": share(*m) for into, m in means.items()})
+    return decayed_sums(d, {into: (f"_share_{into}", 1 - 2.0 / (n + 1)) for into, (_, n) in means.items()}, symbol=symbol, at=at, block=block).drop(*[f"_share_{into}" for into in means])
 
 
-def macd(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", method: str = "range_mean", fast: float = E.MACD_FAST, slow: float = E.MACD_SLOW, signal: float = E.MACD_SIGNAL, periods: tuple[int, int, int] = (12, 26, 9), depth: int = 10, tie: tuple[str, ...] = TIE, bucket: float | None = None) -> DataFrame:
+def macd(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", method: str = "range_mean", fast: float = E.MACD_FAST, slow: float = E.MACD_SLOW, signal: float = E.MACD_SIGNAL, periods: tuple[int, int, int] = (12, 26, 9), tie: tuple[str, ...] = TIE, bucket: float | None = None) -> DataFrame:
     """MACD, its signal and their difference.
 
-    ``range_mean`` takes means over seconds. ``ema`` takes exponential means over the last
-    ``depth * n`` rows for each of the three ``periods`` n, seeded with the oldest price.
+    ``range_mean`` takes means over seconds. ``ema`` takes exponential means of the rows for
+    the three ``periods``, seeded with the symbol's first price; rows without a price count
+    for nothing and have none.
     """
     if method == "range_mean":
-        return rolling(df, lambda d, over: add_macd(d, over, price, fast, slow, signal), lookback=slow + signal, symbol=symbol, ts=ts, bucket=bucket)
+        return rolling(df, lambda d, add: finish_macd(add(d, lines(price, fast, slow)), add, signal), lookback=slow + signal, symbol=symbol, ts=ts, bucket=bucket)
     f, s, g = periods
+    bare = df.filter(F.col(price).isNull()).withColumns({c: F.lit(None).cast("double") for c in ("macd", "macd_signal", "macd_histogram")})
+    d = numbered(df.filter(F.col(price).isNotNull()), "_at", symbol=symbol, ts=ts, tie=tie, bucket=bucket)
+    d = ema(d, {"_fast": (price, f), "_slow": (price, s)}, symbol=symbol, at="_at")
+    d = ema(d.withColumn("macd", F.col("_fast") - F.col("_slow")), {"macd_signal": ("macd", g)}, symbol=symbol, at="_at")
+    return d.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).select(bare.columns).union(bare)
 
-    def add(d: DataFrame, over: Over) -> DataFrame:
-        last = lambda c, n: F.collect_list(c).over(over(depth * n))
-        d = d.withColumns({"_fast": last(price, f), "_slow": last(price, s)})
-        d = d.withColumn("macd", _ema(F.col("_fast"), f) - _ema(F.col("_slow"), s)).drop("_fast", "_slow")
-        d = d.withColumn("_signal", last("macd", g))
-        return d.withColumn("macd_signal", _ema(F.col("_signal"), g)).drop("_signal").withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
 
-    return rolling_rows(df, add, reach=depth * (max(f, s) + g), symbol=symbol, ts=ts, tie=tie, bucket=bucket)
+def usual(price: str, volume: str, window: float = E.ANOMALY, exclude_current: bool = False) -> dict[str, Over]:
+    until = -1 if exclude_current else 0
+    return {"_pm": mean(price, window, until), "_ps": deviation(price, window, until), "_vm": mean(volume, window, until), "_vs": deviation(volume, window, until)}
 
 
-def add_anomalies(d: DataFrame, over: Over, price: str, volume: str, window: float = E.ANOMALY, z: float = E.Z_THRESHOLD, exclude_current: bool = False) -> DataFrame:
-    w = over(window, -1) if exclude_current else over(window)
-    d = d.withColumns({"_pm": F.avg(price).over(w), "_ps": F.stddev_samp(price).over(w), "_vm": F.avg(volume).over(w), "_vs": F.stddev_samp(volume).over(w)})
+def finish_anomalies(d: DataFrame, price: str, volume: str, z: float = E.Z_THRESHOLD) -> DataFrame:
     score = lambda x, m, s: F.when(F.col(s).isNull() | (F.col(s) == 0), 0.0).otherwise((F.col(x) - F.col(m)) / F.col(s))
     d = d.withColumns({"price_zscore": score(price, "_pm", "_ps"), "volume_zscore": score(volume, "_vm", "_vs")}).drop("_pm", "_ps", "_vm", "_vs")
     p, v = F.abs("price_zscore"), F.abs("volume_zscore")
@@ -131,7 +148,7 @@ def add_anomalies(d: DataFrame, over: Over, price: str, volume: str, window: flo
 
 def price_anomalies(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", volume: str = "volume", window: float = E.ANOMALY, z_threshold: float = E.Z_THRESHOLD, exclude_current: bool = False, bucket: float | None = None) -> DataFrame:
     """z-scores of price and volume in their window, and flags beyond the threshold."""
-    return rolling(df, lambda d, over: add_anomalies(d, over, price, volume, window, z_threshold, exclude_current), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
+    return rolling(df, lambda d, add: finish_anomalies(add(d, usual(price, volume, window, exclude_current)), price, volume, z_threshold), lookback=window, symbol=symbol, ts=ts, bucket=bucket)
 
 
 def rsi_signal(df: DataFrame, *, rsi: str = "rsi_14", overbought: float = 70.0, oversold: float = 30.0) -> DataFrame:
@@ -140,7 +157,7 @@ def rsi_signal(df: DataFrame, *, rsi: str = "rsi_14", overbought: float = 70.0,
 
 def support_resistance(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", high: str = "high_price", low: str = "low_price", window: float = E.LONG, bucket: float | None = None) -> DataFrame:
     """The lowest low and the highest high of the window."""
-    build = lambda d, over: d.withColumns({"support": F.min(low).over(over(window)), "resistance": F.max(high).over(over(window))})
+    build = lambda d, add: add(d, {"support": least(low, window), "resistance": most(high, window)})
     return rolling(df, build, lookback=window, symbol=symbol, ts=ts, bucket=bucket)
 
 

@@ -117,10 +117,9 @@ def rows(n: int) -> str:
     return f"OVER (PARTITION BY symbol ORDER BY us, event_id ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
 
-def ema(value: str, n: int) -> str:
-    """Of the last 10 n rows, seeded with the oldest."""
+def ema_step(before: str, x: str, n: int) -> str:
     a = 2.0 / (n + 1)
-    return f"list_reduce(list({value}) {rows(10 * n)}, lambda acc, x: acc * (1 - CAST({a!r} AS DOUBLE)) + x * CAST({a!r} AS DOUBLE))"
+    return f"{before} * (1 - CAST({a!r} AS DOUBLE)) + {x} * CAST({a!r} AS DOUBLE)"
 
 
 HOUR_OF = "CAST(year({0}) AS INTEGER) AS year, CAST(month({0}) AS INTEGER) AS month, CAST(day({0}) AS INTEGER) AS day, CAST(hour({0}) AS INTEGER) AS hour"
@@ -134,8 +133,11 @@ SQL: dict[str, str] = {
       SELECT event_id, {r6('CASE WHEN down = 0 THEN 100 ELSE 100 - 100 / (1 + up / down) END', 'rsi_14')} FROM g""",
     "bollinger_rows": f"""WITH {TICKS}, m AS (SELECT event_id, avg(current_price) {rows(20)} AS mid, stddev_samp(current_price) {rows(20)} AS dev FROM ticks)
       SELECT event_id, {r6('mid', 'bollinger_middle')}, {r6('mid + 2 * dev', 'bollinger_upper')}, {r6('mid - 2 * dev', 'bollinger_lower')} FROM m""",
-    "macd_ema": f"""WITH {TICKS}, m AS (SELECT event_id, symbol, us, {ema('current_price', 12)} - {ema('current_price', 26)} AS macd FROM ticks), g AS (SELECT *, {ema('macd', 9)} AS macd_signal FROM m)
-      SELECT event_id, {r6('macd', 'macd')}, {r6('macd_signal', 'macd_signal')}, {r6('macd - macd_signal', 'macd_histogram')} FROM g""",
+    "macd_ema": f"""WITH RECURSIVE {TICKS}, n AS MATERIALIZED (SELECT event_id, symbol, current_price AS x, row_number() OVER (PARTITION BY symbol ORDER BY us, event_id) AS k FROM ticks),
+      e AS (SELECT event_id, symbol, k, x AS f, x AS s, CAST(0 AS DOUBLE) AS g FROM n WHERE k = 1
+        UNION ALL SELECT event_id, symbol, k, f, s, {ema_step('g', '(f - s)', 9)} FROM (
+          SELECT n.event_id, n.symbol, n.k, {ema_step('e.f', 'n.x', 12)} AS f, {ema_step('e.s', 'n.x', 26)} AS s, e.g FROM e JOIN n ON n.symbol = e.symbol AND n.k = e.k + 1))
+      SELECT event_id, {r6('f - s', 'macd')}, {r6('g', 'macd_signal')}, {r6('f - s - g', 'macd_histogram')} FROM e""",
     "output_contract": f"""WITH {ENRICHED} SELECT symbol, us // 1000 AS "timestamp", us // 1000 AS processing_timestamp, {r6('current_price', 'current_price')} FROM enriched WHERE current_price > 0""",
     "serialized_prices": f"WITH {ENRICHED} SELECT symbol AS key, symbol, 'stock_prices' AS record_type, trading_session, volume, {r6('current_price', 'current_price')}, {r6('sma_5min', 'sma_5min')} FROM enriched WHERE current_price > 0",
     "archived_messages": f"""WITH {TICKS}, m AS (SELECT event_id, make_timestamp(us + 1000000) AS arrived FROM ticks)

@@ -21,21 +21,26 @@ LOOKBACK = E.MACD_SLOW + E.MACD_SIGNAL
 def enrich_ticks(df: DataFrame, *, indicators_too: bool = True, anomalies: bool = True, context: bool = False, flags: bool = False, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", volume: str = "volume", tie: tuple[str, ...] = indicators.TIE, bucket: float | None = None) -> DataFrame:
     """Ticks with metrics, averages, trends, vwap, volume and market classes; indicators, anomalies, flags, context by choice.
 
-    All range frames are built on one partitioning and order, so they share one exchange
-    and one sort. ``bucket`` spreads hot symbols (see ``operators.frames``).
+    All range frames are built on one partitioning, so they share one exchange: the frames of
+    ticks in one round, the signal over the line of them in another. ``bucket`` spreads hot symbols (see ``operators.frames``).
     """
     d = metrics.price_metrics(metrics.ensure_tick_columns(df, symbol=symbol, ts=ts, tie=tie), price=price, volume=volume)
     if indicators_too:
         d = indicators.with_moves(d, symbol=symbol, ts=ts, price=price, tie=tie, bucket=bucket)
 
-    def build(x: DataFrame, over) -> DataFrame:
-        x = indicators.add_averages(x, over, price, volume, {"5min": E.SHORT, "20min": E.LONG})
-        x = indicators.add_vwap(x, over, price, volume)
+    def build(x: DataFrame, add) -> DataFrame:
+        overs = indicators.averages(price, volume, {"5min": E.SHORT, "20min": E.LONG}) | indicators.turnover(volume)
         if indicators_too:
-            x = indicators.add_macd(indicators.add_bollinger(indicators.add_rsi(x, over), over, price), over, price)
-        return indicators.add_anomalies(x, over, price, volume) if anomalies else x
+            overs |= indicators.moves() | indicators.bands(price) | indicators.lines(price)
+        if anomalies:
+            overs |= indicators.usual(price, volume)
+        x = indicators.finish_vwap(add(x, overs), price, volume)
+        if indicators_too:
+            x = indicators.finish_macd(indicators.finish_bands(indicators.finish_rsi(x)), add)
+        return indicators.finish_anomalies(x, price, volume) if anomalies else x
 
-    d = rolling(d, build, lookback=LOOKBACK if indicators_too else E.LONG, symbol=symbol, ts=ts, bucket=bucket).drop("_gain", "_loss")
+    d = indicators.with_traded(d, price, volume)
+    d = rolling(d, build, lookback=LOOKBACK if indicators_too else E.LONG, symbol=symbol, ts=ts, bucket=bucket).drop("_gain", "_loss", "_traded")
     d = metrics.volume_metrics(indicators.price_trend(d, price=price, volume=volume), volume=volume)
     d = metrics.classify_market(d, price=price, volume=volume, ts=ts)
     if flags:
