@@ -215,6 +215,8 @@ def test_history(spark):
     h2 = gold.scd2_snapshot(h1, second, as_of=at(30))
     assert sorted((r["symbol"], r["valid_to"] is None) for r in h2.collect()) == [("A", False), ("A", True), ("B", False), ("D", True)]
     assert gold.scd2_snapshot(h1, second, as_of=at(30), invalidate_hard_deletes=False).filter("symbol = 'B' and valid_to is null").count() == 1
+    gap = spark.createDataFrame([("A", "a2", "x", 1.0, at(9)), ("A", "a2", None, 1.0, at(12)), ("D", "d", "x", 1.0, at(9))], cols)
+    assert gold.scd2_snapshot(h2, gap, as_of=at(35)).exceptAll(h2).isEmpty()  # the newest whole row is in force
     h3 = gold.scd2_snapshot(h2, first, as_of=at(40))
     assert h3.filter("symbol = 'B'").count() == 2 and checks.check_unique(h3.filter("valid_to is null"), "symbol").isEmpty()
 

@@ -133,10 +133,11 @@ def _company_key(symbol: Column, since: Column) -> Column:
 def scd2_snapshot(history: DataFrame | None, source: DataFrame, *, as_of: datetime.datetime, key: str = "symbol", check_cols: tuple[str, ...] = ("company_name", "exchange", "market_cap"), order: tuple[str, ...] = ("source_timestamp",), invalidate_hard_deletes: bool = True) -> DataFrame:
     """History after one more snapshot: changed and missing rows are closed at ``as_of``, new ones opened.
 
-    Source rows with a null among the checked columns are left out. Running the same
+    Source rows with a null among the checked columns are left out before the newest of a
+    key is taken, so a gap in the newest row leaves the one before it in force. Running the same
     snapshot again changes nothing.
     """
-    cur = latest_per_key(source, key, list(order)).dropna(subset=[key, *check_cols])
+    cur = latest_per_key(source.dropna(subset=[key, *check_cols]), key, list(order))
     at = F.lit(as_of).cast("timestamp")
     attributes = [c for c in cur.columns if c != key]
     fresh = cur.select(_company_key(F.col(key), at).alias("company_key"), key, *attributes, at.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))

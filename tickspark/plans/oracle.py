@@ -230,4 +230,7 @@ SQL: dict[str, str] = {
       SELECT rule, CASE WHEN failed_count / total_count >= 0.05 THEN 'ERROR' WHEN failed_count / total_count >= 0.01 THEN 'WARNING' ELSE 'INFO' END AS severity, failed_count, total_count, window_start_us FROM r WHERE failed_count > 0""",
     "stream_silver": enriched("event_id", rounded=("sma_5min", "sma_20min", "rsi_14", "macd_signal", "vwap", "bollinger_middle")),
 }
+GAPS = COMPANIES.replace("o_orderpriority AS exchange", "CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS exchange").replace("WHERE source_timestamp", "WHERE exchange IS NOT NULL AND source_timestamp")
+SQL["scd2_gaps"] = f"WITH {GAPS} SELECT symbol, company_name, exchange, market_cap, valid_from, valid_to FROM history"
+SQL["stream_late_ticks"] = SQL["stream_silver"]
 SQL["volume_metrics"] = f"WITH {ENRICHED} SELECT event_id, volume_category, {r6('volume_ratio', 'volume_ratio')}, {r6('vwap', 'volume_weighted_price')} FROM enriched"

@@ -16,6 +16,8 @@ from ..sources import decode
 
 #: Seconds that the longest nested frame of an enriched tick looks back: the signal over the slow mean.
 LOOKBACK = E.MACD_SLOW + E.MACD_SIGNAL
+#: Seconds of a bucket: a symbol's ticks of one bucket go to one task.
+BUCKET = 6 * 3600
 
 
 def enrich_ticks(df: DataFrame, *, indicators_too: bool = True, anomalies: bool = True, context: bool = False, flags: bool = False, symbol: str = "symbol", ts: str = "processing_timestamp", price: str = "current_price", volume: str = "volume", tie: tuple[str, ...] = indicators.TIE, bucket: float | None = None) -> DataFrame:

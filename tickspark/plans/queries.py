@@ -18,8 +18,7 @@ from . import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: Seconds of a bucket: a symbol's ticks of one bucket go to one task.
-BUCKET = 6 * 3600
+BUCKET = pipelines.BUCKET
 
 
 def query(f: Query) -> Query:
@@ -509,3 +508,24 @@ def stream_ohlcv(spark, sf_dir):
 def stream_silver(spark, sf_dir):
     enriched_stream = silver.silver_through_stream(ticks(spark, sf_dir))
     return shown(enriched_stream, "event_id", rounded=("sma_5min", "sma_20min", "rsi_14", "macd_signal", "vwap", "bollinger_middle"))
+
+
+@query
+def stream_late_ticks(spark, sf_dir):
+    """Of every seventh five-minute stretch the ticks come late, after those of all others; what they change is renewed."""
+    t = ticks(spark, sf_dir)
+    late = F.expr("(us div 300000000) % 7 = 3")
+    enriched_stream = silver.silver_through_stream(t, parts=[t.filter(~late), t.filter(late)], recompute_late=True)
+    return shown(enriched_stream, "event_id", rounded=("sma_5min", "sma_20min", "rsi_14", "macd_signal", "vwap", "bollinger_middle"))
+
+
+@query
+def scd2_gaps(spark, sf_dir):
+    """History from snapshots in which every seventh order has no exchange: its company's newest whole row counts."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    history, order = None, ("source_timestamp", "o_orderkey")
+    for later, year in ((False, 1998), (True, 1999)):
+        source = fixtures.company_snapshot(spark, sf_dir, later=later).withColumn("exchange", F.when(F.col("o_orderkey") % 7 != 0, F.col("exchange")))
+        history = gold.scd2_snapshot(history, source, as_of=datetime.datetime(year, 1, 1, tzinfo=datetime.timezone.utc), order=order)
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return history.select("symbol", "company_name", "exchange", "market_cap", day("valid_from"), day("valid_to"))

@@ -2,9 +2,14 @@
 
 Rolling indicators can't run on a stream as such, and on one micro-batch alone they would
 depend on where it was cut. So each batch also reads the stored ticks that its frames look
-back at, from the hours concerned, and the last tick of each symbol before them. All
+back at, from the hours concerned, and the last tick of each symbol before them. That
+is mostly the symbol's newest; where ticks come late, older hours are searched for it. All
 writes go to a folder of the batch and replace it, so a batch that runs again leaves the
 same rows once.
+
+With ``recompute_late``, a late tick also renews what it changes: the stored ticks up to
+the next one of its symbol, which now follows another price, and those that look back at
+either.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from ..operators.checks import quality_alerts
 from ..operators.indicators import latest_per_key
 from ..operators.metrics import validate_ticks
 from ..operators.products import serialize_product
-from ..plans.pipelines import LOOKBACK, all_products, enrich_ticks, parse_messages
+from ..plans.pipelines import BUCKET, LOOKBACK, all_products, enrich_ticks, parse_messages
 from ..sources.readers import HOUR_PARTS, with_hour_parts
 from ..sources.sinks import dead_letters
 
@@ -44,7 +49,7 @@ def shared_dir(spark: SparkSession) -> str:
 class Silver:
     """What a silver stream keeps below ``out``, and the work of one micro-batch."""
 
-    def __init__(self, out: str, schema: T.StructType, *, ts: str = "processing_timestamp", symbol: str = "symbol", recompute_late: bool = False, bucket: float | None = None, sink: Callable[[str, DataFrame, int], None] | None = None):
+    def __init__(self, out: str, schema: T.StructType, *, ts: str = "processing_timestamp", symbol: str = "symbol", recompute_late: bool = False, bucket: float | None = BUCKET, sink: Callable[[str, DataFrame, int], None] | None = None):
         self.out, self.schema, self.ts, self.symbol = out, schema, ts, symbol
         self.recompute_late, self.bucket, self.sink = recompute_late, bucket, sink
 
@@ -86,10 +91,12 @@ class Silver:
         now, last = accepted.select(self.schema.names).persist(), self.last(spark, batch_id)
         try:
             self.store(now, batch_id)
-            span = now.agg(F.min(self.ts).alias("a"), F.max(self.ts).alias("b"), F.count(F.lit(1)).alias("n")).first()
-            notes = [(batch_id, "ticks", span["n"], 0, None)]
-            if span["n"]:
-                notes += self.publish_all(self.enriched(spark, span["a"], span["b"], batch_id, last), span["n"], batch_id)
+            self.put(now.groupBy(self.symbol).agg(F.min(self.ts).alias("a"), F.max(self.ts).alias("b"), F.count(F.lit(1)).alias("n")), "spans", batch_id)
+            spans = self.read("spans", batch_id, T.StructType([self.schema[self.symbol]]).add("a", "timestamp").add("b", "timestamp").add("n", "long"))
+            n = spans.agg(F.sum("n").alias("n")).first()["n"] or 0
+            notes = [(batch_id, "ticks", n, 0, None)]
+            if n:
+                notes += self.publish_all(self.enriched(spans, batch_id, last), n, batch_id)
                 self.put(quality_alerts(now.unionByName(rejected.drop("error_reason")), ts=self.ts), "alerts", batch_id)
             known = now if last is None else last.unionByName(now)
             self.put(latest_per_key(known, self.symbol, [self.ts, *self.tie()]), "last", batch_id)
@@ -123,8 +130,11 @@ class Silver:
     def tie(self) -> list[str]:
         return [c for c in ("offset", "event_id") if c in self.schema.names]
 
+    def read(self, name: str, batch_id: int, schema: T.StructType) -> DataFrame:
+        return SparkSession.active().read.schema(schema).parquet(self.path(name, batch_id))
+
     def last(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The last tick of each symbol up to the batch before; every batch stores them, so one folder is read."""
+        """The newest tick of each symbol up to the batch before; every batch stores them, so one folder is read."""
         for k in range(batch_id - 1, -1, -1):
             if self._there(spark, self.path("last", k)):
                 return spark.read.schema(self.schema).parquet(self.path("last", k))
@@ -134,17 +144,65 @@ class Silver:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
-    def enriched(self, spark: SparkSession, first: datetime.datetime, last: datetime.datetime, batch_id: int, older: DataFrame | None) -> DataFrame:
-        """The batch's ticks from ``first`` to ``last``, enriched with what is stored around them and the last ticks before."""
-        reach = datetime.timedelta(seconds=LOOKBACK)
-        until = last + reach if self.recompute_late else last
-        ticks = self.stored(spark, first - reach, until)
-        near = ticks.filter((F.col(self.ts) >= F.lit(first - reach)) & (F.col(self.ts) <= F.lit(until)) & (F.col("batch_id") <= batch_id))
+    def hours(self, spark: SparkSession) -> list[datetime.datetime]:
+        """The hours that have stored ticks."""
+        found = [("", ())]
+        for part in HOUR_PARTS:
+            found = [(f"{path}/{part}={v}", (*at, v)) for path, at in found for v in self._values(spark, self.path("ticks") + path, part)]
+        return sorted(datetime.datetime(*at) for _, at in found)
+
+    def nearest(self, wanted: DataFrame, batch_id: int, forward: bool) -> DataFrame:
+        """(symbol, at, tick): of the stored ticks before ``at``, or after it, the nearest one of each symbol.
+
+        Hours are read outward from the nearest one, twice as many in every round, until
+        every symbol has its tick or no hour is left.
+        """
+        spark, sign = wanted.sparkSession, 1 if forward else -1
+        edge = wanted.agg((F.min if forward else F.max)("at").alias("at")).first()["at"]
+        hours = [] if edge is None else [h for h in self.hours(spark) if (h + datetime.timedelta(hours=1) > edge if forward else h <= edge)][::sign]
+        found, width = None, 1
+        key = F.struct(self.ts, *self.tie())
+        while hours:
+            some, hours, width = hours[:width], hours[width:], 2 * width
+            ticks = self.stored(spark, min(some), max(some)).filter(F.col("batch_id") <= batch_id).select(self.schema.names)
+            beyond = F.col(self.ts) > F.col("at") if forward else F.col(self.ts) < F.col("at")
+            near = ticks.join(wanted, self.symbol).filter(beyond)
+            near = near.groupBy(self.symbol, "at").agg((F.min_by if forward else F.max_by)(F.struct(*self.schema.names), key).alias("tick"))
+            self.put(near, f"near_{'after' if forward else 'before'}_{width}", batch_id)
+            near = self.read(f"near_{'after' if forward else 'before'}_{width}", batch_id, near.schema)
+            found = near if found is None else found.union(near)
+            wanted = wanted.join(near.select(self.symbol), self.symbol, "left_anti")
+            if wanted.isEmpty():
+                break
+        empty = T.StructType([self.schema[self.symbol], T.StructField("at", T.TimestampType()), T.StructField("tick", self.schema)])
+        return spark.createDataFrame([], empty) if found is None else found
+
+    def enriched(self, spans: DataFrame, batch_id: int, newest: DataFrame | None) -> DataFrame:
+        """The batch's ticks (``spans``: the first time a and the last b of each symbol), enriched with what is stored around them."""
+        spark, reach = spans.sparkSession, F.expr(f"interval {int(LOOKBACK)} seconds")
+        older = None
+        if newest is not None:
+            # a symbol's newest tick before the batch is the one before, unless ticks of the batch are late
+            known = newest.join(spans.select(self.symbol, (F.col("a") - reach).alias("at"), F.col("b")), self.symbol)
+            older = known.filter(F.col(self.ts) < F.col("at")).select(self.schema.names)
+            late = known.filter(F.col(self.ts) >= F.col("at")).select(self.symbol, "at", F.col(self.ts) > F.col("b"))
+            late = late.toDF(self.symbol, "at", "behind")
+            if not late.isEmpty():
+                older = older.union(self.nearest(late.select(self.symbol, "at"), batch_id, forward=False).select("tick.*"))
+                if self.recompute_late:
+                    behind = late.filter("behind").select(self.symbol).join(spans, self.symbol).select(self.symbol, F.col("b").alias("at"))
+                    after = self.nearest(behind, batch_id, forward=True).select(self.symbol, F.col("tick")[self.ts].alias("next"))
+                    spans = spans.join(after, self.symbol, "left").withColumn("b", F.coalesce("next", "b") + reach).drop("next")
+        elif self.recompute_late:
+            spans = spans.withColumn("b", F.col("b") + reach)
+        ends = spans.agg(F.min(F.col("a") - reach).alias("a"), F.max("b").alias("b")).first()
+        ticks = self.stored(spark, ends["a"], ends["b"]).filter(F.col("batch_id") <= batch_id)
+        near = ticks.join(spans.select(self.symbol, "a", "b"), self.symbol).filter((F.col(self.ts) >= F.col("a") - reach) & (F.col(self.ts) <= F.col("b")))
         mine = F.col("batch_id") == batch_id
-        own = mine | (F.col(self.ts) >= F.lit(first)) if self.recompute_late else mine
-        near = near.withColumn("_own", own).drop("batch_id", *HOUR_PARTS)
+        own = mine | (F.col(self.ts) >= F.col("a")) if self.recompute_late else mine
+        near = near.withColumn("_own", own).drop("batch_id", "a", "b", *HOUR_PARTS).select(*self.schema.names, "_own")
         if older is not None:
-            near = near.unionByName(older.filter(F.col(self.ts) < F.lit(first - reach)).withColumn("_own", F.lit(False)))
+            near = near.unionByName(older.withColumn("_own", F.lit(False)))
         return enrich_ticks(near, symbol=self.symbol, ts=self.ts, bucket=self.bucket).filter("_own").drop("_own")
 
 
@@ -222,10 +280,11 @@ def bars_through_stream(ticks: DataFrame, *, slices: int = 4, window: str = "1 m
     return latest_per_key(out, ["symbol", "window_start"], ["batch_id"]).drop("batch_id")
 
 
-def silver_through_stream(ticks: DataFrame, *, slices: int = 3, ts: str = "processing_timestamp", key: str = "event_id", **options) -> DataFrame:
-    """Enriched ticks that arrived as a stream of files; the query is started anew for each slice."""
+def silver_through_stream(ticks: DataFrame, *, slices: int = 3, parts: list[DataFrame] | None = None, ts: str = "processing_timestamp", key: str = "event_id", **options) -> DataFrame:
+    """Enriched ticks that arrived as a stream of files, slice by slice of time or in the given parts; the query is started anew for each."""
     spark, root = ticks.sparkSession, shared_dir(ticks.sparkSession)
-    for step in _feed(ticks, root, ts, slices):
+    steps = [lambda p=p: p.write.mode("append").parquet(f"{root}/in") for p in parts] if parts else _feed(ticks, root, ts, slices)
+    for step in steps:
         step()
         stream = spark.readStream.schema(ticks.schema).parquet(f"{root}/in")
         run_silver(stream, out=f"{root}/out", checkpoint=f"{root}/checkpoint", trigger={"availableNow": True}, **options).awaitTermination()
