@@ -5,12 +5,15 @@ read as a number in the mixed radix of its characters' classes, so letters stay
 and digits digits, and permuted by a Feistel network whose round function is keyed. A
 permutation maps equal values to equal pseudonyms in every document, and different
 values of one form to different ones. Check digits are recomputed, dates stay dates.
+A date with strokes whose first number is above 12 has the day first; its pseudonym has
+too, so neither reading gives an output of the other.
 """
 
 from __future__ import annotations
 
 import datetime
 import hashlib
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -27,13 +30,14 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099,
 
 #: The forms that are looked for, in the order in which they are tried.
 FORMS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
-    "private_key": r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}+-----END [A-Z ]{0,40}PRIVATE KEY-----",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+(?:xn--[A-Za-z0-9-]+|[A-Za-z]{2,})(?![A-Za-z0-9-])",
+    "private_key": r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----\s*(?:[A-Za-z0-9-]+: [^\n]*\n\s*)*+[A-Za-z0-9+/=\s\\]{16,}+-----END [A-Z0-9 ]*PRIVATE KEY-----",
     "cloud_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "access_token": r"(?<![A-Za-z0-9])(?:gh[pousr]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_-]{20,}+)",
-    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3})[\"']?[A-Za-z0-9+/_.!@#$%^&*-]{6,}+",
+    "secret": r"(?:(?<![A-Za-z0-9])|(?<=[a-z])(?=[A-Z]))(?i:(?:password|passwd|passphrase|pwd|secret(?:[_-]?access)?(?:[_-]?key)?|token|(?:api|access|private)[_-]?key)[\"']?\s*[=:]\s*)[\"']?[A-Za-z0-9+/_.!@#$%^&*-]{6,}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]|\.\d)",
+    "ip6": r"(?<![A-Za-z0-9:.])(?=[0-9A-Fa-f]*:[0-9A-Fa-f]*:)[0-9A-Fa-f:]+(?![A-Za-z0-9:])",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+(])(?:\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])",
@@ -44,10 +48,10 @@ ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in FORMS.items()))
 WEB_TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+")
 TOKEN_RUN, TOKEN_BEFORE = re.compile(r"[A-Za-z0-9_-]+"), re.compile(r"(?<![A-Za-z0-9])eyJ")
 #: A value of any form has one of these, a digit of another script, or the name of a secret; most texts have none.
-MARKS = (*"0123456789@", "AKIA", "ASIA", "PRIVATE KEY", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "eyJ")
+MARKS = (*"0123456789@", "AKIA", "ASIA", "PRIVATE KEY", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "eyJ", "::")
 
 DIGIT = re.compile(r"\d")
-NAMED = re.compile(r"(?i:passw|pwd|secret|token|api[_-]?key)")
+NAMED = re.compile(r"(?i:passw|passphrase|pwd|secret|token|(?:api|access|private)[_-]?key)")
 #: Characters of a long value that are permuted as one number.
 BLOCK = 8192
 
@@ -143,8 +147,9 @@ def _iban(p: Pseudonyms, text: str) -> str | None:
     plain = text.replace(" ", "")
     if not 15 <= len(plain) <= 34 or iban_rest(plain) != 1:
         return None
-    out = p.string(text, "iban", lambda k: k < 4)
-    return out[:2] + f"{98 - iban_rest(out[:2] + '00' + out[4:].replace(' ', '')):02d}" + out[4:]
+    new = p.string(plain, "iban", lambda k: k < 4)
+    new = iter(new[:2] + f"{98 - iban_rest(new[:2] + '00' + new[4:]):02d}" + new[4:])
+    return "".join(c if c == " " else next(new) for c in text)
 
 
 def _date(p: Pseudonyms, text: str) -> str | None:
@@ -164,14 +169,14 @@ def _date(p: Pseudonyms, text: str) -> str | None:
     if not FIRST_DAY <= day.toordinal() <= LAST_DAY:
         return None
     n = day.toordinal() - FIRST_DAY
-    while True:  # on to a day that is written in as many digits
+    while True:  # on to a day that is written in as many digits and read in the same order
         n = p.permute(n, LAST_DAY - FIRST_DAY + 1, "date")
         new = datetime.date.fromordinal(FIRST_DAY + n)
         if sign == "-":
             return f"{new.year:04d}-{new.month:02d}-{new.day:02d}"
         first, second = (new.day, new.month) if sign == "." or swapped else (new.month, new.day)
         out = f"{first:0{len(a)}d}{sign}{second:0{len(b)}d}{sign}{new.year:04d}"
-        if len(out) == len(text):
+        if len(out) == len(text) and (not swapped or new.day > 12):
             return out
 
 
@@ -186,6 +191,37 @@ def _ip(p: Pseudonyms, text: str) -> str | None:
             return ".".join(str(value >> s & 255) for s in (24, 16, 8, 0))
 
 
+def _ip6(p: Pseudonyms, text: str) -> str | None:
+    """The 16-bit groups that aren't 0 are permuted; those that are stay, so the short form stays as short."""
+    try:
+        value = ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    groups = [int(g, 16) for g in value.exploded.split(":")]
+    own = [k for k, g in enumerate(groups) if g]
+    if len(own) < 2 or not _names_a_host(groups):
+        return None
+    n, size = 0, 1
+    for k in own:
+        n, size = n * 0xFFFF + groups[k] - 1, size * 0xFFFF
+    while True:
+        n = p.permute(n, size, f"ip6|{','.join(map(str, own))}")
+        rest = n
+        for k in reversed(own):
+            rest, g = divmod(rest, 0xFFFF)
+            groups[k] = g + 1
+        if _names_a_host(groups):
+            break
+    new = ipaddress.IPv6Address(":".join(f"{g:x}" for g in groups))
+    out = new.compressed if "::" in text else new.exploded if all(len(g) == 4 for g in text.split(":")) else ":".join(f"{g:x}" for g in groups)
+    return out.upper() if any(c.isupper() for c in text) else out
+
+
+def _names_a_host(groups: list[int]) -> bool:
+    """Not multicast, nor an address of the link."""
+    return groups[0] >> 8 != 0xFF and groups[0] & 0xFFC0 != 0xFE80
+
+
 def _ssn(p: Pseudonyms, text: str) -> str | None:
     sound = lambda t: t[:3] not in ("000", "666") and t[0] != "9" and t[4:6] != "00" and t[7:] != "0000"
     if not sound(text):
@@ -205,15 +241,15 @@ def _phone(p: Pseudonyms, text: str) -> str | None:
 
 
 def _email(p: Pseudonyms, text: str) -> str:
-    top = text.rindex(".")
-    return p.string(text, "email", lambda k: k > top)
+    top, marks = text.rindex("."), {m.start() + k for m in re.finditer(r"(?i)(?<=[@.])xn--", text) for k in range(4)}
+    return p.string(text, "email", lambda k: k > top or k in marks)
 
 
 def _digitless(name: str, value: str) -> bool:
-    """Whether a value without digits is a secret: set by a bare "=", long, or of more than letters of one case."""
+    """Whether a value without digits is a secret: quoted, set by a bare "=", long, or of more than letters of one case."""
     letters = value.rstrip(".!")
     odd = any(not c.isalpha() and c not in ".-" for c in letters) or any(a.islower() and b.isupper() for a, b in zip(letters, letters[1:]))
-    return name.rstrip("\"'").endswith("=") and " " not in name or len(letters) >= 16 or odd and len(letters) >= 8
+    return name[-1] in "\"'" or name.rstrip("\"'").endswith("=") and " " not in name or len(letters) >= 16 or odd and len(letters) >= 8
 
 
 def _secret(p: Pseudonyms, text: str) -> str | None:
@@ -237,10 +273,11 @@ def _access_token(p: Pseudonyms, text: str) -> str:
 
 def _private_key(p: Pseudonyms, text: str) -> str:
     a, b = text.index("KEY-----") + 8, text.index("-----END")
-    return text[:a] + "".join(p.string(x, "private_key") for x in re.split(r"(\s+)", text[a:b])) + text[b:]
+    a += re.match(r"\s*(?:[A-Za-z0-9-]+: [^\n]*\n\s*)*", text[a:b]).end()  # lines that say how the key is kept
+    return text[:a] + "".join(p.string(x, "private_key") if k % 2 == 0 else x for k, x in enumerate(re.split(r"(\s+|\\[nr])", text[a:b]))) + text[b:]
 
 
-_RULES = {"email": _email, "private_key": _private_key, "cloud_key": _cloud_key, "access_token": _access_token, "secret": _secret, "iban": _iban, "date": _date, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
+_RULES = {"email": _email, "private_key": _private_key, "cloud_key": _cloud_key, "access_token": _access_token, "secret": _secret, "iban": _iban, "date": _date, "ip6": _ip6, "ip": _ip, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
 @lru_cache(maxsize=4)
