@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import one_row_per_id, tune, write_shared
+from .common import lean, one_row_per_id, tune, write_shared
 
 #: Letters (characters other than white space) that a common block must have to be deleted.
 MIN_LETTERS = 20
@@ -91,12 +91,12 @@ def windows_of(text: str, min_letters: int = MIN_LETTERS) -> list[tuple[int, int
     return [(a, b, hashlib.blake2b(b"|".join(names[a : b + 1]), digest_size=16).digest()) for a, b in sorted(spans)]
 
 
-def common_blocks(mine: dict[int, tuple[int, int]], theirs: dict[int, tuple[int, int]]) -> list[tuple[int, int]]:
-    """Blocks (first, last) of the aligned lines, from each document's windows: hash to (first, last)."""
+def common_blocks(shared: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Blocks (first, last) of the aligned lines, from the windows that two documents share: (first, last) here and first there."""
     there: dict[int, int] = {}
-    for h in mine.keys() & theirs.keys():
-        for k in range(mine[h][1] - mine[h][0] + 1):
-            there[mine[h][0] + k] = theirs[h][0] + k
+    for first, last, other in shared:
+        for k in range(last - first + 1):
+            there[first + k] = other + k
     lines = sorted(there)
     out: list[tuple[int, int]] = []
     for p in (lines[k] for k in increasing([there[p] for p in lines])):
@@ -125,10 +125,10 @@ def _windows(min_letters: int):
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, others, first, last = [], [], [], []
-        for d, e, *both in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            mine, theirs = ({w["k"]: (w["first"], w["last"]) for w in x} for x in both)
-            first_here = {w["k"]: (w["first"], w["last"]) for w in both[0] if w["home"] == e}
-            for a, b in {*common_blocks(mine, theirs), *common_blocks(first_here, theirs)}:
+        for d, e, shared in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            spans = [(w["first"], w["last"], w["there"]) for w in shared]
+            first_here = [x for x, w in zip(spans, shared) if w["at_home"]]
+            for a, b in {*common_blocks(spans), *common_blocks(first_here)}:
                 ids.append(d)
                 others.append(e)
                 first.append(a)
@@ -179,21 +179,28 @@ def _blocks_of(docs: DataFrame, min_letters: int) -> DataFrame:
     rows = write_shared(docs.mapInArrow(_windows(min_letters), "doc_id long, first int, last int, h binary"), "windows")
     homes = rows.groupBy("h").agg(F.min("doc_id").alias("home"), F.count(F.lit(1)).alias("df")).filter("df > 1").drop("df")
     homes = write_shared(homes, "homes")  # so that the join below can split a hot window
-    key = F.conv(F.substring(F.hex("h"), 1, 15), 16, 10).cast("long").alias("k")
-    lists = rows.join(homes, "h").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "last", key, "home", "h"))).alias("w"))
-    lists = write_shared(lists.withColumn("form", F.unhex(F.md5(F.array_join(F.transform("w.h", F.hex), "").cast("binary")))), "lists")
+    held = write_shared(rows.join(homes, "h"), "held")
+    lists = held.groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("first", "last", "h"))), lambda w: F.hex(w["h"])), "").alias("all"), F.count(F.lit(1)).alias("n"))
+    lists = write_shared(lists.select("doc_id", "n", F.unhex(F.md5(F.col("all").cast("binary"))).alias("form")), "lists")
     forms = write_shared(lists.groupBy("form").agg(F.min("doc_id").alias("rep")), "forms")
-    lists = write_shared(lists.join(forms, "form").select("doc_id", "rep", "w"), "lists")
-    reps = lists.filter("doc_id = rep")
+    lists = write_shared(lists.join(forms, "form").select("doc_id", "rep", "n"), "lists")
+    held = write_shared(held.join(lists.select("doc_id", "rep"), "doc_id"), "held")
+    reps = held.filter("doc_id = rep").drop("rep")
+    theirs = reps.select(F.col("doc_id").alias("other"), "h", F.col("first").alias("there"))
 
     def align(pairs: DataFrame) -> DataFrame:
-        slim = F.transform("w", lambda w: F.struct(w["k"].alias("k"), w["first"].alias("first"), w["last"].alias("last"), w["home"].alias("home")))
-        mine, theirs = lists.select("doc_id", slim.alias("mine")), reps.select(F.col("doc_id").alias("home"), slim.alias("theirs"))
-        both = pairs.join(theirs, "home").join(mine, "doc_id").select("doc_id", "home", "mine", "theirs")
-        return write_shared(both.mapInArrow(_align, "doc_id long, home long, first int, last int"), "blocks")
-
-    copies = lists.filter("doc_id <> rep").select("doc_id", F.col("rep").alias("home"))
-    firsts = reps.select("doc_id", F.explode(F.array_distinct("w.home")).alias("home")).filter("doc_id <> home")
+        """The blocks of pairs (doc_id, other): the windows of the one with fewer are looked up in the other."""
+        size = lists.select("doc_id", "n")
+        sized = write_shared(pairs.join(size, "doc_id").join(size.toDF("other", "m"), "other"), "pairs")
+        by_other = sized.filter("m <= n").select("doc_id", "other").join(theirs, "other").join(held, ["doc_id", "h"])
+        by_own = sized.filter("m > n").select("doc_id", "other").join(held, "doc_id").join(theirs, ["other", "h"])
+        window = F.struct("first", "last", "there", (F.col("home") == F.col("other")).alias("at_home"))
+        both = by_other.select("doc_id", "other", window.alias("w")).union(by_own.select("doc_id", "other", window.alias("w")))
+        both = both.groupBy("doc_id", "other").agg(F.collect_list("w").alias("w"))
+        return write_shared(both.mapInArrow(lean(_align), "doc_id long, home long, first int, last int"), "blocks")
+
+    copies = lists.filter("doc_id <> rep").select("doc_id", F.col("rep").alias("other"))
+    firsts = reps.select("doc_id", F.col("home").alias("other")).filter("doc_id <> other").distinct()
     blocks = align(copies.union(firsts))
 
     def left(windows: DataFrame, found: DataFrame) -> DataFrame:
@@ -202,17 +209,16 @@ def _blocks_of(docs: DataFrame, min_letters: int) -> DataFrame:
         own = windows.join(spans, "doc_id", "left")
         return own.filter(F.expr("not coalesce(exists(spans, s -> s.first <= first and last <= s.last), false)")).drop("spans")
 
-    held = reps.select("doc_id", F.inline("w"))
-    open_ = write_shared(left(held.filter("doc_id <> home").select("doc_id", "first", "last", "h"), blocks), "open")
+    open_ = write_shared(left(reps.filter("doc_id <> home").select("doc_id", "first", "last", "h"), blocks), "open")
     if open_.isEmpty():
         return blocks
-    ranks = _ranks(held.join(open_.select("h").distinct(), "h", "left_semi").select("h", "doc_id"))
+    ranks = _ranks(reps.join(open_.select("h").distinct(), "h", "left_semi").select("h", "doc_id"))
     # the first holder, rank 1, has been tried
     open_, many = open_.join(ranks, ["h", "doc_id"]).filter("rank > 2"), 1
     open_ = write_shared(open_, "open")
     while not open_.isEmpty():
         tries = open_.select("doc_id", "h", F.explode(F.sequence(F.greatest(F.lit(2), F.col("rank") - many), F.col("rank") - 1)).alias("rank"))
-        pairs = tries.join(ranks.withColumnRenamed("doc_id", "home"), ["h", "rank"]).select("doc_id", "home").distinct()
+        pairs = tries.join(ranks.withColumnRenamed("doc_id", "other"), ["h", "rank"]).select("doc_id", "other").distinct()
         fresh = align(pairs)
         blocks = blocks.union(fresh)
         open_ = write_shared(left(open_, fresh).withColumn("rank", F.col("rank") - many).filter("rank > 2"), "open")
