@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import expressions as E
+from ..sources.files import get_text, names_in, put_text
 from .indicators import latest_per_key
 
 #: The typed fields of each staging table.
@@ -91,14 +92,30 @@ def publish(df: DataFrame, root: str, version: str, *, partition_by: list[str] |
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    spark = df.sparkSession
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{root}/current")
+    _point(df.sparkSession, root, version)
     return path
 
 
+def _point(spark: SparkSession, root: str, version: str) -> None:
+    """Name the version in a pointer with the next number; older pointers stay, so a reader always finds one."""
+    while not put_text(spark, f"{root}/current/{max([0, *_pointers(spark, root)]) + 1:08d}", version):
+        pass
+
+
+def _pointers(spark: SparkSession, root: str) -> list[int]:
+    return [int(n) for n in names_in(spark, f"{root}/current") if n.isdigit()]
+
+
+def publish_bucketed(df: DataFrame, table: str, path: str, *, by: tuple[str, ...] = ("symbol", "timestamp"), buckets: int = 64) -> DataFrame:
+    """A table in buckets of its key, sorted within: tables with the same buckets join, and reduce to one row a key, without a shuffle."""
+    rows = df.repartition(buckets, *by)  # one file a bucket
+    rows.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def current(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
     """The published version."""
-    version = spark.read.schema("version string").json(f"{root}/current").first()["version"]
+    version = get_text(spark, f"{root}/current/{max(_pointers(spark, root)):08d}")
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(f"{root}/versions/{version}")
 

@@ -100,7 +100,8 @@ history AS (
 
 HISTORY_KEYS = "md5(symbol || '|' || valid_from || ' 00:00:00') AS company_key"
 KEYED = "md5(symbol || '::' || strftime(make_timestamp(us), '%Y-%m-%d %H:%M:%S') || CASE WHEN us % 1000000 = 0 THEN '' ELSE rtrim('.' || lpad(CAST(us % 1000000 AS VARCHAR), 6, '0'), '0') END)"
-CALENDAR = "CAST(strftime(processing_timestamp, '%Y%m%d') AS INTEGER) AS date_key, CAST(hour(processing_timestamp) * 60 + minute(processing_timestamp) AS INTEGER) AS time_key"
+DATE_KEY = "CAST(strftime(processing_timestamp, '%Y%m%d') AS INTEGER) AS date_key"
+CALENDAR = f"{DATE_KEY}, CAST(hour(processing_timestamp) * 60 + minute(processing_timestamp) AS INTEGER) AS time_key"
 
 
 def decimal(x: str, kind: str) -> str:
@@ -140,10 +141,7 @@ SQL: dict[str, str] = {
       SELECT event_id, {r6('f - s', 'macd')}, {r6('g', 'macd_signal')}, {r6('f - s - g', 'macd_histogram')} FROM e""",
     "output_contract": f"""WITH {ENRICHED} SELECT symbol, us // 1000 AS "timestamp", us // 1000 AS processing_timestamp, {r6('current_price', 'current_price')} FROM enriched WHERE current_price > 0""",
     "serialized_prices": f"WITH {ENRICHED} SELECT symbol AS key, symbol, 'stock_prices' AS record_type, trading_session, volume, {r6('current_price', 'current_price')}, {r6('sma_5min', 'sma_5min')} FROM enriched WHERE current_price > 0",
-    "archived_messages": f"""WITH {TICKS}, m AS (SELECT event_id, make_timestamp(us + 1000000) AS arrived FROM ticks)
-      SELECT event_id AS "offset", CASE WHEN event_id % 2 = 0 THEN 'stock-quotes' ELSE 'intraday-data' END AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", {HOUR_OF.format('arrived')} FROM m""",
     "archived_products": f"WITH {ENRICHED} SELECT symbol, us, volume FROM enriched WHERE processing_timestamp BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-01 12:00:00'",
-    "landed_rows": f"WITH {TICKS} SELECT symbol AS kafka_key, CAST(event_id % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset, us + 1000000 AS us FROM ticks",
     "gold_build": f"""WITH {ENRICHED}, co AS (SELECT count(DISTINCT upper(event_type)) AS n FROM events JOIN orders ON o_orderkey = event_id),
       p AS (SELECT count(*) AS n, count(DISTINCT (symbol, us)) AS k FROM enriched WHERE current_price > 0), v AS (SELECT count(*) AS n, count(DISTINCT (symbol, us)) AS k FROM enriched)
       SELECT 'stg_stock_prices' AS name, n FROM p UNION ALL SELECT 'fact_stock_prices', k FROM p UNION ALL SELECT 'stg_trading_volume', n FROM v UNION ALL SELECT 'stg_technical_indicators', n FROM v
@@ -234,3 +232,25 @@ GAPS = COMPANIES.replace("o_orderpriority AS exchange", "CASE WHEN o_orderkey %
 SQL["scd2_gaps"] = f"WITH {GAPS} SELECT symbol, company_name, exchange, market_cap, valid_from, valid_to FROM history"
 SQL["stream_late_ticks"] = SQL["stream_silver"]
 SQL["volume_metrics"] = f"WITH {ENRICHED} SELECT event_id, volume_category, {r6('volume_ratio', 'volume_ratio')}, {r6('vwap', 'volume_weighted_price')} FROM enriched"
+
+HELD = 10 * 60 * 1_000_000
+SQL["stream_dropped"] = f"""WITH {TICKS}, marked AS (SELECT *, (us // 300000000) % 7 = 3 AND hour(processing_timestamp) < 12 AS late FROM ticks),
+  mark AS (SELECT (max(us) // 1000 - {HELD // 1000}) * 1000 AS us FROM marked WHERE NOT late),
+  kept AS (SELECT * FROM marked WHERE NOT late OR us > (SELECT us FROM mark)),
+  bars AS (SELECT symbol, us // 60000000 * 60000000 AS w, arg_min(current_price, us) AS o, arg_max(current_price, us) AS c, sum(volume) AS v, count(*) AS n FROM kept GROUP BY ALL)
+  SELECT symbol, w AS window_start_us, o AS open, c AS close, CAST(v AS BIGINT) AS total_volume, n AS tick_count,
+    (SELECT count(*) FROM marked) - (SELECT count(*) FROM kept) AS dropped FROM bars WHERE w + 60000000 <= (SELECT us FROM mark)"""
+PAYLOAD = "CASE WHEN event_id % 101 <> 0 AND event_id % 103 <> 0 THEN {} END"
+PAID = f"{r6(PAYLOAD.format('current_price'), 'price')}, coalesce({PAYLOAD.format('volume')}, -1) AS volume"
+SQL["archived_messages"] = f"""WITH {TICKS}, m AS (SELECT *, make_timestamp(us + 1000000) AS arrived FROM ticks)
+  SELECT event_id AS "offset", CASE WHEN event_id % 2 = 0 THEN 'stock-quotes' ELSE 'intraday-data' END AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", {PAID}, {HOUR_OF.format('arrived')} FROM m"""
+SQL["landed_rows"] = f"WITH {TICKS} SELECT symbol AS kafka_key, CAST(event_id % 3 AS INTEGER) AS kafka_partition, event_id AS kafka_offset, us + 1000000 AS us, {PAID} FROM ticks"
+SQL["stream_redelivered"] = f"""WITH {TICKS} SELECT event_id AS "offset", CASE WHEN event_id % 2 = 0 THEN 'stock-quotes' ELSE 'intraday-data' END AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", us + 1000000 AS us, {PAID} FROM ticks"""
+SQL["product_indicators_pct"] = enriched("symbol", "us", r6("bollinger_middle", "bollinger_middle"), r6("coalesce(bollinger_upper, current_price * 1.02)", "bollinger_upper"), r6("coalesce(bollinger_lower, current_price * 0.98)", "bollinger_lower"))
+SQL["stream_facts"] = f"WITH {ENRICHED} SELECT symbol, us, volume, trading_session, {r6('current_price', 'current_price')}, {r6('least(greatest(rsi_14, 0), 100)', 'rsi_14')}, {r6('macd_signal', 'macd_signal')} FROM enriched WHERE current_price > 0"
+SQL["stream_health"] = f"""WITH {DIRTY}, n AS (SELECT count(*) AS n, count(*) FILTER (WHERE {REASON} IS NOT NULL) AS bad, count(DISTINCT hour(processing_timestamp) < 12) AS b FROM dirty)
+  SELECT 'ticks' AS part, b AS batches, n AS records, bad AS errors, 0 AS n_messages, bad / n < 0.01 AS healthy FROM n
+  UNION ALL SELECT unnest(['stock_prices', 'trading_volume', 'technical_indicators']), b, n - bad, 0, 0, true FROM n"""
+SQL["merged_hours"] = f"""WITH {TICKS}, m AS (SELECT *, event_id % 2 = 0 AND hour(processing_timestamp) < 12 AS hit FROM ticks)
+  SELECT event_id, symbol, us, volume, CAST(hit AS INTEGER) AS round, {r6('current_price + CAST(hit AS INTEGER)', 'current_price')} FROM m"""
+SQL["bucketed_facts"] = f"""WITH {ENRICHED} SELECT {KEYED} AS stock_price_key, {DATE_KEY}, symbol, us, volume, {decimal('rsi_14', 'DECIMAL(5,2)')}, {decimal('macd_signal', 'DECIMAL(10,4)')}, {decimal('sma_5min', 'DECIMAL(10,4)')} FROM enriched WHERE current_price > 0"""

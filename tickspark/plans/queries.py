@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import expressions as E
-from ..operators import bars, checks, gold, indicators, metrics, products
+from ..operators import bars, checks, gold, indicators, metrics, products, versions
 from ..sources import decode, fixtures, readers, sinks
-from ..streaming import silver
+from ..streaming import events, silver
 from . import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -233,6 +233,13 @@ def product_indicators(spark, sf_dir):
     return shown(p, "symbol", "us", "record_type", rounded=("rsi_14", "macd", *BANDS, "macd_signal", "macd_histogram"))
 
 
+@query
+def product_indicators_pct(spark, sf_dir):
+    """Where a tick has no bands yet, they lie two percent around its price."""
+    p = products.technical_indicators_product(enriched(spark, sf_dir), band_fallback="pct").withColumn("us", F.unix_micros("timestamp"))
+    return shown(p, "symbol", "us", rounded=BANDS)
+
+
 @query
 def output_contract(spark, sf_dir):
     p = products.to_output_contract(products.stock_prices_product(enriched(spark, sf_dir)))
@@ -247,13 +254,19 @@ def serialized_prices(spark, sf_dir):
     return shown(rows, "key", "symbol", "record_type", "trading_session", "volume", rounded=("current_price", "sma_5min"))
 
 
+def payload(value: str) -> list[F.Column]:
+    """Price and volume of a message's JSON, which a wire header of five bytes stands before."""
+    field = lambda n: F.get_json_object(F.expr(f"substring(cast({value} as string), 6)"), f"$.{n}")
+    return [r6(F.coalesce(field("current_price"), field("close_price")).cast("double"), "price"), F.coalesce(field("volume").cast("long"), F.lit(-1)).alias("volume")]
+
+
 @query
 def archived_messages(spark, sf_dir):
     """Messages through the hourly archive and back, by the hours of their folders."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = silver.shared_dir(spark)
     sinks.archive_bronze(fixtures.messages(spark, sf_dir), path)
-    return spark.read.parquet(path).select("offset", "topic", "partition", *[F.col(c).cast("int").alias(c) for c in readers.HOUR_PARTS])
+    return spark.read.parquet(path).select("offset", "topic", "partition", *payload("value"), *[F.col(c).cast("int").alias(c) for c in readers.HOUR_PARTS])
 
 
 @query
@@ -272,7 +285,7 @@ def landed_rows(spark, sf_dir):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     path = silver.shared_dir(spark)
     sinks.land_gold_raw(fixtures.messages(spark, sf_dir), path=path)
-    return spark.read.parquet(path).select("kafka_key", "kafka_partition", "kafka_offset", us("kafka_timestamp", "us"))
+    return spark.read.parquet(path).select("kafka_key", "kafka_partition", "kafka_offset", us("kafka_timestamp", "us"), *payload("kafka_value"))
 
 
 def _topics() -> dict[str, T.StructType]:
@@ -529,3 +542,92 @@ def scd2_gaps(spark, sf_dir):
         history = gold.scd2_snapshot(history, source, as_of=datetime.datetime(year, 1, 1, tzinfo=datetime.timezone.utc), order=order)
     day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
     return history.select("symbol", "company_name", "exchange", "market_cap", day("valid_from"), day("valid_to"))
+
+
+def by_thirds(t: DataFrame) -> list[DataFrame]:
+    """The ticks of each third of the day."""
+    return [t.filter(F.expr(f"hour(processing_timestamp) div 8 = {k}")) for k in range(3)]
+
+
+def fed(parts: list[DataFrame], root: str, start) -> None:
+    """Append each part to a folder and let ``start()``'s query take what is there."""
+    for part in parts:
+        part.write.mode("append").parquet(f"{root}/in")
+        events.await_reported(start())
+
+
+@query
+def stream_redelivered(spark, sf_dir):
+    """Messages of which every part is delivered again with the next one: each comes out once."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    m, root = fixtures.messages(spark, sf_dir), silver.shared_dir(spark)
+    thirds = [m.filter(F.expr(f"hour(timestamp) div 8 = {k}")) for k in range(3)]
+    stream = lambda: events.once(spark.readStream.schema(m.schema).parquet(f"{root}/in"))
+    start = lambda: stream().writeStream.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out").trigger(availableNow=True).start()
+    fed([thirds[0], thirds[1].union(thirds[0]), thirds[2].union(thirds[1]), thirds[2]], root, start)
+    return spark.read.schema(m.schema).parquet(f"{root}/out").select("offset", "topic", "partition", us("timestamp", "us"), *payload("value"))
+
+
+@query
+def stream_dropped(spark, sf_dir):
+    """Bars in append mode; of every seventh five-minute stretch before noon the ticks come after the day and are dropped, and counted."""
+    t, root = ticks(spark, sf_dir), silver.shared_dir(spark)
+    late = F.expr("(us div 300000000) % 7 = 3 and hour(processing_timestamp) < 12")
+    listener = events.Reports(spark, f"{root}/reports")
+    spark.streams.addListener(listener)
+    try:
+        stream = lambda: events.closed_bars(spark.readStream.schema(t.schema).parquet(f"{root}/in"), key=("event_id",))
+        start = lambda: stream().writeStream.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out").trigger(availableNow=True).start()
+        fed([t.filter(~late), t.filter(late)], root, start)
+    finally:
+        spark.streams.removeListener(listener)
+    dropped = events.reports(spark, f"{root}/reports").agg(F.sum("dropped").cast("long").alias("dropped"))
+    bars_ = spark.read.schema(stream().schema).parquet(f"{root}/out")
+    return bars_.crossJoin(F.broadcast(dropped)).select("symbol", us("window_start", "window_start_us"), "open", "close", "total_volume", "tick_count", "dropped")
+
+
+@query
+def stream_facts(spark, sf_dir):
+    """Prices and indicators as two streams; the indicators of every part come with the next part of prices."""
+    rows, root = stored(enriched(spark, sf_dir)), silver.shared_dir(spark)
+    sides = {"prices": products.stock_prices_product(rows), "indicators": products.technical_indicators_product(rows).select("symbol", "timestamp", "rsi_14", "macd_signal")}
+    for k in range(4):
+        for name, lag in (("prices", 0), ("indicators", 1)):
+            sides[name].filter(F.expr(f"hour(timestamp) div 8 = {k - lag}")).write.mode("append").parquet(f"{root}/{name}")
+        prices, indicators_ = (spark.readStream.schema(d.schema).parquet(f"{root}/{n}") for n, d in sides.items())
+        joined = events.prices_with_indicators(prices, indicators_, delay="9 hours")
+        events.await_reported(joined.writeStream.option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out").trigger(availableNow=True).start())
+    return shown(spark.read.schema(joined.schema).parquet(f"{root}/out").withColumn("us", F.unix_micros("timestamp")), "symbol", "us", "volume", "trading_session", rounded=("current_price", "rsi_14", "macd_signal"))
+
+
+@query
+def stream_health(spark, sf_dir):
+    """The silver stream over ticks with faults: records, errors and health of each part."""
+    t, root = dirty(spark, sf_dir), silver.shared_dir(spark)
+    run = lambda: silver.run_silver(spark.readStream.schema(t.schema).parquet(f"{root}/in"), out=f"{root}/out", checkpoint=f"{root}/checkpoint", trigger={"availableNow": True})
+    fed([t.filter("hour(processing_timestamp) < 12"), t.filter("hour(processing_timestamp) >= 12")], root, run)
+    h = silver.health_report(silver.batch_metrics(spark, f"{root}/out"), limit=0.01)
+    return h.select("part", "batches", "records", "errors", F.size("last_errors").alias("n_messages"), "healthy")
+
+
+@query
+def merged_hours(spark, sf_dir):
+    """A table of hour folders, upserted with the even ticks before noon, compacted, and read again."""
+    t, root = ticks(spark, sf_dir).select("event_id", "symbol", "processing_timestamp", "current_price", "volume"), silver.shared_dir(spark)
+    for k in range(2):
+        versions.append(t.withColumn("round", F.lit(0)).filter(F.col("event_id") % 2 == k), root, ts="processing_timestamp")
+    source = t.filter("event_id % 2 = 0 and hour(processing_timestamp) < 12").withColumns({"current_price": F.col("current_price") + 1, "round": F.lit(1)})
+    versions.merge(source.union(source.withColumns({"current_price": F.col("current_price") - 5, "round": F.lit(0)})), root, key=["event_id"], order_by=["round"], ts="processing_timestamp")
+    versions.compact(spark, root, source.schema, ts="processing_timestamp")
+    return shown(versions.read(spark, root, source.schema), "event_id", "symbol", us("processing_timestamp", "us"), "volume", "round", rounded=("current_price",))
+
+
+@query
+def bucketed_facts(spark, sf_dir):
+    """Prices joined with indicators out of tables in buckets of symbol and time."""
+    rows, root = stored(enriched(spark, sf_dir)), silver.shared_dir(spark)
+    name = root.rsplit("/", 1)[1].replace("-", "_")
+    prices = gold.publish_bucketed(staged_prices(rows), f"{name}_prices", f"{root}/prices", buckets=16)
+    indicators_ = gold.publish_bucketed(staged_indicators(rows), f"{name}_indicators", f"{root}/indicators", buckets=16)
+    f = as_double(gold.fact_stock_prices(prices, indicators_, tick_companies(spark, sf_dir)), "rsi_14", "macd_signal", "sma_5min")
+    return f.select("stock_price_key", "date_key", "symbol", us("timestamp", "us"), "volume", "rsi_14", "macd_signal", "sma_5min")

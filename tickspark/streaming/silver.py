@@ -19,7 +19,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -87,14 +87,16 @@ class Silver:
     def batch(self, accepted: DataFrame, rejected: DataFrame, batch_id: int) -> None:
         """Store the ticks, enrich them with what they look back at, and publish the products."""
         spark = accepted.sparkSession
-        self.put(dead_letters(rejected, source="ticks"), "dead_letters", batch_id)
+        refused = Observation()
+        self.put(dead_letters(rejected, source="ticks").observe(refused, F.count(F.lit(1)).alias("n")), "dead_letters", batch_id)
         now, last = accepted.select(self.schema.names).persist(), self.last(spark, batch_id)
         try:
-            self.store(now, batch_id)
-            self.put(now.groupBy(self.symbol).agg(F.min(self.ts).alias("a"), F.max(self.ts).alias("b"), F.count(F.lit(1)).alias("n")), "spans", batch_id)
-            spans = self.read("spans", batch_id, T.StructType([self.schema[self.symbol]]).add("a", "timestamp").add("b", "timestamp").add("n", "long"))
-            n = spans.agg(F.sum("n").alias("n")).first()["n"] or 0
-            notes = [(batch_id, "ticks", n, 0, None)]
+            stored = Observation()
+            self.store(now.observe(stored, F.count(F.lit(1)).alias("n")), batch_id)
+            n, bad = stored.get["n"], refused.get["n"]
+            self.put(now.groupBy(self.symbol).agg(F.min(self.ts).alias("a"), F.max(self.ts).alias("b")), "spans", batch_id)
+            spans = self.read("spans", batch_id, T.StructType([self.schema[self.symbol]]).add("a", "timestamp").add("b", "timestamp"))
+            notes = [(batch_id, "ticks", n + bad, bad, None)]
             if n:
                 notes += self.publish_all(self.enriched(spans, batch_id, last), n, batch_id)
                 self.put(quality_alerts(now.unionByName(rejected.drop("error_reason")), ts=self.ts), "alerts", batch_id)
@@ -241,9 +243,15 @@ def batch_metrics(spark: SparkSession, out: str) -> DataFrame:
 
 
 def health_report(metrics: DataFrame, *, limit: float = 0.1) -> DataFrame:
-    """For each part: batches, records, errors, their rate, the last errors, and whether the rate is below the limit."""
-    failed = F.when(F.col("message").isNotNull(), F.struct("batch_id", "message"))
-    h = metrics.groupBy("part").agg(F.count(F.lit(1)).alias("batches"), F.sum("records").alias("records"), F.sum("errors").alias("errors"), F.slice(F.reverse(F.sort_array(F.collect_list(failed))), 1, 10).alias("last_errors"))
+    """For each part: batches, records, errors, their rate, the last ten errors, and whether the rate is below the limit.
+
+    Messages are ranked and cut to ten a part before they are gathered, in each task first.
+    """
+    newest = Window.partitionBy("part").orderBy(F.desc("batch_id"), "message")
+    last = metrics.filter("message is not null").withColumn("rank", F.row_number().over(newest)).filter("rank <= 10")
+    last = last.groupBy("part").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "batch_id", "message"))), lambda e: F.struct(e["batch_id"].alias("batch_id"), e["message"].alias("message"))).alias("last_errors"))
+    h = metrics.groupBy("part").agg(F.count(F.lit(1)).alias("batches"), F.sum("records").alias("records"), F.sum("errors").alias("errors")).join(last, "part", "left")
+    h = h.withColumn("last_errors", F.coalesce("last_errors", F.array().cast(h.schema["last_errors"].dataType)))
     rate = F.coalesce(F.try_divide("errors", "records"), F.lit(0.0))
     return h.withColumn("error_rate", rate).withColumn("healthy", F.col("error_rate") < limit)
 
