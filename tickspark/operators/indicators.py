@@ -167,5 +167,6 @@ def latest_per_key(df: DataFrame, key: list[str] | str, order: list[str]) -> Dat
     An aggregate rather than a numbered window, so each task first reduces its own rows.
     """
     keys = [key] if isinstance(key, str) else key
-    last = df.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row"))
-    return last.select([F.col("_row")[c].alias(c) for c in df.columns])
+    rest = [c for c in df.columns if c not in keys]
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")) if rest else df.select(*keys).distinct()
+    return last.select([F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
