@@ -128,12 +128,11 @@ def test_windows_on_documents(spark, sf_dir):
     assert got == brute_windows(documents(spark, sf_dir))
 
 
-def test_equal_hashes_are_compared(spark, monkeypatch):
-    """With hashes that often collide, bytes decide."""
+def test_windows_that_agree_in_their_first_digit(spark, monkeypatch):
+    """With digits that often collide, bytes decide."""
     real = window_dedup.rolling
-    monkeypatch.setattr(window_dedup, "rolling", lambda raw, width, *a, **k: real(raw, width, *a, **k) & np.uint64(15) if width == 50 else real(raw, width, *a, **k))
+    monkeypatch.setattr(window_dedup, "rolling", lambda raw, width, *a, **k: real(raw, width, *a, **k) & np.uint64(15))
     texts = [(texts or "").encode() for _, texts in sorted(small_corpus(3).items())]
-    raw = b"".join(texts)
     ids = np.arange(len(texts))
     n = np.array([len(t) for t in texts])
     keep = n >= 50
@@ -142,14 +141,30 @@ def test_equal_hashes_are_compared(spark, monkeypatch):
     cover = {d: bytearray(len(t)) for d, t in enumerate(texts)}
     for d, span in zip(out.column("doc_id").to_pylist(), out.column("span").to_pylist()):
         cover[d][span >> 32 : (span >> 32) + (span & 0xFFFFFFFF)] = b"\1" * (span & 0xFFFFFFFF)
-    assert {d: sum(c) for d, c in cover.items()} == {d: v[1] for d, v in brute_windows(dict(enumerate(t.decode() for t in texts))).items()} and len(raw)
-
-
-def test_same_bytes():
-    raw = np.frombuffer(b"abcdefghijkabcdefghijx" * 3, np.uint8)
-    for size in (3, 8, 10, 11):
-        a, b = np.array([0, 0, 22]), np.array([11, 22, 33])
-        assert window_dedup.same_bytes(raw, a, b, size).tolist() == [bytes(raw[x : x + size]) == bytes(raw[y : y + size]) for x, y in zip(a, b)]
+    assert {d: sum(c) for d, c in cover.items()} == {d: v[1] for d, v in brute_windows(dict(enumerate(t.decode() for t in texts))).items()}
+
+
+@pytest.mark.parametrize("size", [1, 3, 8, 9, 16, 50])
+def test_radix_passes_equal_sets_of_windows(size):
+    rng = random.Random(size)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(size, size + 90))).encode() for _ in range(12)]
+    texts += [texts[0][: size + 5], b"a" * (size + 40), b"b" + b"a" * (size + 20)]
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    at, owner, base = [], [], 0
+    for d, t in enumerate(texts):
+        at += range(base, base + len(t) - size + 1)
+        owner += [3 * d] * (len(t) - size + 1)
+        base += len(t)
+    first: dict[bytes, int] = {}
+    want = [first.setdefault(raw[a : a + size].tobytes(), d) != d for a, d in zip(at, owner)]
+    assert window_dedup.repeats(raw, np.array(at), np.array(owner), size).tolist() == want
+    assert window_dedup.repeats(raw, np.zeros(0, np.int64), np.zeros(0, np.int64), size).tolist() == []
+
+
+def test_one_long_run_of_equal_windows(spark):
+    texts = {1: "a" * 100_000, 2: "b" * 30 + "a" * 70_000 + "c", 3: "a" * 49, 4: "a" * 50}
+    got = {r["doc_id"]: r["kept"].decode() for r in window_dedup.remove_repeats(table_of(spark, texts)).collect()}
+    assert got == {1: texts[1], 2: "b" * 30 + "c", 3: texts[3], 4: ""}
 
 
 def test_rolling_in_pieces():

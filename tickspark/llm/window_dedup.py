@@ -1,18 +1,20 @@
 """Suffix-array dedup: a depth-limited radix sort, most significant digit first.
 
 Suffixes are ordered only through their first ``size`` bytes (the threshold), since two
-suffixes that agree so far are the same repeated window. The digits are not taken from
-the left: the first is the window's least k-gram by hash, which equal windows have in
-common wherever they stand. Neighbouring windows mostly have the same one, so a run of
-windows is one entry of the first pass. That pass deals entries by their digit and keeps
-groups that several documents share. Only their bytes go on to the second pass, which
-orders the windows of a group through the threshold; equal ones are repeats. A window
-is a repeat where a document with a smaller id has it too.
+suffixes that agree so far are the same repeated window. Dealing every suffix by its
+first bytes would send some 16 bytes for each byte of text, so the first digit is one that
+neighbouring windows mostly have in common: the window's least k-gram by hash, which
+equal windows share wherever they stand. A run of windows with one such digit is one
+entry of the first pass, which keeps groups that several documents share. Only their
+bytes go on. Then a bucket's windows are ordered by their bytes, eight at a time from the
+left: each pass splits the groups of the pass before and drops those of one document,
+so what goes on is still shared, and the groups left after ``size`` bytes are exactly the
+repeated windows. A window is a repeat where a document with a smaller id has it too.
 
 A digit of very many runs that still differ (a phrase with other words around it in each
-document) would make one huge group. Its windows go on by the last digit instead, the
-hash of the whole window, as plain rows: the smallest document of each is an aggregate
-that every task first makes of its own rows.
+document) would make one huge group. Its windows go on as plain rows with all their
+bytes: the smallest document of each is an aggregate that every task first makes of its
+own rows.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, bucket_of, buckets_for, by_bucket, lean, mix, one_row_per_id, pack, runs, slices, text_bytes, tune, unpack, utf8, write_shared
+from .common import BYTE_VALUES, bucket_of, buckets_for, lean, mix, one_row_per_id, pack, runs, slices, text_bytes, tune, unpack, utf8, write_shared
 from .ngram_join import powers
 
 SIZE = 50
@@ -55,8 +57,6 @@ def least_digits(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(m[: len(m) - (w - s)], m[w - s :]) if s < w else m
 
 
-#: Other values of the bytes, for a second hash.
-OTHER_VALUES = mix(BYTE_VALUES) | np.uint64(1)
 _PACKED = [pa.int32(), pa.int32(), pa.binary()]
 
 
@@ -65,6 +65,37 @@ def _packed_rows(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _PACKED)], names=["bucket", "kind", "payload"])
 
 
+def _planes(ids: np.ndarray) -> np.ndarray:
+    """The bytes of integers, all lowest ones first, so that the shuffle's compression sees the zeros in a row."""
+    return np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 8).T).ravel()
+
+
+def _entries(kh: np.ndarray, ids: np.ndarray, span: np.ndarray, told: np.ndarray) -> bytes:
+    """Entries of one bucket: 40 bits of the digit (the bucket says the rest), the document, where a run starts, how long it is, what is told.
+
+    Digits that agree in those bits by chance only send bytes to the second pass that differ there.
+    """
+    low, high = (kh & np.uint64(0xFFFFFFFF)).astype(np.uint32), ((kh >> np.uint64(32)) & np.uint64(0xFF)).astype(np.uint8)
+    length = span & 0xFFFFFFFF
+    columns = [low, high, _planes(ids), (span >> 32).astype(np.uint32), (length & 0xFFFF).astype(np.uint16), (length >> 16).astype(np.uint16), told]
+    return len(kh).to_bytes(8, "little") + pack(columns)
+
+
+def _read_entries(bucket: int, payloads: list[bytes]) -> list[np.ndarray]:
+    parts: list[list[np.ndarray]] = [[np.zeros(0, d)] for d in (np.uint64, np.int64, np.int64, np.uint8)]
+    for p in payloads:
+        n, at, columns = int.from_bytes(p[:8], "little"), 8, []
+        for kind, width in ((np.uint32, 1), (np.uint8, 1), (np.uint8, 8), (np.uint32, 1), (np.uint16, 1), (np.uint16, 1), (np.uint8, 1)):
+            columns.append(np.frombuffer(p, kind, n * width, at))
+            at += n * width * np.dtype(kind).itemsize
+        low, high, planes, start, length, more, told = columns
+        kh = (np.uint64(bucket) << np.uint64(40)) | (high.astype(np.uint64) << np.uint64(32)) | low
+        ids = np.ascontiguousarray(planes.reshape(8, n).T).view(np.int64).ravel()
+        for part, x in zip(parts, (kh, ids, (start.astype(np.int64) << 32) | (more.astype(np.int64) << 16) | length, told)):
+            part.append(x)
+    return [np.concatenate(x) for x in parts]
+
+
 def _runs_by_digit(size: int, digit: int, n_buckets: int):
     """Runs of windows with one digit, dealt by it. What a slice knows to be shared it says itself.
 
@@ -102,9 +133,16 @@ def _runs_by_digit(size: int, digit: int, n_buckets: int):
                 by = np.lexsort((look, group))
                 different = np.bincount(group[by][runs(group[by], look[by])], minlength=len(first))
                 told[own] = (np.ceil(np.log2(different[group])) + 1).astype(np.uint8)
-            rows = [(b, 0, p) for b, p in by_bucket(kh[keep], n_buckets, [kh[keep], ids[doc[keep]], span[keep], told[keep]])]
+            bucket = bucket_of(kh, n_buckets)
+            rows = []
+            own = np.flatnonzero(keep)[np.argsort(bucket[keep], kind="stable")]
+            cuts = np.r_[runs(bucket[own]), len(own)]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                o = own[a:b]
+                rows.append((int(bucket[o[0]]), 0, _entries(kh[o], ids[doc[o]], span[o], told[o])))
             if several.any():
-                rows.append((int(bucket_of(ids[:1].view(np.uint64), n_buckets)[0]), 1, pack([kh[several], ids[doc[several]], span[several]])))
+                named = (bucket.astype(np.uint64) << np.uint64(40)) | (kh & np.uint64(0xFFFFFFFFFF))
+                rows.append((int(bucket_of(ids[:1].view(np.uint64), n_buckets)[0]), 1, pack([named[several], ids[doc[several]], span[several]])))
             yield _packed_rows(rows)
 
     return run
@@ -123,7 +161,7 @@ def _shared_runs(heavy: int):
 
 def _shared_in(group: pa.Table, heavy: int) -> list[np.ndarray]:
     kind, payload = group.column("kind").to_pylist(), group.column("payload").to_pylist()
-    kh, ids, span, told = unpack((p for k, p in zip(kind, payload) if k == 0), [np.uint64, np.int64, np.int64, np.uint8])
+    kh, ids, span, told = _read_entries(group.column("bucket")[0].as_py(), [p for k, p in zip(kind, payload) if k == 0])
     order = np.lexsort((ids, kh))
     kh, ids, span, told = kh[order], ids[order], span[order], told[order]
     first = runs(kh)
@@ -179,24 +217,38 @@ def _bytes_by_digit(size: int, n_buckets: int):
     return run
 
 
-def same_bytes(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
-    """Whether the ``size`` bytes at a and at b are equal, some hundred thousand pairs at a time."""
-    out = np.ones(len(a), bool)
+def repeats(raw: np.ndarray, at: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
+    """Which of the windows at some places (``owner`` rising) an earlier owner has too.
+
+    Passes over the windows' bytes, from the left. In each, groups are split by the next
+    digit, and windows whose group is all one owner's leave; those left in the end are
+    grouped by all their bytes.
+    """
     wide = size >= 8
-    words = np.ndarray(max(0, len(raw) - 7), "<u8", raw.tobytes(), strides=(1,)) if wide else raw
-    places = sorted({*range(0, size - 7, 8), size - 8}) if wide else range(size)
-    for k in range(0, len(a), 200_000):
-        x, y = a[k : k + 200_000], b[k : k + 200_000]
-        for p in places:
-            out[k : k + 200_000] &= words[x + p] == words[y + p]
-    return out
+    words = np.ndarray(max(0, len(raw) - 7), ">u8", raw.tobytes(), strides=(1,)) if wide else raw
+    live, group, first = np.arange(len(at)), np.zeros(len(at), np.int64), np.zeros(0, np.int64)
+    for p in sorted({*range(0, size - 7, 8), size - 8}) if wide else range(size):
+        digit = words[at[live] + p].astype(np.uint64)
+        by = np.argsort(digit, kind="stable")
+        if len(first):
+            by = by[np.argsort(group[by], kind="stable")]
+        live, group, digit = live[by], group[by], digit[by]
+        first = runs(group, digit)
+        n = np.diff(np.r_[first, len(live)])
+        shared = owner[live[first]] != owner[live[np.minimum(first + n - 1, len(live) - 1)]] if len(first) else np.zeros(0, bool)
+        group, keep = np.repeat(np.arange(len(first)), n), np.repeat(shared, n)
+        live, group = live[keep], group[keep]
+        if not len(live):
+            break
+    hit = np.zeros(len(at), bool)
+    if len(live):
+        first = runs(group)
+        hit[live] = owner[live] > np.repeat(owner[live[first]], np.diff(np.r_[first, len(live)]))
+    return hit
 
 
 def _repeated(size: int):
-    """Orders all windows of a bucket; those that a smaller document has as well become spans.
-
-    Windows are ordered by their hashes; equal ones are compared by their bytes.
-    """
+    """Orders all windows of a bucket by their bytes; those that a smaller document has as well become spans."""
 
     def run(group: pa.Table) -> pa.Table:
         ids, spans, parts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
@@ -215,21 +267,8 @@ def _repeated(size: int):
         count = (n - size + 1)[order]
         entry = np.repeat(order, count)  # windows in the order of their documents
         within = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
-        at = begin[entry] + within
-        h = rolling(raw, size)[at] if len(raw) else np.zeros(0, np.uint64)
-        by = np.argsort(h, kind="stable")
-        first = runs(h[by])
-        smallest = np.empty(len(h), np.int64)
         owner = ids[entry]
-        smallest[by] = np.repeat(by[first], np.diff(np.r_[first, len(by)]))
-        hit = owner > owner[smallest]
-        found = np.flatnonzero(hit)
-        same = same_bytes(raw, at[found], at[smallest[found]], size)
-        if not same.all():  # different windows of one hash: by their bytes
-            several = np.isin(h, h[found[~same]])
-            seen: dict[bytes, int] = {}
-            for k in np.flatnonzero(several).tolist():  # in the order of their documents
-                hit[k] = seen.setdefault(raw[at[k] : at[k] + size].tobytes(), owner[k]) != owner[k]
+        hit = repeats(raw, begin[entry] + within, owner, size)
         begins = hit & np.r_[True, (~hit[:-1]) | (entry[1:] != entry[:-1])][: len(hit)]
         stops = hit & np.r_[(~hit[1:]) | (entry[1:] != entry[:-1]), True][-len(hit) :] if len(hit) else hit
         a, b = np.flatnonzero(begins), np.flatnonzero(stops)
@@ -240,10 +279,10 @@ def _repeated(size: int):
     return run
 
 
-def _hashed(size: int):
-    """All windows of the given runs as rows: document, place, bytes, and 128 bits of hash.
+def _whole(size: int):
+    """All windows of the given runs as rows: document, place, how many bytes, and the bytes.
 
-    A run that an earlier row of the batch holds whole is settled here: one row without hashes.
+    A run that an earlier row of the batch holds whole is settled here: one row without bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,14 +303,15 @@ def _hashed(size: int):
             kept, row = np.array(kept, np.int64), np.array(row, np.int64)
             n = kept & 0xFFFFFFFF
             start = np.repeat(kept >> 32, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            row = np.repeat(row, n)
-            both = [rolling(raw, size, values=v)[ends[row] + start].view(np.int64) for v in (BYTE_VALUES, OTHER_VALUES)]
-            names = ["doc_id", "start", "n", "h", "g"]
-            for a in range(0, len(row), 100_000):
-                some = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row[some]]), pa.array(start[some]), pa.array(np.full(len(start[some]), size)), *[pa.array(x[some]) for x in both]], names=names)
+            row, names = np.repeat(row, n), ["doc_id", "start", "n", "w"]
+            for a in range(0, len(row), 50_000):
+                some = slice(a, a + 50_000)
+                at_ = ends[row[some]] + start[some]
+                flat = raw[at_[:, None] + np.arange(size)]
+                w = pa.Array.from_buffers(pa.binary(), len(at_), [None, pa.py_buffer((np.arange(len(at_) + 1, dtype=np.int32) * size).tobytes()), pa.py_buffer(np.ascontiguousarray(flat).tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[row[some]]), pa.array(start[some]), pa.array(np.full(len(at_), size)), w], names=names)
             if done:
-                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in zip(*done)), *[pa.nulls(len(done), pa.int64())] * 2], names=names)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in zip(*done)), pa.nulls(len(done), pa.binary())], names=names)
 
     return run
 
@@ -279,10 +319,10 @@ def _hashed(size: int):
 def _by_whole_window(docs: DataFrame, runs_: DataFrame, size: int) -> DataFrame:
     """(doc_id, span) of the repeats among the windows of some runs, found as rows."""
     rows = runs_.groupBy("doc_id").agg(F.collect_list("span").alias("span"))
-    windows = write_shared(docs.join(rows, "doc_id").select("doc_id", "text", "span").mapInArrow(lean(_hashed(size)), "doc_id long, start long, n long, h long, g long"), "windows")
-    least = write_shared(windows.filter("h is not null").groupBy("h", "g").agg(F.min("doc_id").alias("first")), "least")
-    repeats = windows.join(least, ["h", "g"]).filter("doc_id > first").select("doc_id", "start", "n")
-    return repeats.union(windows.filter("h is null").select("doc_id", "start", "n")).select("doc_id", F.expr("shiftleft(start, 32) | n").alias("span"))
+    windows = write_shared(docs.join(rows, "doc_id").select("doc_id", "text", "span").mapInArrow(lean(_whole(size)), "doc_id long, start long, n long, w binary"), "windows")
+    least = write_shared(windows.filter("w is not null").groupBy("w").agg(F.min("doc_id").alias("first")), "least")
+    repeated = windows.join(least, "w").filter("doc_id > first").select("doc_id", "start", "n")
+    return repeated.union(windows.filter("w is null").select("doc_id", "start", "n")).select("doc_id", F.expr("shiftleft(start, 32) | n").alias("span"))
 
 
 _KEPT = "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,stop:long>>"
