@@ -47,6 +47,17 @@ def test_empty_and_odd_tables(spark, sf_dir, name):
         assert (name == "packing" or out.columns == docs.columns) and out.count() <= 8
 
 
+@pytest.mark.parametrize("name", [n for n, _ in pipeline.STAGES])
+def test_further_columns_of_any_name(spark, sf_dir, name):
+    docs = rows_of(spark, sf_dir, [(1, WORDS), (2, LINE), (2, "zz"), (None, LINE)])
+    more = docs.withColumns({c: F.lit(c) for c in ("_score", "_judged", "_kept", "_first", "_words", "_emptied", "_spans", "_least", "spans", "kept", "n", "h", "home", "rank", "block")})
+    plain, out = (stages()[name](spark, d, sf_dir) for d in (docs, more))
+    if name != "packing":
+        assert out.columns == more.columns and all(r[c] == c for r in out.collect() for c in more.columns[len(docs.columns) :])
+        plain, out = plain.select(docs.columns), out.select(docs.columns)
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_stages_against_brute_force(spark, sf_dir):
     docs = queries.table(spark, sf_dir, "documents")
     texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}

@@ -150,3 +150,10 @@ def test_parts_are_balanced():
     x = rng.normal(size=(1000, 8))
     part = ann.bisect_graph(ann.near_graph(x, 8), 8)
     assert set(np.bincount(part)) == {125}
+
+
+def test_scores_that_do_not_fit_are_an_error(spark):
+    rows = lambda big: [(k, [big, 1.0], 1, "x", "y") for k in (0, 50, 3)]
+    assert topk.top_k(spark.createDataFrame(rows(2.0**21), SCHEMA), F.col("vec_id") % 50 == 0).count() == 4
+    with pytest.raises(Exception, match="too large"):
+        topk.top_k(spark.createDataFrame(rows(2.0**30), SCHEMA), F.col("vec_id") % 50 == 0).collect()

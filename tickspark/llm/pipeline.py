@@ -7,6 +7,7 @@ smallest and leave the others as they are; rows with one id and one text count o
 
 from __future__ import annotations
 
+import functools
 import warnings
 from collections.abc import Callable
 
@@ -23,6 +24,19 @@ KEEP_SCORE = 0.3
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def own_columns(stage: Stage) -> Stage:
+    """A stage for documents whose further columns may have any names: those that begin like a stage's own are renamed within it."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inner = {c: f"further{c}" for c in docs.columns if c.startswith("_")}
+        out = stage(spark, docs.withColumnsRenamed(inner), sf_dir)
+        return out.withColumnsRenamed({v: k for k, v in inner.items() if v in out.columns})
+
+    return run
+
+
+@own_columns
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores at least ``KEEP_SCORE``, unchanged."""
     tune(spark)
@@ -52,6 +66,7 @@ def judged(docs: DataFrame) -> DataFrame:
     return rest.unionByName(mine.select(rest.columns))
 
 
+@own_columns
 def deduped_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks of lines that an earlier one has; those left empty by that go."""
     cut = line_dedup.dedup_lines(docs).select("doc_id", F.col("kept").alias("_kept"), F.col("emptied").alias("_emptied"))
@@ -59,12 +74,14 @@ def deduped_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return with_text(both, F.when(F.col("_judged"), F.col("_kept")).otherwise(F.col("text"))).select(docs.columns)
 
 
+@own_columns
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are linked by similarity, directly or through others, the one with the smallest id."""
     first = ngram_join.ngram_components(docs).filter("doc_id = component_id").select("doc_id", F.lit(True).alias("_first"))
     return judged(docs).join(first, "doc_id", "left").filter("_first or not _judged").select(docs.columns)
 
 
+@own_columns
 def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for personal data."""
     tune(spark)
@@ -72,6 +89,7 @@ def pseudonymised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return with_text(out, F.col("text")).select(docs.columns)
 
 
+@own_columns
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 ids: where each piece lies, and its ids."""
     tune(spark)

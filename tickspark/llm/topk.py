@@ -64,6 +64,12 @@ def best(q: np.ndarray, dq: np.ndarray, own: int, x: np.ndarray, dx: np.ndarray,
     return found, scores, at
 
 
+def _step(x: Column, scale: int) -> Column:
+    """floor(scale * x); an error where a sum of products of such steps could leave 64 bits."""
+    y = F.floor(x * scale)
+    return F.when(F.abs(x * scale) < F.sqrt(F.lit(2.0**62) / F.size("v")), y).otherwise(F.raise_error(F.lit("a component is too large for scores of 64 bits")).cast("bigint"))
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, key: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest integer inner products.
 
@@ -71,11 +77,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ke
     ``vec_id``) holds, candidates all rows with another id; ties go to the smaller id.
     Fewer candidates than k give fewer rows. Vectors that are null, empty or hold a null
     or non-finite component take no part, nor do vectors of another length than the
-    query's. Scores must fit 64 bits: components beyond some 2**20 are outside its range. An id that comes more than once keeps its smallest vector. Other columns are
+    query's. Vectors whose scores might not fit 64 bits are an error. An id that comes more than once keeps its smallest vector. Other columns are
     left out. An empty table gives an empty one.
     """
     tune(vectors.sparkSession)
-    rows = valid_vectors(vectors, key, vector).select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("long")).alias("v"), F.size("v").alias("part"))
+    rows = valid_vectors(vectors, key, vector).select("vec_id", F.transform("v", lambda x: _step(x, scale)).alias("v"), F.size("v").alias("part"))
     few = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_ROWS).collect()
     by_size: dict[int, list] = {}
     for r in few:
