@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as E
+from .frames import with_previous
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -86,8 +87,11 @@ def market_context(df: DataFrame, *, ts: str = "processing_timestamp") -> DataFr
     )
 
 
-def ensure_tick_columns(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", tie: tuple[str, ...] = ("offset", "event_id")) -> DataFrame:
-    """Add what is missing: price from the close or 0, range from the price, previous close, producer time."""
+def ensure_tick_columns(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timestamp", tie: tuple[str, ...] = ("offset", "event_id"), bucket: float | None = None) -> DataFrame:
+    """Add what is missing: price from the close or 0, range from the price, previous close, producer time.
+
+    ``bucket`` seconds spread a hot symbol over many tasks.
+    """
     price = F.col("close_price") if "close_price" in df.columns else F.lit(0.0)
     if "current_price" not in df.columns:
         df = df.withColumn("current_price", price.cast("double"))
@@ -97,8 +101,8 @@ def ensure_tick_columns(df: DataFrame, *, symbol: str = "symbol", ts: str = "pro
     if "volume" not in df.columns:
         df = df.withColumn("volume", F.lit(0).cast("long"))
     if "previous_close" not in df.columns:
-        w = Window.partitionBy(symbol).orderBy(E.micros(ts), *[c for c in tie if c in df.columns])
-        df = df.withColumn("previous_close", F.coalesce(F.lag("current_price").over(w), "current_price"))
+        df = with_previous(df, "current_price", "_previous", symbol=symbol, ts=ts, tie=tie, bucket=bucket)
+        df = df.withColumn("previous_close", F.coalesce("_previous", "current_price")).drop("_previous")
     if "change" not in df.columns:
         df = df.withColumn("change", F.col("current_price") - F.col("previous_close"))
     if "producer_timestamp" not in df.columns:

@@ -26,7 +26,7 @@ def enrich_ticks(df: DataFrame, *, indicators_too: bool = True, anomalies: bool
     All range frames are built on one partitioning, so they share one exchange: the frames of
     ticks in one round, the signal over the line of them in another. ``bucket`` spreads hot symbols (see ``operators.frames``).
     """
-    d = metrics.price_metrics(metrics.ensure_tick_columns(df, symbol=symbol, ts=ts, tie=tie), price=price, volume=volume)
+    d = metrics.price_metrics(metrics.ensure_tick_columns(df, symbol=symbol, ts=ts, tie=tie, bucket=bucket), price=price, volume=volume)
     if indicators_too:
         d = indicators.with_moves(d, symbol=symbol, ts=ts, price=price, tie=tie, bucket=bucket)
 

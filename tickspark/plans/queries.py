@@ -98,7 +98,7 @@ def market_context(spark, sf_dir):
 @query
 def ensure_columns(spark, sf_dir):
     bare = ticks(spark, sf_dir).select("event_id", "symbol", "processing_timestamp", F.col("current_price").alias("close_price"))
-    return shown(metrics.ensure_tick_columns(bare), "event_id", "current_price", "open_price", "high_price", "low_price", "previous_close", "change")
+    return shown(metrics.ensure_tick_columns(bare, bucket=BUCKET), "event_id", "current_price", "open_price", "high_price", "low_price", "previous_close", "change")
 
 
 @query
