@@ -60,7 +60,7 @@ def most(value: str, length: float, until: int = 0) -> Over:
 Add = Callable[[DataFrame, dict[str, Over]], DataFrame]
 #: Aggregates that each kind is joined from.
 NEEDS = {"mean": ("n", "sum", "low", "high"), "total": ("n", "sum"), "deviation": ("n", "sum", "var", "low", "high"), "least": ("low",), "most": ("high",)}
-MAKES = {"n": F.count, "sum": F.sum, "var": F.var_pop, "low": F.min, "high": F.max}
+MAKES = {"n": "count", "sum": "sum", "var": "var_pop", "low": "min", "high": "max"}
 
 
 def add_frames(d: DataFrame, overs: dict[str, Over], *, keys: list[str], at: str, unit: int) -> DataFrame:
@@ -80,9 +80,8 @@ def add_frames(d: DataFrame, overs: dict[str, Over], *, keys: list[str], at: str
 
     def event(f: int, kind: str, shift: int, size: int) -> None:
         place[f, kind] = len(events)
-        to = F.col(at) + F.lit(shift).cast("long")
-        block = F.expr(f"({{0}} - pmod({{0}}, {size}L)) div {size}L".format(f"(`{at}` + {shift}L)"))
-        events.append(F.struct(F.lit(len(events)).alias("e"), F.lit(f).alias("f"), to.alias("at"), block.alias("block")))
+        to = f"(`{at}` + {shift}L)"
+        events.append(f"struct({len(events)} as e, {f} as f, {to} as at, ({to} - pmod({to}, {size}L)) div {size}L as block)")
 
     for f, (length, until) in enumerate(frames):
         reach = int(length * unit)
@@ -91,57 +90,50 @@ def add_frames(d: DataFrame, overs: dict[str, Over], *, keys: list[str], at: str
         if until:
             event(f, "own", 0, size)
         event(f, "end", until, size)
-    last = len(events) - 1
-    counted = [e for (f, kind), e in place.items() if kind == ("own" if frames[f][1] else "end")]
-    markers = [e for (_, kind), e in place.items() if kind == "begin"]
-    d = d.withColumn("_row", F.monotonically_increasing_id()).withColumn("_e", F.explode(F.array(*events)))
-    slots = {}
+    last, among = len(events) - 1, lambda es: ", ".join(map(str, es))
+    counted = among(e for (f, kind), e in place.items() if kind == ("own" if frames[f][1] else "end"))
+    markers = among(e for (_, kind), e in place.items() if kind == "begin")
+    by, kept = ", ".join(f"`{k}`" for k in keys), [c for c in d.columns if c not in keys]
+    d = d.selectExpr("*", "monotonically_increasing_id() as _row", f"explode(array({', '.join(events)})) as _e")
+    slots = []
     for j in needs:
-        of = F.lit(None)
-        for f, own in enumerate(values):
-            if j < len(own):
-                of = F.when(F.col("_e.f") == f, F.col(own[j]).cast("double")).otherwise(of)
-        slots[f"_x{j}"] = F.when(F.col("_e.e").isin(counted), of)
-    kept = [c for c in d.columns if c not in (*keys, "_row", "_e")]
-    d = d.select(*keys, "_row", F.col("_e.e").alias("_e"), F.col("_e.f").alias("_f"), F.col("_e.at").alias("_at"), F.col("_e.block").alias("_block"), *[x.alias(n) for n, x in slots.items()], *[F.when(F.col("_e.e") == last, F.col(c)).alias(c) for c in kept])
-    within = Window.partitionBy(*keys, "_f", "_block")
+        of = " ".join(f"when {f} then cast(`{own[j]}` as double)" for f, own in enumerate(values) if j < len(own))
+        slots.append(f"case when _e.e in ({counted}) then case _e.f {of} end end as _x{j}")
+    d = d.selectExpr(*[f"`{k}`" for k in keys], "_row", "_e.e as _e", "_e.f as _f", "_e.at as _at", "_e.block as _block", *slots, *[f"case when _e.e = {last} then `{c}` end as `{c}`" for c in kept])
     parts = [(j, n) for j in sorted(needs) for n in sorted(needs[j])]
-    for name, order in (("_fro", F.col("_at").desc()), ("_to", F.col("_at"))):
-        w = within.orderBy(order)
-        d = d.withColumn(name, F.struct(*[MAKES[n](f"_x{j}").over(w).alias(f"{n}{j}") for j, n in parts]))
-    found = F.when(F.col("_e").isin(markers), F.col("_fro")).otherwise(F.col("_to"))
-    d = d.withColumn("_found", F.struct("_block", found.alias("v"))).select(*keys, "_row", "_e", "_found", *kept)
-    by_row = Window.partitionBy(*keys).orderBy("_row", "_e")
-    used = sorted(e for (_, kind), e in place.items() if kind != "own" and e != last)
-    d = d.withColumns({f"_found{e}": F.lag("_found", last - e).over(by_row) for e in used}).filter(F.col("_e") == last).withColumnRenamed("_found", f"_found{last}")
-    columns = {}
+    within = lambda order: "struct(" + ", ".join(f"{MAKES[n]}(_x{j}) over (partition by {by}, _f, _block order by {order}) as {n}{j}" for j, n in parts) + ")"
+    d = d.selectExpr("*", f"{within('_at desc')} as _fro").selectExpr("*", f"{within('_at')} as _to")
+    d = d.selectExpr(*[f"`{k}`" for k in keys], "_row", "_e", f"struct(_block as block, case when _e in ({markers}) then _fro else _to end as v) as _found", *[f"`{c}`" for c in kept])
+    used = sorted(e for (_, kind), e in place.items() if kind != "own")
+    d = d.selectExpr("*", *[f"lag(_found, {last - e}) over (partition by {by} order by _row, _e) as _found{e}" for e in used]).filter(f"_e = {last}")
+    columns = []
     for name, o in overs.items():
         f = frames.index((o.length, o.until))
-        columns[name] = _joined(o.kind, values[f].index(o.value), F.col(f"_found{place[f, 'begin']}"), F.col(f"_found{place[f, 'end']}"))
-    return d.withColumns(columns).drop("_row", "_e", *[f"_found{e}" for e in (*used, last)])
+        columns.append(f"{_joined(o.kind, values[f].index(o.value), f"_found{place[f, 'begin']}", f"_found{place[f, 'end']}")} as `{name}`")
+    return d.selectExpr(*[f"`{c}`" for c in (*keys, *kept) if c not in overs], *columns)
 
 
-def _joined(kind: str, j: int, begin: Column, end: Column) -> Column:
-    """An aggregate of a frame from the end of the block it begins in and the beginning of the block it ends in."""
-    apart = ~begin["_block"].eqNullSafe(end["_block"])  # else the frame is the beginning of one block
-    a = lambda n: F.when(apart, begin["v"][f"{n}{j}"])
-    b = lambda n: end["v"][f"{n}{j}"]
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
+def _joined(kind: str, j: int, begin: str, end: str) -> str:
+    """An aggregate of a frame from the end of the block it begins in and the beginning of the block it ends in, as SQL."""
+    # in one block, the frame is the beginning of it
+    a = lambda n: f"if({begin}.block <=> {end}.block, null, {begin}.v.{n}{j})"
+    b = lambda n: f"{end}.v.{n}{j}"
+    zero = lambda c: f"coalesce({c}, 0)"
     if kind == "least":
-        return F.least(a("low"), b("low"))
+        return f"least({a('low')}, {b('low')})"
     if kind == "most":
-        return F.greatest(a("high"), b("high"))
-    na, nb = F.coalesce(a("n"), F.lit(0)), b("n")
-    n, sums = na + nb, zero(a("sum")) + zero(b("sum"))
+        return f"greatest({a('high')}, {b('high')})"
+    na, nb = zero(a("n")), b("n")
+    n, sums = f"({na} + {nb})", f"({zero(a('sum'))} + {zero(b('sum'))})"
     if kind == "total":
-        return F.when(n > 0, sums)
-    low = F.least(a("low"), b("low"))
-    same = low == F.greatest(a("high"), b("high"))
+        return f"if({n} > 0, {sums}, null)"
+    low = f"least({a('low')}, {b('low')})"
+    same = f"{low} = greatest({a('high')}, {b('high')})"
     if kind == "mean":
-        return F.when(same, low).when(n > 0, sums / n)
-    between = F.when((na > 0) & (nb > 0), F.pow(a("sum") / na - b("sum") / nb, F.lit(2)) * na * nb / n)
-    squares = zero(a("var")) * na + zero(b("var")) * nb + zero(between)
-    return F.when(n > 1, F.when(same, 0.0).otherwise(F.sqrt(squares / (n - 1))))
+        return f"case when {same} then {low} when {n} > 0 then {sums} / {n} end"
+    between = f"if({na} > 0 and {nb} > 0, pow({a('sum')} / {na} - {b('sum')} / {nb}, 2) * {na} * {nb} / {n}, 0)"
+    squares = f"({zero(a('var'))} * {na} + {zero(b('var'))} * {nb} + {between})"
+    return f"case when {n} > 1 then if({same}, 0d, sqrt({squares} / ({n} - 1))) end"
 
 
 def rolling(df: DataFrame, build: Callable[[DataFrame, Add], DataFrame], *, lookback: float, symbol: str = "symbol", ts: str = "processing_timestamp", bucket: float | None = None) -> DataFrame:
