@@ -254,3 +254,4 @@ SQL["stream_health"] = f"""WITH {DIRTY}, n AS (SELECT count(*) AS n, count(*) FI
 SQL["merged_hours"] = f"""WITH {TICKS}, m AS (SELECT *, event_id % 2 = 0 AND hour(processing_timestamp) < 12 AS hit FROM ticks)
   SELECT event_id, symbol, us, volume, CAST(hit AS INTEGER) AS round, {r6('current_price + CAST(hit AS INTEGER)', 'current_price')} FROM m"""
 SQL["bucketed_facts"] = f"""WITH {ENRICHED} SELECT {KEYED} AS stock_price_key, {DATE_KEY}, symbol, us, volume, {decimal('rsi_14', 'DECIMAL(5,2)')}, {decimal('macd_signal', 'DECIMAL(10,4)')}, {decimal('sma_5min', 'DECIMAL(10,4)')} FROM enriched WHERE current_price > 0"""
+SQL["incremental_gold"] = SQL["fact_prices"]

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import expressions as E
-from ..operators import gold, indicators, metrics, products
+from ..operators import gold, indicators, metrics, products, versions
 from ..operators.checks import check_not_null, check_relationship, check_unique
 from ..operators.frames import rolling
 from ..sources import decode
+from ..sources.files import get_text, names_in, put_text
 
 #: Seconds that the longest nested frame of an enriched tick looks back: the signal over the slow mean.
 LOOKBACK = E.MACD_SLOW + E.MACD_SIGNAL
@@ -95,3 +98,52 @@ def build_gold(spark: SparkSession, raw: dict[str, DataFrame], companies: DataFr
         if failures and found[name]:
             failing.write.mode("overwrite").parquet(f"{failures}/{name}")
     return found
+
+
+#: Raw gold rows and the typed fields they are staged with.
+STAGED = {"stock_prices": gold.PRICE_FIELDS, "technical_indicators": gold.INDICATOR_FIELDS, "trading_volume": gold.VOLUME_FIELDS}
+
+
+def _loads(spark: SparkSession, out: str) -> tuple[int, dict[str, str]]:
+    """The number of the last load (0: none), and how far it read each raw table."""
+    done = [int(n.split(".")[0]) for n in names_in(spark, f"{out}/loads") if n.endswith(".json")]
+    return (max(done), json.loads(get_text(spark, f"{out}/loads/{max(done):08d}.json"))) if done else (0, {})
+
+
+def increment_gold(spark: SparkSession, raw: dict[str, DataFrame], company: DataFrame, out: str) -> dict[str, DataFrame]:
+    """One more load of staging and facts into tables of hour folders (``operators.versions``). The tables after it.
+
+    Raw rows later than the last load's mark are staged and merged. Facts of the keys they
+    bring, on either side, are built anew out of the staged hours of these keys alone, so
+    an indicator that comes after its price is joined, and a load costs what its hours
+    hold, however large the tables are. Staged rows without a symbol or time have no fact and are
+    left out. The marks are written last: a load that was cut short runs again and leaves the
+    same rows.
+    """
+    number, marks = _loads(spark, out)
+    part, fresh, hours, tables = f"{out}/increments/{uuid.uuid4().hex}", {}, {}, {}
+    for name, fields in STAGED.items():
+        new = raw[name].filter(F.col("kafka_timestamp") > F.lit(marks[name]).cast("timestamp")) if marks.get(name) else raw[name]
+        staged = gold.stage(new, fields).dropna(subset=["symbol", "timestamp"])
+        staged.write.parquet(f"{part}/{name}")
+        fresh[name] = spark.read.schema(staged.schema).parquet(f"{part}/{name}")
+        # an id doesn't fix the hour of the payload's time, so that is part of the key
+        hours[name] = versions.merge(fresh[name], f"{out}/stg_{name}", key=["record_id", "timestamp"], order_by=["dbt_loaded_at"], ts="timestamp")
+        tables[f"stg_{name}"] = versions.read(spark, f"{out}/stg_{name}", staged.schema)
+    for fact, sides, build in (("stock_price", ("stock_prices", "technical_indicators"), gold.fact_stock_prices), ("trading_volume", ("trading_volume",), gold.fact_trading_volume)):
+        keys = gold.changed_keys(*[(fresh[s], None) for s in sides])
+        touched = sorted({h for s in sides for h in hours[s]})
+        near = [versions.read(spark, f"{out}/stg_{s}", fresh[s].schema, folders=touched).join(keys, ["symbol", "timestamp"], "left_semi") for s in sides]
+        rows, root = build(*near, company), f"{out}/fact_{fact}"
+        versions.merge(rows, root, key=[f"{fact}_key"], order_by=["created_at"], ts="timestamp", folders=touched)
+        tables[f"fact_{fact}"] = versions.read(spark, root, rows.schema)
+    ends = {name: high_water_text(d) or marks.get(name) for name, d in fresh.items()}
+    if not put_text(spark, f"{out}/loads/{number + 1:08d}.json", json.dumps(ends)):
+        raise RuntimeError(f"load {number + 1} of {out} was made by another writer")
+    return tables
+
+
+def high_water_text(df: DataFrame) -> str | None:
+    """The latest arrival, with its zone, so that it reads alike in every session."""
+    mark = df.agg(F.max("kafka_timestamp").alias("m")).select(F.date_format(F.to_utc_timestamp("m", F.current_timezone()), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")).first()["m"]
+    return mark and f"{mark} UTC"
