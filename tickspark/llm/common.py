@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +44,32 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
+#: Folders that ``write_shared`` wrote within ``scratch``.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``write_shared`` writes within is deleted at the end, unless it is kept. No frame that still reads it may leave."""
+    made: list[str] = []
+    token = _SCRATCH.set(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in made:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def write_shared(df: DataFrame, name: str, *, keep: bool = False, codec: str = "snappy") -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: lineage ends here. Within ``scratch`` it goes at the end unless ``keep``."""
+    spark, made = df.sparkSession, _SCRATCH.get()
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if made is not None and not keep:
+        made.append(path)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

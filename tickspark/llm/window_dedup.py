@@ -148,13 +148,18 @@ def _runs_by_digit(size: int, digit: int, n_buckets: int):
     return run
 
 
+def _short(kh: np.ndarray) -> np.ndarray:
+    """32 bits of a digit. Digits that agree in them by chance share a bucket, where bytes tell them apart."""
+    return (mix(kh) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _shared_runs(heavy: int):
     """The runs of a bucket whose digit several documents have, and a row with span -1 for each digit of more than ``heavy`` runs."""
 
     def run(group: pa.Table) -> pa.Table:
         kh, ids, span, large = _shared_in(group, heavy)
         none = np.full(len(large), -1)
-        return pa.table({"doc_id": np.r_[ids, none], "span": np.r_[span, none], "kh": np.r_[kh, large].view(np.int64)})
+        return pa.table({"doc_id": np.r_[ids, none], "span": np.r_[span, none], "kh": _short(np.r_[kh, large])})
 
     return run
 
@@ -185,7 +190,8 @@ def _bytes_by_digit(size: int, n_buckets: int):
             raw, ends = utf8(batch.column(1))
             raw, at = raw.tobytes(), lists.offsets.to_numpy()
             spans = lists.values.to_numpy(zero_copy_only=False)
-            deals = bucket_of(digits.values.to_numpy(zero_copy_only=False).view(np.uint64), n_buckets)
+            short = digits.values.to_numpy(zero_copy_only=False).view(np.uint32).astype(np.uint64)
+            deals = ((short * np.uint64(n_buckets)) >> np.uint64(32)).astype(np.int64)
             seen: dict[bytes, int] = {}
             kept, doc_of, parts, done_ids, done_spans = [], [], [], [], []
             for k in sorted(range(len(ids)), key=ids.__getitem__):
@@ -218,32 +224,33 @@ def _bytes_by_digit(size: int, n_buckets: int):
 
 
 def repeats(raw: np.ndarray, at: np.ndarray, owner: np.ndarray, size: int) -> np.ndarray:
-    """Which of the windows at some places (``owner`` rising) an earlier owner has too.
+    """Which of the windows at some places an earlier owner has too.
 
     Passes over the windows' bytes, from the left. In each, groups are split by the next
     digit, and windows whose group is all one owner's leave; those left in the end are
-    grouped by all their bytes.
+    grouped by all their bytes. A digit has as many bytes as the group's number leaves
+    room for in 64 bits, so a pass is one sort.
     """
-    wide = size >= 8
-    words = np.ndarray(max(0, len(raw) - 7), ">u8", raw.tobytes(), strides=(1,)) if wide else raw
-    live, group, first = np.arange(len(at)), np.zeros(len(at), np.int64), np.zeros(0, np.int64)
-    for p in sorted({*range(0, size - 7, 8), size - 8}) if wide else range(size):
-        digit = words[at[live] + p].astype(np.uint64)
-        by = np.argsort(digit, kind="stable")
-        if len(first):
-            by = by[np.argsort(group[by], kind="stable")]
-        live, group, digit = live[by], group[by], digit[by]
-        first = runs(group, digit)
-        n = np.diff(np.r_[first, len(live)])
-        shared = owner[live[first]] != owner[live[np.minimum(first + n - 1, len(live) - 1)]] if len(first) else np.zeros(0, bool)
-        group, keep = np.repeat(np.arange(len(first)), n), np.repeat(shared, n)
-        live, group = live[keep], group[keep]
-        if not len(live):
-            break
+    words = np.ndarray(len(raw) + 1, ">u8", np.r_[raw, np.zeros(8, np.uint8)].tobytes(), strides=(1,))
+    live, group, low, n = np.arange(len(at)), np.zeros(len(at), np.uint64), owner[:0], at[:0]
+    n_groups, done = 1, 0
+    while len(live) and done < size:
+        width = min(8 - -(-(n_groups - 1).bit_length() // 8), size - done)
+        key = words[at[live] + done].astype(np.uint64) >> np.uint64(64 - 8 * width)
+        if n_groups > 1:
+            key |= group << np.uint64(8 * width)
+        by = np.argsort(key)
+        live, key = live[by], key[by]
+        first = runs(key)
+        n, own = np.diff(np.r_[first, len(key)]), owner[live]
+        low = np.minimum.reduceat(own, first)
+        shared = low != np.maximum.reduceat(own, first)
+        live, low, n = live[np.repeat(shared, n)], low[shared], n[shared]
+        n_groups, done = len(n), done + width
+        group = np.repeat(np.arange(n_groups, dtype=np.uint64), n)
     hit = np.zeros(len(at), bool)
     if len(live):
-        first = runs(group)
-        hit[live] = owner[live] > np.repeat(owner[live[first]], np.diff(np.r_[first, len(live)]))
+        hit[live] = owner[live] > np.repeat(low, n)
     return hit
 
 
@@ -366,7 +373,7 @@ def remove_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", size:
     n_bytes = text_bytes(docs)
     # a run of windows comes to about 25 packed bytes and every 18 bytes of text
     first = docs.mapInArrow(lean(_runs_by_digit(size, digit, buckets_for(1.4 * n_bytes))), "bucket int, kind int, payload binary")
-    shared = write_shared(first.groupBy("bucket").applyInArrow(_shared_runs(HEAVY_RUNS), "doc_id long, span long, kh long"), "runs")
+    shared = write_shared(first.groupBy("bucket").applyInArrow(_shared_runs(HEAVY_RUNS), "doc_id long, span long, kh int"), "runs", codec="zstd")
     heavy, light, hot = shared.filter("span = -1").select("kh"), shared.filter("span <> -1"), None
     if not heavy.isEmpty():
         light, hot = light.join(heavy, "kh", "left_anti"), light.join(heavy, "kh", "left_semi")
