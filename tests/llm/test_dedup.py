@@ -77,9 +77,10 @@ def brute_windows(texts: dict, size: int = 50) -> dict:
     return out
 
 
-@pytest.mark.parametrize("part", [3, 256])
-def test_components(spark, monkeypatch, part):
+@pytest.mark.parametrize("part, grams", [(3, 1 << 20), (256, 40), (256, 1 << 20)])
+def test_components(spark, monkeypatch, part, grams):
     monkeypatch.setattr(ngram_join, "PART", part)
+    monkeypatch.setattr(ngram_join, "PART_GRAMS", grams)
     monkeypatch.setattr(ngram_join, "SLICE", 64)
     texts = small_corpus()
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(table_of(spark, texts)).collect()}

@@ -39,8 +39,8 @@ from .common import BASE, BYTE_VALUES, buckets_for, by_bucket, components, fores
 WIDTH, PERCENT = 5, 80
 #: Of every 1/SLACK of a document's n-grams, one more is looked at in step 2 and must be shared.
 SLACK = 10
-#: Classes in a part of a block, and columns in a slice of the product.
-PART, SLICE = 256, 4096
+#: Classes in a part of a block, n-grams of all of them (8 MB of hashes), and columns in a slice of the product.
+PART, PART_GRAMS, SLICE = 256, 1 << 20, 4096
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -231,18 +231,20 @@ def _block_links(percent: int):
 def meetings(rows: DataFrame) -> DataFrame:
     """Which size classes of a block meet, stored: (component, block, k, c, r, k2, r2).
 
-    ``rows`` are the members of blocks: (doc_id, component, block, k). A size class k of c
-    members has r parts and meets its own parts and the r2 parts of its neighbours.
+    ``rows`` are the members of blocks: (doc_id, component, block, k, n) with n n-grams. A
+    size class k of c members has r parts, as many as their number and their n-grams ask
+    for, and meets its own parts and the r2 parts of its neighbours.
     """
     key = ["component", "block", "k"]
-    sizes = write_shared(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).withColumn("r", F.ceil(F.col("c") / PART).cast("int")), "sizes")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / PART), F.ceil(F.sum("n") / PART_GRAMS)).cast("int")
+    sizes = write_shared(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), parts.alias("r")), "sizes")
     other = sizes.select("component", "block", F.col("k").alias("k2"), F.col("r").alias("r2"))
     near = sizes.withColumn("k2", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)))
     return write_shared(near.join(other, ["component", "block", "k2"]), "meetings")
 
 
 def blocks_to_multiply(block: DataFrame, ahead: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Members of the blocks of the product, (doc_id, component, block, k), and their meetings.
+    """Members of the blocks of the product, (doc_id, component, block, k, n), and their meetings.
 
     ``block`` is (node, component), ``ahead`` the columns (doc_id, h) that tie them. A block
     is a whole component or, where fewer copies of rows are needed so, the classes that share a
@@ -251,20 +253,21 @@ def blocks_to_multiply(block: DataFrame, ahead: DataFrame, sets: DataFrame, perc
     # sizes of a link differ by 100 / percent at most, so by one class at most; a little more covers rounding
     width = max(math.log(100 / percent), 0.01) * (1 + 1e-9)
     size_class = F.floor(F.log(F.size("grams")) / width).cast("int")
-    node = block.join(sets.select(F.col("doc_id").alias("node"), size_class.alias("k")), "node")
-    node = node.join(write_shared(block.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "members"), "component")
-    node = write_shared(node.select(F.col("node").alias("doc_id"), "component", "members", "k"), "nodes")
-    large = F.col("members") > PART
-    whole = node.select("doc_id", "component", F.col("component").alias("block"), F.when(large, F.col("k")).otherwise(0).alias("k"))
+    node = write_shared(block.join(sets.select(F.col("doc_id").alias("node"), size_class.alias("k"), F.size("grams").cast("long").alias("n")), "node"), "nodes")
+    node = node.join(write_shared(node.groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("all")), "members"), "component")
+    node = write_shared(node.select(F.col("node").alias("doc_id"), "component", "members", "all", "k", "n"), "nodes")
+    beyond = lambda members, grams: (F.col(members) > PART) | (F.col(grams) > PART_GRAMS)
+    large = beyond("members", "all")
+    whole = node.select("doc_id", "component", F.col("component").alias("block"), F.when(large, F.col("k")).otherwise(0).alias("k"), "n")
     met = meetings(whole)
     chained = node.filter(large)
     if chained.isEmpty():
         return whole, met
-    ties = write_shared(ahead.join(chained.drop("members"), "doc_id"), "ties")
+    ties = write_shared(ahead.join(chained.drop("members", "all"), "doc_id"), "ties")
     # columns of the same classes are one block: told by their number and 128 bits of hash
-    same = ties.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(2))).alias("y"))
-    same = write_shared(same.filter("n > 1").groupBy("n", "x", "y").agg(F.min("h").alias("h")).select("h", "n"), "tied")
-    tied = ties.join(same, "h").select("doc_id", "component", F.col("h").alias("block"), F.when(F.col("n") > PART, F.col("k")).otherwise(0).alias("k"))
+    same = ties.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("doc_id", F.lit(2))).alias("y"))
+    same = write_shared(same.filter("m > 1").groupBy("m", "all", "x", "y").agg(F.min("h").alias("h")).select("h", "m", "all"), "tied")
+    tied = ties.join(same, "h").select("doc_id", "component", F.col("h").alias("block"), F.when(beyond("m", "all"), F.col("k")).otherwise(0).alias("k"), "n")
     met_tied = meetings(tied)
     copies = lambda m: m.groupBy("component").agg(F.sum(F.col("c") * F.col("r2")).alias("copies"))
     apart = copies(met_tied).withColumnRenamed("copies", "fewer").join(copies(met), "component").filter("fewer < copies").select("component")
