@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from test_dedup import brute_components, brute_pairs
 
-from tickspark.llm import pipeline, queries
+from tickspark.llm import common, pipeline, queries
+from tickspark.sources.files import names_in
 
 LINE = "a line with more than twenty letters"
 WORDS = " ".join(f"word{k}" for k in range(40))
@@ -69,7 +70,22 @@ def test_stages_against_brute_force(spark, sf_dir):
     assert {r["doc_id"] for r in one.collect()} == {d for d, (_, first) in component.items() if d == first}
 
 
-def test_a_stage_that_leaves_nothing_warns(spark, sf_dir):
+def test_a_stage_that_leaves_nothing_is_reported(spark, sf_dir):
+    half, none = (lambda s, docs, d: docs.filter("doc_id % 2 = 0")), (lambda s, docs, d: docs.filter(F.lit(False)))
     with pytest.warns(UserWarning, match="nothing stays"):
-        out = pipeline.run(spark, sf_dir, [("nothing stays", lambda s, docs, d: docs.filter(F.lit(False)))])
-    assert out.isEmpty()
+        out, report = pipeline.run_reported(spark, sf_dir, [("half", half), ("nothing stays", none), ("after", half)])
+    n = queries.table(spark, sf_dir, "documents").count()
+    assert out.isEmpty() and [(r.stage, r.got, r.emptied) for r in report] == [("half", n, False), ("nothing stays", report[0].left, True), ("after", 0, False)]
+    assert 0 < report[0].left < n
+
+
+def test_tables_of_a_stage_go_when_it_is_written(spark, sf_dir, monkeypatch):
+    made = []
+    real = common.shared_dir
+    monkeypatch.setattr(common, "shared_dir", lambda s: made.append(f"{real(s)}/here") or made[-1])
+    inner = lambda s, docs, d: pipeline.write_shared(docs, "inner").filter("doc_id < 10")
+    out = pipeline.run(spark, sf_dir, [("one", inner), ("two", inner)])
+    kept = sorted(n.split("-")[0] + n.split("-")[1][:3] for n in names_in(spark, made[0]))
+    assert kept == ["stageone", "stagetwo"] and out.count() > 0
+    pipeline.write_shared(out, "outside")
+    assert len(names_in(spark, made[0])) == 3

@@ -10,12 +10,13 @@ from __future__ import annotations
 import functools
 import warnings
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import line_dedup, ngram_join, packing, pii, quality
-from .common import tune, write_shared
+from .common import scratch, tune, write_shared
 from .queries import PSEUDONYM_KEY, held_out, table, vocabulary
 
 #: Documents that score below this go.
@@ -105,16 +106,36 @@ STAGES: list[tuple[str, Stage]] = [
 ]
 
 
-def run(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> DataFrame:
-    """Apply the stages to the documents; each result is written and read as the next one's input.
+class Left(NamedTuple):
+    """How many rows a stage got and left; ``emptied`` where it left nothing of something, which is likelier a fault than such input."""
+
+    stage: str
+    got: int
+    left: int
+
+    @property
+    def emptied(self) -> bool:
+        return self.got > 0 and self.left == 0
+
 
-    A stage that leaves nothing of something gives a warning: a fault is likelier than such input.
+def run_reported(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> tuple[DataFrame, list[Left]]:
+    """Apply the stages to the documents, and what each left.
+
+    Each result is written and read as the next one's input. What a stage wrote besides is
+    deleted once its result is written, so the shared folder holds one stage's tables at a time.
     """
     docs = table(spark, sf_dir, "documents")
-    empty = docs.isEmpty()
+    n, report = docs.count(), []
     for name, stage in stages:
-        docs = write_shared(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
-        before, empty = empty, docs.isEmpty()
-        if empty and not before:
+        with scratch(spark):
+            docs = write_shared(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}", keep=True)
+        got, n = n, docs.count()
+        report.append(Left(name, got, n))
+        if report[-1].emptied:
             warnings.warn(f"the stage {name} left no document", stacklevel=2)
-    return docs
+    return docs, report
+
+
+def run(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]]) -> DataFrame:
+    """``run_reported`` without the report; a stage that leaves nothing of something gives a warning."""
+    return run_reported(spark, sf_dir, stages)[0]
