@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tickspark.llm import pipeline
@@ -16,3 +18,17 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is written to the shared folder and read again."""
     return pipeline.run(spark, sf_dir, STAGES)
+
+
+def main(sf_dir: str, out: str) -> int:
+    """Write the sequences to ``out``; 1 where a stage left nothing of something, so a job that went wrong doesn't look done."""
+    spark = SparkSession.builder.appName("corpus pipeline").getOrCreate()
+    docs, report = pipeline.run_reported(spark, sf_dir, STAGES)
+    docs.write.parquet(out)
+    for line in report:
+        print(f"{line.stage}: {line.got} rows, {line.left} left", file=sys.stderr)
+    return int(any(line.emptied for line in report))
+
+
+if __name__ == "__main__":
+    sys.exit(main(*sys.argv[1:3]))
