@@ -38,11 +38,13 @@ def prices_with_indicators(prices: DataFrame, indicators: DataFrame, *, ts: str
     """Prices left joined with the indicators of the same symbol and time, two streams that may run apart by ``delay``.
 
     A price waits for its indicators until both watermarks have passed it, then goes
-    without. Columns of the indicators that prices have too are left out.
+    without. Columns of the indicators that prices have too are left out. Indicators of one
+    symbol and time count once, so several prices of it have a row each.
     """
     own = [c for c in indicators.columns if c not in (symbol, ts, *prices.columns)]
     p = prices.withWatermark(ts, delay)
     i = indicators.select(F.col(symbol).alias("_symbol"), F.col(ts).alias("_ts"), *own).withWatermark("_ts", delay)
+    i = i.dropDuplicatesWithinWatermark(["_symbol", "_ts"]) if i.isStreaming else i.dropDuplicates(["_symbol", "_ts"])
     return p.join(i, (F.col(symbol) == F.col("_symbol")) & (F.col(ts) == F.col("_ts")), "left_outer").drop("_symbol", "_ts")
 
 
