@@ -2,16 +2,15 @@
 
 Partitioning by symbol alone gives a hot symbol to one task. With ``bucket`` seconds, time
 is cut into buckets and a row also goes to the buckets whose rows look back at it, so
-(symbol, bucket) is the partition and every frame is whole. A row is copied at most
-ceil(lookback / bucket) times; only a bucket's own rows leave it.
+(symbol, bucket) is the group and every frame is whole. A row is copied at most
+ceil(lookback / bucket) times, a copy has the values of the frames alone, and only a bucket's
+own rows leave it. Spark deals and groups the rows; one exchange serves all frames.
 
 A sliding window would aggregate each frame anew, which grows with the square of the ticks
-in a frame. Here time is cut into blocks as long as the frame, so a frame is the end of
-one block and the beginning of the next. Beginnings are growing windows in order of time,
-ends are growing windows in the reverse order; both cost the same for every row. A row
-finds the end that its frame begins with by a marker at its own time less the
-frame's length, sorted among the rows. Parts are joined, never subtracted, so nothing
-cancels: equal values have no deviation.
+in a frame. Here a group's aggregates over 1, 2, 4, 8 ... rows from each row on are formed
+one after the other, and a frame is put together of one part for each bit of its
+number of rows. Parts are joined, never subtracted, so nothing cancels: equal values have
+no deviation.
 """
 
 from __future__ import annotations
@@ -20,8 +19,11 @@ import math
 from collections.abc import Callable
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expressions import micros
 
@@ -33,6 +35,10 @@ class Over(NamedTuple):
     value: str
     length: float
     until: int = 0
+    less: str | None = None
+
+    def sources(self) -> list[str]:
+        return [self.value] if self.less is None else [self.value, self.less]
 
 
 def mean(value: str, length: float, until: int = 0) -> Over:
@@ -56,103 +62,141 @@ def most(value: str, length: float, until: int = 0) -> Over:
     return Over("most", value, length, until)
 
 
-#: ``add(d, {column: Over})`` adds columns to d.
+def difference(value: str, less: str) -> Over:
+    """Row by row, no aggregate: what is framed next may be a difference of two means."""
+    return Over("difference", value, 0, 0, less)
+
+
+#: ``add(d, {column: Over})`` adds columns to d; an Over may be of another one's column.
 Add = Callable[[DataFrame, dict[str, Over]], DataFrame]
-#: Aggregates that each kind is joined from.
-NEEDS = {"mean": ("n", "sum", "low", "high"), "total": ("n", "sum"), "deviation": ("n", "sum", "var", "low", "high"), "least": ("low",), "most": ("high",)}
-MAKES = {"n": "count", "sum": "sum", "var": "var_pop", "low": "min", "high": "max"}
+#: Values in the order of time, and which of them are not null.
+Values = tuple[np.ndarray, np.ndarray]
 
 
-def add_frames(d: DataFrame, overs: dict[str, Over], *, keys: list[str], at: str, unit: int) -> DataFrame:
-    """Columns of aggregates over frames in the order of the long column ``at``; ``unit`` of it is a length of 1.
+def add_frames(d: DataFrame, overs: dict[str, Over], *, keys: list[str], at: Column, unit: int, own: Column | None = None) -> DataFrame:
+    """Columns of aggregates over frames of the groups of ``keys`` in the order of ``at``; ``unit`` of it is a length of 1.
 
-    Every row becomes its events: for each frame its own place and the marker of the
-    frame's beginning. Three sorts within the partitions of ``keys`` follow: to and fro
-    within the blocks, then by row, where the last event gathers what the others found.
+    Rows that are not a group's ``own`` are seen by its frames and left out of the result.
     """
-    frames = list(dict.fromkeys((o.length, o.until) for o in overs.values()))
-    values = [list(dict.fromkeys(o.value for o in overs.values() if (o.length, o.until) == f)) for f in frames]
-    needs: dict[int, set[str]] = {}
+    inputs = list(dict.fromkeys(v for o in overs.values() for v in o.sources() if v not in overs or overs[v] is o))
+    kept = [c for c in d.columns if c not in keys[1:] and c not in overs]
+    mine = F.lit(True) if own is None else own
+    rows = d.select(*[F.col(k).alias(f"_key{j}") for j, k in enumerate(keys)], at.alias("_at"), mine.alias("_own"), *[F.col(v).cast("double").alias(f"_x{j}") for j, v in enumerate(inputs)], F.when(mine, F.struct(*kept)).alias("_row"))
+    lengths = {c: o._replace(length=int(o.length * unit)) for c, o in overs.items()}
+
+    def framed(group: pa.Table) -> pa.Table:
+        known, at = _values(group["_at"], 0)
+        order = np.lexsort((at, ~known))  # rows without a time are each other's frame
+        at, timed = at[order], int(known.sum())
+        found = {}
+        for j, v in enumerate(inputs):
+            ok, x = _values(group[f"_x{j}"], 0.0)
+            found[v] = (x[order], ok[order])
+        _fill(found, lengths, at, timed)
+        own = group["_own"].to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        place = place[own]
+        columns = [pa.array(found[c][0][place], mask=~found[c][1][place]) for c in lengths]
+        return pa.table([group["_row"].filter(group["_own"]), *columns], names=["_row", *lengths])
+
+    schema = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), *[T.StructField(c, T.DoubleType()) for c in overs]])
+    out = rows.groupBy(*[f"_key{j}" for j in range(len(keys))]).applyInArrow(framed, schema)
+    return out.select(*[F.col("_row")[c].alias(c) for c in kept], *overs)
+
+
+def _values(column: pa.ChunkedArray, null) -> tuple[np.ndarray, np.ndarray]:
+    """Which are not null, and the values with ``null`` in place of the others."""
+    return column.is_valid().to_numpy(), column.fill_null(null).to_numpy()
+
+
+def _fill(found: dict[str, Values], overs: dict[str, Over], at: np.ndarray, timed: int) -> None:
+    """Add each Over's column to ``found``, those of one value together, and after what they are of."""
+    bounds, left = {}, dict(overs)
     for o in overs.values():
-        f = frames.index((o.length, o.until))
-        needs.setdefault(values[f].index(o.value), set()).update(NEEDS[o.kind])
-    events, place = [], {}
-
-    def event(f: int, kind: str, shift: int, size: int) -> None:
-        place[f, kind] = len(events)
-        to = f"(`{at}` + {shift}L)"
-        events.append(f"struct({len(events)} as e, {f} as f, {to} as at, ({to} - pmod({to}, {size}L)) div {size}L as block)")
-
-    for f, (length, until) in enumerate(frames):
-        reach = int(length * unit)
-        size = max(1, reach)
-        event(f, "begin", -reach, size)
-        if until:
-            event(f, "own", 0, size)
-        event(f, "end", until, size)
-    last, among = len(events) - 1, lambda es: ", ".join(map(str, es))
-    counted = among(e for (f, kind), e in place.items() if kind == ("own" if frames[f][1] else "end"))
-    markers = among(e for (_, kind), e in place.items() if kind == "begin")
-    by, kept = ", ".join(f"`{k}`" for k in keys), [c for c in d.columns if c not in keys]
-    d = d.selectExpr("*", "monotonically_increasing_id() as _row", f"explode(array({', '.join(events)})) as _e")
-    slots = []
-    for j in needs:
-        of = " ".join(f"when {f} then cast(`{own[j]}` as double)" for f, own in enumerate(values) if j < len(own))
-        slots.append(f"case when _e.e in ({counted}) then case _e.f {of} end end as _x{j}")
-    d = d.selectExpr(*[f"`{k}`" for k in keys], "_row", "_e.e as _e", "_e.f as _f", "_e.at as _at", "_e.block as _block", *slots, *[f"case when _e.e = {last} then `{c}` end as `{c}`" for c in kept])
-    parts = [(j, n) for j in sorted(needs) for n in sorted(needs[j])]
-    within = lambda order: "struct(" + ", ".join(f"{MAKES[n]}(_x{j}) over (partition by {by}, _f, _block order by {order}) as {n}{j}" for j, n in parts) + ")"
-    d = d.selectExpr("*", f"{within('_at desc')} as _fro").selectExpr("*", f"{within('_at')} as _to")
-    d = d.selectExpr(*[f"`{k}`" for k in keys], "_row", "_e", f"struct(_block as block, case when _e in ({markers}) then _fro else _to end as v) as _found", *[f"`{c}`" for c in kept])
-    used = sorted(e for (_, kind), e in place.items() if kind != "own")
-    d = d.selectExpr("*", *[f"lag(_found, {last - e}) over (partition by {by} order by _row, _e) as _found{e}" for e in used]).filter(f"_e = {last}")
-    columns = []
-    for name, o in overs.items():
-        f = frames.index((o.length, o.until))
-        columns.append(f"{_joined(o.kind, values[f].index(o.value), f"_found{place[f, 'begin']}", f"_found{place[f, 'end']}")} as `{name}`")
-    return d.selectExpr(*[f"`{c}`" for c in (*keys, *kept) if c not in overs], *columns)
-
-
-def _joined(kind: str, j: int, begin: str, end: str) -> str:
-    """An aggregate of a frame from the end of the block it begins in and the beginning of the block it ends in, as SQL."""
-    # in one block, the frame is the beginning of it
-    a = lambda n: f"if({begin}.block <=> {end}.block, null, {begin}.v.{n}{j})"
-    b = lambda n: f"{end}.v.{n}{j}"
-    zero = lambda c: f"coalesce({c}, 0)"
-    if kind == "least":
-        return f"least({a('low')}, {b('low')})"
-    if kind == "most":
-        return f"greatest({a('high')}, {b('high')})"
-    na, nb = zero(a("n")), b("n")
-    n, sums = f"({na} + {nb})", f"({zero(a('sum'))} + {zero(b('sum'))})"
-    if kind == "total":
-        return f"if({n} > 0, {sums}, null)"
-    low = f"least({a('low')}, {b('low')})"
-    same = f"{low} = greatest({a('high')}, {b('high')})"
-    if kind == "mean":
-        return f"case when {same} then {low} when {n} > 0 then {sums} / {n} end"
-    between = f"if({na} > 0 and {nb} > 0, pow({a('sum')} / {na} - {b('sum')} / {nb}, 2) * {na} * {nb} / {n}, 0)"
-    squares = f"({zero(a('var'))} * {na} + {zero(b('var'))} * {nb} + {between})"
-    return f"case when {n} > 1 then if({same}, 0d, sqrt({squares} / ({n} - 1))) end"
+        f = (o.length, o.until)
+        if o.less is None and f not in bounds:
+            begin, end = np.full(len(at), timed), np.full(len(at), len(at))
+            begin[:timed] = np.searchsorted(at[:timed], at[:timed] - o.length, "left")
+            end[:timed] = np.searchsorted(at[:timed], at[:timed] + o.until, "right")
+            bounds[f] = begin, np.maximum(begin, end)
+    with np.errstate(all="ignore"):  # what is divided by no rows is null
+        done = {}
+        while left:
+            ready = {c: o for c, o in left.items() if all(v in found for v in o.sources())}
+            for value in dict.fromkeys(o.value for o in ready.values() if o.less is None):
+                done |= _aggregates(*found[value], {c: (o.kind, *bounds[o.length, o.until]) for c, o in ready.items() if o.value == value and o.less is None})
+            for c, o in ready.items():
+                if o.less is not None:
+                    (x, a), (y, b) = found[o.value], found[o.less]
+                    done[c] = x - y, a & b
+            found |= done
+            left = {c: o for c, o in left.items() if c not in ready}
+
+
+def _aggregates(x: np.ndarray, ok: np.ndarray, wanted: dict[str, tuple[str, np.ndarray, np.ndarray]]) -> dict[str, Values]:
+    """Aggregates of one value, each (kind, begins, ends): its frames' places from a begin up to before an end."""
+    place, x = np.concatenate([[0], np.cumsum(ok)]), x[ok]
+    change = np.ones(len(x), bool)
+    change[1:] = x[1:] != x[:-1]
+    run = np.maximum.accumulate(np.where(change, np.arange(len(x)), 0)) if len(x) else np.zeros(0, np.int64)
+    x, run = (x, run) if len(x) else (np.zeros(1), np.zeros(1, np.int64))
+    kinds = {k for k, _, _ in wanted.values()}
+    frames = {}
+    for _, begin, end in wanted.values():
+        if id(begin) not in frames:
+            a, b = place[begin], place[end]
+            # begins of what is left, rows of it, rows so far; sum, squares, least and most so far
+            frames[id(begin)] = [a.copy(), b - a, np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a)), np.full(len(a), np.nan), np.full(len(a), -np.inf)]
+    longest = max(int(f[1].max(initial=0)) for f in frames.values())
+    total, squares, low, high, size = x, np.zeros(len(x)), x, x, 1
+    while size <= longest:
+        for f in frames.values():
+            rows = np.flatnonzero(f[1] & size)
+            p, n = f[0][rows], f[2][rows]
+            if "deviation" in kinds:
+                f[4][rows] += squares[p] + (f[3][rows] / np.maximum(n, 1) - total[p] / size) ** 2 * (n * size / (n + size))
+            f[3][rows] += total[p]
+            if "least" in kinds:
+                f[5][rows] = np.fmin(f[5][rows], low[p])
+            if "most" in kinds:
+                f[6][rows] = np.maximum(f[6][rows], high[p])
+            f[0][rows] += size
+            f[2][rows] += size
+        if 2 * size <= longest:
+            if "deviation" in kinds:
+                squares = squares[:-size] + squares[size:] + (total[:-size] - total[size:]) ** 2 / (2 * size)
+            total = total[:-size] + total[size:]
+            low = np.fmin(low[:-size], low[size:]) if "least" in kinds else low
+            high = np.maximum(high[:-size], high[size:]) if "most" in kinds else high
+        size *= 2
+    out = {}
+    for c, (kind, begin, end) in wanted.items():
+        n, sums, squares, low, high = frames[id(begin)][2:]
+        last = np.maximum(place[end] - 1, 0)
+        same = run[last] <= place[begin]  # one value in all rows of the frame
+        value = {"mean": np.where(same, x[last], sums / n), "total": sums, "deviation": np.where(same, 0.0, np.sqrt(squares / (n - 1))), "least": low, "most": high}[kind]
+        out[c] = value, n > (kind == "deviation")
+    return out
 
 
 def rolling(df: DataFrame, build: Callable[[DataFrame, Add], DataFrame], *, lookback: float, symbol: str = "symbol", ts: str = "processing_timestamp", bucket: float | None = None) -> DataFrame:
-    """``build(d, add)`` adds columns; ``add(d, {column: Over})`` those over frames of seconds.
+    """``build(d, add)`` adds columns; ``add(d, {column: Over})`` those over frames of seconds, all with one exchange.
 
-    All frames share one partitioning, so one exchange serves them all. ``lookback`` is the
-    longest reach of the columns in seconds, nested ones added.
+    ``lookback`` is the longest reach of the columns in seconds, nested ones added.
     """
-    d = df.withColumn("_us", micros(ts))
-    keys = [symbol]
-    if bucket is not None:
+    us = micros(ts)
+
+    def add(x: DataFrame, overs: dict[str, Over]) -> DataFrame:
+        if bucket is None:
+            return add_frames(x, overs, keys=[symbol], at=us, unit=1_000_000)
         size, reach = int(bucket * 1_000_000), int(lookback * 1_000_000)
         of = lambda us: F.floor(us / F.lit(size)).cast("long")
-        d = d.withColumn("_bucket", F.explode_outer(F.sequence(of(F.col("_us")), of(F.col("_us") + reach))))
-        keys.append("_bucket")
-    out = build(d.repartition(*keys), lambda x, overs: add_frames(x, overs, keys=keys, at="_us", unit=1_000_000))
-    if bucket is not None:
-        out = out.filter(F.col("_bucket").eqNullSafe(of(F.col("_us")))).drop("_bucket")
-    return out.select(*df.columns, *[c for c in out.columns if c not in (*df.columns, "_us")])
+        x = x.withColumn("_bucket", F.explode_outer(F.sequence(of(us), of(us + reach))))
+        return add_frames(x, overs, keys=[symbol, "_bucket"], at=us, unit=1_000_000, own=F.col("_bucket").eqNullSafe(of(us)))
+
+    out = build(df, add)
+    return out.select(*df.columns, *[c for c in out.columns if c not in df.columns])
 
 
 #: Rows of one symbol that are dealt to one task.
@@ -185,16 +229,16 @@ def rolling_rows(df: DataFrame, build: Callable[[DataFrame, Add], DataFrame], *,
     ``bucket``, ``block`` rows of a symbol and copies of the ``reach`` before them make a
     partition, so a hot symbol goes to many tasks.
     """
-    d = numbered(df, "_k", symbol=symbol, ts=ts, tie=tie, bucket=bucket)
-    keys = [symbol]
-    if bucket is not None:
-        of = lambda k: F.expr(f"{k} div {block}")
-        d = d.withColumn("_part", F.explode(F.sequence(of("_k"), of(f"(_k + {reach})"))))
-        keys.append("_part")
-    rows = lambda overs: {c: o._replace(length=int(o.length) - 1) for c, o in overs.items()}
-    out = build(d.repartition(*keys), lambda x, overs: add_frames(x, rows(overs), keys=keys, at="_k", unit=1))
-    if bucket is not None:
-        out = out.filter(F.col("_part") == of("_k")).drop("_part")
+    of, place = lambda k: F.expr(f"{k} div {block}"), F.col("_k")
+
+    def add(x: DataFrame, overs: dict[str, Over]) -> DataFrame:
+        overs = {c: o._replace(length=int(o.length) - 1) for c, o in overs.items()}
+        if bucket is None:
+            return add_frames(x, overs, keys=[symbol], at=place, unit=1)
+        x = x.withColumn("_part", F.explode(F.sequence(of("_k"), of(f"(_k + {reach})"))))
+        return add_frames(x, overs, keys=[symbol, "_part"], at=place, unit=1, own=F.col("_part") == of("_k"))
+
+    out = build(numbered(df, "_k", symbol=symbol, ts=ts, tie=tie, bucket=bucket), add)
     return out.select(*df.columns, *[c for c in out.columns if c not in (*df.columns, "_k")])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as E
-from .frames import BLOCK_ROWS, Add, Over, decayed_sums, deviation, least, mean, most, numbered, rolling, rolling_rows, total, with_previous
+from .frames import BLOCK_ROWS, Over, decayed_sums, deviation, difference, least, mean, most, numbered, rolling, rolling_rows, total, with_previous
 
 TIE = ("offset", "event_id")
 
@@ -100,14 +100,13 @@ def rolling_vwap(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing
     return rolling(traded, lambda d, add: finish_vwap(add(d, turnover(volume, window)), price, volume), lookback=window, symbol=symbol, ts=ts, bucket=bucket).drop("_traded")
 
 
-def lines(price: str, fast: float = E.MACD_FAST, slow: float = E.MACD_SLOW) -> dict[str, Over]:
-    return {"_fast": mean(price, fast), "_slow": mean(price, slow)}
+def lines(price: str, fast: float = E.MACD_FAST, slow: float = E.MACD_SLOW, signal: float = E.MACD_SIGNAL) -> dict[str, Over]:
+    """The signal is a mean of the line, which is a difference of two means."""
+    return {"_fast": mean(price, fast), "_slow": mean(price, slow), "macd": difference("_fast", "_slow"), "macd_signal": mean("macd", signal)}
 
 
-def finish_macd(d: DataFrame, add: Add, signal: float = E.MACD_SIGNAL) -> DataFrame:
-    """The signal is a mean of the line, so it is a second round of frames in the same partitions."""
-    d = add(d.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow"), {"macd_signal": mean("macd", signal)})
-    return d.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+def finish_macd(d: DataFrame) -> DataFrame:
+    return d.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("_fast", "_slow")
 
 
 def ema(df: DataFrame, means: dict[str, tuple[str, int]], *, symbol: str, at: str, block: int = BLOCK_ROWS) -> DataFrame:
@@ -125,7 +124,7 @@ def macd(df: DataFrame, *, symbol: str = "symbol", ts: str = "processing_timesta
     for nothing and have none.
     """
     if method == "range_mean":
-        return rolling(df, lambda d, add: finish_macd(add(d, lines(price, fast, slow)), add, signal), lookback=slow + signal, symbol=symbol, ts=ts, bucket=bucket)
+        return rolling(df, lambda d, add: finish_macd(add(d, lines(price, fast, slow, signal))), lookback=slow + signal, symbol=symbol, ts=ts, bucket=bucket)
     f, s, g = periods
     bare = df.filter(F.col(price).isNull()).withColumns({c: F.lit(None).cast("double") for c in ("macd", "macd_signal", "macd_histogram")})
     d = numbered(df.filter(F.col(price).isNotNull()), "_at", symbol=symbol, ts=ts, tie=tie, bucket=bucket)

@@ -24,7 +24,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", F.upper("event_type").alias("symbol"), us.alias("us"), F.timestamp_micros(us).alias("processing_timestamp"),
         F.col("value").alias("current_price"), (F.get_json_object("props", "$.k").cast("bigint") * 10000).alias("volume"),
     )
-    d = with_previous(d, "current_price", "_before", tie=("event_id",), bucket=6 * 3600).withColumn("previous_close", F.coalesce("_before", "current_price")).drop("_before")
+    d = with_previous(d, "current_price", "_before", tie=("event_id",), bucket=1800).withColumn("previous_close", F.coalesce("_before", "current_price")).drop("_before")
     p, c = F.col("current_price"), F.col("previous_close")
     return d.withColumns({"open_price": c, "high_price": F.greatest(c, p), "low_price": F.least(c, p), "change": p - c})
 
